@@ -121,9 +121,9 @@ def mask_unseen(items: DataFrame, seeds: DataFrame, cols: Sequence[str], key: st
     is bounded by the seed table, which is the small side."""
     out = items
     for c in cols:
-        seen = seeds.select(key, F.col(c).alias("__seen")).distinct().withColumn("__hit", F.lit(True))
-        out = (out.join(seen, (out[key] == seen[key]) & (out[c] == seen["__seen"]), "left")
-               .drop(seen[key]).drop("__seen")
+        seen = seeds.select(F.col(key).alias("__k"), F.col(c).alias("__seen")).distinct().withColumn("__hit", F.lit(True))
+        out = (out.join(seen, (out[key] == seen["__k"]) & (out[c] == seen["__seen"]), "left")
+               .drop("__k", "__seen")
                .withColumn(c, F.when(F.col("__hit"), F.col(c)).otherwise(F.lit(UNSEEN))).drop("__hit"))
     return out
 

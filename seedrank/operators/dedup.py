@@ -60,8 +60,8 @@ def union_seed_items(seeds: DataFrame, items: DataFrame, cols: Sequence[str], la
 
 def distinct_values(df: DataFrame, col: str, split: str | None = ",") -> DataFrame:
     """Sorted distinct (trimmed) values of a column, split into a list first if asked."""
-    v = F.explode(F.split(F.col(col), split)) if split else F.col(col)
-    return df.select(F.trim(v).alias("value")).where(F.col("value").isNotNull()).distinct().orderBy("value")
+    v = df.select(F.explode(F.split(F.col(col), split)).alias("__v")) if split else df.select(F.col(col).alias("__v"))
+    return v.select(F.trim("__v").alias("value")).where(F.col("value").isNotNull()).distinct().orderBy("value")
 
 
 def upsample(df: DataFrame, n: int = 5, weight_col: str | None = "weight") -> DataFrame:

@@ -86,19 +86,30 @@ def lookup_vectors(rows: DataFrame, id_cols: Sequence[str], tags: str, lookup: D
     dashes→blanks (first found wins), and mean-pool the vectors found; rows with none get
     ``dim`` zeros. ``tags`` must be an array column (V2)."""
     ex = rows.select(*id_cols, F.posexplode(tags).alias("__pos", "__tag"))
+    pooled = lookup_vector_pairs(ex, id_cols, "__pos", "__tag", lookup, dim, key_col, vec_col, out="__pooled")
+    j = rows.join(pooled, list(id_cols), "left")
+    zeros = F.array_repeat(F.lit(0.0), dim)
+    return j.select(*[c for c in rows.columns if c != out], F.coalesce(F.col("__pooled"), zeros).alias(out))
+
+
+def lookup_vector_pairs(pairs: DataFrame, id_cols: Sequence[str], pos: str, tag: str, lookup: DataFrame, dim: int,
+                        key_col: str = "tag", vec_col: str = "vec", out: str = "vec") -> DataFrame:
+    """J5 + V3 over already exploded (ids..., pos, tag) rows: every distinct tag string is
+    resolved once to the vector of its first key variant found in the lookup (a
+    vocabulary-sized job), then occurrences join their tag's vector and are averaged per id (a
+    repeated tag counts twice; ids without any hit are absent)."""
+    del pos  # occurrences need no position: each row is one occurrence
+    tags = pairs.select(F.col(tag).alias("__tag")).distinct()
     variants = F.array(
         F.struct(F.lit(0).alias("r"), F.col("__tag").alias("v")),
         F.struct(F.lit(1).alias("r"), F.regexp_replace("__tag", " ", "-").alias("v")),
         F.struct(F.lit(2).alias("r"), F.regexp_replace("__tag", "-", " ").alias("v")))
-    ex = ex.select(*id_cols, "__pos", F.explode(variants).alias("__var")).select(*id_cols, "__pos", "__var.r", "__var.v")
+    ex = tags.select("__tag", F.explode(variants).alias("__var")).select("__tag", "__var.r", "__var.v")
     lk = lookup.select(F.col(key_col).alias("v"), F.col(vec_col).alias("__vec"))
-    hit = ex.join(lk, "v")
-    best = keep_first(hit.select(*id_cols, "__pos", "r", "__vec"), [*id_cols, "__pos"], ["r"])
+    resolved = keep_first(ex.join(lk, "v").select("__tag", "r", "__vec"), ["__tag"], ["r"]).drop("r")
+    occ = pairs.select(*id_cols, F.col(tag).alias("__tag")).join(resolved, "__tag")
     from seedrank.operators.vectors import mean_pool
-    pooled = mean_pool(best, id_cols, "__vec", dim, out="__pooled")
-    j = rows.join(pooled, list(id_cols), "left")
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    return j.select(*[c for c in rows.columns if c != out], F.coalesce(F.col("__pooled"), zeros).alias(out))
+    return mean_pool(occ, id_cols, "__vec", dim, out=out)
 
 
 def backfill_remaining(items: DataFrame, chosen: DataFrame, id_col: str, key: str = "set_id") -> DataFrame:

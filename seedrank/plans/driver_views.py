@@ -102,3 +102,19 @@ items AS (
   LEFT JOIN __lf lf ON lf.l_orderkey = o.o_orderkey),
 seeds AS (SELECT * FROM items WHERE album = '1-URGENT' AND status = 'F')
 """
+
+
+def order_tags(spark: SparkSession, sd: str) -> DataFrame:
+    """(item_id, tags): sorted distinct part-name words of an order's lines joined by ','.
+    The set per order is bounded by the word vocabulary, not by the order's line count."""
+    li = table(spark, sd, "lineitem").select("l_orderkey", "l_partkey")
+    p = table(spark, sd, "part").select("p_partkey", "p_name")
+    w = li.join(p, li.l_partkey == p.p_partkey).select("l_orderkey", F.explode(F.split("p_name", " ")).alias("w"))
+    return w.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("w")), ",").alias("tags")).select(
+        F.col("l_orderkey").alias("item_id"), "tags")
+
+
+def part_tags(spark: SparkSession, sd: str) -> DataFrame:
+    """(p_partkey, p_brand, p_type, p_size, tags): a part's name words as a ','-joined tag list."""
+    p = table(spark, sd, "part")
+    return p.select("p_partkey", "p_brand", "p_type", "p_size", F.regexp_replace("p_name", " ", ",").alias("tags"))

@@ -77,3 +77,11 @@ def recommend_core(spark: SparkSession, d: str) -> DataFrame:
     """Minimum slice: J3 → V6 → V7 → M3 → T1–T5 → R2 → T9 → R7 (top 20 per set)."""
     top = R.top_n(core_scored(spark, d), "base_score", "item_id", R.TOP_N)
     return out(top.withColumn("rank", F.col("rank").cast("int")), _CORE_COLS)
+
+
+def _load_all() -> None:
+    """Import the query modules so they register themselves."""
+    from seedrank.plans import q_clean  # noqa: F401
+
+
+_load_all()

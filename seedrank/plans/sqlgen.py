@@ -127,3 +127,25 @@ def adj_bin(adj: str) -> tuple[str, str]:
 
 def rounded(cols: Sequence[str], doubles: Sequence[str], places: int = 6) -> str:
     return ", ".join(f"round({c}, {places}) AS {c}" if c in doubles else c for c in cols)
+
+
+SEEDS_CTE = "sd AS (SELECT * FROM it WHERE album = '1-URGENT' AND status = 'F')"
+
+
+def base(*ctes: str) -> str:
+    """items → it (with release_year) → sd (seeds) → cand (J3), then ``ctes``."""
+    return with_items(items_with_year("it"), SEEDS_CTE, exclude_seen("it", "sd", "cand"), *ctes)
+
+
+def extract_year_text(c: str) -> str:
+    four = f"regexp_extract({c}, '\\b(\\d{{4}})\\b', 1)"
+    run = f"regexp_extract({c}, '(\\d+)', 1)"
+    return (f"CASE WHEN {c} IS NULL THEN NULL WHEN {four} <> '' THEN {four} "
+            f"WHEN length({run}) >= 4 THEN substr({run}, 1, 4) ELSE {c} END")
+
+
+def order_tags_cte(name: str = "otags") -> str:
+    """(item_id, tags): the sorted distinct part-name words of an order's lines, ','-joined."""
+    return (f"{name} AS (SELECT l.l_orderkey AS item_id, string_agg(DISTINCT w.word, ',' ORDER BY w.word) AS tags "
+            f"FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey, "
+            f"LATERAL (SELECT unnest(string_split(p.p_name, ' ')) AS word) w GROUP BY l.l_orderkey)")
