@@ -27,8 +27,8 @@ def unpivot(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str =
 
 def tag_counts(df: DataFrame, tags: str, top: int = 5, key: str = "set_id", split: str = ",") -> DataFrame:
     """A1: split, explode, trim, count; best ``top`` per set (count desc, tag asc)."""
-    ex = df.where(F.col(tags).isNotNull()).select(key, F.trim(F.explode(F.split(F.col(tags), split))).alias("tag"))
-    cnt = ex.groupBy(key, "tag").agg(F.count(F.lit(1)).alias("n"))
+    ex = df.where(F.col(tags).isNotNull()).select(key, F.explode(F.split(F.col(tags), split)).alias("__t"))
+    cnt = ex.select(key, F.trim("__t").alias("tag")).groupBy(key, "tag").agg(F.count(F.lit(1)).alias("n"))
     return top_n(cnt, "n", "tag", top, key)
 
 

@@ -88,7 +88,7 @@ def era_params_ctes(seeds: str, out: str) -> list[str]:
     cls = (f"CASE WHEN avg_year >= {E.RECENT_FROM_YEAR} THEN 'recent' WHEN focus_decade IS NOT NULL THEN 'decade' "
            f"WHEN std_year < {E.TIGHT_STD} THEN 'tight' ELSE 'standard' END")
     md = "CASE era_class " + " ".join(f"WHEN '{k}' THEN {d}" for k, (d, p) in E.ERA_PENALTY.items()) + " END"
-    mp = "CASE era_class " + " ".join(f"WHEN '{k}' THEN {p!r}" for k, (d, p) in E.ERA_PENALTY.items()) + " END"
+    mp = "CAST(CASE era_class " + " ".join(f"WHEN '{k}' THEN {p!r}" for k, (d, p) in E.ERA_PENALTY.items()) + " END AS DOUBLE)"
     return [
         f"{out}_ys AS (SELECT set_id, release_year AS y FROM {seeds} WHERE release_year IS NOT NULL)",
         f"{out}_b AS (SELECT set_id, CAST(trunc(avg(y)) AS INTEGER) AS avg_year, min(y) AS min_year, max(y) AS max_year, "
