@@ -155,3 +155,105 @@ def blended_similarity(items: DataFrame, seeds: DataFrame, features: Sequence[st
     zi = V.standardize(it, stats, cols, key)
     res = V.cosine_to(zi, tgt, cols, key, out=out, weights=weights)
     return res.drop(*[f"z_{c}" for c in cols])
+
+
+# ---------------------------------------------------------------- M1 similarity filter
+
+def similarity_filter(items: DataFrame, seeds: DataFrame, x: str, dim: int, key: str = "set_id",
+                      threshold: float = 0.60, filter_on: str = "similarity", seed: int = 42) -> DataFrame:
+    """M1 + C10 + C14 over ``x``, an array<double> of ``dim`` features (audio features and
+    tag-vector dimensions side by side): complete rows only; scaler fitted on the items;
+    cosine of each scaled item to the scaled seed centroid = ``similarity_score``.
+    ``filter_on='similarity'`` keeps similarity ≥ threshold (deterministic); ``'model'`` fits
+    a boosted-tree regressor to the similarity (100 trees, depth 5, rate 0.05, row and
+    feature sampling 0.8; the set id is an input so one model serves every set) and keeps
+    ``fit_probability`` ≥ threshold. Statistics are per-dimension aggregates packed into
+    arrays, so the plan stays small however wide the vector is."""
+    complete = ~F.exists(F.col(x), lambda v: v.isNull()) & F.col(x).isNotNull()
+    it = items.where(complete)
+    sd = seeds.select(key, x).where(complete)
+    st = it.groupBy(key).agg(*[F.avg(F.col(x)[i]).alias(f"__m{i}") for i in range(dim)],
+                             *[F.stddev_pop(F.col(x)[i]).alias(f"__s{i}") for i in range(dim)])
+    st = st.select(key, F.array(*[F.col(f"__m{i}") for i in range(dim)]).alias("__m"),
+                   F.array(*[F.col(f"__s{i}") for i in range(dim)]).alias("__s"))
+    cen = V.mean_pool(sd, [key], x, dim, out="__c")
+
+    def z(col):
+        return F.transform(col, lambda v, i: X.standardized(v, F.col("__m")[i], F.col("__s")[i]))
+
+    tgt = attach(cen, st, key).select(key, z(F.col("__c")).alias("__t"))
+    j = attach(attach(it, st, key), tgt, key)
+    sim = j.select(*it.columns, X.array_cosine(z(F.col(x)), F.col("__t")).alias("similarity_score"))
+    if filter_on != "model":
+        return sim.where(F.col("similarity_score") >= threshold)
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import GBTRegressor
+    train = VectorAssembler(inputCols=[key, "__xv"], outputCol="__x").transform(
+        sim.withColumn("__xv", array_to_vector(x)))
+    gbt = GBTRegressor(featuresCol="__x", labelCol="similarity_score", predictionCol="fit_probability",
+                       maxIter=100, maxDepth=5, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
+                       seed=seed)
+    pred = gbt.fit(train).transform(train).drop("__x", "__xv")
+    return pred.where(F.col("fit_probability") >= threshold)
+
+
+# ---------------------------------------------------------------- M4 / M5 metadata GLM
+
+def metadata_glm(items: DataFrame, seeds: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                 key: str = "set_id", id_col: str = "item_id", out: str = "glm_score",
+                 reg: float = GLM_RIDGE, upsample: int = SEED_UPSAMPLE, max_iter: int = 300) -> DataFrame:
+    """M4: binomial GLM (ridge ``reg``, unpenalised intercept) of seed-vs-item on scaled numeric
+    columns, one-hot categories (unseen → '????', M5/C16) and an in-seeds flag per category
+    (M6); seeds weigh ``upsample`` (D6 as a weight). Categories are keyed by set, so one fit
+    serves every set and the one-hot width is bounded by the seeds' vocabulary. Predicted
+    probability → per-set 0..100 (range < 0.01 → p·100), NULL → 0."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from seedrank.operators.clean import coerce_numeric, impute_median, impute_unknown, mask_unseen
+
+    it = impute_unknown(coerce_numeric(items, numeric), categorical)
+    sd = impute_unknown(coerce_numeric(seeds, numeric), categorical)
+    it = impute_median(it, sd, numeric, key)
+    sd = impute_median(sd, it, numeric, key)
+    it = mask_unseen(it, sd, categorical, key)
+    cols = [key, id_col, *numeric, *categorical]
+    both = (it.select(*cols, F.lit(0.0).alias("__y"), F.lit(1.0).alias("__w"))
+            .unionByName(sd.select(*cols, F.lit(1.0).alias("__y"), F.lit(float(upsample)).alias("__w"))))
+    stats = V.scaler_stats(both, numeric, key)
+    both = V.standardize(both, stats, numeric, key)
+    flags = in_seed_flags(both, sd, categorical, key)
+    for c in categorical:
+        flags = flags.withColumn(f"__cat_{c}", F.concat_ws("|", F.col(key).cast("string"), F.col(c)))
+    idx = [StringIndexer(inputCol=f"__cat_{c}", outputCol=f"__i_{c}", handleInvalid="keep") for c in categorical]
+    ohe = OneHotEncoder(inputCols=[f"__i_{c}" for c in categorical], outputCols=[f"__o_{c}" for c in categorical],
+                        dropLast=False, handleInvalid="keep")
+    va = VectorAssembler(inputCols=[f"z_{c}" for c in numeric] + [f"__o_{c}" for c in categorical]
+                         + [f"{c}_in_seeds" for c in categorical], outputCol="__x")
+    lr = LogisticRegression(featuresCol="__x", labelCol="__y", weightCol="__w", regParam=reg, elasticNetParam=0.0,
+                            standardization=False, fitIntercept=True, maxIter=max_iter, probabilityCol="__p")
+    model = Pipeline(stages=[*idx, ohe, va, lr]).fit(flags)
+    pred = model.transform(flags.where(F.col("__y") == 0.0))
+    pred = pred.select(key, id_col, vector_to_array("__p")[1].alias("glm_probability"))
+    scored = V.minmax_100(pred, "glm_probability", out, flat="glm", key=key)
+    scored = scored.withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+    return items.join(scored, [key, id_col], "left")
+
+
+# ---------------------------------------------------------------- M15 learned blend
+
+def learned_blend(df: DataFrame, features: Sequence[str], target: str = "blend_similarity", key: str = "set_id",
+                  out: str = "nn_score", seed: int = 42) -> DataFrame:
+    """M15 (re-aimed): a boosted-tree regressor learns the blended similarity from the inputs;
+    its prediction, min-max scaled per set (flat → unchanged), is ``nn_score``."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+    x = VectorAssembler(inputCols=[*features], outputCol="__x", handleInvalid="keep").transform(
+        impute_zero(df, features))
+    model = GBTRegressor(featuresCol="__x", labelCol=target, predictionCol="__pred", maxIter=50, maxDepth=5,
+                         stepSize=0.1, seed=seed).fit(x)
+    pred = model.transform(x).drop("__x")
+    return V.minmax_100(pred, "__pred", out, flat="keep", key=key).drop("__pred")

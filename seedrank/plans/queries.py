@@ -81,7 +81,7 @@ def recommend_core(spark: SparkSession, d: str) -> DataFrame:
 
 def _load_all() -> None:
     """Import the query modules so they register themselves."""
-    from seedrank.plans import q_clean, q_stats  # noqa: F401
+    from seedrank.plans import q_clean, q_models, q_stats  # noqa: F401
 
 
 _load_all()
