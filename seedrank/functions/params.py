@@ -21,6 +21,19 @@ from seedrank.session import ensure_checkpoint_dir
 MAX_BROADCAST_ROWS = 50_000
 
 
+# Distinct-value counts of key columns, declared by the pipeline from the data it runs on
+# (``count_key_bound``). A parameter frame with one row per value of such a key has at most
+# that many rows, so it can be broadcast without counting it again.
+_KEY_BOUNDS: dict[str, int] = {}
+
+
+def count_key_bound(df: DataFrame, key: str = "set_id") -> int:
+    """Count the distinct values of ``key`` (one column-pruned scan) and declare the bound."""
+    n = df.select(key).distinct().count()
+    _KEY_BOUNDS[key] = n
+    return n
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast-hinted ``df`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
     df = df.persist()
@@ -30,7 +43,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
 def attach(items: DataFrame, params: DataFrame, on: str | list[str] = "set_id", how: str = "inner",
            max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join per-set parameters onto items (J8). Equi-join on the set key, never a cross join."""
+    """Join parameters onto items (J8): an equi-join on the set key, never a cross join.
+
+    ``params`` must hold one row per value of ``on``. For a single key whose distinct count
+    the pipeline declared (``count_key_bound``) that count bounds the frame, so it is broadcast
+    directly when under ``max_rows``; otherwise the frame is counted (``bounded_broadcast``)."""
+    keys = [on] if isinstance(on, str) else list(on)
+    bound = _KEY_BOUNDS.get(keys[0]) if len(keys) == 1 else None
+    if bound is not None and bound <= max_rows:
+        return items.join(F.broadcast(params), on=on, how=how)
     return items.join(bounded_broadcast(params, max_rows), on=on, how=how)
 
 
