@@ -239,9 +239,12 @@ def metadata_glm(spark, d):
 # ------------------------------------------------------------------ M10 M11 M12 (given centroids)
 
 def seed_scaled(spark: SparkSession, d: str):
+    return seed_scaled_frames(*candidates(spark, d))
+
+
+def seed_scaled_frames(cand: DataFrame, sd: DataFrame):
     """Seeds and candidates zero-filled and scaled with the *seed* scaler (as the clustering
     step does), as array<double> vectors, plus the per-(set, year) seed centroids."""
-    cand, sd = candidates(spark, d)
     c0 = cand.na.fill(0.0, FEATURES)
     s0 = sd.na.fill(0.0, FEATURES)
     st = V.scaler_stats(s0, FEATURES)
@@ -256,7 +259,12 @@ def seed_scaled(spark: SparkSession, d: str):
 
 
 def clusters(spark: SparkSession, d: str):
-    cz, sz, cen = seed_scaled(spark, d)
+    return clusters_frames(*candidates(spark, d))
+
+
+def clusters_frames(cand: DataFrame, sd: DataFrame):
+    """(candidates, seeds) each with their nearest given centroid."""
+    cz, sz, cen = seed_scaled_frames(cand, sd)
     return K.assign_clusters(cz, cen, "zvec"), K.assign_clusters(sz, cen, "zvec")
 
 
@@ -320,7 +328,7 @@ def blend_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     sc = M.cosine_score(cand, sd, FEATURES)
     sc = M.metadata_match(sc, sd, {"owner": "owner", "album": "album", "label": "label"})
     sc = sc.withColumn("has_match", (F.col("match_score") > 0).cast("double"))
-    ca, sa = clusters(spark, d)
+    ca, sa = clusters_frames(cand, sd)
     from seedrank.operators.cluster import cluster_score
     cs = cluster_score(ca.select("set_id", "item_id", "cluster"), sa).select("set_id", "item_id", "cluster_score")
     return sc.join(cs, ["set_id", "item_id"]), sd

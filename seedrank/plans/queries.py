@@ -60,9 +60,13 @@ _CORE_COLS = ["set_id", "item_id", "rank", "cosine_score", "year_adjustment", "b
 
 
 def core_scored(spark: SparkSession, d: str) -> DataFrame:
-    cand, sd = candidates(spark, d)
+    return score_core(*candidates(spark, d))
+
+
+def score_core(cand: DataFrame, sd: DataFrame) -> DataFrame:
+    """Cosine score, era adjustment and the blended base score of every candidate."""
     sc = M.cosine_score(cand, sd, FEATURES)
-    sc = E.apply_era(sc, E.era_params(sd), with_score=False)
+    sc = E.apply_era(sc, E.era_params(sd))
     sc = R.base_score(sc, {"cosine_score": R.DEFAULT_WEIGHTS["cosine_score"]})
     return sc.withColumn("base_score", E.apply_adjustment(F.col("base_score"), F.col("year_adjustment")))
 
@@ -86,7 +90,7 @@ def recommend_core(spark: SparkSession, d: str) -> DataFrame:
 
 def _load_all() -> None:
     """Import the query modules so they register themselves."""
-    from seedrank.plans import q_clean, q_models, q_stats  # noqa: F401
+    from seedrank.plans import q_clean, q_models, q_select, q_stats  # noqa: F401
 
 
 _load_all()
