@@ -48,6 +48,14 @@ def merge_sources(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     return out
 
 
+def merge_frames(frames: Sequence[DataFrame]) -> DataFrame:
+    """S3 for already-read sources: union by column name, missing columns become NULL."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def source_counts(df: DataFrame, file_col: str = "source_file") -> DataFrame:
     """Rows per input file."""
     return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows"))
