@@ -30,10 +30,15 @@ _KEY_BOUNDS: dict[str, int] = {}
 def count_key_bound(df: DataFrame, key: str = "set_id") -> int:
     """Count the distinct values of ``key`` (one column-pruned scan) and declare the bound."""
     n = df.select(key).distinct().count()
-    _KEY_BOUNDS[key] = n
+    declare_key_bound(key, n)
     return n
 
 
+def declare_key_bound(key: str, n: int) -> None:
+    """Declare a counted distinct-value bound of ``key`` for the data now being processed."""
+    _KEY_BOUNDS[key] = n
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast-hinted ``df`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
     df = df.persist()

@@ -71,8 +71,10 @@ def cluster_score(items: DataFrame, seeds: DataFrame, cluster: str = "cluster",
     c = seeds.groupBy(key, cluster).agg(F.count(F.lit(1)).alias("__n"))
     t = seeds.groupBy(key).agg(F.count(F.lit(1)).alias("__t"))
     share = attach(c, t, key).select(key, cluster, (F.col("__n") / F.col("__t") * 100.0).alias("__share"))
-    j = attach(items, share, [key, cluster], how="left")
-    return j.select(*items.columns, F.coalesce(F.col("__share"), F.lit(0.0)).alias(out))
+    # one cluster → share map per set: a single-key parameter row (≤ k entries)
+    smap = share.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(cluster, "__share"))).alias("__smap"))
+    j = attach(items, smap, key, how="left")
+    return j.select(*items.columns, F.coalesce(F.element_at("__smap", F.col(cluster)), F.lit(0.0)).alias(out))
 
 
 # ---------------------------------------------------------------- K-means (M8) and knee (M9)
@@ -83,22 +85,29 @@ def kmeans_multi(points: DataFrame, x: str, id_col: str, dim: int, ks: Sequence[
     """Lloyd's algorithm for every (set, k) at once over the seed ``points`` (``x`` is an
     array<double> of length ``dim``).
 
-    Start: the first k points of the set in a fixed pseudo-random order (hash of the id), so
-    runs are reproducible; k is capped at the set's point count (MLlib does the same when
-    points run out). Update = per-dimension ``avg`` per (set, k, cluster): a partial
+    Start: farthest-first traversal from the first point in hash order (deterministic, so
+    runs and retries are reproducible). With fewer distinct points than k, duplicate starts
+    leave empty clusters that drop out, so fewer than k centres remain (as in MLlib). Update = per-dimension ``avg`` per (set, k, cluster): a partial
     aggregate, so a cluster holding most points is never collected into one task.
     Returns (centers(key, k, idx, center), cost(key, k, wcss))."""
-    from pyspark.sql import Window
-
     ensure_checkpoint_dir(points.sparkSession)
     kmax = max(ks)
     k_arr = F.array(*[F.lit(int(k)) for k in ks])
     pts = points.select(key, id_col, F.col(x).alias("__x"))
-    w = Window.partitionBy(key).orderBy(F.xxhash64(id_col), F.col(id_col))
-    ranked = pts.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= kmax)
-    # the r-th point (1-based) starts a center for every k ≥ r
-    init = ranked.select(key, (F.col("__r") - 1).alias("idx"), F.col("__x").alias("center"),
-                         F.explode(F.filter(k_arr, lambda k: k >= F.col("__r"))).alias("k"))
+    # farthest-first start: the first point in hash order, then repeatedly the point farthest
+    # from the centres chosen so far (ties by hash). The start for k is the first k of that
+    # order, so one sequence of kmax − 1 small per-set aggregates serves every k.
+    h = F.xxhash64(id_col)
+    first = pts.groupBy(key).agg(F.min_by("__x", F.struct(h, F.col(id_col))).alias("center"))
+    chosen = first.select(key, F.lit(0).alias("idx"), "center")
+    for j in range(1, kmax):
+        packed_c = chosen.groupBy(key).agg(F.collect_list("center").alias("__c"))
+        dist = attach(pts, packed_c, key).select(key, id_col, "__x", nearest(F.col("__x"), F.col("__c"))["d2"].alias("__d2"))
+        nxt = dist.groupBy(key).agg(F.max_by("__x", F.struct(F.col("__d2"), -h, -F.col(id_col))).alias("center"))
+        chosen = chosen.unionByName(nxt.select(key, F.lit(j).alias("idx"), "center"))
+        if j % 3 == 0:
+            chosen = chosen.checkpoint()
+    init = chosen.select(key, "idx", "center", F.explode(F.filter(k_arr, lambda k: k > F.col("idx"))).alias("k"))
     centers = init.select(key, "k", "idx", "center")
     rep = pts.select(key, "__x", F.explode(k_arr).alias("k"))  # ≤ |ks| copies of the small side
 

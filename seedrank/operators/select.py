@@ -70,17 +70,22 @@ def cluster_quota(seeds: DataFrame, cluster: str = "cluster", n: int = N_RECOMME
 def select_by_quota(items: DataFrame, quota: DataFrame, score: str = "base_score", id_col: str = "item_id",
                     cluster: str = "cluster", n: int = N_RECOMMENDATIONS, key: str = "set_id") -> DataFrame:
     """R4 + R5 + R6: the best ``quota`` rows of each cluster (clusters with no rows are
-    skipped), then, if fewer than n, the best remaining rows up to n; ranked by score."""
-    w = _rank_window([key, cluster], score, id_col)
-    ranked = items.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
-    q = quota.select(key, cluster, "quota")
-    picked = attach(ranked, q, [key, cluster]).where(F.col("__rn") <= F.col("quota")).drop("__rn", "quota")
-    counts = picked.groupBy(key).agg(F.count(F.lit(1)).alias("__got"))
-    rest = items.join(picked.select(key, id_col), [key, id_col], "left_anti")
-    rest = top_n(rest, score, id_col, n, key, rank_col="__rr")
-    rest = attach(rest, counts, key, how="left").where(F.col("__rr") <= F.lit(n) - F.coalesce(F.col("__got"), F.lit(0)))
-    rest = rest.drop("__rr", "__got")
-    chosen = picked.unionByName(rest)
+    skipped), then, if fewer than n, the best remaining rows up to n; ranked by score.
+
+    Two literal-capped windows (per cluster and per set, each a per-task group limit before
+    its shuffle) reduce every set to at most 2·n rows; the backfill only needs the set's
+    overall top n, since at most ``got`` of those are already picked. The quotas travel as one
+    cluster → quota map per set (a single-key, bounded parameter row)."""
+    qmap = quota.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(cluster, "quota"))).alias("__qmap"))
+    per_cluster = top_n(items, score, id_col, n, [key, cluster], rank_col="__rn")
+    picked = attach(per_cluster, qmap, key).where(
+        F.col("__rn") <= F.coalesce(F.element_at("__qmap", F.col(cluster)), F.lit(0))).drop("__rn", "__qmap")
+    got = picked.groupBy(key).agg(F.count(F.lit(1)).alias("__got"))
+    overall = top_n(items, score, id_col, n, key, rank_col="__all")
+    rest = overall.join(picked.select(key, id_col), [key, id_col], "left_anti")
+    rest = top_n(rest.drop("__all"), score, id_col, n, key, rank_col="__rr")
+    rest = attach(rest, got, key, how="left").where(F.col("__rr") <= F.lit(n) - F.coalesce(F.col("__got"), F.lit(0)))
+    chosen = picked.unionByName(rest.drop("__rr", "__got"))
     return top_n(chosen, score, id_col, n, key, rank_col="rank")
 
 

@@ -24,7 +24,8 @@ def iv_sql(name: str = "iv") -> str:
 
 
 def with_vectors(df: DataFrame, spark: SparkSession, d: str, expand: bool = True) -> DataFrame:
-    j = df.join(DV.item_vectors(spark, d), "item_id", "left")
+    """Rows with their pooled vector ``vec`` (the catalogue carries it; pooled here otherwise)."""
+    j = df if "vec" in df.columns else df.join(DV.item_vectors(spark, d), "item_id", "left")
     return V.expand_vector(j, "vec", DIM, "genre_dim_") if expand else j
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seedrank.functions.params import materialize
 from seedrank.operators import select as R
 from seedrank.operators import stats as A
 from seedrank.plans import sqlgen as S
@@ -25,7 +26,12 @@ def scored_with_clusters(spark: SparkSession, d: str) -> tuple[DataFrame, DataFr
 
 
 def recommendations(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(recommendations, seeds with clusters, scored candidates). The scored candidates are
+    written once (four columns) before the two selection windows read them: one write
+    instead of running the scoring passes again under each window."""
     sc, sa = scored_with_clusters(spark, d)
+    sc = materialize(sc.select("set_id", "item_id", "cluster", "base_score"), "scored")
+    sa = materialize(sa.select("set_id", "item_id", "cluster"), "seed_clusters")
     quota = R.cluster_quota(sa, "cluster", N)
     return R.select_by_quota(sc, quota, n=N), sa, sc
 

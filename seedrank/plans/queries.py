@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedrank.functions.exprs import round_doubles
-from seedrank.functions.params import count_key_bound, materialize
+from seedrank.functions.params import count_key_bound, declare_key_bound, materialize
 from seedrank.operators import era as E
 from seedrank.operators import score as M
 from seedrank.operators import select as R
@@ -34,20 +34,55 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# (session, source dir, source file mtimes) → written catalogue path and its set count
+_CATALOGUES: dict[tuple, tuple[str, int]] = {}
+
+
+def _source_stamp(d: str) -> tuple:
+    import glob
+    import os
+    return tuple(sorted((os.path.basename(p), os.path.getmtime(p))
+                        for p in glob.glob(f"{d.rstrip('/')}/*.parquet")))
+
+
+def catalogue(spark: SparkSession, d: str) -> DataFrame:
+    """S9 + S7: the cleaned item catalogue (orders ⨝ customer ⨝ nation ⨝ per-order line
+    aggregates, with release year and the item's pooled tag vector ``vec``, as the reference's
+    catalogue carries its genre embedding) written once as parquet in the shared checkpoint folder
+    and reused by every query of the session over the same, unchanged sources. Later passes —
+    statistics, scoring, min/max — scan that compact, column-pruned table instead of re-running
+    the joins, and a lost executor re-reads files instead of recomputing lineage."""
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), _source_stamp(d))
+    hit = _CATALOGUES.get(key)
+    if hit is None:
+        it = with_release_year(DV.items(spark, d), "release_date").join(DV.item_vectors(spark, d), "item_id", "left")
+        it = materialize(it, "items")
+        hit = (it.inputFiles()[0].rsplit("/", 1)[0], count_key_bound(it, "set_id"))
+        _CATALOGUES[key] = hit
+    declare_key_bound("set_id", hit[1])
+    return spark.read.parquet(hit[0])
+
+
 def base_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """(items with release_year, seeds). The item view (orders ⨝ customer ⨝ nation ⨝
-    per-order line aggregates) is written once as parquet in the shared checkpoint folder
-    (S9) and read back: every later pass — statistics, scoring, min/max — scans that compact,
-    column-pruned table instead of re-running the joins, and a lost executor re-reads files."""
-    it = materialize(with_release_year(DV.items(spark, d), "release_date"), "items")
-    count_key_bound(it, "set_id")
+    """(items with release_year, seeds)."""
+    it = catalogue(spark, d)
     return it, DV.seed_filter(it)
 
 
+_CANDIDATES: dict[tuple, str] = {}
+
+
 def candidates(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """(items not already among their set's seeds (J3), seeds)."""
+    """(items not already among their set's seeds (J3), seeds). The candidate pool is written
+    once next to the catalogue, so the parameter passes of a model scan it directly instead
+    of repeating the anti-join each time."""
     it, sd = base_tables(spark, d)
-    return exclude_seen(it, sd, "name", "owner"), sd
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), _source_stamp(d))
+    path = _CANDIDATES.get(key)
+    if path is None:
+        cand = materialize(exclude_seen(it, sd, "name", "owner"), "candidates")
+        path = _CANDIDATES[key] = cand.inputFiles()[0].rsplit("/", 1)[0]
+    return spark.read.parquet(path), sd
 
 
 def out(df: DataFrame, cols: list[str]) -> DataFrame:
