@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedrank.functions import exprs as X
+from seedrank.functions.params import attach
 from seedrank.operators import era as E
 
 
@@ -20,8 +21,9 @@ def score_stream(stream: DataFrame, scaler: DataFrame, target: DataFrame, era: D
                  features: Sequence[str], year: str = "release_year", key: str = "set_id") -> DataFrame:
     """Adds cosine_similarity, year_adjustment and stream_score = similarity·(1 − adj/100).
     ``scaler`` (m_*, s_*), ``target`` (t_*) and ``era`` are one-row-per-set static frames."""
-    s = stream.join(F.broadcast(scaler), key).join(F.broadcast(target), key).join(
-        F.broadcast(era.select(key, "avg_year", "era_class", "max_dist", "max_pen")), key)
+    # static one-row-per-set parameters: size-checked broadcast (stream-static joins)
+    s = attach(attach(attach(stream, scaler, key), target, key),
+               era.select(key, "avg_year", "era_class", "max_dist", "max_pen"), key)
     z = [X.standardized(F.coalesce(F.col(f), F.lit(0.0)), F.col(f"m_{f}"), F.col(f"s_{f}")) for f in features]
     t = [F.col(f"t_{f}") for f in features]
     s = s.withColumn("cosine_similarity", X.cosine(z, t))
