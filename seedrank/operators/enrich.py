@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seedrank.functions.params import bounded_broadcast
 from seedrank.operators.dedup import keep_first, track_key
 
 
@@ -107,7 +108,9 @@ def lookup_vector_pairs(pairs: DataFrame, id_cols: Sequence[str], pos: str, tag:
     ex = tags.select("__tag", F.explode(variants).alias("__var")).select("__tag", "__var.r", "__var.v")
     lk = lookup.select(F.col(key_col).alias("v"), F.col(vec_col).alias("__vec"))
     resolved = keep_first(ex.join(lk, "v").select("__tag", "r", "__vec"), ["__tag"], ["r"]).drop("r")
-    occ = pairs.select(*id_cols, F.col(tag).alias("__tag")).join(resolved, "__tag")
+    # one row per resolved tag (≤ 3 per lookup key): size-checked broadcast, so occurrences
+    # are never shuffled by tag (a hot tag would land in one task)
+    occ = pairs.select(*id_cols, F.col(tag).alias("__tag")).join(bounded_broadcast(resolved), "__tag")
     from seedrank.operators.vectors import mean_pool
     return mean_pool(occ, id_cols, "__vec", dim, out=out)
 
