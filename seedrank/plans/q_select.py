@@ -6,13 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedrank.functions.params import materialize
 from seedrank.operators import select as R
 from seedrank.operators import stats as A
 from seedrank.plans import sqlgen as S
-from seedrank.plans.q_models import CLUSTER_CTES, clusters_frames
+from seedrank.plans import pipeline as P
+from seedrank.plans.q_models import CLUSTER_CTES, clusters_frames, seed_scaled_frames
 from seedrank.plans.q_stats import era_sql
-from seedrank.plans.queries import FEATURES, candidates, out, register, score_core
+from seedrank.plans.queries import FEATURES, base_tables, candidates, out, register, score_core
 
 N = R.N_RECOMMENDATIONS
 
@@ -26,14 +26,14 @@ def scored_with_clusters(spark: SparkSession, d: str) -> tuple[DataFrame, DataFr
 
 
 def recommendations(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(recommendations, seeds with clusters, scored candidates). The scored candidates are
-    written once (four columns) before the two selection windows read them: one write
-    instead of running the scoring passes again under each window."""
-    sc, sa = scored_with_clusters(spark, d)
-    sc = materialize(sc.select("set_id", "item_id", "cluster", "base_score"), "scored")
-    sa = materialize(sa.select("set_id", "item_id", "cluster"), "seed_clusters")
-    quota = R.cluster_quota(sa, "cluster", N)
-    return R.select_by_quota(sc, quota, n=N), sa, sc
+    """(recommendations, seeds with clusters, scored candidates) from the library pipeline
+    (R10) with the cosine score as the model and the per-release-year seed centroids as the
+    given clusters."""
+    it, sd = base_tables(spark, d)
+    _, _, cen = seed_scaled_frames(it, sd)
+    r = P.recommend(it, sd, FEATURES, models=("cosine",),
+                    weights={"cosine_score": R.DEFAULT_WEIGHTS["cosine_score"]}, centers=cen)
+    return r.recs, r.seeds, r.scored
 
 
 # SQL: candidates with base_score (b) and clusters (ca, sa), then quota and selection.
