@@ -335,7 +335,40 @@ def blend_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return sc.join(cs, ["set_id", "item_id"]), sd
 
 
-@register("blended_similarity")
+def _blend_sql():
+    roles = {"owner": "owner", "album": "album", "label": "label"}
+    total = sum(M.MATCH_WEIGHTS[r] for r in roles)
+    flags = ", ".join(f"CASE WHEN EXISTS (SELECT 1 FROM sd WHERE sd.set_id = cos.set_id AND sd.{c} = cos.{c}) THEN 1 ELSE 0 END "
+                      f"AS {c}_in_seeds" for c in roles.values())
+    num = " + ".join(["0.0"] + [f"CAST({M.MATCH_WEIGHTS[r]!r} AS DOUBLE) * {c}_in_seeds" for r, c in roles.items()])
+    scores = ["cosine_score", "match_score", "cluster_score"]
+    cols = FEATURES + ["has_match"] + scores
+    w = [1.0] * (len(FEATURES) + 1) + [float(M.EMPHASIS.get(x, 1)) for x in scores]
+    z0 = ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in cols)
+    means = ", ".join(f"avg({c}) AS {c}" for c in scores)
+    sd0 = ", ".join([f"coalesce(sd.{f}, 0.0) AS {f}" for f in FEATURES] + ["1.0 AS has_match"] + [f"mn.{c} AS {c}" for c in scores])
+    st = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in cols)
+    zs = ", ".join(f"({c} - m_{c}) / {S.std1('s_' + c)} AS z_{c}" for c in cols)
+    tg = ", ".join(f"avg(z_{c}) AS t_{c}" for c in cols)
+    cos = S.cosine([f"z_{c}" for c in cols], [f"t_{c}" for c in cols], w)
+    return S.base(
+        *S.cosine_score_ctes("cand", "sd", FEATURES, "cos"), *CLUSTER_CTES,
+        f"mf AS (SELECT cos.*, {flags} FROM cos)",
+        f"m AS (SELECT *, ({num}) / CAST({total!r} AS DOUBLE) AS match_score FROM mf)",
+        "x AS (SELECT m.*, CAST(m.match_score > 0 AS DOUBLE) AS has_match, coalesce(sh.share, 0.0) AS cluster_score "
+        "FROM m JOIN ca USING (set_id, item_id) LEFT JOIN sh ON sh.set_id = ca.set_id AND sh.cluster = ca.cluster)",
+        f"it0 AS (SELECT set_id, item_id, {z0} FROM x)",
+        f"mn AS (SELECT set_id, {means} FROM it0 GROUP BY set_id)",
+        f"sd0 AS (SELECT sd.set_id, {sd0} FROM sd JOIN mn USING (set_id))",
+        f"fit AS (SELECT set_id, {', '.join(cols)} FROM it0 UNION ALL SELECT set_id, {', '.join(cols)} FROM sd0)",
+        f"bst AS (SELECT set_id, {st} FROM fit GROUP BY set_id)",
+        f"zsd AS (SELECT sd0.set_id, {zs} FROM sd0 JOIN bst USING (set_id))",
+        f"tgt AS (SELECT set_id, {tg} FROM zsd GROUP BY set_id)",
+        f"zi AS (SELECT it0.set_id, it0.item_id, {zs} FROM it0 JOIN bst USING (set_id))",
+    ) + f"SELECT set_id, item_id, round({cos}, 6) AS blend_similarity FROM zi JOIN tgt USING (set_id)"
+
+
+@register("blended_similarity", _blend_sql())
 def blended_similarity(spark, d):
     """M13 emphasised inputs (cosine ×7, match ×1, cluster ×1, metadata flag), M14 cosine to
     the mean scaled seed vector (the learned blend's target)."""
