@@ -88,3 +88,16 @@ def test_vector_lookup_round_trip(spark):
     assert lk == {"indie pop": [0.5, 1.0], "rock": [1.0, 0.0]}
     _write(os.path.join(d, "g.json"), json.dumps({"genres": ["pop", "rock"]}))
     assert [r.tag for r in IO.read_seed_genres(spark, os.path.join(d, "g.json")).collect()] == ["pop", "rock"]
+
+
+def test_writers_round_trip(spark):
+    d = tempfile.mkdtemp(prefix="seedrank-write-")
+    df = spark.createDataFrame([("a", 1, 0.5), ("b", 2, 0.25)], "set_id string, item_id int, base_score double")
+    IO.write_table(df, os.path.join(d, "recs"), partition_by=["set_id"])
+    back = spark.read.parquet(os.path.join(d, "recs"))
+    assert sorted((r.set_id, r.item_id) for r in back.collect()) == [("a", 1), ("b", 2)]
+    IO.write_table(df, os.path.join(d, "recs_csv"), fmt="csv")
+    assert spark.read.option("header", "true").csv(os.path.join(d, "recs_csv")).count() == 2
+    lk = spark.createDataFrame([("pop", [1.0, 2.0])], "tag string, vec array<double>")
+    IO.write_vector_lookup(lk, os.path.join(d, "lk"))
+    assert [tuple(r) for r in spark.read.json(os.path.join(d, "lk")).select("tag", "vec").collect()] == [("pop", [1.0, 2.0])]
