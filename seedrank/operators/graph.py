@@ -66,10 +66,10 @@ def proximity_edges(points: DataFrame, id_col: str = "id", x: str = "x", y: str
 
 def graph_summary(points: DataFrame, edges: DataFrame) -> DataFrame:
     """Node and edge counts."""
-    n = points.agg(F.count(F.lit(1)).alias("nodes"))
-    e = edges.agg(F.count(F.lit(1)).alias("edges"))
-    # two one-row global aggregates meet on a constant key (1 × 1 rows)
-    return n.withColumn("__k", F.lit(1)).join(e.withColumn("__k", F.lit(1)), "__k").drop("__k")
+    # one global aggregate over both inputs tagged by origin (no join)
+    tagged = (points.select(F.lit(1).alias("__n"), F.lit(0).alias("__e"))
+              .unionByName(edges.select(F.lit(0).alias("__n"), F.lit(1).alias("__e"))))
+    return tagged.agg(F.sum("__n").cast("long").alias("nodes"), F.sum("__e").cast("long").alias("edges"))
 
 
 def _unit_draw(seed: int, *cols) -> F.Column:

@@ -129,3 +129,21 @@ def feature_profile(seeds: DataFrame, recs: DataFrame, features: Sequence[str],
     b = unpivot(best.select(key, "rank", *features), [key, "rank"], features, "feature", "value")
     b = b.select(key, F.concat(F.lit("rec "), F.col("rank").cast("string")).alias("series"), "feature", "value")
     return m.unionByName(b)
+
+
+# Fixed values that must equal the reference's behaviour (console summary of the cosine model).
+TRENDS_TEMPO = (100.0, 130.0, "slow", "fast", "medium")     # slow < 100, fast >= 130
+TRENDS_OTHER = (0.4, 0.6, "low", "high", "neutral")         # low < 0.4, high > 0.6
+
+
+def feature_trends(means: DataFrame, tempo_like: Sequence[str] = ()) -> DataFrame:
+    """The console labels of feature_means rows. Tempo-like features: fast ≥ 130, slow <
+    100, else medium; every other feature — loudness included, whose own label the reference
+    overwrites with the generic branch — high > 0.6, low < 0.4, else neutral."""
+    v = F.col("mean")
+    lo, hi, low, high, mid = TRENDS_TEMPO
+    tempo = F.when(v >= hi, high).when(v < lo, low).otherwise(mid)
+    lo, hi, low, high, mid = TRENDS_OTHER
+    other = F.when(v > hi, high).when(v < lo, low).otherwise(mid)
+    lab = F.when(F.col("feature").isin(list(tempo_like)), tempo).otherwise(other) if tempo_like else other
+    return means.withColumn("trend", lab)

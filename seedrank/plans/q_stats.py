@@ -98,6 +98,23 @@ def feature_levels(spark, d):
     return out(m, ["set_id", "feature", "mean", "level"])
 
 
+def _trends_sql():
+    rows = " UNION ALL ".join(f"SELECT set_id, '{f}' AS feature, avg({f}) AS mean FROM sd GROUP BY set_id" for f in FEATURES)
+    tlo, thi, tlow, thigh, tmid = A.TRENDS_TEMPO
+    olo, ohi, olow, ohigh, omid = A.TRENDS_OTHER
+    lab = (f"CASE WHEN feature IN ({', '.join(repr(x) for x in TEMPO_LIKE)}) THEN (CASE WHEN mean >= {thi} THEN '{thigh}' "
+           f"WHEN mean < {tlo} THEN '{tlow}' ELSE '{tmid}' END) ELSE (CASE WHEN mean > {ohi} THEN '{ohigh}' "
+           f"WHEN mean < {olo} THEN '{olow}' ELSE '{omid}' END) END")
+    return S.base(f"m AS ({rows})") + f"SELECT set_id, feature, round(mean, 6) AS mean, {lab} AS trend FROM m"
+
+
+@register("feature_trends", _trends_sql())
+def feature_trends(spark, d):
+    """Console trend labels of the seed feature means (tempo-like: fast / slow / medium)."""
+    _, sd = base_tables(spark, d)
+    return out(A.feature_trends(A.feature_means(sd, FEATURES), TEMPO_LIKE), ["set_id", "feature", "mean", "trend"])
+
+
 # ------------------------------------------------------------------ T1–T7
 
 _ERA = ["set_id", "item_id", "release_year", "year_distance", "year_penalty", "recency_bonus", "year_adjustment",
@@ -248,15 +265,13 @@ def recency_summary(spark, d):
 
 @register("year_summary", S.with_items(
     f"c AS (SELECT {S.release_year(S.extract_year_text('release_date'))} AS y FROM items WHERE NOT coalesce(name = owner, false))")
-    + "SELECT y AS release_year, count(*) AS n, min(y) OVER () AS earliest, max(y) OVER () AS latest FROM c GROUP BY y")
+    + "SELECT y AS release_year, count(*) AS n, min(y) AS earliest, max(y) AS latest FROM c GROUP BY GROUPING SETS ((y), ())")
 def year_summary(spark, d):
-    """Per release year of the cleaned catalogue its row count, with the earliest and
-    latest year (one global aggregate, joined on a constant key: 1 row)."""
+    """Rows per release year of the cleaned catalogue, plus one summary row (release
+    year NULL) with the total and the earliest and latest year — one grouping-sets aggregate."""
     from seedrank.operators.clean import clean_items, with_release_year
     it = with_release_year(clean_items(DV.items(spark, d), "name", "owner", "release_date"), "release_date", "y")
-    per = it.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
-    rng = it.agg(F.min("y").alias("earliest"), F.max("y").alias("latest")).withColumn("__k", F.lit(1))
-    return per.withColumn("__k", F.lit(1)).join(F.broadcast(rng), "__k").select(
+    return it.rollup("y").agg(F.count(F.lit(1)).alias("n"), F.min("y").alias("earliest"), F.max("y").alias("latest")).select(
         F.col("y").alias("release_year"), "n", "earliest", "latest")
 
 
