@@ -160,14 +160,15 @@ def blended_similarity(items: DataFrame, seeds: DataFrame, features: Sequence[st
 # ---------------------------------------------------------------- M1 similarity filter
 
 def similarity_filter(items: DataFrame, seeds: DataFrame, x: str, dim: int, key: str = "set_id",
-                      threshold: float = 0.60, filter_on: str = "similarity", seed: int = 42) -> DataFrame:
+                      threshold: float | None = 0.60, filter_on: str = "similarity", seed: int = 42) -> DataFrame:
     """M1 + C10 + C14 over ``x``, an array<double> of ``dim`` features (audio features and
     tag-vector dimensions side by side): complete rows only; scaler fitted on the items;
     cosine of each scaled item to the scaled seed centroid = ``similarity_score``.
     ``filter_on='similarity'`` keeps similarity ≥ threshold (deterministic); ``'model'`` fits
     a boosted-tree regressor to the similarity (100 trees, depth 5, rate 0.05, row and
     feature sampling 0.8; the set id is an input so one model serves every set) and keeps
-    ``fit_probability`` ≥ threshold. Statistics are per-dimension aggregates packed into
+    ``fit_probability`` ≥ threshold; ``threshold=None`` returns every complete row with its
+    similarity. Statistics are per-dimension aggregates packed into
     arrays, so the plan stays small however wide the vector is."""
     complete = ~F.exists(F.col(x), lambda v: v.isNull()) & F.col(x).isNotNull()
     it = items.where(complete)
@@ -184,6 +185,8 @@ def similarity_filter(items: DataFrame, seeds: DataFrame, x: str, dim: int, key:
     tgt = attach(cen, st, key).select(key, z(F.col("__c")).alias("__t"))
     j = attach(attach(it, st, key), tgt, key)
     sim = j.select(*it.columns, X.array_cosine(z(F.col(x)), F.col("__t")).alias("similarity_score"))
+    if threshold is None:
+        return sim
     if filter_on != "model":
         return sim.where(F.col("similarity_score") >= threshold)
     from pyspark.ml.feature import VectorAssembler

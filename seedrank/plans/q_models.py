@@ -86,7 +86,7 @@ def vector_cosine(spark, d):
 ALL_F = FEATURES + GENRE
 
 
-def _simfilter_sql():
+def _simfilter_sql(threshold: float | None = 0.6):
     full = " AND ".join(f"{f} IS NOT NULL" for f in ALL_F)
     st = ", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in ALL_F)
     cen = ", ".join(f"avg({f}) AS {f}" for f in ALL_F)
@@ -102,7 +102,8 @@ def _simfilter_sql():
         f"t AS (SELECT c.set_id, {ts} FROM cen c JOIN st USING (set_id))",
         f"z AS (SELECT ci.set_id, ci.item_id, {zs} FROM ci JOIN st USING (set_id))",
         f"s AS (SELECT set_id, item_id, {cos} AS similarity_score FROM z JOIN t USING (set_id))",
-    ) + "SELECT set_id, item_id, round(similarity_score, 6) AS similarity_score FROM s WHERE similarity_score >= 0.6"
+    ) + "SELECT set_id, item_id, round(similarity_score, 6) AS similarity_score FROM s" + (
+        f" WHERE similarity_score >= {threshold}" if threshold is not None else "")
 
 
 def sim_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -126,6 +127,15 @@ def similarity_filter(spark, d):
     return out(r, ["set_id", "item_id", "similarity_score"])
 
 
+@register("similarity_scores", _simfilter_sql(None))
+def similarity_scores(spark, d):
+    """M1 target before the threshold: the similarity of every complete candidate (V5, C10,
+    V6, V7 on the candidates, V8)."""
+    ci, si = sim_inputs(spark, d)
+    r = M.similarity_filter(ci, si, "x", len(ALL_F), threshold=None)
+    return out(r, ["set_id", "item_id", "similarity_score"])
+
+
 @register("similarity_model")
 def similarity_model(spark, d):
     """M1 fitted: a boosted-tree regressor reproduces the similarity; keep fit ≥ 0.60."""
