@@ -30,13 +30,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; only when none is configured (tests,
-    local runs) set a private one."""
+    """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``). Only a local
+    session (tests, single-machine runs) without one gets a private folder; a cluster session
+    without one is an error."""
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach (shared storage); "
+                           "a machine-local folder would lose written tables with the machine")
     path = tempfile.mkdtemp(prefix="seedrank-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
