@@ -91,3 +91,25 @@ def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, ke
     quota = R.cluster_quota(seed_clusters, "cluster", n, key)
     recs = R.select_by_quota(scored, quota, "base_score", id_col, "cluster", n, key)
     return Recommendation(recs, seed_clusters, scored)
+
+
+def insights(result: Recommendation, items: DataFrame, seeds: DataFrame, features: Sequence[str], *,
+             key: str = "set_id", id_col: str = "item_id", year: str = "release_year", tags: str | None = None,
+             db_like: Sequence[str] = (), tempo_like: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The interactive view's frames for a result (charts are not built, only their data):
+    seed feature means with levels (A5, A6), cluster mix of seeds vs recommendations (A8),
+    2-D projection of the catalogue (V11), release years of the recommendations with the seed
+    mean (A10), seed means next to the best five (A17) and the seeds' top tags (A1)."""
+    from seedrank.operators import stats as A
+    recs = result.recs.join(items.select(key, id_col, year, *features), [key, id_col])
+    out = {
+        "feature_levels": A.feature_levels(A.feature_means(seeds, features, key), db_like, tempo_like),
+        "cluster_distribution": A.cluster_distribution(result.seeds, result.recs, "cluster", key),
+        "pca": V.pca_2d(items, features, [key, id_col]),
+        "year_histogram": A.histogram(recs, year, 30, key).join(
+            seeds.groupBy(key).agg(F.avg(year).alias("seed_mean_year")), key, "left"),
+        "feature_profile": A.feature_profile(seeds, recs, features, "base_score", id_col, 5, key),
+    }
+    if tags and tags in seeds.columns:
+        out["tag_counts"] = A.tag_counts(seeds, tags, 10, key)
+    return out

@@ -41,3 +41,17 @@ def test_recommend_pipeline_with_elbow_clusters(spark):
     seed_ids = {x.item_id for x in seeds.collect()}
     assert not seed_ids & {x.item_id for x in recs}
     assert r.seeds.select("cluster").distinct().count() >= 2
+
+
+def test_insights_frames(spark):
+    rows = [(0, i, f"t{i}", f"o{i % 5}", 1990 + i % 15, float(i % 7), float(i % 11), "pop,rock" if i % 2 else "jazz")
+            for i in range(120)]
+    items = spark.createDataFrame(rows, "set_id int, item_id long, name string, owner string, release_year int, a double, b double, g string")
+    seeds = items.where(F.col("item_id") < 12)  # test fixture: the first twelve rows are the seeds
+    cen = spark.createDataFrame([(0, 0, [-1.0, -1.0]), (0, 1, [1.0, 1.0])], "set_id int, idx int, center array<double>")
+    r = P.recommend(items, seeds, ["a", "b"], n=10, models=("cosine",), weights={"cosine_score": 1.0}, centers=cen)
+    ins = P.insights(r, items, seeds, ["a", "b"], tags="g")
+    assert set(ins) == {"feature_levels", "cluster_distribution", "pca", "year_histogram", "feature_profile", "tag_counts"}
+    assert ins["feature_levels"].count() == 2 and ins["pca"].count() == 120
+    assert ins["feature_profile"].where("series = 'seed mean'").count() == 2
+    assert {r.tag for r in ins["tag_counts"].collect()} == {"pop", "rock", "jazz"}
