@@ -55,12 +55,58 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).try_cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+MEDIAN_ACCURACY = 100_000   # rank error of the approximate bounds: at most n / accuracy
+
+
+def exact_median(pool: DataFrame, col: str, key: str = "set_id", out: str = "median",
+                 accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
+    """Exact (interpolated, as ``quantile_cont``) median of ``col`` per ``key`` without holding
+    a group's values in one task: approximate bounds just below and above the median rank
+    (``percentile_approx``, rank error ≤ n / accuracy), the count of values under the lower
+    bound, and only the (value, count) pairs inside the band — at most ~4·n/accuracy + 2 per
+    group — are ranked. A group whose band misses a median rank (only possible when the
+    approximation is loose, i.e. tiny groups) is ranked over its whole range instead."""
+    x = F.col(col)
+    vals = pool.select(key, x.alias("__x")).where(F.col("__x").isNotNull())
+    eps = 2.0 / accuracy
+    b = vals.groupBy(key).agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__x").alias("__min"), F.max("__x").alias("__max"),
+        F.percentile_approx("__x", F.array(F.lit(max(0.0, 0.5 - eps)), F.lit(min(1.0, 0.5 + eps))), accuracy).alias("__b"))
+    r1 = F.floor((F.col("__n") - 1) / 2)
+    r2 = F.ceil((F.col("__n") - 1) / 2)
+    b = b.select(key, "__n", "__min", "__max", r1.cast("long").alias("__r1"), r2.cast("long").alias("__r2"),
+                 F.col("__b")[0].alias("__lo"), F.col("__b")[1].alias("__hi"))
+    chk = attach(vals, b, key).groupBy(key).agg(
+        F.count_if(F.col("__x") < F.col("__lo")).alias("__below"),
+        F.count_if(F.col("__x") <= F.col("__hi")).alias("__upto"))
+    b = attach(b, chk, key)
+    ok = (F.col("__below") <= F.col("__r1")) & (F.col("__upto") > F.col("__r2"))
+    b = b.select(key, "__r1", "__r2",
+                 F.when(ok, F.col("__lo")).otherwise(F.col("__min")).alias("__lo"),
+                 F.when(ok, F.col("__hi")).otherwise(F.col("__max")).alias("__hi"),
+                 F.when(ok, F.col("__below")).otherwise(F.lit(0)).alias("__below"))
+    band = (attach(vals, b, key).where(F.col("__x").between(F.col("__lo"), F.col("__hi")))
+            .groupBy(key, "__x", "__r1", "__r2", "__below").agg(F.count(F.lit(1)).alias("__c")))
+    from pyspark.sql import Window
+    w = Window.partitionBy(key).orderBy("__x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    band = band.withColumn("__hi_rank", F.col("__below") + F.sum("__c").over(w))   # ranks [hi_rank - c, hi_rank)
+    band = band.withColumn("__lo_rank", F.col("__hi_rank") - F.col("__c"))
+    hit = lambda r: (F.col(r) >= F.col("__lo_rank")) & (F.col(r) < F.col("__hi_rank"))
+    picked = band.groupBy(key).agg(F.max(F.when(hit("__r1"), F.col("__x"))).alias("__a"),
+                                   F.max(F.when(hit("__r2"), F.col("__x"))).alias("__z"))
+    return picked.select(key, (F.col("__a") + (F.col("__z") - F.col("__a")) * 0.5).alias(out))
+
+
 def impute_median(df: DataFrame, others: DataFrame | None, cols: Sequence[str], key: str = "set_id") -> DataFrame:
-    """Fill NULLs with the exact (interpolated) median over ``df`` ∪ ``others`` per set."""
+    """Fill NULLs with the exact (interpolated) median over ``df`` ∪ ``others`` per set
+    (``exact_median``: bounded memory per group, however large the set)."""
     pool = df.select(key, *cols)
     if others is not None:
         pool = pool.unionByName(others.select(key, *cols))
-    med = pool.groupBy(key).agg(*[F.percentile(c, 0.5).alias(f"__med_{c}") for c in cols])
+    med = None
+    for c in cols:
+        m = exact_median(pool, c, key, out=f"__med_{c}")
+        med = m if med is None else med.join(m, key, "full")
     out = attach(df, med, key)
     return out.select(*[F.coalesce(F.col(c), F.col(f"__med_{c}")).alias(c) if c in cols else F.col(c)
                         for c in df.columns])

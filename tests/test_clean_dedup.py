@@ -50,3 +50,16 @@ def test_duplicate_count_and_upsample(spark):
     assert (r.rows, r.duplicates) == (3, 1)
     assert D.upsample(df, 5, None).count() == 15
     assert D.upsample(df, 5).select(F.max("weight")).first()[0] == 5.0
+
+
+def test_exact_median_matches_numpy_with_ties_and_small_accuracy(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    data = {0: rng.normal(size=5001), 1: np.r_[np.zeros(3000), rng.normal(size=2000)], 2: np.array([4.0, 1.0]),
+            3: np.array([7.0]), 4: rng.integers(0, 5, size=4000).astype(float)}
+    rows = [(k, float(v)) for k, vs in data.items() for v in vs] + [(0, None)]
+    df = spark.createDataFrame(rows, "set_id int, x double")
+    for acc in (100, 100_000):  # a coarse accuracy forces wide bands / the fallback path
+        got = {r.set_id: r.median for r in C.exact_median(df, "x", accuracy=acc).collect()}
+        for k, vs in data.items():
+            assert abs(got[k] - float(np.median(vs))) < 1e-12, (acc, k)
