@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seedrank.functions import exprs as X
-from seedrank.functions.params import attach
+from seedrank.functions.params import attach, materialize
 from seedrank.operators import vectors as V
 from seedrank.operators.clean import UNSEEN, impute_mean, impute_zero
 
@@ -192,6 +192,7 @@ def similarity_filter(items: DataFrame, seeds: DataFrame, x: str, dim: int, key:
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import GBTRegressor
+    sim = materialize(sim, "gbt_train")  # boosting reads its input once per tree level
     train = VectorAssembler(inputCols=[key, "__xv"], outputCol="__x").transform(
         sim.withColumn("__xv", array_to_vector(x)))
     gbt = GBTRegressor(featuresCol="__x", labelCol="similarity_score", predictionCol="fit_probability",
@@ -231,6 +232,8 @@ def metadata_glm(items: DataFrame, seeds: DataFrame, numeric: Sequence[str], cat
     flags = in_seed_flags(both, sd, categorical, key)
     for c in categorical:
         flags = flags.withColumn(f"__cat_{c}", F.concat_ws("|", F.col(key).cast("string"), F.col(c)))
+    # the indexers and the iterative fit read this frame many times: write it once
+    flags = materialize(flags, "glm_train")
     idx = [StringIndexer(inputCol=f"__cat_{c}", outputCol=f"__i_{c}", handleInvalid="keep") for c in categorical]
     ohe = OneHotEncoder(inputCols=[f"__i_{c}" for c in categorical], outputCols=[f"__o_{c}" for c in categorical],
                         dropLast=False, handleInvalid="keep")
@@ -255,7 +258,7 @@ def learned_blend(df: DataFrame, features: Sequence[str], target: str = "blend_s
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
     x = VectorAssembler(inputCols=[*features], outputCol="__x", handleInvalid="keep").transform(
-        impute_zero(df, features))
+        materialize(impute_zero(df, features), "blend_train"))
     model = GBTRegressor(featuresCol="__x", labelCol=target, predictionCol="__pred", maxIter=50, maxDepth=5,
                          stepSize=0.1, seed=seed).fit(x)
     pred = model.transform(x).drop("__x")
