@@ -180,9 +180,66 @@ def ridge_score_2f(spark, d):
     return out(r, ["set_id", "item_id", "ridge_fitness", "ridge_score"])
 
 
-@register("ridge_score")
+def _ridge_sql(features):
+    """M2 for p features: sufficient statistics per set, the centred normal equations, and an
+    unrolled Gaussian elimination (the matrix is symmetric positive definite) per set."""
+    p = len(features)
+    fx = [f"x{i}" for i in range(p)]
+    means = ", ".join(f"avg({f}) AS a{i}" for i, f in enumerate(features))
+    ci = ", ".join(f"coalesce(coalesce({f}, a{i}), 0.0) AS x{i}" for i, f in enumerate(features))
+    cs = ", ".join(f"coalesce({f}, 0.0) AS x{i}" for i, f in enumerate(features))
+    xl = ", ".join(fx)
+    st = ", ".join(f"avg(x{i}) AS m{i}, stddev_pop(x{i}) AS s{i}" for i in range(p))
+    zs = ", ".join(f"(x{i} - m{i}) / {S.std1(f's{i}')} AS z{i}" for i in range(p))
+    su = ", ".join(["CAST(count(*) AS DOUBLE) AS n", "sum(y) AS sy"] + [f"sum(z{i}) AS sx{i}" for i in range(p)]
+                   + [f"sum(z{i} * y) AS xy{i}" for i in range(p)]
+                   + [f"sum(z{i} * z{j}) AS g{i}_{j}" for i in range(p) for j in range(i, p)])
+    g = lambda i, j: f"g{min(i, j)}_{max(i, j)}"
+    co = ", ".join([f"sy / n AS ybar"] + [f"sx{i} / n AS xb{i}" for i in range(p)]
+                   + [f"{g(i, j)} - n * (sx{i} / n) * (sx{j} / n){' + 1.0' if i == j else ''} AS a{i}_{j}"
+                      for i in range(p) for j in range(p)]
+                   + [f"xy{i} - n * (sx{i} / n) * (sy / n) AS b{i}" for i in range(p)])
+    ctes = [
+        f"mi AS (SELECT set_id, {means} FROM cand GROUP BY set_id)",
+        f"ci AS (SELECT set_id, item_id, {ci} FROM cand JOIN mi USING (set_id))",
+        f"cs AS (SELECT set_id, {cs} FROM sd)",
+        f"bo AS (SELECT set_id, {xl}, 0.0 AS y FROM ci UNION ALL SELECT set_id, {xl}, 1.0 AS y FROM cs)",
+        f"st AS (SELECT set_id, {st} FROM bo GROUP BY set_id)",
+        f"zb AS (SELECT set_id, {zs}, y FROM bo JOIN st USING (set_id))",
+        f"su AS (SELECT set_id, {su} FROM zb GROUP BY set_id)",
+        f"e0 AS (SELECT set_id, {co} FROM su)",
+    ]
+    keep = ["ybar"] + [f"xb{i}" for i in range(p)]
+    for k in range(p - 1):
+        cols = list(keep)
+        for i in range(p):
+            for j in range(p):
+                if i > k and j > k:
+                    cols.append(f"a{i}_{j} - a{i}_{k} / a{k}_{k} * a{k}_{j} AS a{i}_{j}")
+                else:
+                    cols.append(f"a{i}_{j}")
+        for i in range(p):
+            cols.append(f"b{i} - a{i}_{k} / a{k}_{k} * b{k} AS b{i}" if i > k else f"b{i}")
+        ctes.append(f"e{k + 1} AS (SELECT set_id, {', '.join(cols)} FROM e{k})")
+    last = f"e{p - 1}"
+    ws = {}
+    for i in reversed(range(p)):
+        rest = " - ".join([f"b{i}"] + [f"a{i}_{j} * ({ws[j]})" for j in range(i + 1, p)])
+        ws[i] = f"({rest}) / a{i}_{i}"
+    wcols = ", ".join(["set_id", "ybar"] + [f"xb{i}" for i in range(p)] + [f"{ws[i]} AS w{i}" for i in range(p)])
+    ctes.append(f"w AS (SELECT {wcols} FROM {last})")
+    icpt = "ybar - (" + " + ".join(f"xb{i} * w{i}" for i in range(p)) + ")"
+    pred = " + ".join([f"({icpt})"] + [f"w{i} * ((x{i} - m{i}) / {S.std1(f's{i}')})" for i in range(p)])
+    ctes.append(f"pr AS (SELECT ci.set_id, ci.item_id, {pred} AS ridge_fitness FROM ci JOIN st USING (set_id) JOIN w USING (set_id))")
+    ctes.append("mm AS (SELECT set_id, min(ridge_fitness) AS lo, max(ridge_fitness) AS hi FROM pr GROUP BY set_id)")
+    return S.base(*ctes) + ("SELECT set_id, item_id, round(ridge_fitness, 6) AS ridge_fitness, round(CASE WHEN hi > lo "
+                            "THEN (ridge_fitness - lo) / (hi - lo) * 100.0 ELSE 50.0 END, 6) AS ridge_score FROM pr JOIN mm USING (set_id)")
+
+
+@register("ridge_score", _ridge_sql(FEATURES))
 def ridge_score(spark, d):
-    """M2 on all six features (checked against a NumPy closed form in the tests)."""
+    """M2 on all six features (oracle: the same normal equations solved by elimination in SQL;
+    also checked against a NumPy closed form in the tests)."""
     cand, sd = candidates(spark, d)
     return out(M.ridge_score(cand, sd, FEATURES), ["set_id", "item_id", "ridge_fitness", "ridge_score"])
 
