@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from seedrank.functions import exprs as X
 from seedrank.functions.params import attach, materialize
 from seedrank.operators import vectors as V
-from seedrank.operators.clean import UNSEEN, impute_mean, impute_zero
+from seedrank.operators.clean import impute_mean, impute_zero
 
 # Fixed values that must equal the reference's behaviour.
 # Metadata-match weights per categorical role (owner, album, label, release date).

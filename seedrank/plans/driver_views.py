@@ -8,7 +8,7 @@
   lines have NULL features).
 * seeds  = the items whose priority is '1-URGENT' and status 'F' (a data predicate, about
   7 % of orders, ~40 per set at sf0.01).
-* tags   = part names split on blanks, owner = part brand.
+* tags   = the part-name words of an order's lines (``order_tags``) or of a part (``part_tags``).
 * vectors = ``embeddings`` rows (64 floats), mean-pooled per order over ``l_suppkey``.
 
 ``ITEMS_SQL`` is the same definition for DuckDB; the oracle queries are built on it.
@@ -68,15 +68,6 @@ def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seed_filter(items(spark, sf_dir))
 
 
-def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(item_id, set_id, owner, tags): per order, the ', '-joined part-name words of its lines
-    in line order; owner = brand of the order's first line. Orders without lines have NULL tags."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
-    return li.join(p, li.l_partkey == p.p_partkey).select(
-        F.col("l_orderkey").alias("item_id"), "l_linenumber", "p_name", "p_brand")
-
-
 def item_vectors(spark: SparkSession, sf_dir: str, dim: int = VEC_DIM) -> DataFrame:
     """(item_id, vec): element-wise mean of the supplier vectors of an order's lines (V3).
     One hash aggregate of ``dim`` averages; no explode, partial aggregation map-side."""
