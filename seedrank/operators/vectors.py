@@ -76,14 +76,21 @@ def minmax_100(df: DataFrame, col: str, out: str, flat: str = "fifty", key: str
                     X.minmax_100(F.col(col), F.col("__lo"), F.col("__hi"), flat).alias(out))
 
 
-def rescale_if_needed(df: DataFrame, col: str, key: str = "set_id") -> DataFrame:
-    """Re-apply V9 only when max > 100, min < 0 or range < 0.01 (flat → 0)."""
-    mm = df.groupBy(key).agg(F.min(col).alias("__lo"), F.max(col).alias("__hi"))
-    j = attach(df, mm, key)
-    lo, hi, x = F.col("__lo"), F.col("__hi"), F.col(col)
-    need = (hi > 100) | (lo < 0) | ((hi - lo) < 0.01)
-    scaled = F.when(hi > lo, (x - lo) / (hi - lo) * F.lit(100.0)).otherwise(F.lit(0.0))
-    return j.select(*[F.when(need, scaled).otherwise(x).alias(c) if c == col else F.col(c) for c in df.columns])
+def rescale_if_needed(df: DataFrame, col: str | Sequence[str], key: str = "set_id") -> DataFrame:
+    """Re-apply V9 to a score only when its per-set max > 100, min < 0 or range < 0.01
+    (flat → 0). Several columns share one aggregate (one pass)."""
+    cols = [col] if isinstance(col, str) else list(col)
+    aggs = []
+    for c in cols:
+        aggs += [F.min(c).alias(f"__lo_{c}"), F.max(c).alias(f"__hi_{c}")]
+    j = attach(df, df.groupBy(key).agg(*aggs), key)
+
+    def fix(c):
+        lo, hi, x = F.col(f"__lo_{c}"), F.col(f"__hi_{c}"), F.col(c)
+        need = (hi > 100) | (lo < 0) | ((hi - lo) < 0.01)
+        scaled = F.when(hi > lo, (x - lo) / (hi - lo) * F.lit(100.0)).otherwise(F.lit(0.0))
+        return F.when(need, scaled).otherwise(x).alias(c)
+    return j.select(*[fix(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def pca_2d(df: DataFrame, features: Sequence[str], id_cols: Sequence[str], min_rows: int = 10) -> DataFrame:

@@ -9,7 +9,8 @@ item table and any number of seed sets (one per ``set_id``).
 Order (as the reference runs it): exclude seen (J3) → cosine (M3) → ridge (M2) → metadata
 match (M7, or the GLM M4) → era adjustment (T1–T7) → clusters (given centroids, or K-means
 with the elbow, M8–M12) → blend (R1, R2) → era factor (T9) → user recency (T10) → quota
-selection (R3–R6). Every step is keyed by ``set_id``; per-set parameters meet the items on that
+selection (R3–R6), with the ridge, GLM and cluster scores re-scaled to 0..100 when needed (V10)
+before the blend. Every step is keyed by ``set_id``; per-set parameters meet the items on that
 key. The scored candidates are written once (a handful of columns) before the selection
 windows read them, so the scoring passes are not re-run under each window.
 """
@@ -52,7 +53,9 @@ def elbow_centers(sz: DataFrame, id_col: str, dim: int, key: str = "set_id") ->
     """M8 + M9: K-means for k = 1..10 on every set, the knee picks k; its centres."""
     centers, cost = K.kmeans_multi(sz, "zvec", id_col, dim, key=key)
     best = K.knee(cost, key)
-    return centers.join(best, key).where(F.col("k") == F.col("optimal_k")).select(key, "idx", "center")
+    chosen = centers.join(best, key).where(F.col("k") == F.col("optimal_k")).select(key, "idx", "center")
+    # ≤ 10 rows per set, read by several later passes: written once so the fit never re-runs
+    return materialize(chosen, "centers")
 
 
 def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, key: str = "set_id",
@@ -69,9 +72,17 @@ def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, ke
     if "ridge" in models:
         sc = M.ridge_score(sc, seeds, features, key)
     if "match" in models:
+        # the GLM's deterministic form: match fraction → per-set 0..100 (range < 0.01 → ·100), NULL → 0
         roles = match_roles or {"owner": owner}
-        sc = M.metadata_match(sc, seeds, roles, key, out="glm_score")
+        sc = M.metadata_match(sc, seeds, roles, key, out="glm_probability")
+        sc = V.minmax_100(sc, "glm_probability", "glm_score", flat="glm", key=key)
+        sc = sc.withColumn("glm_score", F.coalesce(F.col("glm_score"), F.lit(0.0)))
     sc = E.apply_era(sc, E.era_params(seeds, year, key), year, key)
+    # the model scores are written once: clustering, V10, the blend and the selection then
+    # read a narrow table instead of re-running every scoring pass
+    model_cols = [c for c in ("cosine_score", "ridge_score", "glm_score") if c in sc.columns]
+    sc = materialize(sc.select(key, id_col, *features, year, *model_cols, "year_adjustment",
+                               *[c for c in keep if c not in features]), "model_scores")
 
     cz, sz = seed_scaled(sc, seeds, features, key)
     if centers is None:
@@ -79,6 +90,9 @@ def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, ke
     ca = K.assign_clusters(cz, centers, "zvec", key)
     sa = K.assign_clusters(sz, centers, "zvec", key)
     ca = K.cluster_score(ca, sa, "cluster", key)
+    to_fix = [c for c in ("ridge_score", "glm_score", "cluster_score") if c in ca.columns]
+    if to_fix:  # V10 before blending, one pass for all scores
+        ca = V.rescale_if_needed(ca, to_fix, key)
 
     w = weights or R.DEFAULT_WEIGHTS
     ca = R.base_score(ca, w)

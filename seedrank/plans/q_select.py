@@ -163,3 +163,18 @@ def feature_profile(spark, d):
     cand, sd = candidates(spark, d)
     feats = rec.select("set_id", "item_id", "base_score").join(cand.select("item_id", *FEATURES), "item_id")
     return out(A.feature_profile(sd, feats, FEATURES), ["set_id", "series", "feature", "value"])
+
+
+# ------------------------------------------------------------------ R10, the reference's default flow
+
+@register("recommend_full")
+def recommend_full(spark, d):
+    """R10 with every model the reference runs by default: cosine (M3), ridge (M2), metadata
+    match (M7, the GLM's deterministic form), era adjustment, K-means with the elbow rule
+    (M8–M12), default blend weights renormalised over the scores present, quota selection of
+    100 per set."""
+    it, sd = base_tables(spark, d)
+    r = P.recommend(it, sd, FEATURES, models=("cosine", "ridge", "match"),
+                    match_roles={"owner": "owner", "album": "album", "label": "label"})
+    cols = ["set_id", "rank", "item_id", "cluster", "cosine_score", "ridge_score", "glm_score", "cluster_score", "base_score"]
+    return out(r.recs.withColumn("rank", F.col("rank").cast("int")), cols)
