@@ -46,9 +46,11 @@ def top_bits(n: int) -> Callable[[np.ndarray], np.ndarray]:
     return lambda h: ((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
-def requests(docs: DataFrame, items: Callable, buckets: Callable[[], tuple[Callable, int]], limit: int = 0) -> DataFrame:
+def requests(docs: DataFrame, items: Callable, buckets: Callable[[], tuple[Callable, int]], limit: int = 0, tell: bool = False) -> DataFrame:
     """Packed rows of ``docs`` (k, rid, text, ...). ``items(rows, data, offs)`` gives the hashes of a
-    chunk, their positions (below 2^32), and the position at which each document begins."""
+    chunk, their positions (below 2^32), and the position at which each document begins. With
+    ``tell``, a hash that repeats in its chunk also carries its first position and its number, and
+    marked positions the first position of their hash, so that the bucket can answer for all."""
     def run(batches):
         bucket_of, n = buckets()
         part, number = TaskContext.get().partitionId(), 0
@@ -65,13 +67,16 @@ def requests(docs: DataFrame, items: Callable, buckets: Callable[[], tuple[Calla
             head = np.concatenate(([True], ~same))
             out = [(chunk % n, chunk, DOCS, rows.column(0).to_numpy().tobytes(), rows.column(1).to_numpy().tobytes(), base.astype(np.int64).tobytes())]
             if many.any():
-                out.append((chunk % n, chunk, MARKED, planes(np.sort(pos[many]), 4), b"", b""))
+                lead = np.flatnonzero(head)[np.cumsum(head) - 1][many]
+                out.append((chunk % n, chunk, MARKED, planes(pos[many], 4), planes(pos[lead], 4) if tell else b"", b""))
+            number_of = np.diff(np.append(np.flatnonzero(head), len(h)))[np.cumsum(head) - 1] if tell else None
             for kind, pick in ((ASK, ~many), (KNOWN, many & head)):
                 hs, ps = h[pick], pos[pick]
+                ns = number_of[pick] if tell else None
                 b = bucket_of(hs).astype(np.int64)
                 cut = np.concatenate(([0], np.flatnonzero(b[1:] != b[:-1]) + 1, [len(b)])) if len(b) else np.zeros(1, np.int64)
                 for x, y in zip(cut[:-1], cut[1:]):
-                    out.append((int(b[x]), chunk, kind, planes(hs[x:y], 8), planes(ps[x:y], 4) if kind == ASK else b"", b""))
+                    out.append((int(b[x]), chunk, kind, planes(hs[x:y], 8), planes(ps[x:y], 4) if kind == ASK or tell else b"", planes(ns[x:y], 4) if kind == KNOWN and tell else b""))
             cols = list(zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int8()), *(pa.array(c, pa.binary()) for c in cols[3:])],
@@ -80,7 +85,7 @@ def requests(docs: DataFrame, items: Callable, buckets: Callable[[], tuple[Calla
     return docs.mapInArrow(run, SCHEMA)
 
 
-def repeated(chunk: np.ndarray, kind: np.ndarray, a: list, b: list) -> list[tuple[int, bytes]]:
+def repeated(chunk: np.ndarray, kind: np.ndarray, a: list, b: list, c: list | None = None) -> list[tuple[int, bytes]]:
     """Of one bucket: (chunk, positions) of the hashes that occur at least twice."""
     at = [i for i in range(len(a)) if kind[i] in (ASK, KNOWN)]
     if not at:
@@ -113,7 +118,7 @@ def answers(packed: DataFrame, find: Callable = repeated) -> DataFrame:
         kind = pdf["kind"].to_numpy()
         a, b, c = pdf["a"].tolist(), pdf["b"].tolist(), pdf["c"].tolist()
         out = [(int(pdf["chunk"].iloc[i]), int(kind[i]), a[i], b[i], c[i]) for i in np.flatnonzero(kind >= MARKED)]
-        out += [(chunk, MARKED, pos, b"", b"") for chunk, pos in find(pdf["chunk"].to_numpy(), kind, a, b)]
+        out += [(chunk, MARKED, pos, b"", b"") for chunk, pos in find(pdf["chunk"].to_numpy(), kind, a, b, c)]
         return pd.DataFrame(out, columns=["chunk", "kind", "a", "b", "c"])
 
     return packed.groupBy("bucket").applyInPandas(run, "chunk long, kind byte, a binary, b binary, c binary")

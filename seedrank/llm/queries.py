@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seedrank.llm import decontam, exact_stream, langid, packing, quality, simhash, substring, url_filter
+from seedrank.llm import decontam, exact_stream, langid, lm_score, packing, quality, simhash, substring, suffix_dedup, url_filter
 from seedrank.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,11 +34,21 @@ def op2_language_id(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(read(spark, d, "documents"))
 
 
+@register
+def op3_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_dedup.digests(read(spark, d, "documents"))
+
+
 @register
 def op4_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substring.digests(read(spark, d, "documents"))
 
 
+@register
+def op5_lm_score(spark: SparkSession, d: str) -> DataFrame:
+    return lm_score.score(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 @register
 def op6_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(read(spark, d, "documents"), tokenizer_path())

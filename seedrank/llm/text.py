@@ -147,12 +147,13 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(out)
 
 
-def covered(starts: np.ndarray, length: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs of the union of [start, start + length), starts ascending."""
+def covered(starts: np.ndarray, length: int | np.ndarray, touching: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of the union of [start, start + length), starts ascending; spans that only touch
+    are one run if ``touching``."""
     if not len(starts):
         return starts, starts
     end = np.maximum.accumulate(starts + length)
-    cut = np.flatnonzero(starts[1:] > end[:-1]) + 1
+    cut = np.flatnonzero(starts[1:] > end[:-1] if touching else starts[1:] >= end[:-1]) + 1
     return starts[np.concatenate(([0], cut))], end[np.concatenate((cut - 1, [len(starts) - 1]))]
 
 
