@@ -28,7 +28,11 @@ from pyspark.sql import types as ty
 
 from seedrank.llm.tables import Staged
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: state in RocksDB; many small stores should not reserve disk ahead
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -52,8 +56,9 @@ def _best(points: str, ident: str, row: str, locator: str) -> Column:
 def _run_stream(records: DataFrame, stage: Staged, batch_bytes: int) -> DataFrame:
     """Stream the digest records through the keyed state; (digest, best, n), the last per digest."""
     spark = records.sparkSession
-    before = {k: spark.conf.get(k, None) for k in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.forceDeleteTempCheckpointLocation")}
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     out = stage.path("updates")
     try:
         source = (spark.readStream.schema(records.schema).option("maxBytesPerTrigger", str(batch_bytes))
