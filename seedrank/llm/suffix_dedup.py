@@ -46,6 +46,8 @@ HOT = 2_000
 #: leading bytes that splitters compare, and sampled suffixes per bucket
 TOKEN = 32
 SAMPLES = 64
+#: input bytes per bucket; a bucket's sort needs about 30 bytes per byte of its records
+BUCKET_BYTES = 2 << 20
 
 #: further kinds of packed rows: records of runs, and strings of hot anchors
 RUNS = 4
@@ -355,7 +357,7 @@ def per_document_spans(answered: DataFrame) -> DataFrame:
 
 def removal_spans(rows: DataFrame, stage: Staged, length: int = LENGTH, lead: int = LEAD, hot: int = HOT) -> DataFrame:
     """(k, rid, spans) of keyed rows."""
-    n = n_buckets(rows)
+    n = n_buckets(rows, BUCKET_BYTES)
     packed = X.requests(rows.select("k", "rid", "text"), anchor_items(length, lead), lambda: (X.top_bits(n), n), tell=True)
     anchors = stage.write(per_document_anchors(X.answers(packed, find_anchors(hot))), "anchors").distinct()
     splitters = sample_splitters(rows, n, length, lead)
