@@ -34,7 +34,13 @@ from seedrank.llm.tables import Staged, keyed, n_buckets
 ALPHA = 0.1
 VOCABULARY = 1 << 16
 HEAVY = 8
-KEY_BYTES = 7
+#: n-grams are known by this many bytes of their hash: the vocabulary of n-grams has 2^48 places
+KEY_BYTES = 6
+#: input bytes per bucket, and entries that a bucket counts at once (its keys are cut into ranges)
+BUCKET_BYTES = 4 << 20
+AT_ONCE = 400_000
+#: target ids up to this number are broadcast (16 MB); beyond it they are joined by a shuffle
+BROADCAST_ROWS = 1_000_000
 
 #: packed rows: entries with documents; summed entries; documents of summed entries; the documents; answers
 ENTRY, SUMMED, LISTS, DOCS, SUMS, COUNTS = 0, 1, 2, 3, 4, 5
@@ -116,28 +122,41 @@ def score_bucket(ratio: float):
         a, b, c = pdf["a"].tolist(), pdf["b"].tolist(), pdf["c"].tolist()
         out = [(int(chunk[i]), int(kind[i]), a[i], b[i], c[i]) for i in np.flatnonzero((kind == LISTS) | (kind == DOCS))]
         single, summed = np.flatnonzero(kind == ENTRY), np.flatnonzero(kind == SUMMED)
-        if len(single) + len(summed):
-            keys = [unplane(a[i], KEY_BYTES) for i in (*single, *summed)]
-            x = [unplane(b[i], 4).astype(np.int64) for i in (*single, *summed)]
-            y = [unplane(c[i], 4).astype(np.int64) for i in (*single, *summed)]
-            size = [len(k) for k in keys]
-            m = int(sum(size[: len(single)]))
-            key, x, y = np.concatenate(keys), np.concatenate(x), np.concatenate(y)
+        every = [*single.tolist(), *summed.tolist()]
+        keys = [unplane(a[i], KEY_BYTES) for i in every]
+        x = [unplane(b[i], 4).astype(np.int32) for i in every]
+        y = [unplane(c[i], 4).astype(np.int32) for i in every]
+        m, total = len(single), sum(map(len, keys))
+        sums = [np.zeros(int(v.max()) // 2 + 1) for v in x[:m]]
+        counts = [[] for _ in summed]
+        low, high = min((int(k[0]) for k in keys), default=0), max((int(k[-1]) for k in keys), default=0)
+        parts = max(1, total // AT_ONCE)
+        edges = [low + (high + 1 - low) * i // parts for i in range(1, parts)]
+        cuts = [np.concatenate(([0], np.searchsorted(k, np.array(edges, np.uint64)), [len(k)])) for k in keys]
+        for p in range(parts if total else 0):
+            at = [slice(cut[p], cut[p + 1]) for cut in cuts]
+            size = [s.stop - s.start for s in at]
+            key, xs, ys = (np.concatenate([v[s] for v, s in zip(vs, at)]) for vs in (keys, x, y))
             u, inv = np.unique(key, return_inverse=True)
-            good, tf = x[:m] & 1, y[:m]
-            background = np.bincount(inv, weights=np.concatenate([tf, x[m:]]), minlength=len(u))
-            target = np.bincount(inv, weights=np.concatenate([tf * good, y[m:]]), minlength=len(u))
-            term = tf * loss_term(key[:m], target[inv[:m]] - tf * good, background[inv[:m]] - tf, ratio)
-            doc, lo = x[:m] >> 1, 0
-            for i, n in zip(single.tolist(), size):
-                s = np.bincount(doc[lo:lo + n], weights=term[lo:lo + n])
-                have = np.unique(doc[lo:lo + n])
-                out.append((int(chunk[i]), SUMS, planes(have, 4), s[have].tobytes(), b""))
-                lo += n
-            for i, n in zip(summed.tolist(), size[len(single):]):
-                j = inv[lo:lo + n]
-                out.append((int(chunk[i]), COUNTS, a[i], target[j].tobytes(), background[j].tobytes()))
-                lo += n
+            n = int(sum(size[:m]))
+            good, tf = xs[:n] & 1, ys[:n].astype(np.float64)
+            background = np.bincount(inv, weights=np.concatenate([tf, xs[n:]]), minlength=len(u))
+            target = np.bincount(inv, weights=np.concatenate([tf * good, ys[n:]]), minlength=len(u))
+            term = tf * loss_term(key[:n], target[inv[:n]] - tf * good, background[inv[:n]] - tf, ratio)
+            doc, lo = xs[:n] >> 1, 0
+            for j, w in enumerate(size):
+                if j < m:
+                    sums[j] += np.bincount(doc[lo:lo + w], weights=term[lo:lo + w], minlength=len(sums[j]))
+                elif w:
+                    counts[j - m].append((target[inv[lo:lo + w]], background[inv[lo:lo + w]]))
+                lo += w
+        for j, i in enumerate(every):
+            if j < m:
+                have = np.unique(x[j] >> 1)
+                out.append((int(chunk[i]), SUMS, planes(have, 4), sums[j][have].astype(np.float32).tobytes(), b""))
+            else:
+                t, g = (np.concatenate(v) for v in zip(*counts[j - m]))
+                out.append((int(chunk[i]), COUNTS, a[i], t.tobytes(), g.tobytes()))
         return pd.DataFrame(out, columns=["chunk", "kind", "a", "b", "c"])
     return run
 
@@ -152,7 +171,7 @@ def score_chunk(ratio: float):
         total = np.zeros(len(k))
         parts = sorted((a, b) for a, b in zip(at[SUMS]["a"], at[SUMS]["b"]))  # one order of addition
         for a, b in parts:
-            total[unplane(a, 4).astype(np.int64)] += np.frombuffer(b)
+            total[unplane(a, 4).astype(np.int64)] += np.frombuffer(b, np.float32)
         if len(at[LISTS]):
             lists = at[LISTS].iloc[0]
             key, doc, tf = unplane(lists["a"], KEY_BYTES), unplane(lists["b"], 4).astype(np.int64), unplane(lists["c"], 4).astype(np.int64)
@@ -170,8 +189,10 @@ def cross_entropy_difference(docs: DataFrame, ratings: DataFrame, id_col: str =
     """(doc_id, n_tokens, score, keep); ``ratings`` is (doc_id, good boolean); keep: score below 0."""
     stage = Staged(docs.sparkSession, "lm")
     good = ratings.filter("good AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(True))
+    good = stage.write(good, "target")
+    good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good
     rows = keyed(docs, id_col=id_col, text_col=text_col)
-    n = n_buckets(rows)
+    n = n_buckets(rows, BUCKET_BYTES)
     joined = rows.join(good, "doc_id", "left").select("k", "rid", "text", F.coalesce("target", F.lit(False)).alias("target"))
     sizes = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text_col).alias("n")).join(good, "doc_id", "left").agg(
         F.sum(F.when(F.col("target"), F.col("n"))).alias("t"), F.sum("n").alias("b")).first()
