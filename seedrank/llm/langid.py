@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as ty
 
 from seedrank.llm import text as T
 from seedrank.llm.tables import ship
@@ -158,17 +159,19 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE, windows: int = W
     return ByteCNN(labels).fit(x, np.array([labels.index(v) for v in lang]), epochs)
 
 
-def predict(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
-    """``docs`` (doc_id, text, letters boolean, and more) with ``lang_pred`` and ``score``."""
+def predict(docs: DataFrame, model: ByteCNN | None, keep_text: bool = False, letters: str = "letters",
+            out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` (text, the boolean ``letters``, and more) with the two ``out`` columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
+    passed = [c for c in names if c != letters and (keep_text or c != "text")]
 
     def run(batches):
         model = shared.value
         tables = model.tables() if model else None
         for rows, data, offs in T.chunks(batches, "text"):
             n = rows.num_rows
-            known = np.array(rows.column(names.index("letters")).to_pylist(), bool) if n else np.zeros(0, bool)
+            known = np.array(rows.column(names.index(letters)).to_pylist(), bool) if n else np.zeros(0, bool)
             pred, score = np.full(n, "und", object), np.zeros(n)
             if model:
                 size = np.diff(offs) * known
@@ -186,12 +189,11 @@ def predict(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
                 best = total.argmax(axis=1)
                 pred[some] = np.array(model.labels, object)[best[some]]
                 score[some] = np.clip(total[some, best[some]], 0, 1)
-            kept = [rows.column(i) for i, c in enumerate(names) if c not in ("text", "letters")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(pred.tolist(), pa.string()), pa.array(score, pa.float64())],
-                                             names=[*(c for c in names if c not in ("text", "letters")), "lang_pred", "score"])
+            kept = [rows.column(names.index(c)) for c in passed]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(pred.tolist(), pa.string()), pa.array(score, pa.float64())], names=[*passed, *out])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("text", "letters"))
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    schema = ty.StructType([docs.schema[c] for c in passed]).add(out[0], "string").add(out[1], "double")
+    return docs.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> DataFrame:
@@ -210,5 +212,6 @@ def keep_identified(docs: DataFrame, min_score: float = 0.3, **how) -> DataFrame
     ship(docs.sparkSession)
     rest = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
     model = train(docs.select("doc_id", "text", "lang"), rest != 2, **how)
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
-    return predict(packed, model).filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("row.*")
+    known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    judged = predict(docs.withColumn("_li_letters", known), model, True, "_li_letters", ("_li_lang", "_li_score"))
+    return judged.filter((F.col("_li_lang") != "und") & (F.col("_li_score") >= min_score)).select(*docs.columns)

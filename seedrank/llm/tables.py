@@ -15,10 +15,15 @@ from seedrank.session import ensure_checkpoint_dir
 
 
 _SHIPPED: set[str] = set()
+#: bytes of an Arrow batch sent to a Python worker
+BATCH_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the package to the executors' Python workers (once per application)."""
+    """Give the package to the executors' Python workers (once per application), and bound the
+    Arrow batches that they get by bytes: texts may be long."""
+    if "spark.sql.execution.arrow.maxBytesPerBatch" not in dict(spark.sparkContext.getConf().getAll()):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
