@@ -33,9 +33,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group stays: the one with the group's smallest doc_id."""
     classes = simhash.near_duplicates(docs)
-    stay = classes.filter("doc_id = component_id OR doc_id IS NULL AND component_id IS NULL").select("doc_id").distinct()
-    stay = Staged(spark, "near").write(stay, "stay")
-    return docs.join(stay.withColumnRenamed("doc_id", "_stay"), F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    gone = classes.filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = Staged(spark, "near").write(gone, "gone")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
