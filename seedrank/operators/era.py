@@ -86,9 +86,11 @@ def adjustment_bin(adj: Column) -> tuple[Column, Column]:
 def apply_era(items: DataFrame, params: DataFrame, year: str = "release_year", key: str = "set_id",
               current_year: int = CURRENT_YEAR, with_score: bool = True) -> DataFrame:
     """T1 + T3 + T4 + T5 (+ T6, T7): adds year_distance, year_penalty, recency_bonus,
-    year_adjustment, year_score, adj_bin_ord, adj_bin."""
+    year_adjustment, year_score, adj_bin_ord, adj_bin. A set without a dated seed has no parameters:
+    its items keep their scores (adjustment 0)."""
     p = params.select(key, "avg_year", "era_class", "max_dist", "max_pen")
-    j = attach(items, p, key)
+    j = attach(items, p, key, how="left")
+    undated = F.col("avg_year").isNull()
     y = F.col(year)
     dist = F.abs(y - F.col("avg_year"))
     pen = clip(dist / F.col("max_dist") * F.col("max_pen"), 0.0, F.col("max_pen"))
@@ -97,7 +99,7 @@ def apply_era(items: DataFrame, params: DataFrame, year: str = "release_year", k
          .withColumn("year_penalty", pen.cast("double"))
          .withColumn("recency_bonus", bonus.cast("double")))
     adj = clip(F.col("year_penalty") - F.col("recency_bonus"), ADJ_MIN, F.col("max_pen"))
-    j = j.withColumn("year_adjustment", adj)
+    j = j.withColumn("year_adjustment", F.when(undated, F.lit(0.0)).otherwise(adj))
     ordinal, label = adjustment_bin(F.col("year_adjustment"))
     j = j.withColumn("adj_bin_ord", ordinal).withColumn("adj_bin", label)
     keep = [*items.columns, "year_distance", "year_penalty", "recency_bonus", "year_adjustment", "adj_bin_ord", "adj_bin"]

@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's behaviour.
@@ -22,21 +22,25 @@ EMBED_DIM = 16
 EMBED_WINDOW = 5
 DRAW_BUCKETS = 32
 # Positioned element on the map page: name, link, left px, top px.
-POSITIONED_PATTERN = (r'<div[^>]*class="genre"[^>]*style="[^"]*left:\s*(-?[\d.]+)px;\s*top:\s*(-?[\d.]+)px[^"]*"[^>]*>'
-                      r'([^<]*)<a[^>]*href="([^"]*)"')
+POSITIONED_PATTERN = (r'(?is)<div\b([^>]*)>([^<]*)<a\b([^>]*)>')
 LINK_PATTERN = r'<a href="([^"]*)">([^<]*)</a>'
 
 
 def extract_positions(pages: DataFrame, html: str = "html", id_col: str = "page_id") -> DataFrame:
     """G1: (page, pos, name, link, left, top) for every positioned element of every page."""
-    p = POSITIONED_PATTERN
-    arr = F.arrays_zip(F.regexp_extract_all(html, F.lit(p), 3).alias("name"),
-                       F.regexp_extract_all(html, F.lit(p), 4).alias("link"),
-                       F.regexp_extract_all(html, F.lit(p), 1).alias("left"),
-                       F.regexp_extract_all(html, F.lit(p), 2).alias("top"))
-    ex = pages.select(id_col, F.posexplode(arr).alias("pos", "e"))
-    return ex.select(id_col, "pos", F.trim("e.name").alias("name"), "e.link",
-                     F.col("e.left").try_cast("double").alias("left"), F.col("e.top").try_cast("double").alias("top"))
+    tag, text, anchor = (F.regexp_extract_all(html, F.lit(POSITIONED_PATTERN), k) for k in (1, 2, 3))
+    ex = pages.select(id_col, F.posexplode(F.arrays_zip(tag.alias("tag"), text.alias("name"), anchor.alias("anchor"))).alias("pos", "e"))
+
+    def attribute(source: str, name: str):
+        value = r"""(?i)(?:^|\s)""" + name + r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+        return F.concat(*(F.regexp_extract(source, value, k) for k in (1, 2, 3)))
+
+    style = attribute("e.tag", "style")
+    side = lambda s: F.regexp_extract(style, r"(?i)(?:^|[;\s])" + s + r"\s*:\s*(-?[\d.]+)\s*px", 1).try_cast("double")
+    found = ex.filter(F.array_contains(F.split(F.trim(attribute("e.tag", "class")), r"\s+"), "genre"))
+    w = Window.partitionBy(id_col).orderBy("pos")
+    return found.select(id_col, (F.row_number().over(w) - 1).alias("pos"), F.trim("e.name").alias("name"),
+                        attribute("e.anchor", "href").alias("link"), side("left").alias("left"), side("top").alias("top"))
 
 
 def extract_links(pages: DataFrame, html: str = "html", id_col: str = "page_id") -> DataFrame:
@@ -84,7 +88,6 @@ def random_walks(nodes: DataFrame, edges: DataFrame, length: int = WALK_LENGTH,
     (first-order, as node2vec with p = q = 1). Dead ends stop the walk."""
     both = edges.select("src", "dst", "weight").unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
-    from pyspark.sql import Window
     w = Window.partitionBy("src").orderBy("dst").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     tot = both.groupBy("src").agg(F.sum("weight").alias("__tot"))
     cum = (both.withColumn("__hi", F.sum("weight").over(w)).join(tot, "src")

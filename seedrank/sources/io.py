@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
 
 
-def read_items(spark: SparkSession, path: str | Sequence[str], schema: str | None = None) -> DataFrame:
+def read_items(spark: SparkSession, path: str | Sequence[str], schema: str | None = None, sep: str = ",") -> DataFrame:
     """Catalogue CSV with a header, quoted commas, doubled quotes and newlines inside
     quoted cells (multiLine). Only a blank cell is NULL: 'NA' stays text."""
-    r = spark.read.options(**CSV_OPTIONS)
+    r = spark.read.options(**CSV_OPTIONS).option("sep", sep)
     r = r.schema(schema) if schema else r.option("inferSchema", "false")
     return r.csv(path if isinstance(path, str) else list(path))
 
@@ -33,17 +33,17 @@ def _header(spark: SparkSession, path: str) -> str:
 
 
 def merge_sources(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """S3: union CSV files by column name; files of the same header are read in one scan;
-    tab-separated header-only files (no comma in the header) are skipped."""
+    """S3: union CSV files by column name; files of the same header are read in one scan. A header
+    with tabs and no comma is tab-separated. Empty files are skipped."""
     groups: dict[str, list[str]] = {}
     for f in files:
         h = _header(spark, f)
-        if not h or ("," not in h and "\t" in h):
+        if not h:
             continue
         groups.setdefault(h, []).append(f)
     out = None
-    for fs in groups.values():
-        df = read_items(spark, fs).withColumn("source_file", F.col("_metadata.file_name"))
+    for header, fs in groups.items():
+        df = read_items(spark, fs, sep="\t" if "\t" in header and "," not in header else ",").withColumn("source_file", F.col("_metadata.file_name"))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
 

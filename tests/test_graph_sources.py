@@ -101,3 +101,28 @@ def test_writers_round_trip(spark):
     lk = spark.createDataFrame([("pop", [1.0, 2.0])], "tag string, vec array<double>")
     IO.write_vector_lookup(lk, os.path.join(d, "lk"))
     assert [tuple(r) for r in spark.read.json(os.path.join(d, "lk")).select("tag", "vec").collect()] == [("pop", [1.0, 2.0])]
+
+
+def test_positions_take_any_element_form(spark):
+    html = ("<div class='x genre big' style='top: 5px; color:red; left: 7.5px' id=a>one<a href=/a>&raquo;</a></div>"
+            '<div style="left: 1px; top: 2px" class="genre">two<a class="n" href="/b"></a></div>'
+            '<div class="genres" style="left: 1px; top: 2px">no<a href="/c"></a></div>'
+            '<div id=3 class=genre style="top:9px;left:8px">three <a href=\'/d\'></a></div>')
+    pages = spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")
+    got = [tuple(r) for r in G.extract_positions(pages).orderBy("pos").collect()]
+    assert got == [(1, 0, "one", "/a", 7.5, 5.0), (1, 1, "two", "/b", 1.0, 2.0), (1, 2, "three", "/d", 8.0, 9.0)]
+
+
+def test_tab_separated_rows_are_merged(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('n,v\nx,"1,5"\n')
+    (tmp_path / "b.csv").write_text("n\tv\ny\t2\nz\t3\n")
+    m = IO.merge_sources(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    assert sorted((r.n, r.v) for r in m.collect()) == [("x", "1,5"), ("y", "2"), ("z", "3")]
+
+
+def test_undated_set_keeps_its_items(spark):
+    from seedrank.operators import era as E
+    items = spark.createDataFrame([(1, 10, 2000), (2, 20, 2001)], "set_id long, item_id long, release_year int")
+    params = E.era_params(spark.createDataFrame([(1, 1999), (2, None)], "set_id long, release_year int"))
+    got = {r.item_id: r.year_adjustment for r in E.apply_era(items, params).collect()}
+    assert got[20] == 0.0 and set(got) == {10, 20}
