@@ -2,29 +2,47 @@
 
 Every model in the library reduces the item table to *parameters*: one row per ``set_id``
 (centroids, means, population std, min/max of a score, era constants). Those frames are
-joined back on ``set_id``. They are broadcast only after their row count has been checked
-against ``MAX_BROADCAST_ROWS``; above it the join stays a shuffle join on ``set_id`` and AQE's
-skew-join splitting handles a hot set. The count is taken on a persisted frame so the check
-does not recompute it.
+joined back on ``set_id``. They are broadcast only where the number of sets has been counted on
+the data at hand (``count_key_bound`` inside a ``bound_scope``) and that many rows of the frame's
+schema stay under ``MAX_BROADCAST_BYTES``; otherwise the join carries no hint and AQE decides
+from measured sizes (and splits a hot set). A bound ends with its scope, so no plan depends on
+what ran before.
 """
 
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seedrank.session import ensure_checkpoint_dir
 
-# one row per seed set, a few dozen doubles wide: 50k rows stay well under 64 MB
-MAX_BROADCAST_ROWS = 50_000
+MAX_BROADCAST_BYTES = 64 << 20
+# Assumed widths for the size check: a scalar, a text, and the entries of an array or map
+# (the widest parameter is a 70-d vector; packed centres hold at most 10 of them).
+SCALAR_BYTES, TEXT_BYTES, ARRAY_ITEMS = 16, 64, 128
 
+# counted distinct values per key column, for the query being built (None: no scope is open)
+_BOUNDS: ContextVar[dict[str, int] | None] = ContextVar("bounds", default=None)
+# tables written by ``materialize``, per application, for ``drop_written``
+_WRITTEN: dict[str, list[str]] = {}
 
-# Distinct-value counts of key columns, declared by the pipeline from the data it runs on
-# (``count_key_bound``). A parameter frame with one row per value of such a key has at most
-# that many rows, so it can be broadcast without counting it again.
-_KEY_BOUNDS: dict[str, int] = {}
+
+@contextmanager
+def bound_scope():
+    """Bounds declared inside hold until the block ends; an open scope is shared."""
+    if _BOUNDS.get() is not None:
+        yield
+        return
+    token = _BOUNDS.set({})
+    try:
+        yield
+    finally:
+        _BOUNDS.reset(token)
 
 
 def count_key_bound(df: DataFrame, key: str = "set_id") -> int:
@@ -35,29 +53,43 @@ def count_key_bound(df: DataFrame, key: str = "set_id") -> int:
 
 
 def declare_key_bound(key: str, n: int) -> None:
-    """Declare a counted distinct-value bound of ``key`` for the data now being processed."""
-    _KEY_BOUNDS[key] = n
+    """Declare a counted distinct-value bound of ``key`` for the open scope (without one: no effect)."""
+    bounds = _BOUNDS.get()
+    if bounds is not None:
+        bounds[key] = max(n, bounds.get(key, 0))
+
+
+def key_bound(key: str) -> int | None:
+    return (_BOUNDS.get() or {}).get(key)
+
+
+def row_bytes(dt: T.DataType) -> int:
+    """Assumed bytes of one value of a type."""
+    if isinstance(dt, T.StructType):
+        return sum(row_bytes(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return ARRAY_ITEMS * row_bytes(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return ARRAY_ITEMS * (row_bytes(dt.keyType) + row_bytes(dt.valueType))
+    return TEXT_BYTES if isinstance(dt, (T.StringType, T.BinaryType)) else SCALAR_BYTES
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hinted ``df`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    df = df.persist()
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` written once, broadcast-hinted if its rows stay under ``max_bytes``."""
+    df = materialize(df, "bounded")
+    n = df.count()  # read from the file footers
+    return F.broadcast(df) if n * row_bytes(df.schema) <= max_bytes else df
 
 
 def attach(items: DataFrame, params: DataFrame, on: str | list[str] = "set_id", how: str = "inner",
-           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join parameters onto items (J8): an equi-join on the set key, never a cross join.
-
-    ``params`` must hold one row per value of ``on``. For a single key whose distinct count
-    the pipeline declared (``count_key_bound``) that count bounds the frame, so it is broadcast
-    directly when under ``max_rows``; otherwise the frame is counted (``bounded_broadcast``)."""
+    ``params`` must hold one row per value of ``on``."""
     keys = [on] if isinstance(on, str) else list(on)
-    bound = _KEY_BOUNDS.get(keys[0]) if len(keys) == 1 else None
-    if bound is not None and bound <= max_rows:
-        return items.join(F.broadcast(params), on=on, how=how)
-    return items.join(bounded_broadcast(params, max_rows), on=on, how=how)
+    bound = key_bound(keys[0]) if len(keys) == 1 else None
+    if bound is not None and bound * row_bytes(params.schema) <= max_bytes:
+        params = F.broadcast(params)
+    return items.join(params, on=on, how=how)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -66,9 +98,26 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     Cuts lineage (a lost executor re-reads files instead of recomputing joins) and gives the
     later passes a columnar, prunable input. The folder is the cluster's shared
     ``spark.checkpoint.dir``; a private one is only created when none is configured.
+    ``drop_written`` removes the tables at the end of a run.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/seedrank-{name}-{uuid.uuid4().hex}"
+    return spark.read.parquet(write_once(df, name))
+
+
+def write_once(df: DataFrame, name: str) -> str:
+    """The folder ``df`` was written to."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/seedrank-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_written(spark: SparkSession) -> int:
+    """Remove every table this application wrote (call it when its results have been read)."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

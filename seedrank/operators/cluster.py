@@ -5,27 +5,25 @@
   (squared distance, index) structs picks the nearest — no items × k join.
 * K-means (M8) runs Lloyd iterations as DataFrame steps keyed by ``(set_id, k)``: every set
   and every k = 1..10 is fitted in the same jobs, over the seed rows only (the small side).
-  Lineage is cut with ``checkpoint()`` every few rounds (reliable, in the shared checkpoint
-  folder).
-* The knee (M9) is a scan over ≤ 10 points per set, done by ``applyInPandas`` on the WCSS
-  frame (10 rows per group), never on items.
+  The points are written once, lineage is cut with ``checkpoint()`` every few rounds (reliable,
+  in the shared checkpoint folder), and a fit stops when its centres do.
+* The knee (M9) is a window over the WCSS frame (≤ 10 rows per set), never over items.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seedrank.functions.params import attach
+from seedrank.functions.params import attach, materialize
 from seedrank.session import ensure_checkpoint_dir
 
 K_RANGE = range(1, 11)
 DEFAULT_K = 4
-KMEANS_ITERATIONS = 20
+KMEANS_MAX_ROUNDS = 300
+KMEANS_TOL = 1e-12
 KNEE_S = 1.0
 
 
@@ -80,96 +78,99 @@ def cluster_score(items: DataFrame, seeds: DataFrame, cluster: str = "cluster",
 # ---------------------------------------------------------------- K-means (M8) and knee (M9)
 
 def kmeans_multi(points: DataFrame, x: str, id_col: str, dim: int, ks: Sequence[int] = K_RANGE,
-                 key: str = "set_id", iterations: int = KMEANS_ITERATIONS,
-                 checkpoint_every: int = 5) -> tuple[DataFrame, DataFrame]:
+                 key: str = "set_id", max_rounds: int = KMEANS_MAX_ROUNDS, tol: float = KMEANS_TOL,
+                 rounds_per_check: int = 5) -> tuple[DataFrame, DataFrame]:
     """Lloyd's algorithm for every (set, k) at once over the seed ``points`` (``x`` is an
-    array<double> of length ``dim``).
+    array<double> of length ``dim``; ids of any orderable type).
 
     Start: farthest-first traversal from the first point in hash order (deterministic, so
     runs and retries are reproducible). With fewer distinct points than k, duplicate starts
-    leave empty clusters that drop out, so fewer than k centres remain (as in MLlib). Update = per-dimension ``avg`` per (set, k, cluster): a partial
-    aggregate, so a cluster holding most points is never collected into one task.
-    Returns (centers(key, k, idx, center), cost(key, k, wcss))."""
-    ensure_checkpoint_dir(points.sparkSession)
-    kmax = max(ks)
+    leave empty clusters that drop out, so fewer than k centres remain (as in MLlib). Update =
+    per-dimension ``avg`` per (set, k, cluster): a partial aggregate, so a cluster holding most
+    points is never collected into one task. A fit ends when no centre moves further than
+    ``tol`` (squared distance); the fits still moving go on, ``rounds_per_check`` rounds to a
+    checkpoint, and ``max_rounds`` only bounds a fit that never settles.
+    Returns (centers(key, k, idx, center), cost(key, k, wcss, converged))."""
+    spark = points.sparkSession
+    ensure_checkpoint_dir(spark)
     k_arr = F.array(*[F.lit(int(k)) for k in ks])
-    pts = points.select(key, id_col, F.col(x).alias("__x"))
-    # farthest-first start: the first point in hash order, then repeatedly the point farthest
-    # from the centres chosen so far (ties by hash). The start for k is the first k of that
-    # order, so one sequence of kmax − 1 small per-set aggregates serves every k.
-    h = F.xxhash64(id_col)
-    first = pts.groupBy(key).agg(F.min_by("__x", F.struct(h, F.col(id_col))).alias("center"))
-    chosen = first.select(key, F.lit(0).alias("idx"), "center")
-    for j in range(1, kmax):
-        packed_c = chosen.groupBy(key).agg(F.collect_list("center").alias("__c"))
-        dist = attach(pts, packed_c, key).select(key, id_col, "__x", nearest(F.col("__x"), F.col("__c"))["d2"].alias("__d2"))
-        nxt = dist.groupBy(key).agg(F.max_by("__x", F.struct(F.col("__d2"), -h, -F.col(id_col))).alias("center"))
-        chosen = chosen.unionByName(nxt.select(key, F.lit(j).alias("idx"), "center"))
-        if j % 3 == 0:
-            chosen = chosen.checkpoint()
-    init = chosen.select(key, "idx", "center", F.explode(F.filter(k_arr, lambda k: k > F.col("idx"))).alias("k"))
-    centers = init.select(key, "k", "idx", "center")
+    pts = materialize(points.select(key, F.col(id_col).alias("__id"), F.col(x).alias("__x")), "kmeans-points")
+    # farthest-first start (ties by hash): every step carries the centres chosen so far through its one
+    # aggregate, so the plan is a chain. The start for k is the first k of that order.
+    rank = F.struct(F.xxhash64("__id").alias("h"), "__id")
+    state = pts.groupBy(key).agg(F.array(F.min_by("__x", rank)).alias("__c"))
+    for _ in range(1, max(ks)):
+        far = F.struct(nearest(F.col("__x"), F.col("__c"))["d2"].alias("d2"), rank.alias("r"))
+        state = (attach(pts, state, key).groupBy(key)
+                 .agg(F.first("__c").alias("__c"), F.max_by("__x", far).alias("__n"))
+                 .select(key, F.concat("__c", F.array("__n")).alias("__c")))
+    state = state.checkpoint()
+    moving = state.select(key, F.explode(k_arr).alias("k"), "__c").select(
+        key, "k", F.slice("__c", F.lit(1), F.col("k")).alias("__c"))
     rep = pts.select(key, "__x", F.explode(k_arr).alias("k"))  # ≤ |ks| copies of the small side
 
-    def packed(c):
-        return c.groupBy(key, "k").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("idx", "center"))), lambda s: s["center"]).alias("__c"))
-
-    for it in range(iterations):
-        a = attach(rep, packed(centers), [key, "k"]).select(
-            key, "k", "__x", nearest(F.col("__x"), F.col("__c"))["idx"].alias("idx"))
-        new = a.groupBy(key, "k", "idx").agg(*[F.avg(F.col("__x")[i]).alias(f"__d{i}") for i in range(dim)])
-        centers = new.select(key, "k", "idx", F.array(*[F.col(f"__d{i}") for i in range(dim)]).alias("center"))
-        if (it + 1) % checkpoint_every == 0:
-            centers = centers.checkpoint()
-    cost = (attach(rep, packed(centers), [key, "k"])
-            .select(key, "k", nearest(F.col("__x"), F.col("__c"))["d2"].alias("d2"))
-            .groupBy(key, "k").agg(F.sum("d2").alias("wcss")))
+    settled, rounds = None, 0
+    while True:
+        for _ in range(min(rounds_per_check, max_rounds - rounds)):
+            moving = _lloyd_round(rep, moving, key, dim, tol)
+            rounds += 1
+        moving = moving.checkpoint()
+        done = moving.where(~F.col("__moved")).select(key, "k", "__c", F.lit(True).alias("converged"))
+        settled = done if settled is None else settled.unionByName(done)
+        moving = moving.where("__moved")
+        if rounds >= max_rounds or moving.isEmpty():
+            break
+        moving = moving.select(key, "k", "__c")
+    fits = settled.unionByName(moving.select(key, "k", "__c", F.lit(False).alias("converged")))
+    centers = fits.select(key, "k", F.posexplode("__c").alias("idx", "center"))
+    cost = (attach(rep, fits, [key, "k"])
+            .select(key, "k", "converged", nearest(F.col("__x"), F.col("__c"))["d2"].alias("d2"))
+            .groupBy(key, "k").agg(F.sum("d2").alias("wcss"), F.first("converged").alias("converged")))
     return centers, cost
 
 
+def _lloyd_round(rep: DataFrame, fits: DataFrame, key: str, dim: int, tol: float) -> DataFrame:
+    """One assignment and update of every fit (key, k, __c) → (key, k, __c, __moved)."""
+    a = attach(rep, fits.select(key, "k", "__c"), [key, "k"]).select(
+        key, "k", "__x", "__c", nearest(F.col("__x"), F.col("__c"))["idx"].alias("idx"))
+    new = a.groupBy(key, "k", "idx").agg(F.first("__c").alias("__c"),
+                                         *[F.avg(F.col("__x")[i]).alias(f"__d{i}") for i in range(dim)])
+    new = new.groupBy(key, "k").agg(
+        F.first("__c").alias("__old"),
+        F.transform(F.array_sort(F.collect_list(F.struct("idx", F.array(*[F.col(f"__d{i}") for i in range(dim)]).alias("c")))),
+                    lambda s: s["c"]).alias("__c"))
+    far = F.exists(F.zip_with("__old", "__c", _sqdist), lambda d2: d2 > tol)
+    return new.select(key, "k", "__c", ((F.size("__old") != F.size("__c")) | far).alias("__moved"))
+
+
 def knee(cost: DataFrame, key: str = "set_id", S: float = KNEE_S, default: int = DEFAULT_K) -> DataFrame:
-    """M9: Kneedle (convex, decreasing) over (k, wcss) per set → (key, optimal_k)."""
-    key_type = dict(cost.dtypes)[key]
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
-        k = pdf["k"].to_numpy(dtype=float)
-        y = pdf["wcss"].to_numpy(dtype=float)
-        best = find_knee(k, y, S)
-        return pd.DataFrame({key: pdf[key].iloc[:1].to_numpy(), "optimal_k": [int(best) if best is not None else default]})
-
-    return cost.groupBy(key).applyInPandas(one, schema=f"{key} {key_type}, optimal_k int")
-
-
-def find_knee(x: np.ndarray, y: np.ndarray, S: float = KNEE_S) -> float | None:
-    """Kneedle on a convex decreasing curve: normalise, flip y, difference curve, first local
-    maximum whose threshold (max − S·mean step) is undercut before the next extremum."""
-    if len(x) < 3 or np.ptp(x) == 0 or np.ptp(y) == 0:
-        return None
-    xn = (x - x.min()) / np.ptp(x)
-    yn = (y - y.min()) / np.ptp(y)
-    yn = yn.max() - yn
-    d = yn - xn
-    n = len(d)
-    left = np.r_[d[0], d[:-1]]
-    right = np.r_[d[1:], d[-1]]
-    maxima = np.where((d >= left) & (d >= right))[0]
-    minima = np.where((d <= left) & (d <= right))[0]
-    if maxima.size == 0:
-        return None
-    tmx = d[maxima] - S * np.abs(np.diff(xn).mean())
-    threshold, threshold_index, mi = 0.0, 0, 0
-    for i in range(n):
-        if i < maxima[0]:
-            continue
-        if xn[i] == 1.0:
-            break
-        if (maxima == i).any():
-            threshold, threshold_index = tmx[mi], i
-            mi += 1
-        if (minima == i).any():
-            threshold = 0.0
-        if d[i + 1] < threshold:
-            return x[threshold_index]
-    return None
+    """M9: the knee of (k, wcss) per set → (key, optimal_k); at most ten rows per set.
+
+    With k and wcss scaled to 0..1 and wcss flipped, the height of the curve over the diagonal is
+    h = 1 − y − x. The knee is the first local maximum of h after which h falls below
+    max − S · (mean step of x) before the next local maximum; none, or a flat curve: ``default``."""
+    per_set, by_k = Window.partitionBy(key), Window.partitionBy(key).orderBy("k")
+    after = by_k.rowsBetween(1, Window.unboundedFollowing)
+
+    def unit(c):
+        lo, hi = F.min(c).over(per_set), F.max(c).over(per_set)
+        return F.when(hi > lo, (F.col(c) - lo) / (hi - lo))
+    n = F.count(F.lit(1)).over(per_set)
+    c = cost.select(key, F.col("k").cast("double").alias("k"), "wcss")
+    c = c.select(key, "k", n.alias("__n"), (1.0 - unit("wcss") - unit("k")).alias("__h"))
+    left, right = F.lag("__h").over(by_k), F.lead("__h").over(by_k)
+    h = F.col("__h")
+    c = c.select("*", ((h >= F.coalesce(left, h)) & (h >= F.coalesce(right, h)) & right.isNotNull()).alias("__top"),
+                 ((h <= F.coalesce(left, h)) & (h <= F.coalesce(right, h))).alias("__turn"))
+    # a peak's threshold holds up to the next peak; past a trough it is 0, as on a plateau
+    level = F.when(F.col("__turn"), 0.0).otherwise(h - F.lit(S) / (F.col("__n") - 1))
+    later = F.collect_list(F.struct("k", "__h", "__top", "__turn")).over(after)
+    c = c.select(key, "k", "__n", "__top", level.alias("__level"), later.alias("__later"))
+    first = lambda flag: F.array_min(F.transform(F.filter("__later", lambda e: e[flag]), lambda e: e["k"]))
+    c = c.select("*", first("__top").alias("__next"), first("__turn").alias("__trough"))
+    upto = lambda e, bound: F.col(bound).isNull() | (e["k"] <= F.col(bound))
+    falls = F.exists("__later", lambda e: upto(e, "__next") & (
+        e["__h"] < F.when(upto(e, "__trough"), F.col("__level")).otherwise(0.0)))
+    hit = F.col("__top") & (F.col("__n") >= 3) & falls
+    return (c.select(key, F.when(hit, F.col("k")).alias("__k")).groupBy(key)
+            .agg(F.coalesce(F.min("__k").cast("int"), F.lit(default)).alias("optimal_k")))

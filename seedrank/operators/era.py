@@ -84,9 +84,9 @@ def adjustment_bin(adj: Column) -> tuple[Column, Column]:
 
 
 def apply_era(items: DataFrame, params: DataFrame, year: str = "release_year", key: str = "set_id",
-              current_year: int = CURRENT_YEAR, with_score: bool = True) -> DataFrame:
+              current_year: int = CURRENT_YEAR, with_score: bool = False) -> DataFrame:
     """T1 + T3 + T4 + T5 (+ T6, T7): adds year_distance, year_penalty, recency_bonus,
-    year_adjustment, year_score, adj_bin_ord, adj_bin. A set without a dated seed has no parameters:
+    year_adjustment, adj_bin_ord, adj_bin (``with_score``: T6 too). A set without a dated seed has no parameters:
     its items keep their scores (adjustment 0)."""
     p = params.select(key, "avg_year", "era_class", "max_dist", "max_pen")
     j = attach(items, p, key, how="left")

@@ -21,6 +21,9 @@ WALKS_PER_NODE = 20
 EMBED_DIM = 16
 EMBED_WINDOW = 5
 DRAW_BUCKETS = 32
+HUB_PARTS = 64
+WALKS_PER_TASK = 50_000        # G5: walks one training partition holds
+MAX_VOCABULARY = 5_000_000     # G5: nodes whose vectors the fit may gather (16 doubles each)
 # Positioned element on the map page: name, link, left px, top px.
 POSITIONED_PATTERN = (r'(?is)<div\b([^>]*)>([^<]*)<a\b([^>]*)>')
 LINK_PATTERN = r'<a href="([^"]*)">([^<]*)</a>'
@@ -68,12 +71,15 @@ def proximity_edges(points: DataFrame, id_col: str = "id", x: str = "x", y: str
     return j.where(d < radius).select("src", "dst", d.alias("distance"), (1.0 / (d + 1.0)).alias("weight"))
 
 
-def graph_summary(points: DataFrame, edges: DataFrame) -> DataFrame:
-    """Node and edge counts."""
-    # one global aggregate over both inputs tagged by origin (no join)
-    tagged = (points.select(F.lit(1).alias("__n"), F.lit(0).alias("__e"))
-              .unionByName(edges.select(F.lit(0).alias("__n"), F.lit(1).alias("__e"))))
-    return tagged.agg(F.sum("__n").cast("long").alias("nodes"), F.sum("__e").cast("long").alias("edges"))
+def connected_nodes(edges: DataFrame, out: str = "id") -> DataFrame:
+    """The graph's nodes: the points with at least one edge."""
+    return edges.select(F.explode(F.array("src", "dst")).alias(out)).distinct()
+
+
+def graph_summary(edges: DataFrame) -> DataFrame:
+    """Node and edge counts; a point without an edge is no node."""
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("__n"))
+    return ends.agg(F.count_distinct("__n").alias("nodes"), (F.count("__n") / 2).cast("long").alias("edges"))
 
 
 def _unit_draw(seed: int, *cols) -> F.Column:
@@ -88,11 +94,20 @@ def random_walks(nodes: DataFrame, edges: DataFrame, length: int = WALK_LENGTH,
     (first-order, as node2vec with p = q = 1). Dead ends stop the walk."""
     both = edges.select("src", "dst", "weight").unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
-    w = Window.partitionBy("src").orderBy("dst").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = both.groupBy("src").agg(F.sum("weight").alias("__tot"))
-    cum = (both.withColumn("__hi", F.sum("weight").over(w)).join(tot, "src")
-           .select("src", "dst", ((F.col("__hi") - F.col("weight")) / F.col("__tot")).alias("lo"),
-                   (F.col("__hi") / F.col("__tot")).alias("hi")))
+    # cumulative shares in two levels, so a hub's neighbours are never sorted in one task: the node's
+    # hash parts first (at most HUB_PARTS rows a node), then the neighbours inside each part. Every
+    # interval starts where the previous one ends, and the last one ends at 1.
+    both = both.withColumn("__part", F.pmod(F.xxhash64("dst"), F.lit(HUB_PARTS)))
+    node_w, part_w = Window.partitionBy("src").orderBy("__part"), Window.partitionBy("src", "__part").orderBy("dst")
+    running = (Window.unboundedPreceding, Window.currentRow)
+    parts = both.groupBy("src", "__part").agg(F.sum("weight").alias("__w"))
+    share = F.sum("__w").over(node_w.rowsBetween(*running)) / F.sum("__w").over(Window.partitionBy("src"))
+    parts = parts.withColumn("__end", F.when(F.lead("__part").over(node_w).isNull(), 1.0).otherwise(share))
+    parts = parts.withColumn("__start", F.coalesce(F.lag("__end").over(node_w), F.lit(0.0)))
+    cum = both.join(parts, ["src", "__part"])
+    inside = F.col("__start") + (F.col("__end") - F.col("__start")) * F.sum("weight").over(part_w.rowsBetween(*running)) / F.col("__w")
+    cum = cum.withColumn("hi", F.when(F.lead("dst").over(part_w).isNull(), F.col("__end")).otherwise(inside))
+    cum = cum.select("src", "dst", F.coalesce(F.lag("hi").over(part_w), F.col("__start")).alias("lo"), "hi")
     # each interval is listed under every draw bucket it overlaps, so a walker meets ~1-2
     # candidate edges on the equi-key (src, bucket) instead of the node's whole neighbour list
     nb = DRAW_BUCKETS
@@ -115,10 +130,20 @@ def random_walks(nodes: DataFrame, edges: DataFrame, length: int = WALK_LENGTH,
     return walks.select("start", "walk", "path")
 
 
-def walk_embeddings(walks: DataFrame, dim: int = EMBED_DIM, window: int = EMBED_WINDOW, seed: int = 42) -> DataFrame:
-    """Skip-gram vectors of the walked nodes → (node, vec array<double>)."""
+def walk_embeddings(walks: DataFrame, dim: int = EMBED_DIM, window: int = EMBED_WINDOW, seed: int = 42,
+                    walks_per_task: int = WALKS_PER_TASK, max_vocabulary: int = MAX_VOCABULARY) -> DataFrame:
+    """Skip-gram vectors of the walked nodes → (node, vec array<double>). Training runs in as many
+    partitions as the walks fill. MLlib gathers the vectors on the driver, so a graph of more than
+    ``max_vocabulary`` nodes is refused."""
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
-    seqs = walks.select(F.transform("path", lambda v: v.cast("string")).alias("seq"))
-    model = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, seed=seed, inputCol="seq", outputCol="__v").fit(seqs)
+
+    from seedrank.functions.params import materialize
+    seqs = materialize(walks.select(F.transform("path", lambda v: v.cast("string")).alias("seq")), "walks")
+    n = seqs.count()
+    nodes = seqs.select(F.explode("seq").alias("n")).distinct().count()
+    if nodes > max_vocabulary:
+        raise ValueError(f"{nodes} nodes: more than max_vocabulary = {max_vocabulary}")
+    model = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, seed=seed, numPartitions=max(1, -(-n // walks_per_task)),
+                     inputCol="seq", outputCol="__v").fit(seqs)
     return model.getVectors().select(F.col("word").alias("node"), vector_to_array("vector").alias("vec"))

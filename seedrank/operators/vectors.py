@@ -113,11 +113,11 @@ def pca_2d(df: DataFrame, features: Sequence[str], id_cols: Sequence[str], min_r
 
 
 def embed_seeds(seeds: DataFrame, id_cols: Sequence[str], tags: str | None, vec: str, lookup: DataFrame | None,
-                dim: int, recompute: str = "missing") -> DataFrame:
+                dim: int, recompute: str = "missing", key: str = "set_id") -> DataFrame:
     """V4: give every seed row a tag vector. Rows keep a vector they already have; the others
     get V2 → J5 → V3 from ``lookup`` (zeros when nothing is found). ``recompute='all'`` is
-    the reference's rule: if any row lacks a vector, every row is recomputed (vectors copied
-    from the catalogue are discarded). No tag column or no lookup → zeros."""
+    the reference's rule: if any row of a set lacks a vector, every row of that set is recomputed
+    (vectors copied from the catalogue are discarded); without a ``key`` column the frame is one set. No tag column or no lookup → zeros."""
     from seedrank.functions.exprs import split_tags, zeros
     from seedrank.operators.enrich import lookup_vectors
     has_vec = vec in seeds.columns
@@ -127,9 +127,9 @@ def embed_seeds(seeds: DataFrame, id_cols: Sequence[str], tags: str | None, vec:
     base = seeds if has_vec else seeds.withColumn(vec, F.lit(None).cast("array<double>"))
     looked = lookup_vectors(base.withColumn("__tl", split_tags(tags)), list(id_cols), "__tl", lookup, dim, out="__lv")
     if recompute == "all":
-        # one flag for the whole frame: a single global aggregate of one boolean
-        any_missing = looked.agg(F.bool_or(F.col(vec).isNull()).alias("__m")).withColumn("__j", F.lit(1))
-        j = looked.withColumn("__j", F.lit(1)).join(F.broadcast(any_missing), "__j")
+        looked = looked.withColumn("__j", F.col(key) if key in looked.columns else F.lit(1))
+        flag = looked.groupBy(F.col("__j").alias("__k")).agg(F.bool_or(F.col(vec).isNull()).alias("__m"))
+        j = looked.join(flag, F.col("__j").eqNullSafe(F.col("__k")))
         val = F.when(F.col("__m"), F.col("__lv")).otherwise(F.col(vec))
         return j.select(*[val.alias(c) if c == vec else F.col(c) for c in base.columns])
     return looked.select(*[F.coalesce(F.col(vec), F.col("__lv")).alias(c) if c == vec else F.col(c) for c in base.columns])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seedrank.functions.params import materialize
 from seedrank.operators import graph as G
 from seedrank.plans import driver_views as DV
 from seedrank.plans.queries import out, register
@@ -27,13 +28,14 @@ def page_links(spark, d):
 # ------------------------------------------------------------------ J7 / G2 / G3
 
 def part_points(spark: SparkSession, d: str) -> DataFrame:
-    """Parts as points on a 2-D map: x = size·100, y = (retail price − 900)·50."""
+    """Parts as points on a 2-D map: x = size·100, y = part key·5 (a strip that grows
+    with the table, so a point's neighbours stay as many at every size)."""
     p = DV.table(spark, d, "part")
     return p.select(F.col("p_partkey").alias("id"), (F.col("p_size") * 100.0).alias("x"),
-                    ((F.col("p_retailprice") - 900.0) * 50.0).alias("y"))
+                    (F.col("p_partkey") * 5.0).alias("y"))
 
 
-_POINTS_SQL = "pts AS (SELECT p_partkey AS id, p_size * 100.0 AS x, (p_retailprice - 900.0) * 50.0 AS y FROM part)"
+_POINTS_SQL = "pts AS (SELECT p_partkey AS id, p_size * 100.0 AS x, p_partkey * 5.0 AS y FROM part)"
 _EDGES_SQL = ("e AS (SELECT a.id AS src, b.id AS dst, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance "
               f"FROM pts a JOIN pts b ON a.id < b.id WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) < {G.EDGE_RADIUS})")
 
@@ -46,29 +48,32 @@ def proximity_edges(spark, d):
     return out(G.proximity_edges(part_points(spark, d)), ["src", "dst", "distance", "weight"])
 
 
-@register("graph_summary", f"WITH {_POINTS_SQL}, {_EDGES_SQL} SELECT (SELECT count(*) FROM pts) AS nodes, "
+@register("graph_summary", f"WITH {_POINTS_SQL}, {_EDGES_SQL} SELECT (SELECT count(*) FROM (SELECT src FROM e UNION SELECT dst FROM e)) AS nodes, "
           "(SELECT count(*) FROM e) AS edges")
 def graph_summary(spark, d):
     """Node and edge counts of the proximity graph."""
     pts = part_points(spark, d)
-    return G.graph_summary(pts, G.proximity_edges(pts))
+    return G.graph_summary(G.proximity_edges(pts))
 
 
 # ------------------------------------------------------------------ G4 G5
 
+def _walks(spark: SparkSession, d: str) -> DataFrame:
+    edges = materialize(G.proximity_edges(part_points(spark, d)), "edges")  # read by the nodes and every step
+    return G.random_walks(G.connected_nodes(edges), edges)
+
+
 @register("random_walks")
 def random_walks(spark, d):
     """20 weight-proportional walks of 5 nodes from every node of the proximity graph."""
-    pts = part_points(spark, d)
-    w = G.random_walks(pts.select("id"), G.proximity_edges(pts))
+    w = _walks(spark, d)
     return w.select("start", "walk", F.size("path").alias("length"), F.array_join(F.transform("path", lambda v: v.cast("string")), " ").alias("path"))
 
 
 @register("walk_embeddings")
 def walk_embeddings(spark, d):
     """16-d skip-gram vectors of the walked nodes (S10 writes them as a lookup)."""
-    pts = part_points(spark, d)
-    emb = G.walk_embeddings(G.random_walks(pts.select("id"), G.proximity_edges(pts)))
+    emb = G.walk_embeddings(_walks(spark, d))
     return emb.select("node", F.size("vec").alias("dim"), F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x).alias("sq_norm"))
 
 

@@ -94,7 +94,7 @@ def recommend(spark, d):
     + "SELECT set_id, model, rank, item_id, round(score, 6) AS score FROM r WHERE rank <= 20")
 def leaderboards(spark, d):
     """The top 20 of each model score per set."""
-    sc = score_core(*candidates(spark, d))
+    sc = score_core(*candidates(spark, d), year_score=True)
     lb = R.leaderboards(sc, ["cosine_score", "year_score"])
     return out(lb.withColumn("rank", F.col("rank").cast("int")), ["set_id", "model", "rank", "item_id", "score"])
 

@@ -30,7 +30,7 @@ def era_sql(src: str = "cand", seeds: str = "sd", out_name: str = "era") -> list
 
 def era_frame(spark: SparkSession, d: str) -> DataFrame:
     cand, sd = candidates(spark, d)
-    return E.apply_era(cand, E.era_params(sd))
+    return E.apply_era(cand, E.era_params(sd), with_score=True)
 
 
 # ------------------------------------------------------------------ A1
@@ -188,7 +188,7 @@ def _summary_sql():
 def score_summary(spark, d):
     """Per score, non-zero count/share/mean/min, max and zero count."""
     cand, sd = candidates(spark, d)
-    sc = E.apply_era(M.cosine_score(cand, sd, FEATURES), E.era_params(sd))
+    sc = E.apply_era(M.cosine_score(cand, sd, FEATURES), E.era_params(sd), with_score=True)
     return out(A.score_summary(sc, ["cosine_score", "year_score"]), _SS)
 
 
@@ -201,8 +201,8 @@ _RC = ["set_id", "items", "seeds", "candidates", "dropped", "share_kept", "missi
     "a AS (SELECT set_id, count(*) AS items FROM it GROUP BY set_id)",
     "b AS (SELECT set_id, count(*) AS seeds FROM sd GROUP BY set_id)",
     "c AS (SELECT set_id, count(*) AS candidates, count(*) FILTER (WHERE f_qty IS NULL) AS missing_features FROM cand GROUP BY set_id)")
-    + "SELECT set_id, items, seeds, candidates, items - candidates AS dropped, round(candidates / items, 6) AS share_kept, "
-      "missing_features FROM a JOIN b USING (set_id) JOIN c USING (set_id)")
+    + "SELECT set_id, items, coalesce(seeds, 0) AS seeds, coalesce(candidates, 0) AS candidates, items - coalesce(candidates, 0) AS dropped, "
+      "round(coalesce(candidates, 0) / items, 6) AS share_kept, coalesce(missing_features, 0) AS missing_features FROM a LEFT JOIN b USING (set_id) LEFT JOIN c USING (set_id)")
 def run_counters(spark, d):
     """Catalogue, seed and candidate sizes, dropped rows, share kept, missing features."""
     it, sd = base_tables(spark, d)
@@ -210,7 +210,7 @@ def run_counters(spark, d):
     a = it.groupBy("set_id").agg(F.count(F.lit(1)).alias("items"))
     b = sd.groupBy("set_id").agg(F.count(F.lit(1)).alias("seeds"))
     c = cand.groupBy("set_id").agg(F.count(F.lit(1)).alias("candidates"), F.count_if(F.col("f_qty").isNull()).alias("missing_features"))
-    j = a.join(b, "set_id").join(c, "set_id")
+    j = a.join(b, "set_id", "left").join(c, "set_id", "left").na.fill(0, ["seeds", "candidates", "missing_features"])
     j = j.withColumn("dropped", F.col("items") - F.col("candidates")).withColumn("share_kept", F.col("candidates") / F.col("items"))
     return out(j, _RC)
 

@@ -1,16 +1,17 @@
 """Registered queries over the driver tables: one per operator family of the inventory, each
 with its DuckDB oracle where SQL can express it. ``QUERIES[name](spark, sf_dir)`` returns a
-lazy DataFrame; ``ORACLE[name]`` is the matching SQL (same column names and types)."""
+DataFrame (the catalogue and iterative fits are written while it is built); ``ORACLE[name]`` is the matching SQL (same column names and types)."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seedrank.functions.exprs import round_doubles
-from seedrank.functions.params import count_key_bound, declare_key_bound, materialize
+from seedrank.functions.params import bound_scope, count_key_bound, declare_key_bound, write_once
 from seedrank.operators import era as E
 from seedrank.operators import score as M
 from seedrank.operators import select as R
@@ -27,22 +28,27 @@ FEATURES = DV.FEATURES
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def scoped(spark, d):
+            with bound_scope():
+                return fn(spark, d)
+        QUERIES[name] = scoped
         if sql is not None:
             ORACLE[name] = sql
         return fn
     return deco
 
 
-# (session, source dir, source file mtimes) → written table paths and the set count
+# (session, source dir, source stamp) → written table paths and the set count
 _CATALOGUES: dict[tuple, dict] = {}
 
 
-def _source_stamp(d: str) -> tuple:
-    import glob
-    import os
-    return tuple(sorted((os.path.basename(p), os.path.getmtime(p))
-                        for p in glob.glob(f"{d.rstrip('/')}/*.parquet")))
+def _source_stamp(spark: SparkSession, d: str) -> tuple:
+    """(name, change time, length) of every entry of the source folder, by Hadoop's file status, so any
+    store is seen. One entry per table: the data files below are not listed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(d)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted((s.getPath().getName(), s.getModificationTime(), s.getLen()) for s in fs.listStatus(folder)))
 
 
 def _ingest(spark: SparkSession, d: str) -> dict:
@@ -53,23 +59,21 @@ def _ingest(spark: SparkSession, d: str) -> dict:
     session over the same, unchanged sources. Later passes scan these compact, column-pruned
     tables instead of re-running the joins — seed-side parameters read the small seed table,
     never the catalogue — and a lost executor re-reads files instead of recomputing lineage."""
-    key = (spark.sparkContext.applicationId, d.rstrip("/"), _source_stamp(d))
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), _source_stamp(spark, d))
     hit = _CATALOGUES.get(key)
     if hit is None:
         it = with_release_year(DV.items(spark, d), "release_date").join(DV.item_vectors(spark, d), "item_id", "left")
-        it = materialize(it, "items")
-        sd = materialize(DV.seed_filter(it), "seeds")
-        cand = materialize(exclude_seen(it, sd, "name", "owner"), "candidates")
-        hit = {"items": _dir(it), "seeds": _dir(sd), "candidates": _dir(cand), "sets": count_key_bound(it, "set_id")}
+        hit = {"items": write_once(it, "items")}
+        it = spark.read.parquet(hit["items"])
+        hit["seeds"] = write_once(DV.seed_filter(it), "seeds")
+        sd = spark.read.parquet(hit["seeds"])
+        hit["candidates"] = write_once(exclude_seen(it, sd, "name", "owner"), "candidates")
+        hit["sets"] = count_key_bound(it, "set_id")
         _CATALOGUES[key] = hit
     declare_key_bound("set_id", hit["sets"])
     return hit
 
 
-def _dir(df: DataFrame) -> str:
-    return df.inputFiles()[0].rsplit("/", 1)[0]
-
-
 def catalogue(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(_ingest(spark, d)["items"])
 
@@ -99,10 +103,10 @@ def core_scored(spark: SparkSession, d: str) -> DataFrame:
     return score_core(*candidates(spark, d))
 
 
-def score_core(cand: DataFrame, sd: DataFrame) -> DataFrame:
+def score_core(cand: DataFrame, sd: DataFrame, year_score: bool = False) -> DataFrame:
     """Cosine score, era adjustment and the blended base score of every candidate."""
     sc = M.cosine_score(cand, sd, FEATURES)
-    sc = E.apply_era(sc, E.era_params(sd))
+    sc = E.apply_era(sc, E.era_params(sd), with_score=year_score)
     sc = R.base_score(sc, {"cosine_score": R.DEFAULT_WEIGHTS["cosine_score"]})
     return sc.withColumn("base_score", E.apply_adjustment(F.col("base_score"), F.col("year_adjustment")))
 

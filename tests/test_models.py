@@ -63,22 +63,38 @@ def test_blend_weights_equal_repeated_columns(spark):
     assert np.allclose(got, want, atol=1e-9)
 
 
-def test_knee_on_hand_curves():
-    k = np.arange(1, 11, dtype=float)
-    assert K.find_knee(k, np.array([100, 30, 12, 10, 9, 8, 7, 6, 5, 4], float)) == 3
-    assert K.find_knee(k, np.linspace(100, 10, 10)) is None  # a straight line has no knee
+def test_knee_on_hand_curves(spark):
+    curves = {"bend": [100, 30, 12, 10, 9, 8, 7, 6, 5, 4], "line": list(range(100, 0, -10)), "flat": [5] * 10, "two": [3, 1]}
+    rows = [(s, k, float(v)) for s, ys in curves.items() for k, v in enumerate(ys, 1)]
+    got = {r.set_id: r.optimal_k for r in K.knee(spark.createDataFrame(rows, "set_id string, k int, wcss double")).collect()}
+    # a straight line has at most rounding bumps, a flat or two-point curve no knee: the default
+    assert got["bend"] == 3 and got["flat"] == got["two"] == K.DEFAULT_K
 
 
 def test_kmeans_multi_planted_blobs(spark):
     centers = np.array([[0, 0], [10, 0], [0, 10]], float)
     pts = np.vstack([c + RNG.normal(scale=0.3, size=(30, 2)) for c in centers])
     df = spark.createDataFrame([(0, i, [float(a), float(b)]) for i, (a, b) in enumerate(pts)], "set_id int, id int, x array<double>")
-    cen, cost = K.kmeans_multi(df, "x", "id", 2, iterations=10)
+    cen, cost = K.kmeans_multi(df, "x", "id", 2)
     w = sorted((r.k, r.wcss) for r in cost.collect())
     assert all(w[i][1] >= w[i + 1][1] - 1e-6 for i in range(2)) and w[0][1] > 10 * w[2][1]
     assert K.knee(cost).first().optimal_k == 3
 
 
+def test_kmeans_text_ids_and_convergence(spark):
+    pts = RNG.normal(size=(120, 2))
+    rows = [(f"s{i % 2}", f"track-{i}", [float(a), float(b)]) for i, (a, b) in enumerate(pts)]
+    df = spark.createDataFrame(rows, "set_id string, id string, x array<double>")
+    cen, cost = K.kmeans_multi(df, "x", "id", 2, ks=(1, 3, 5))
+    assert cost.where("NOT converged").count() == 0 and cost.count() == 6
+    for k in (3, 5):  # a settled fit: each centre is the mean of its points
+        for s in ("s0", "s1"):
+            c = np.array([r.center for r in cen.where((cen.k == k) & (cen.set_id == s)).orderBy("idx").collect()])
+            x = np.array([r[2] for r in rows if r[0] == s])
+            near = ((x[:, None] - c[None]) ** 2).sum(-1).argmin(1)
+            assert np.allclose(c, [x[near == j].mean(0) for j in range(len(c))], atol=1e-5)
+
+
 def test_assign_clusters_and_score(spark):
     cen = spark.createDataFrame([(0, 0, [0.0, 0.0]), (0, 1, [10.0, 0.0])], "set_id int, idx int, center array<double>")
     items = spark.createDataFrame([(0, 1, [1.0, 0.0]), (0, 2, [9.0, 1.0]), (0, 3, [5.0, 0.0])], "set_id int, id int, x array<double>")
