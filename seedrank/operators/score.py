@@ -3,8 +3,8 @@
 Deterministic models are column expressions over per-set parameters. The ridge model is
 solved from per-set sufficient statistics (means, Gram matrix, Xᵀy: one aggregate over the
 items) with one tiny p×p solve per set in ``applyInPandas`` over the statistics frame (one
-row per set) — never over the items. MLlib fits (boosted trees, logistic regression) train
-one set at a time, as the reference does for its one playlist."""
+row per set) — never over the items. The logistic GLM solves every
+set's own system from summed derivatives; the boosted trees (MLlib) are one fit for all sets."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from seedrank.functions import exprs as X
 from seedrank.functions.params import attach, materialize
@@ -26,6 +27,9 @@ MATCH_WEIGHTS = {"owner": 0.5, "album": 0.2, "label": 0.2, "date": 0.1}
 RIDGE_ALPHA = 1.0
 GLM_RIDGE = 0.01
 SEED_UPSAMPLE = 5
+# Our own bounds: Newton rounds, and inputs of one set's system (dense, 8 bytes each squared).
+GLM_MAX_ROUNDS = 50
+GLM_MAX_INPUTS = 4_000
 # Emphasis of each score in the blended similarity (number of copies in the reference).
 EMPHASIS = {"cosine_score": 7, "ridge_score": 2, "glm_score": 1, "cluster_score": 1}
 
@@ -193,12 +197,14 @@ def similarity_filter(items: DataFrame, seeds: DataFrame, x: str, dim: int, key:
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import GBTRegressor
     sim = materialize(sim, "gbt_train")  # boosting reads its input once per tree level
-    train = VectorAssembler(inputCols=[key, "__xv"], outputCol="__x").transform(
-        sim.withColumn("__xv", array_to_vector(x)))
+    # one model for all sets, the set an input: a number as it is, a text by its hash
+    numbered = F.col(key) if isinstance(sim.schema[key].dataType, NumericType) else F.pmod(F.xxhash64(key), F.lit(1 << 20))
+    train = VectorAssembler(inputCols=["__set", "__xv"], outputCol="__x").transform(
+        sim.withColumn("__xv", array_to_vector(x)).withColumn("__set", numbered.cast("double")))
     gbt = GBTRegressor(featuresCol="__x", labelCol="similarity_score", predictionCol="fit_probability",
                        maxIter=100, maxDepth=5, stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
                        seed=seed)
-    pred = gbt.fit(train).transform(train).drop("__x", "__xv")
+    pred = gbt.fit(train).transform(train).drop("__x", "__xv", "__set")
     return pred.where(F.col("fit_probability") >= threshold)
 
 
@@ -206,17 +212,14 @@ def similarity_filter(items: DataFrame, seeds: DataFrame, x: str, dim: int, key:
 
 def metadata_glm(items: DataFrame, seeds: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                  key: str = "set_id", id_col: str = "item_id", out: str = "glm_score",
-                 reg: float = GLM_RIDGE, upsample: int = SEED_UPSAMPLE, max_iter: int = 300) -> DataFrame:
+                 reg: float = GLM_RIDGE, upsample: int = SEED_UPSAMPLE, max_rounds: int = GLM_MAX_ROUNDS,
+                 max_inputs: int = GLM_MAX_INPUTS) -> DataFrame:
     """M4: binomial GLM (ridge ``reg``, unpenalised intercept) of seed-vs-item on scaled numeric
     columns, one-hot categories (unseen → '????', M5/C16) and an in-seeds flag per category
-    (M6); seeds weigh ``upsample`` (D6 as a weight). Categories are keyed by set, so one fit
-    serves every set and the one-hot width is bounded by the seeds' vocabulary. Predicted
+    (M6); seeds weigh ``upsample`` (D6 as a weight). Every set has its own fit (``logistic_fits``),
+    so a set's scores do not depend on the other sets. A minimum frequency of 2 for a category
+    needs no rule: a seed's value weighs 5, and all others are one category. Predicted
     probability → per-set 0..100 (range < 0.01 → p·100), NULL → 0."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
     from seedrank.operators.clean import coerce_numeric, impute_median, impute_unknown, mask_unseen
 
     it = impute_unknown(coerce_numeric(items, numeric), categorical)
@@ -230,25 +233,83 @@ def metadata_glm(items: DataFrame, seeds: DataFrame, numeric: Sequence[str], cat
     stats = V.scaler_stats(both, numeric, key)
     both = V.standardize(both, stats, numeric, key)
     flags = in_seed_flags(both, sd, categorical, key)
-    for c in categorical:
-        flags = flags.withColumn(f"__cat_{c}", F.concat_ws("|", F.col(key).cast("string"), F.col(c)))
-    # the indexers and the iterative fit read this frame many times: write it once
-    flags = materialize(flags, "glm_train")
-    idx = [StringIndexer(inputCol=f"__cat_{c}", outputCol=f"__i_{c}", handleInvalid="keep") for c in categorical]
-    ohe = OneHotEncoder(inputCols=[f"__i_{c}" for c in categorical], outputCols=[f"__o_{c}" for c in categorical],
-                        dropLast=False, handleInvalid="keep")
-    va = VectorAssembler(inputCols=[f"z_{c}" for c in numeric] + [f"__o_{c}" for c in categorical]
-                         + [f"{c}_in_seeds" for c in categorical], outputCol="__x")
-    lr = LogisticRegression(featuresCol="__x", labelCol="__y", weightCol="__w", regParam=reg, elasticNetParam=0.0,
-                            standardization=False, fitIntercept=True, maxIter=max_iter, probabilityCol="__p")
-    model = Pipeline(stages=[*idx, ohe, va, lr]).fit(flags)
-    pred = model.transform(flags.where(F.col("__y") == 0.0))
-    pred = pred.select(key, id_col, vector_to_array("__p")[1].alias("glm_probability"))
+    entry = lambda name, v: F.struct(name.alias("name"), v.cast("double").alias("v"))
+    inputs = F.array(
+        entry(F.lit(""), F.lit(1.0)),  # the intercept
+        *[entry(F.lit(f"z:{c}"), F.coalesce(F.col(f"z_{c}"), F.lit(0.0))) for c in numeric],
+        *[entry(F.concat(F.lit(f"{c}="), F.col(c).cast("string")), F.lit(1.0)) for c in categorical],
+        *[entry(F.lit(f"seen:{c}"), F.col(f"{c}_in_seeds")) for c in categorical])
+    # the fit reads these rows once per round: written once
+    rows = materialize(flags.select(key, id_col, "__y", "__w", F.filter(inputs, lambda e: e["v"] != 0).alias("__f")), "glm_train")
+    fits = logistic_fits(rows, key, reg, max_rounds, max_inputs)
+    pred = attach(rows.where(F.col("__y") == 0.0), fits, key)
+    pred = pred.select(key, id_col, _probability().alias("glm_probability"))
     scored = V.minmax_100(pred, "glm_probability", out, flat="glm", key=key)
     scored = scored.withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
     return items.join(scored, [key, id_col], "left")
 
 
+def _probability():
+    """Logistic of Σ value · coefficient; an input without a coefficient counts 0."""
+    margin = F.aggregate("__f", F.lit(0.0), lambda acc, e: acc + e["v"] * F.coalesce(
+        F.try_element_at(F.col("__b"), e["name"]), F.lit(0.0)))
+    return 1.0 / (1.0 + F.exp(-margin))
+
+
+def logistic_fits(rows: DataFrame, key: str, reg: float, max_rounds: int = GLM_MAX_ROUNDS,
+                  max_inputs: int = GLM_MAX_INPUTS, tol: float = 1e-9) -> DataFrame:
+    """Ridge logistic regression of every set at once by Newton rounds → (key, ``__b`` map of input
+    name → coefficient). Minimises Σ w·loss / Σ w + reg/2·|b|² (intercept, name '', free).
+
+    ``rows``: key, ``__y``, ``__w``, ``__f`` array<struct<name, v>> (non-zero inputs). A round sums the
+    gradient and the second derivatives per (set, input, input) over all rows, a partial aggregate, and
+    solves one system per set over those sums. A set has as many inputs as its seeds have values; beyond
+    ``max_inputs`` a system would not fit a task and the fit is refused (``metadata_match`` has no such
+    bound)."""
+    key_type = dict(rows.dtypes)[key]
+    widest = (rows.select(key, F.explode("__f.name").alias("n")).distinct().groupBy(key)
+              .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0)
+    if widest > max_inputs:
+        raise ValueError(f"a set has {widest} inputs, more than max_inputs = {max_inputs}; use metadata_match")
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        g = pdf[pdf["kind"] == "g"]
+        names = g["i"].tolist()
+        at = {n: i for i, n in enumerate(names)}
+        old = pdf[pdf["kind"] == "b"].set_index("i")["x"].to_dict()
+        beta = np.array([old.get(n, 0.0) for n in names])
+        total = float(pdf.loc[pdf["kind"] == "w", "x"].iloc[0])
+        h = np.zeros((len(names), len(names)))
+        second = pdf[pdf["kind"] == "h"]
+        i, j = second["i"].map(at).to_numpy(), second["j"].map(at).to_numpy()
+        h[i, j] = h[j, i] = second["x"].to_numpy() / total
+        ridge = np.array([0.0 if n == "" else reg for n in names])
+        step = np.linalg.solve(h + np.diag(ridge) + 1e-12 * np.eye(len(names)), g["x"].to_numpy() / total + ridge * beta)
+        return pd.DataFrame({key: [pdf[key].iloc[0]] * len(names), "i": names, "b": beta - step, "step": np.abs(step)})
+
+    fits = rows.select(key).distinct().select(key, F.create_map().cast("map<string,double>").alias("__b"))
+    text = F.lit(None).cast("string")
+    term = lambda kind, i, j, x: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), x.alias("x"))
+    for _ in range(max_rounds):
+        r = attach(rows, fits, key).select(key, "__f", "__y", "__w", _probability().alias("__p"))
+        slope, curve = F.col("__w") * (F.col("__p") - F.col("__y")), F.col("__w") * F.col("__p") * (1.0 - F.col("__p"))
+        first = F.transform("__f", lambda e: term("g", e["name"], text, e["v"] * slope))
+        second = F.flatten(F.transform("__f", lambda a: F.transform(
+            F.filter("__f", lambda e: e["name"] >= a["name"]), lambda e: term("h", a["name"], e["name"], a["v"] * e["v"] * curve))))
+        weight = F.array(term("w", text, text, F.col("__w")))
+        sums = (r.select(key, F.explode(F.concat(first, second, weight)).alias("t")).select(key, "t.*")
+                .groupBy(key, "kind", "i", "j").agg(F.sum("x").alias("x")))
+        now = fits.select(key, F.lit("b").alias("kind"), F.explode("__b").alias("i", "x")).select(key, "kind", "i", text.alias("j"), "x")
+        solved = sums.unionByName(now).groupBy(key).applyInPandas(solve, schema=f"{key} {key_type}, i string, b double, step double")
+        fits = materialize(solved.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("i", "b"))).alias("__b"),
+                                                   F.max("step").alias("__step")), "glm_fits")
+        moved = fits.agg(F.max("__step")).first()[0]
+        fits = fits.drop("__step")
+        if moved is None or moved < tol:
+            break
+    return fits
+
+
 # ---------------------------------------------------------------- M15 learned blend
 
 def learned_blend(df: DataFrame, features: Sequence[str], target: str = "blend_similarity", key: str = "set_id",

@@ -122,3 +122,42 @@ def test_select_by_quota_backfills(spark):
     got = [(r.item_id, r.rank) for r in R.select_by_quota(items, quota, n=6).orderBy("rank").collect()]
     # B gives its best (5); A gives 2, 1, 0; C has no rows; backfill 4, 3 → all six, by score
     assert [g[0] for g in got] == [5, 4, 3, 2, 1, 0]
+
+
+def _glm_frames(spark, sets, rng):
+    rows = []
+    for s in sets:
+        for i in range(150):
+            rows.append((s, f"{s}-{i}", f"o{rng.integers(0, 12)}", "pop" if rng.random() < 0.4 else "rock", float(rng.normal()), i % 10 == 0))
+    df = spark.createDataFrame(rows, "set_id string, item_id string, owner string, label string, a double, seed boolean")
+    return df.where("NOT seed").drop("seed"), df.where("seed").drop("seed")
+
+
+def test_metadata_glm_is_fitted_per_set(spark):
+    rng = np.random.default_rng(3)
+    a_items, a_seeds = _glm_frames(spark, ["A"], rng)
+    b_items, b_seeds = _glm_frames(spark, ["B"], rng)
+    score = lambda i, s: {r.item_id: r.glm_score for r in M.metadata_glm(i, s, ["a"], ["owner", "label"]).collect()}
+    alone = score(a_items, a_seeds)
+    both = score(a_items.union(b_items), a_seeds.union(b_seeds))
+    assert all(abs(both[k] - v) < 1e-6 for k, v in alone.items()) and len(both) == 270
+
+    # a dense fit of set A: gradient of the same objective, Newton steps
+    it, sd = a_items.toPandas(), a_seeds.toPandas()
+    n = len(it)
+    for c in ("owner", "label"):
+        it.loc[~it[c].isin(sd[c]), c] = "????"
+    num = np.r_[it.a, sd.a]
+    x = [np.ones(n + len(sd)), (num - num.mean()) / num.std()]
+    for c in ("owner", "label"):
+        v = np.r_[it[c], sd[c]]
+        x += [(v == u).astype(float) for u in sorted(set(v))] + [np.isin(v, list(sd[c])).astype(float)]
+    x, y = np.array(x).T, np.r_[np.zeros(n), np.ones(len(sd))]
+    w = np.where(y == 1, M.SEED_UPSAMPLE, 1.0) / (n + M.SEED_UPSAMPLE * len(sd))
+    beta, pen = np.zeros(x.shape[1]), np.r_[0.0, np.full(x.shape[1] - 1, M.GLM_RIDGE)]
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ beta))
+        beta -= np.linalg.solve((x.T * (w * p * (1 - p))) @ x + np.diag(pen), x.T @ (w * (p - y)) + pen * beta)
+    p = 1 / (1 + np.exp(-x[:n] @ beta))
+    want = (p - p.min()) / (p.max() - p.min()) * 100
+    assert np.allclose([alone[k] for k in it.item_id], want, atol=1e-5)
