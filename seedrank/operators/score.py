@@ -220,19 +220,20 @@ def metadata_glm(items: DataFrame, seeds: DataFrame, numeric: Sequence[str], cat
     so a set's scores do not depend on the other sets. A minimum frequency of 2 for a category
     needs no rule: a seed's value weighs 5, and all others are one category. Predicted
     probability → per-set 0..100 (range < 0.01 → p·100), NULL → 0."""
-    from seedrank.operators.clean import coerce_numeric, impute_median, impute_unknown, mask_unseen
+    from seedrank.operators.clean import UNSEEN, coerce_numeric, impute_median, impute_unknown
 
-    it = impute_unknown(coerce_numeric(items, numeric), categorical)
-    sd = impute_unknown(coerce_numeric(seeds, numeric), categorical)
-    it = impute_median(it, sd, numeric, key)
-    sd = impute_median(sd, it, numeric, key)
-    it = mask_unseen(it, sd, categorical, key)
     cols = [key, id_col, *numeric, *categorical]
-    both = (it.select(*cols, F.lit(0.0).alias("__y"), F.lit(1.0).alias("__w"))
-            .unionByName(sd.select(*cols, F.lit(1.0).alias("__y"), F.lit(float(upsample)).alias("__w"))))
+    both = (items.select(*cols, F.lit(0.0).alias("__y"), F.lit(1.0).alias("__w"))
+            .unionByName(seeds.select(*cols, F.lit(1.0).alias("__y"), F.lit(float(upsample)).alias("__w"))))
+    # the medians and the scaler read it, and so do the joins on the seeds' values
+    both = materialize(impute_unknown(coerce_numeric(both, numeric), categorical), "glm_input")
+    sd = both.where(F.col("__y") == 1.0)
+    # one median over items and seeds serves both; filling in a median does not move it
+    both = impute_median(both, None, numeric, key)
     stats = V.scaler_stats(both, numeric, key)
     both = V.standardize(both, stats, numeric, key)
     flags = in_seed_flags(both, sd, categorical, key)
+    flags = flags.withColumns({c: F.when(F.col(f"{c}_in_seeds") == 1, F.col(c)).otherwise(F.lit(UNSEEN)) for c in categorical})
     entry = lambda name, v: F.struct(name.alias("name"), v.cast("double").alias("v"))
     inputs = F.array(
         entry(F.lit(""), F.lit(1.0)),  # the intercept
