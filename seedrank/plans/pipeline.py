@@ -6,13 +6,13 @@ item table and any number of seed sets (one per ``set_id``).
     result.seeds     # seeds with their cluster
     result.scored    # every candidate with every score (written once, see below)
 
-Order (as the reference runs it): exclude seen (J3) → cosine (M3) → ridge (M2) → metadata
-match (M7, or the GLM M4) → era adjustment (T1–T7) → clusters (given centroids, or K-means
+Order (as the reference runs it): ``prepare`` (D1, J2, J4, V4, C1), then exclude seen (J3) → similarity
+filter (M1, C10, C14) → ridge (M2) → cosine (M3) → metadata match (M7, or the GLM M4) → era adjustment (T1–T7) → clusters (given centroids, or K-means
 with the elbow, M8–M12) → blend (R1, R2) → era factor (T9) → user recency (T10) → quota
 selection (R3–R6), with the ridge, GLM and cluster scores re-scaled to 0..100 when needed (V10)
 before the blend. Every step is keyed by ``set_id``; per-set parameters meet the items on that
-key. The scored candidates are written once (a handful of columns) before the selection
-windows read them, so the scoring passes are not re-run under each window.
+key. The candidates are written after the filter and after each model (the columns still
+needed), so every plan holds one model, and the selection windows do not re-run the scoring.
 """
 
 from __future__ import annotations
@@ -23,13 +23,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedrank.functions.params import materialize
+from seedrank.functions.params import bound_scope, count_key_bound, key_bound, materialize
 from seedrank.operators import cluster as K
 from seedrank.operators import era as E
 from seedrank.operators import score as M
 from seedrank.operators import select as R
 from seedrank.operators import vectors as V
-from seedrank.operators.enrich import exclude_seen
+from seedrank.operators.clean import drop_self_titled
+from seedrank.operators.dedup import dedup_by_key
+from seedrank.operators.enrich import enrich_from_items, exclude_seen, fill_tags_by_owner
 
 
 @dataclass
@@ -58,31 +60,78 @@ def elbow_centers(sz: DataFrame, id_col: str, dim: int, key: str = "set_id") ->
     return materialize(chosen, "centers")
 
 
+def prepare(items: DataFrame, seeds: DataFrame, *, name: str, owner: str, order_by: Sequence[str], tags: str | None = None,
+            vec: str | None = None, lookup: DataFrame | None = None, dim: int = 0, id_col: str = "item_id",
+            key: str = "set_id") -> tuple[DataFrame, DataFrame]:
+    """The steps before scoring: one row per track on both sides (D1), seeds take the catalogue's tags and
+    vectors (J2), missing tags come from the owner's other items (J4), seeds without a vector get one
+    from their tags (V4), self-titled items go (C1). Both results are written once."""
+    items = materialize(drop_self_titled(dedup_by_key(items, name, owner, order_by, key), name, owner), "items")
+    seeds = dedup_by_key(seeds, name, owner, order_by, key)
+    cols = [c for c in (tags, vec) if c and c in items.columns]
+    if cols:
+        seeds = enrich_from_items(seeds, items, name, owner, tags if tags in cols else None, vec if vec in cols else None,
+                                  order_by, key)
+    if tags and tags in items.columns:
+        seeds = fill_tags_by_owner(seeds, items, owner, tags)
+    if vec:
+        seeds = V.embed_seeds(materialize(seeds, "seeds_enriched"), [key, id_col], tags, vec, lookup, dim, recompute="all", key=key)
+    return items, materialize(seeds, "seeds")
+
+
+def _with_score(df: DataFrame, model, features: Sequence[str], score: str) -> DataFrame:
+    """``model(df)``'s score next to the rows as they came: a model fills missing features its own way,
+    and the next one must not see that. Written once, so the next model starts from a table and the plan
+    of the chain grows by one model at a time."""
+    raw = df.select("*", *[F.col(f).alias(f"__raw_{f}") for f in features])
+    kept = [F.col(f"__raw_{c}").alias(c) if c in features else F.col(c) for c in df.columns]
+    return materialize(model(raw).select(*kept, score), score)
+
+
 def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, key: str = "set_id",
               id_col: str = "item_id", name: str = "name", owner: str = "owner", year: str = "release_year",
               n: int = R.N_RECOMMENDATIONS, weights: dict[str, float] | None = None,
               models: Sequence[str] = ("cosine", "ridge", "match"), match_roles: dict[str, str] | None = None,
-              centers: DataFrame | None = None, recency: float = 0.0,
-              keep: Sequence[str] = ()) -> Recommendation:
-    """The full chain. ``centers`` (key, idx, center over the seed-scaled ``features``) gives
+              centers: DataFrame | None = None, recency: float = 0.0, similarity: float | None = None,
+              vec: str | None = None, dim: int = 0, keep: Sequence[str] = ()) -> Recommendation:
+    """The full chain. ``similarity`` (None: no filter) keeps the complete candidates at least that close
+    to the seeds (M1, C10, C14), over ``features`` and, if given, the ``dim`` values of ``vec``, before
+    anything else is fitted. ``centers`` (key, idx, center over the seed-scaled ``features``) gives
     the clusters; without it they come from K-means with the elbow rule. ``models`` picks the
-    scores; ``weights`` the blend (defaults renormalised over the scores present)."""
+    scores ('glm' fits M4, 'match' takes its deterministic form M7); ``weights`` the blend (defaults
+    renormalised over the scores present)."""
+    with bound_scope():
+        if key_bound(key) is None:
+            count_key_bound(items.select(key).unionByName(seeds.select(key)), key)
+        return _recommend(items, seeds, list(features), key, id_col, name, owner, year, n, weights, models, match_roles,
+                          centers, recency, similarity, vec, dim, keep)
+
+
+def _recommend(items, seeds, features, key, id_col, name, owner, year, n, weights, models, match_roles, centers, recency,
+               similarity, vec, dim, keep) -> Recommendation:
+    roles = match_roles or {"owner": owner}
     cand = exclude_seen(items, seeds, name, owner, key)
-    sc = M.cosine_score(cand, seeds, features, key)
+    used = dict.fromkeys([key, id_col, *features, year, *roles.values(), *keep])
+    if similarity is not None:
+        x = F.array(*[F.col(f).cast("double") for f in features])
+        x = F.concat(x, F.col(vec)) if vec else x
+        cand = M.similarity_filter(cand.select(*used, x.alias("__x")), seeds.withColumn("__x", x), "__x",
+                                   len(features) + (dim if vec else 0), key, similarity)
+    sc = materialize(cand.select(*used), "candidates")
     if "ridge" in models:
-        sc = M.ridge_score(sc, seeds, features, key)
-    if "match" in models:
+        sc = _with_score(sc, lambda df: M.ridge_score(df, seeds, features, key), features, "ridge_score")
+    if "cosine" in models:
+        sc = _with_score(sc, lambda df: M.cosine_score(df, seeds, features, key), features, "cosine_score")
+    if "glm" in models:
+        sc = _with_score(sc, lambda df: M.metadata_glm(df, seeds, features, list(roles.values()), key, id_col), features, "glm_score")
+    elif "match" in models:
         # the GLM's deterministic form: match fraction → per-set 0..100 (range < 0.01 → ·100), NULL → 0
-        roles = match_roles or {"owner": owner}
-        sc = M.metadata_match(sc, seeds, roles, key, out="glm_probability")
-        sc = V.minmax_100(sc, "glm_probability", "glm_score", flat="glm", key=key)
-        sc = sc.withColumn("glm_score", F.coalesce(F.col("glm_score"), F.lit(0.0)))
+        def match(df):
+            m = M.metadata_match(df, seeds, roles, key, out="glm_probability")
+            m = V.minmax_100(m, "glm_probability", "glm_score", flat="glm", key=key)
+            return m.withColumn("glm_score", F.coalesce(F.col("glm_score"), F.lit(0.0)))
+        sc = _with_score(sc, match, features, "glm_score")
     sc = E.apply_era(sc, E.era_params(seeds, year, key), year, key)
-    # the model scores are written once: clustering, V10, the blend and the selection then
-    # read a narrow table instead of re-running every scoring pass
-    model_cols = [c for c in ("cosine_score", "ridge_score", "glm_score") if c in sc.columns]
-    sc = materialize(sc.select(key, id_col, *features, year, *model_cols, "year_adjustment",
-                               *[c for c in keep if c not in features]), "model_scores")
 
     cz, sz = seed_scaled(sc, seeds, features, key)
     if centers is None:

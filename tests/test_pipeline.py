@@ -1,7 +1,9 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from seedrank.operators import score as M
 from seedrank.operators import vectors as V
+from seedrank.operators.enrich import exclude_seen
 from seedrank.plans import pipeline as P
 
 RNG = np.random.default_rng(11)
@@ -55,3 +57,37 @@ def test_insights_frames(spark):
     assert ins["feature_levels"].count() == 2 and ins["pca"].count() == 120
     assert ins["feature_profile"].where("series = 'seed mean'").count() == 2
     assert {r.tag for r in ins["tag_counts"].collect()} == {"pop", "rock", "jazz"}
+
+
+def test_chain_on_text_ids_with_missing_values_and_filter(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for s in ("mix a", "mix b"):
+        for i in range(120):
+            a, b = (float(v) for v in rng.normal(size=2))
+            rows.append((s, f"{s}:{i}", f"t{i}", f"o{i % 9}", 1990 + i % 20, a, None if i % 17 == 3 else b))
+    items = spark.createDataFrame(rows, "set_id string, item_id string, name string, owner string, release_year int, a double, b double")
+    seeds = items.where(F.substring_index("item_id", ":", -1).cast("int") % 10 == 0)  # test fixture
+    r = P.recommend(items, seeds, ["a", "b"], n=10)
+    assert r.recs.count() == 20
+    # ridge inside the chain is ridge alone: no other model's filling reaches it
+    alone = M.ridge_score(exclude_seen(items, seeds, "name", "owner"), seeds, ["a", "b"])
+    want = {x.item_id: x.ridge_score for x in V.rescale_if_needed(alone, "ridge_score").collect()}
+    got = {x.item_id: x.ridge_score for x in r.scored.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - v) < 1e-6 for k, v in want.items())
+    close = P.recommend(items, seeds, ["a", "b"], n=10, similarity=0.6, models=("cosine", "glm"))
+    kept = {x.item_id for x in close.scored.collect()}
+    assert 0 < len(kept) < len(want) and not kept & {x.item_id for x in items.where("b IS NULL").collect()}
+
+
+def test_prepare_joins_and_embeds(spark):
+    items = spark.createDataFrame([("s", "1", "a", "x", "pop, rock", [1.0, 1.0]), ("s", "2", "A ", "x", "jazz", [9.0, 9.0]),
+                                   ("s", "3", "y", "y", "jazz", [2.0, 2.0]), ("s", "4", "c", "z", "rock", [3.0, 3.0])],
+                                  "set_id string, item_id string, name string, owner string, g string, v array<double>")
+    seeds = spark.createDataFrame([("s", "p", "a", "X", None, None), ("s", "q", "new", "z", None, None)], items.schema)
+    lk = spark.createDataFrame([("pop", [1.0, 0.0]), ("rock", [0.0, 1.0])], "tag string, vec array<double>")
+    it, sd = P.prepare(items, seeds, name="name", owner="owner", order_by=["item_id"], tags="g", vec="v", lookup=lk, dim=2)
+    assert {r.item_id for r in it.collect()} == {"1", "4"}  # a second "a" and the self-titled "y" go
+    got = {r.item_id: (r.g, r.v) for r in sd.collect()}
+    # one seed has no catalogue vector, so the whole set is embedded from its tags
+    assert got == {"p": ("pop, rock", [0.5, 0.5]), "q": ("rock", [0.0, 1.0])}
