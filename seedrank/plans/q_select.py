@@ -10,7 +10,7 @@ from seedrank.operators import select as R
 from seedrank.operators import stats as A
 from seedrank.plans import sqlgen as S
 from seedrank.plans import pipeline as P
-from seedrank.plans.q_models import CLUSTER_CTES, clusters_frames, seed_scaled_frames
+from seedrank.plans.q_models import CLUSTER_CTES, _ridge_sql, clusters_frames, seed_scaled_frames
 from seedrank.plans.q_stats import era_sql
 from seedrank.plans.queries import FEATURES, base_tables, candidates, out, register, score_core
 
@@ -165,6 +165,49 @@ def feature_profile(spark, d):
     return out(A.feature_profile(sd, feats, FEATURES), ["set_id", "series", "feature", "value"])
 
 
+# ------------------------------------------------------------------ R10 with several weighted scores
+
+def _blend_ctes() -> list[str]:
+    ridge = _ridge_sql(FEATURES)
+    ridge = ridge[:ridge.rindex("SELECT set_id, item_id, round(ridge_fitness")]  # its CTEs, unrounded below
+    seen = ", ".join(f"CASE WHEN EXISTS (SELECT 1 FROM sd WHERE sd.set_id = cand.set_id AND sd.{c} = cand.{c}) THEN 1 ELSE 0 END AS {c}_in"
+                     for c in ("owner", "album", "label"))
+    fixed = lambda c: (f"CASE WHEN max({c}) OVER s > 100 OR min({c}) OVER s < 0 OR max({c}) OVER s - min({c}) OVER s < 0.01 THEN "
+                       f"CASE WHEN max({c}) OVER s > min({c}) OVER s THEN ({c} - min({c}) OVER s) / (max({c}) OVER s - min({c}) OVER s) * 100.0 "
+                       f"ELSE 0.0 END ELSE {c} END")
+    return [
+        *S.cosine_score_ctes("cand", "sd", FEATURES, "cos"), *era_sql("cos", "sd", "era"), *CLUSTER_CTES,
+        f"rg AS ({ridge} SELECT set_id, item_id, CASE WHEN hi > lo THEN (ridge_fitness - lo) / (hi - lo) * 100.0 ELSE 50.0 END AS ridge_score "
+        "FROM pr JOIN mm USING (set_id))",
+        f"mt0 AS (SELECT set_id, item_id, {seen} FROM cand)",
+        "mt AS (SELECT set_id, item_id, (0.5 * owner_in + 0.2 * album_in + 0.2 * label_in) / 0.9 AS p FROM mt0)",
+        "gl AS (SELECT set_id, item_id, CASE WHEN max(p) OVER s - min(p) OVER s < 0.01 THEN p * 100.0 "
+        "ELSE (p - min(p) OVER s) / (max(p) OVER s - min(p) OVER s) * 100.0 END AS glm_score FROM mt WINDOW s AS (PARTITION BY set_id))",
+        "al AS (SELECT era.*, ridge_score AS r0, glm_score AS g0 FROM era JOIN rg USING (set_id, item_id) JOIN gl USING (set_id, item_id))",
+        f"sco AS (SELECT *, {fixed('r0')} AS ridge_score, {fixed('g0')} AS glm_score FROM al WINDOW s AS (PARTITION BY set_id))",
+        "b AS (SELECT *, (coalesce(cosine_score, 0.0) * 0.6 + coalesce(ridge_score, 0.0) * 0.25 + coalesce(glm_score, 0.0) * 0.1) / 0.95 "
+        "* (1.0 - year_adjustment / 100.0) AS base_score FROM sco)",
+        "sc AS (SELECT b.*, ca.cluster FROM b JOIN ca USING (set_id, item_id))",
+    ]
+
+
+_BLEND_COLS = ["set_id", "rank", "item_id", "cluster", "cosine_score", "ridge_score", "glm_score", "base_score"]
+
+
+@register("recommend_blend", S.base(*_blend_ctes(), *_QUOTA, *_SELECT)
+          + "SELECT rec.set_id, rec.rank, rec.item_id, rec.cluster, round(sc.cosine_score, 6) AS cosine_score, "
+            "round(sc.ridge_score, 6) AS ridge_score, round(sc.glm_score, 6) AS glm_score, round(rec.base_score, 6) AS base_score "
+            "FROM rec JOIN sc USING (set_id, item_id)")
+def recommend_blend(spark, d):
+    """R10 with cosine, ridge and metadata match under the default weights renormalised over those three
+    (R1, R2), given clusters, era adjustment and quota selection."""
+    it, sd = base_tables(spark, d)
+    _, _, cen = seed_scaled_frames(it, sd)
+    r = P.recommend(it, sd, FEATURES, models=("cosine", "ridge", "match"), centers=cen,
+                    match_roles={"owner": "owner", "album": "album", "label": "label"})
+    return out(r.recs.withColumn("rank", F.col("rank").cast("int")), _BLEND_COLS)
+
+
 # ------------------------------------------------------------------ R10, the reference's default flow
 
 @register("recommend_full")
