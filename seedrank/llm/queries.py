@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seedrank.llm import decontam, exact_stream, langid, lm_score, packing, quality, simhash, substring, suffix_dedup, url_filter
+from seedrank.llm import decontam, exact_stream, langid, lm_score, oracle, packing, quality, simhash, substring, suffix_dedup, url_filter
 from seedrank.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_suffix_dedup": oracle.SUFFIX_DEDUP,
+    "op4_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op7_url_filter": oracle.url_filter(url_filter.RULES, url_filter.DAMPING, url_filter.BLOCK_SHARE),
+    "op9_exact_dedup": oracle.EXACT_DEDUP,
+    "op10_decontamination": oracle.DECONTAMINATION,
+}
 
 
 def register(fn):
