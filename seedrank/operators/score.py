@@ -240,9 +240,9 @@ def metadata_glm(items: DataFrame, seeds: DataFrame, numeric: Sequence[str], cat
         *[entry(F.lit(f"z:{c}"), F.coalesce(F.col(f"z_{c}"), F.lit(0.0))) for c in numeric],
         *[entry(F.concat(F.lit(f"{c}="), F.col(c).cast("string")), F.lit(1.0)) for c in categorical],
         *[entry(F.lit(f"seen:{c}"), F.col(f"{c}_in_seeds")) for c in categorical])
-    # the fit reads these rows once per round: written once
-    rows = materialize(flags.select(key, id_col, "__y", "__w", F.filter(inputs, lambda e: e["v"] != 0).alias("__f")), "glm_train")
-    fits = logistic_fits(rows, key, reg, max_rounds, max_inputs)
+    rows = flags.select(key, id_col, "__y", "__w", F.filter(inputs, lambda e: e["v"] != 0).alias("__f"))
+    rows = number_inputs(materialize(rows, "glm_inputs"), key, max_inputs)
+    fits = logistic_fits(rows, key, reg, max_rounds)
     pred = attach(rows.where(F.col("__y") == 0.0), fits, key)
     pred = pred.select(key, id_col, _probability().alias("glm_probability"))
     scored = V.minmax_100(pred, "glm_probability", out, flat="glm", key=key)
@@ -250,60 +250,72 @@ def metadata_glm(items: DataFrame, seeds: DataFrame, numeric: Sequence[str], cat
     return items.join(scored, [key, id_col], "left")
 
 
+def number_inputs(rows: DataFrame, key: str, max_inputs: int = GLM_MAX_INPUTS) -> DataFrame:
+    """``rows`` with ``__f`` array<struct<i, v>> for array<struct<name, v>>: a set's input names numbered
+    from 0 in their order (the intercept, name '', is 0), so that a round of the fit looks a coefficient
+    up by position. Written once; the fit reads it once per round.
+
+    A set has as many inputs as its seeds have values; beyond ``max_inputs`` a system would not fit a
+    task and the fit is refused (``metadata_match`` has no such bound)."""
+    names = rows.select(key, F.explode("__f.name").alias("n")).distinct()
+    widest = names.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if widest > max_inputs:
+        raise ValueError(f"a set has {widest} inputs, more than max_inputs = {max_inputs}; use metadata_match")
+    numbers = names.groupBy(key).agg(F.array_sort(F.collect_list("n")).alias("__n")).select(
+        key, F.map_from_arrays("__n", F.transform("__n", lambda n, i: i)).alias("__at"))
+    numbered = attach(rows, numbers, key).withColumn("__f", F.transform("__f", lambda e: F.struct(
+        F.try_element_at(F.col("__at"), e["name"]).alias("i"), e["v"].alias("v"))))
+    return materialize(numbered.drop("__at"), "glm_train")
+
+
 def _probability():
     """Logistic of Σ value · coefficient; an input without a coefficient counts 0."""
-    margin = F.aggregate("__f", F.lit(0.0), lambda acc, e: acc + e["v"] * F.coalesce(
-        F.try_element_at(F.col("__b"), e["name"]), F.lit(0.0)))
+    margin = F.aggregate("__f", F.lit(0.0), lambda acc, e: acc + e["v"] * F.coalesce(F.get(F.col("__b"), e["i"]), F.lit(0.0)))
     return 1.0 / (1.0 + F.exp(-margin))
 
 
-def logistic_fits(rows: DataFrame, key: str, reg: float, max_rounds: int = GLM_MAX_ROUNDS,
-                  max_inputs: int = GLM_MAX_INPUTS, tol: float = 1e-9) -> DataFrame:
-    """Ridge logistic regression of every set at once by Newton rounds → (key, ``__b`` map of input
-    name → coefficient). Minimises Σ w·loss / Σ w + reg/2·|b|² (intercept, name '', free).
+def logistic_fits(rows: DataFrame, key: str, reg: float, max_rounds: int = GLM_MAX_ROUNDS, tol: float = 1e-9) -> DataFrame:
+    """Ridge logistic regression of every set at once by Newton rounds → (key, ``__b`` coefficients by
+    input number). Minimises Σ w·loss / Σ w + reg/2·|b|² (intercept, number 0, free).
 
-    ``rows``: key, ``__y``, ``__w``, ``__f`` array<struct<name, v>> (non-zero inputs). A round sums the
-    gradient and the second derivatives per (set, input, input) over all rows, a partial aggregate, and
-    solves one system per set over those sums. A set has as many inputs as its seeds have values; beyond
-    ``max_inputs`` a system would not fit a task and the fit is refused (``metadata_match`` has no such
-    bound)."""
+    ``rows``: key, ``__y``, ``__w``, ``__f`` array<struct<i, v>> (non-zero inputs, ``number_inputs``). A
+    round sums the gradient and the second derivatives per (set, input, input) over all rows, a partial
+    aggregate over whole numbers, and solves one system per set over those sums."""
     key_type = dict(rows.dtypes)[key]
-    widest = (rows.select(key, F.explode("__f.name").alias("n")).distinct().groupBy(key)
-              .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0)
-    if widest > max_inputs:
-        raise ValueError(f"a set has {widest} inputs, more than max_inputs = {max_inputs}; use metadata_match")
+    # second number of a sum that is no second derivative (total weight: both)
+    slope_of, old_of = -1, -2
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = pdf[pdf["kind"] == "g"]
-        names = g["i"].tolist()
-        at = {n: i for i, n in enumerate(names)}
-        old = pdf[pdf["kind"] == "b"].set_index("i")["x"].to_dict()
-        beta = np.array([old.get(n, 0.0) for n in names])
-        total = float(pdf.loc[pdf["kind"] == "w", "x"].iloc[0])
-        h = np.zeros((len(names), len(names)))
-        second = pdf[pdf["kind"] == "h"]
-        i, j = second["i"].map(at).to_numpy(), second["j"].map(at).to_numpy()
-        h[i, j] = h[j, i] = second["x"].to_numpy() / total
-        ridge = np.array([0.0 if n == "" else reg for n in names])
-        step = np.linalg.solve(h + np.diag(ridge) + 1e-12 * np.eye(len(names)), g["x"].to_numpy() / total + ridge * beta)
-        return pd.DataFrame({key: [pdf[key].iloc[0]] * len(names), "i": names, "b": beta - step, "step": np.abs(step)})
-
-    fits = rows.select(key).distinct().select(key, F.create_map().cast("map<string,double>").alias("__b"))
-    text = F.lit(None).cast("string")
-    term = lambda kind, i, j, x: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), x.alias("x"))
+        i, j, x = pdf["i"].to_numpy(), pdf["j"].to_numpy(), pdf["x"].to_numpy()
+        total = x[i == slope_of][0]
+        n = int(i.max()) + 1
+        g, old, h = np.zeros(n), np.zeros(n), np.zeros((n, n))
+        at = (j == slope_of) & (i >= 0)
+        g[i[at]] = x[at] / total
+        old[i[j == old_of]] = x[j == old_of]
+        at = j >= 0
+        h[i[at], j[at]] = h[j[at], i[at]] = x[at] / total
+        ridge = np.full(n, reg)
+        ridge[0] = 0.0
+        step = np.linalg.solve(h + np.diag(ridge) + 1e-12 * np.eye(n), g + ridge * old)
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "__b": [(old - step).tolist()], "__step": [float(np.abs(step).max())]})
+
+    fits = rows.select(key).distinct().select(key, F.array().cast("array<double>").alias("__b"))
+    term = lambda i, j, x: F.struct(i.alias("i"), j.alias("j"), x.alias("x"))
+    mark = F.lit(slope_of)
     for _ in range(max_rounds):
         r = attach(rows, fits, key).select(key, "__f", "__y", "__w", _probability().alias("__p"))
-        slope, curve = F.col("__w") * (F.col("__p") - F.col("__y")), F.col("__w") * F.col("__p") * (1.0 - F.col("__p"))
-        first = F.transform("__f", lambda e: term("g", e["name"], text, e["v"] * slope))
+        r = r.select(key, "__f", "__w", (F.col("__w") * (F.col("__p") - F.col("__y"))).alias("__s"),
+                     (F.col("__w") * F.col("__p") * (1.0 - F.col("__p"))).alias("__c"))
+        first = F.transform("__f", lambda e: term(e["i"], mark, e["v"] * F.col("__s")))
         second = F.flatten(F.transform("__f", lambda a: F.transform(
-            F.filter("__f", lambda e: e["name"] >= a["name"]), lambda e: term("h", a["name"], e["name"], a["v"] * e["v"] * curve))))
-        weight = F.array(term("w", text, text, F.col("__w")))
-        sums = (r.select(key, F.explode(F.concat(first, second, weight)).alias("t")).select(key, "t.*")
-                .groupBy(key, "kind", "i", "j").agg(F.sum("x").alias("x")))
-        now = fits.select(key, F.lit("b").alias("kind"), F.explode("__b").alias("i", "x")).select(key, "kind", "i", text.alias("j"), "x")
-        solved = sums.unionByName(now).groupBy(key).applyInPandas(solve, schema=f"{key} {key_type}, i string, b double, step double")
-        fits = materialize(solved.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("i", "b"))).alias("__b"),
-                                                   F.max("step").alias("__step")), "glm_fits")
+            F.filter("__f", lambda e: e["i"] >= a["i"]), lambda e: term(a["i"], e["i"], a["v"] * e["v"] * F.col("__c")))))
+        weight = F.array(term(mark, mark, F.col("__w")))
+        sums = (r.select(key, F.explode(F.concat(first, second, weight)).alias("t")).select(key, "t.i", "t.j", "t.x")
+                .groupBy(key, "i", "j").agg(F.sum("x").alias("x")))
+        now = fits.select(key, F.posexplode("__b").alias("i", "x")).select(key, "i", F.lit(old_of).alias("j"), "x")
+        solved = sums.unionByName(now).groupBy(key).applyInPandas(solve, schema=f"{key} {key_type}, __b array<double>, __step double")
+        fits = materialize(solved, "glm_fits")
         moved = fits.agg(F.max("__step")).first()[0]
         fits = fits.drop("__step")
         if moved is None or moved < tol:
