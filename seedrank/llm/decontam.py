@@ -18,7 +18,6 @@ repeated documents are judged row by row. Extra columns are ignored. Empty table
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np
@@ -33,6 +32,7 @@ from seedrank.llm.tables import Staged
 WINDOW = 13
 #: test words taken to the tasks at once; more are searched in further blocks
 BLOCK_WORDS = 2_000_000
+SPANS = "array<struct<s int, e int>>"
 
 
 def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +107,7 @@ def intersect(counts: np.ndarray, postings: np.ndarray, q: Queries, slack: int =
 
 def matches(stored: DataFrame, q: Queries, slack: int = 0) -> DataFrame:
     """(chunk, i, doc_id, n_words, spans, near, items): per document of the index its merged hit
-    spans (int32 pairs of word numbers), its proximity spans, and the items found as phrases."""
+    spans (first word, word after the last), its proximity spans, and the items found as phrases."""
     queries = stored.sparkSession.sparkContext.broadcast(q)
 
     def run(batches):
@@ -128,15 +128,13 @@ def matches(stored: DataFrame, q: Queries, slack: int = 0) -> DataFrame:
                             into.setdefault(d, []).append((s, s + int(q.length[w])))
                             if into is spans:
                                 items.setdefault(d, set()).update(q.items[w])
-                merged = [merge(spans.get(d, ())) for d in range(n)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["chunk"]] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(row["doc_ids"], pa.int64()),
-                     pa.array(np.diff(bounds)), pa.array([m.tobytes() for m in merged], pa.binary()),
-                     pa.array([merge(near.get(d, ())).tobytes() for d in range(n)], pa.binary()),
+                     pa.array(np.diff(bounds)), span_lists([merge(spans.get(d, ())) for d in range(n)]), span_lists([merge(near.get(d, ())) for d in range(n)]),
                      pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string()))],
                     names=["chunk", "i", "doc_id", "n_words", "spans", "near", "items"])
 
-    return stored.mapInArrow(run, "chunk long, i long, doc_id long, n_words long, spans binary, near binary, items array<string>")
+    return stored.mapInArrow(run, f"chunk long, i long, doc_id long, n_words long, spans {SPANS}, near {SPANS}, items array<string>")
 
 
 def merge(spans) -> np.ndarray:
@@ -145,6 +143,13 @@ def merge(spans) -> np.ndarray:
     return np.stack([s, e], axis=1).astype(np.int32)
 
 
+def span_lists(merged: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate(merged) if merged else np.zeros((0, 2), np.int32)
+    bounds = np.concatenate(([0], np.cumsum([len(m) for m in merged]))).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, k])) for k in (0, 1)], names=["s", "e"])
+    return pa.ListArray.from_arrays(pa.array(bounds), pairs)
+
+
 def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int = 0, block_words: int = BLOCK_WORDS,
            id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, n_words, spans, near, items) of every row of ``docs``; lists of one entry a block."""
@@ -179,21 +184,16 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: i
 def judge(found: DataFrame, per_hit: int = 20) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) from ``search``: contaminated if
     words are hit and ``per_hit`` times their number is at least the document's words."""
-    def run(batches):
-        for b in batches:
-            hits, digests, n_items = [], [], []
-            for spans, items in zip(b.column("spans").to_pylist(), b.column("items").to_pylist()):
-                parts = np.concatenate([np.frombuffer(s, np.int32).reshape(-1, 2) for s in spans])
-                m = merge(map(tuple, parts.tolist())) if len(spans) > 1 else parts
-                hits.append(int((m[:, 1] - m[:, 0]).sum()))
-                digests.append(hashlib.sha256(",".join(sorted(items)).encode()).hexdigest())
-                n_items.append(len(items))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_words"), pa.array(hits, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digests, pa.string())],
-                                             names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256"])
-
-    return (found.select("doc_id", "n_words", "spans", "items")
-            .mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string")
-            .withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(per_hit) * F.col("n_hit") >= F.col("n_words"))))
+    # words in the union of the blocks' spans, which may overlap: from left to right
+    def add(acc, span):
+        new = span["e"] - F.greatest(acc["till"], span["s"])
+        return F.struct(F.greatest(acc["till"], span["e"]).alias("till"), (acc["n"] + F.greatest(new, F.lit(0))).cast("long").alias("n"))
+
+    n_hit = F.aggregate(F.array_sort(F.flatten("spans")), F.struct(F.lit(0).alias("till"), F.lit(0).cast("long").alias("n")), add)["n"]
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+    ).withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(per_hit) * F.col("n_hit") >= F.col("n_words")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
