@@ -32,7 +32,6 @@ from seedrank.llm.tables import Staged
 WINDOW = 13
 #: test words taken to the tasks at once; more are searched in further blocks
 BLOCK_WORDS = 2_000_000
-SPANS = "array<struct<s int, e int>>"
 
 
 def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,8 +105,9 @@ def intersect(counts: np.ndarray, postings: np.ndarray, q: Queries, slack: int =
 
 
 def matches(stored: DataFrame, q: Queries, slack: int = 0) -> DataFrame:
-    """(chunk, i, doc_id, n_words, spans, near, items): per document of the index its merged hit
-    spans (first word, word after the last), its proximity spans, and the items found as phrases."""
+    """(chunk, i, doc_id, n_words, spans, near, hits, items): per document of the index its merged hit
+    spans (int32 pairs of word numbers; ``hits``: the same as structs), its proximity spans, and the
+    items found as phrases."""
     queries = stored.sparkSession.sparkContext.broadcast(q)
 
     def run(batches):
@@ -128,13 +128,15 @@ def matches(stored: DataFrame, q: Queries, slack: int = 0) -> DataFrame:
                             into.setdefault(d, []).append((s, s + int(q.length[w])))
                             if into is spans:
                                 items.setdefault(d, set()).update(q.items[w])
+                merged = [merge(spans.get(d, ())) for d in range(n)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["chunk"]] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(row["doc_ids"], pa.int64()),
-                     pa.array(np.diff(bounds)), span_lists([merge(spans.get(d, ())) for d in range(n)]), span_lists([merge(near.get(d, ())) for d in range(n)]),
+                     pa.array(np.diff(bounds)), pa.array([m.tobytes() for m in merged], pa.binary()),
+                     pa.array([merge(near.get(d, ())).tobytes() for d in range(n)], pa.binary()), span_lists(merged),
                      pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string()))],
-                    names=["chunk", "i", "doc_id", "n_words", "spans", "near", "items"])
+                    names=["chunk", "i", "doc_id", "n_words", "spans", "near", "hits", "items"])
 
-    return stored.mapInArrow(run, f"chunk long, i long, doc_id long, n_words long, spans {SPANS}, near {SPANS}, items array<string>")
+    return stored.mapInArrow(run, "chunk long, i long, doc_id long, n_words long, spans binary, near binary, hits array<struct<s int, e int>>, items array<string>")
 
 
 def merge(spans) -> np.ndarray:
@@ -152,7 +154,8 @@ def span_lists(merged: list[np.ndarray]) -> pa.Array:
 
 def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: int = 0, block_words: int = BLOCK_WORDS,
            id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, n_words, spans, near, items) of every row of ``docs``; lists of one entry a block."""
+    """(doc_id, n_words, spans, near, hits, items) of every row of ``docs``; lists of one entry a block
+    (``hits``: one list of structs)."""
     stage = Staged(docs.sparkSession, "decontam")
 
     def hashed(batches):
@@ -175,10 +178,10 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: i
     for f in found[1:]:
         out = out.unionByName(f)
     if blocks == 1:
-        return out.select("doc_id", "n_words", F.array("spans").alias("spans"), F.array("near").alias("near"), "items")
+        return out.select("doc_id", "n_words", F.array("spans").alias("spans"), F.array("near").alias("near"), "hits", "items")
     return out.groupBy("chunk", "i").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_list("spans").alias("spans"),
-        F.collect_list("near").alias("near"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")).drop("chunk", "i")
+        F.collect_list("near").alias("near"), F.flatten(F.collect_list("hits")).alias("hits"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")).drop("chunk", "i")
 
 
 def judge(found: DataFrame, per_hit: int = 20) -> DataFrame:
@@ -189,7 +192,7 @@ def judge(found: DataFrame, per_hit: int = 20) -> DataFrame:
         new = span["e"] - F.greatest(acc["till"], span["s"])
         return F.struct(F.greatest(acc["till"], span["e"]).alias("till"), (acc["n"] + F.greatest(new, F.lit(0))).cast("long").alias("n"))
 
-    n_hit = F.aggregate(F.array_sort(F.flatten("spans")), F.struct(F.lit(0).alias("till"), F.lit(0).cast("long").alias("n")), add)["n"]
+    n_hit = F.aggregate(F.array_sort("hits"), F.struct(F.lit(0).alias("till"), F.lit(0).cast("long").alias("n")), add)["n"]
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
