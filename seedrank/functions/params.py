@@ -106,9 +106,14 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def write_once(df: DataFrame, name: str) -> str:
     """The folder ``df`` was written to."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/seedrank-{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder name of its own in the shared folder, for ``drop_written`` to remove."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/seedrank-{name}-{uuid.uuid4().hex}"
     _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 

@@ -20,16 +20,30 @@ def read_items(spark: SparkSession, path: str | Sequence[str], schema: str | Non
 
 def read_seeds(spark: SparkSession, path: str | Sequence[str], schema: str | None = None,
                set_col: str = "set_id") -> DataFrame:
-    """One or many seed-set CSVs (a UTF-8 BOM is dropped by the reader); the set id is
-    the source file name without extension."""
+    """One or many seed-set CSVs (a UTF-8 BOM is dropped by the reader); the set id is the source
+    file name without extension, or the folder's value where the sets were written partitioned by it."""
     df = read_items(spark, path, schema)
+    if set_col in df.columns:
+        return df
     name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
     return df.withColumn(set_col, name)
 
 
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """The data files of a folder (Hadoop file status; names that begin with '_' or '.' are not data)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in fs.listStatus(path) if s.isFile() and s.getPath().getName()[0] not in "_.")
+
+
 def _header(spark: SparkSession, path: str) -> str:
-    first = spark.read.text(path).limit(1).collect()
-    return first[0][0].lstrip("﻿") if first else ""
+    """First line of a file, read on the driver without a job."""
+    jvm, p = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p), "UTF-8"))
+    try:
+        return (lines.readLine() or "").lstrip("\ufeff")
+    finally:
+        lines.close()
 
 
 def merge_sources(spark: SparkSession, files: Sequence[str]) -> DataFrame:
@@ -61,16 +75,21 @@ def source_counts(df: DataFrame, file_col: str = "source_file") -> DataFrame:
     return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def read_vector_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """JSON object {key: [floats]} → (tag, vec); keys lower-cased and trimmed."""
-    txt = spark.read.text(path, wholetext=True)
-    m = txt.select(F.from_json("value", "map<string,array<double>>").alias("m"))
-    return m.select(F.explode("m").alias("k", "vec")).select(F.lower(F.trim("k")).alias("tag"), "vec")
+def read_vector_lookup(spark: SparkSession, path: str, form: str = "object") -> DataFrame:
+    """(tag, vec); keys lower-cased and trimmed. ``form``: 'object', each file one JSON object
+    {key: [floats]} (read whole by one task, so for small files); 'object_lines', such an object on
+    each line; 'lines', the JSON lines that ``write_vector_lookup`` writes. The last two are split."""
+    if form == "lines":
+        pairs = spark.read.schema("tag string, vec array<double>").json(path).select(F.col("tag").alias("k"), "vec")
+    else:
+        txt = spark.read.text(path, wholetext=form == "object")
+        pairs = txt.select(F.explode(F.from_json("value", "map<string,array<double>>")).alias("k", "vec"))
+    return pairs.select(F.lower(F.trim("k")).alias("tag"), "vec")
 
 
-def read_seed_genres(spark: SparkSession, path: str, field: str = "genres") -> DataFrame:
-    """JSON {"genres": [...]} → one row per value."""
-    return spark.read.option("multiLine", "true").json(path).select(F.explode(field).alias("tag"))
+def read_seed_genres(spark: SparkSession, path: str, field: str = "genres", lines: bool = False) -> DataFrame:
+    """JSON {"genres": [...]}, one object a file or (``lines``) a line → one row per value."""
+    return spark.read.option("multiLine", str(not lines).lower()).json(path).select(F.explode(field).alias("tag"))
 
 
 def cache_items(df: DataFrame) -> DataFrame:
@@ -80,13 +99,14 @@ def cache_items(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
-                mode: str = "overwrite") -> None:
-    """Write recommendations, clustered seeds or cleaned items."""
+                mode: str = "overwrite", sep: str = ",") -> None:
+    """Write recommendations, clustered seeds or cleaned items. CSV cells keep their white
+    space and quotes (doubled), so that ``read_items`` reads them back unchanged."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", "true").csv(path)
+        w.options(header="true", sep=sep, escape='"', quote='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
     else:
         w.format(fmt).save(path)
 
