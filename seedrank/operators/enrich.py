@@ -81,6 +81,20 @@ def fill_tags_by_owner(targets: DataFrame, catalogue: DataFrame, owner: str, tag
     return j.select(*[val.alias(c) if c == tags else F.col(c) for c in targets.columns])
 
 
+def fill_tags(targets: DataFrame, catalogue: DataFrame, owner: str, tags: str, name: str | None = None,
+              reference: DataFrame | None = None, top: int = 3) -> DataFrame:
+    """J4 with its first step: rows without tags take those of the same track (name and owner in any case)
+    in ``reference`` (columns ``name``, ``owner``, ``tags``; the smallest text of a track listed more than
+    once), the rest as ``fill_tags_by_owner``."""
+    if reference is not None and name is not None:
+        known = reference.where(F.trim(F.col(tags)) != "").groupBy(track_key(name, owner).alias("__k")).agg(F.min(tags).alias("__ref"))
+        missing = F.col(tags).isNull() | (F.col(tags) == "")
+        t = targets.withColumn("__t", F.when(missing, track_key(name, owner)))
+        j = t.join(known, F.col("__t") == F.col("__k"), "left")
+        targets = j.select(*[F.coalesce(F.col("__ref"), F.col(tags)).alias(c) if c == tags else F.col(c) for c in targets.columns])
+    return fill_tags_by_owner(targets, catalogue, owner, tags, top)
+
+
 def lookup_vectors(rows: DataFrame, id_cols: Sequence[str], tags: str, lookup: DataFrame, dim: int,
                    key_col: str = "tag", vec_col: str = "vec", out: str = "vec") -> DataFrame:
     """J5 + V3: explode each row's tag list, try the tag, the tag with blanks→dashes and with

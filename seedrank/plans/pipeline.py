@@ -31,7 +31,7 @@ from seedrank.operators import select as R
 from seedrank.operators import vectors as V
 from seedrank.operators.clean import drop_self_titled
 from seedrank.operators.dedup import dedup_by_key
-from seedrank.operators.enrich import enrich_from_items, exclude_seen, fill_tags_by_owner
+from seedrank.operators.enrich import enrich_from_items, exclude_seen, fill_tags
 
 
 @dataclass
@@ -62,9 +62,9 @@ def elbow_centers(sz: DataFrame, id_col: str, dim: int, key: str = "set_id") ->
 
 def prepare(items: DataFrame, seeds: DataFrame, *, name: str, owner: str, order_by: Sequence[str], tags: str | None = None,
             vec: str | None = None, lookup: DataFrame | None = None, dim: int = 0, id_col: str = "item_id",
-            key: str = "set_id") -> tuple[DataFrame, DataFrame]:
+            key: str = "set_id", reference: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The steps before scoring: one row per track on both sides (D1), seeds take the catalogue's tags and
-    vectors (J2), missing tags come from the owner's other items (J4), seeds without a vector get one
+    vectors (J2), missing tags come from ``reference`` (the same track's) or the owner's other items (J4), seeds without a vector get one
     from their tags (V4), self-titled items go (C1). Both results are written once."""
     items = materialize(drop_self_titled(dedup_by_key(items, name, owner, order_by, key), name, owner), "items")
     seeds = dedup_by_key(seeds, name, owner, order_by, key)
@@ -73,7 +73,7 @@ def prepare(items: DataFrame, seeds: DataFrame, *, name: str, owner: str, order_
         seeds = enrich_from_items(seeds, items, name, owner, tags if tags in cols else None, vec if vec in cols else None,
                                   order_by, key)
     if tags and tags in items.columns:
-        seeds = fill_tags_by_owner(seeds, items, owner, tags)
+        seeds = fill_tags(seeds, items, owner, tags, name, reference)
     if vec:
         seeds = V.embed_seeds(materialize(seeds, "seeds_enriched"), [key, id_col], tags, vec, lookup, dim, recompute="all", key=key)
     return items, materialize(seeds, "seeds")

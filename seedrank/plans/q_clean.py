@@ -262,6 +262,25 @@ def fill_tags_by_owner(spark, d):
     return J.fill_tags_by_owner(tg, cat, "owner", "tags").select("p_partkey", "owner", "tags")
 
 
+@register("fill_tags", "WITH pt AS (SELECT p_partkey, p_name, p_brand, p_size, replace(p_name, ' ', ',') AS tags FROM part),"
+          " tg AS (SELECT p_partkey, p_name, p_brand AS owner FROM pt WHERE p_size <= 5),"
+          " rf AS (SELECT lower(trim(p_name)) || '|' || lower(trim(p_brand)) AS k, min('size ' || p_size) AS ref FROM pt WHERE p_size BETWEEN 6 AND 20 GROUP BY k),"
+          " ex AS (SELECT lower(p_brand) AS o, lower(trim(t)) AS t FROM (SELECT p_brand, unnest(string_split(tags, ',')) AS t FROM pt WHERE p_size > 5)),"
+          " cnt AS (SELECT o, t, count(*) AS n FROM ex WHERE t <> '' GROUP BY o, t),"
+          " best AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY n DESC, t) AS r FROM cnt),"
+          " f AS (SELECT o, string_agg(t, ', ' ORDER BY r) AS fill FROM best WHERE r <= 3 GROUP BY o)"
+          " SELECT p_partkey, owner, coalesce(ref, fill) AS tags FROM tg LEFT JOIN rf ON k = lower(trim(p_name)) || '|' || lower(trim(owner))"
+          " LEFT JOIN f ON o = lower(owner)")
+def fill_tags(spark, d):
+    """J4 in both steps: parts of size ≤ 5 take the tag text of the same name and brand in a reference
+    table (sizes 6 to 20), the others the top-3 tags of their brand."""
+    p = DV.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name"), F.col("p_brand").alias("owner"), "p_size",
+                                          F.regexp_replace("p_name", " ", ",").alias("tags"))
+    tg = p.where(F.col("p_size") <= 5).withColumn("tags", F.lit(None).cast("string"))
+    ref = p.where(F.col("p_size").between(6, 20)).withColumn("tags", F.concat(F.lit("size "), F.col("p_size").cast("string")))
+    return J.fill_tags(tg, p.where(F.col("p_size") > 5), "owner", "tags", "name", ref).select("p_partkey", "owner", "tags")
+
+
 # ------------------------------------------------------------------ J5 V2 V3
 
 _DIMS_OUT = ["item_id", "v0", "v1", "v63", "v_sum"]

@@ -297,6 +297,20 @@ def extreme_penalty(spark, d):
         "set_id", "item_id", "year_distance", F.col("rank").cast("int").alias("rank"), "n_max_penalty", "n_high_bonus")
 
 
+@register("high_bonus", S.base(*_RECENT_SQL, *era_sql("rc", "rsd", "era"),
+    "x AS (SELECT set_id, item_id, recency_bonus, count(*) OVER (PARTITION BY set_id) AS n_high_bonus, CAST(row_number() OVER "
+    "(PARTITION BY set_id ORDER BY recency_bonus DESC, item_id) AS INTEGER) AS rank FROM era WHERE recency_bonus > 7.5)")
+    + "SELECT set_id, item_id, round(recency_bonus, 6) AS recency_bonus, rank, n_high_bonus FROM x WHERE rank <= 5")
+def high_bonus(spark, d):
+    """T8, second list: rows with a recency bonus above 7.5 % (five shown per set, highest first)."""
+    from seedrank.operators.select import top_n
+    cat, seeds = recent_tables(spark, d)
+    hb = E.apply_era(cat, E.era_params(seeds)).where(F.col("recency_bonus") > 7.5)
+    top = top_n(hb, "recency_bonus", "item_id", 5)
+    cnt = hb.groupBy("set_id").agg(F.count(F.lit(1)).alias("n_high_bonus"))
+    return out(top.join(cnt, "set_id").withColumn("rank", F.col("rank").cast("int")), ["set_id", "item_id", "recency_bonus", "rank", "n_high_bonus"])
+
+
 # ------------------------------------------------------------------ T9 T10
 
 @register("user_recency", S.base(
