@@ -2,7 +2,7 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir), works on all rows its
 predecessor kept and returns a DataFrame with the columns of ``documents``, but for the last stage,
-which returns the packed pieces. ``run`` writes every stage as Parquet under the cluster's shared
+which returns the packed pieces. Every stage decides per row: identifiers may be null or repeat. ``run`` writes every stage as Parquet under the cluster's shared
 folder and reads it again as the next one's input. Each stage calls its operator of ``seedrank.llm``;
 an empty table or an extra column passes through all stages.
 """
@@ -18,6 +18,8 @@ from seedrank.llm.tables import Staged, read
 
 #: no DuckDB form: the stages need trained networks, XXH64 and a BPE vocabulary
 ORACLE_SQL = None
+#: row number of a stage's input
+ROW = "_cp_row"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,19 +32,31 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_stream.keep_one(docs)
 
 
+def numbered(stage: Staged, docs: DataFrame) -> DataFrame:
+    """``docs`` written with a row number ``ROW``: what a stage drops is dropped by it, since
+    identifiers may be null or repeat (and many rows may hold one identifier)."""
+    return stage.write(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each near-duplicate group stays: the one with the group's smallest doc_id."""
-    classes = simhash.near_duplicates(docs)
-    gone = classes.filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = Staged(spark, "near").write(gone, "gone")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """One row of each near-duplicate group stays: the smallest doc_id (null last), then row number."""
+    stage = Staged(spark, "near")
+    rows = numbered(stage, docs)
+    classes = stage.write(simhash.near_duplicates(rows, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id"), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", ROW)).alias("first")
+    kept = classes.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(first).select(F.col(f"first.{ROW}").alias(ROW))
+    gone = stage.write(classes.select(ROW).join(kept, ROW, "left_anti"), "gone")
+    stage.drop("classes")
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops contaminated documents."""
-    found = decontam.contamination(docs, read(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id").distinct()
-    bad = Staged(spark, "contaminated").write(found, "ids")
-    return docs.join(bad.withColumnRenamed("doc_id", "_bad"), F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    stage = Staged(spark, "contaminated")
+    rows = numbered(stage, docs)
+    found = decontam.contamination(rows, read(spark, sf_dir, "benchmark"), id_col=ROW).filter("contaminated")
+    bad = stage.write(found.select(F.col("doc_id").alias(ROW)), "bad")
+    return rows.join(bad, ROW, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

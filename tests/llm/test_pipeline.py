@@ -43,3 +43,27 @@ def test_stages(spark, tmp_path):
         if not hit or 20 * len(hit) < len(w):
             clean.add(i)
     assert left[3] == left[4] == clean
+
+
+def test_near_and_contaminated_rows_go_by_row(spark, tmp_path):
+    words = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n))
+    near = words("near", 60)
+    docs = spark.createDataFrame([
+        (1, near), (None, near.upper()),  # a null id near an id: only that row goes
+        (None, words("alone", 40)), (None, words("other", 40)),
+        (7, words("twin", 60)), (7, words("twin", 60).upper()),  # near rows that share an id: one stays
+        (7, words("seven", 40)), (1, words("one", 40)),  # unrelated rows with those ids stay
+        (None, words("left", 5) + " " + words("leak", 20)), (9, words("nine", 30) + " " + words("leak", 20)), (9, words("clean", 40)),
+    ], "doc_id long, text string").repartition(3)
+    d = str(tmp_path)
+    spark.createDataFrame([("q", words("leak", 20))], "item_id string, text string").write.parquet(f"{d}/benchmark.parquet")
+    kept = C.simhash_dedup(spark, docs, d)
+    kept.write.parquet(f"{d}/kept")
+    kept = spark.read.parquet(f"{d}/kept")
+    got = collections.Counter((r.doc_id, r.text.split()[0][:-1].lower()) for r in kept.collect())
+    want = [(1, "near"), (None, "alone"), (None, "other"), (7, "twin"), (7, "seven"), (1, "one"), (None, "left"), (9, "nine"), (9, "clean")]
+    assert got == collections.Counter(want)
+    clean = C.decontaminate(spark, kept, d)
+    assert clean.columns == docs.columns
+    assert collections.Counter((r.doc_id, r.text.split()[0][:-1].lower()) for r in clean.collect()) == collections.Counter(
+        [w for w in want if w not in ((None, "left"), (9, "nine"))])
