@@ -27,7 +27,7 @@ MATCH_WEIGHTS = {"owner": 0.5, "album": 0.2, "label": 0.2, "date": 0.1}
 RIDGE_ALPHA = 1.0
 GLM_RIDGE = 0.01
 SEED_UPSAMPLE = 5
-# Our own bounds: Newton rounds, and inputs of one set's system (dense, 8 bytes each squared).
+# Our own bounds: Newton rounds, and inputs up to which a set's system is solved as a matrix (8 bytes each squared).
 GLM_MAX_ROUNDS = 50
 GLM_MAX_INPUTS = 4_000
 # Emphasis of each score in the blended similarity (number of copies in the reference).
@@ -242,7 +242,7 @@ def metadata_glm(items: DataFrame, seeds: DataFrame, numeric: Sequence[str], cat
         *[entry(F.lit(f"seen:{c}"), F.col(f"{c}_in_seeds")) for c in categorical])
     rows = flags.select(key, id_col, "__y", "__w", F.filter(inputs, lambda e: e["v"] != 0).alias("__f"))
     rows = number_inputs(materialize(rows, "glm_inputs"), key, max_inputs)
-    fits = logistic_fits(rows, key, reg, max_rounds)
+    fits = logistic_fits(rows, key, reg, max_rounds, max_inputs=max_inputs)
     pred = attach(rows.where(F.col("__y") == 0.0), fits, key)
     pred = pred.select(key, id_col, _probability().alias("glm_probability"))
     scored = V.minmax_100(pred, "glm_probability", out, flat="glm", key=key)
@@ -255,14 +255,18 @@ def number_inputs(rows: DataFrame, key: str, max_inputs: int = GLM_MAX_INPUTS) -
     from 0 in their order (the intercept, name '', is 0), so that a round of the fit looks a coefficient
     up by position. Written once; the fit reads it once per round.
 
-    A set has as many inputs as its seeds have values; beyond ``max_inputs`` a system would not fit a
-    task and the fit is refused (``metadata_match`` has no such bound)."""
+    A set has as many inputs as its seeds have values, and no bound on their number: the numbers are a
+    map per set where no set has more than ``max_inputs``, else they meet the entries by a join."""
     names = rows.select(key, F.explode("__f.name").alias("n")).distinct()
     widest = names.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if widest > max_inputs:
-        raise ValueError(f"a set has {widest} inputs, more than max_inputs = {max_inputs}; use metadata_match")
     numbers = names.groupBy(key).agg(F.array_sort(F.collect_list("n")).alias("__n")).select(
         key, F.map_from_arrays("__n", F.transform("__n", lambda n, i: i)).alias("__at"))
+    if widest > max_inputs:  # a map is searched from its start, so a wide one is joined instead
+        at = numbers.select(key, F.explode("__at").alias("name", "i"))
+        rows = materialize(rows.withColumn("__row", F.monotonically_increasing_id()), "glm_rows")
+        entries = rows.select("__row", key, F.explode("__f").alias("e")).select("__row", key, F.col("e.name").alias("name"), F.col("e.v").alias("v"))
+        found = entries.join(at, [key, "name"]).groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("__f"))
+        return materialize(rows.drop("__f").join(found, "__row").drop("__row"), "glm_train")
     numbered = attach(rows, numbers, key).withColumn("__f", F.transform("__f", lambda e: F.struct(
         F.try_element_at(F.col("__at"), e["name"]).alias("i"), e["v"].alias("v"))))
     return materialize(numbered.drop("__at"), "glm_train")
@@ -274,13 +278,42 @@ def _probability():
     return 1.0 / (1.0 + F.exp(-margin))
 
 
-def logistic_fits(rows: DataFrame, key: str, reg: float, max_rounds: int = GLM_MAX_ROUNDS, tol: float = 1e-9) -> DataFrame:
+def conjugate_gradient(i: np.ndarray, j: np.ndarray, x: np.ndarray, diagonal: np.ndarray, rhs: np.ndarray, tol: float = 1e-13) -> np.ndarray:
+    """Solution of the symmetric system with the entries ``x`` at (i, j), i <= j, plus ``diagonal``, by
+    conjugate gradients preconditioned with the diagonal. Ends when the residual is ``tol`` of the right
+    side or, at the limit of double precision, after twice as many steps as there are unknowns (50 at least)."""
+    n, off = len(rhs), i != j
+    scale = diagonal + np.bincount(i[~off], x[~off], n)
+
+    def times(p):
+        return diagonal * p + np.bincount(i, x * p[j], n) + np.bincount(j[off], x[off] * p[i[off]], n)
+
+    out, r = np.zeros(n), rhs.copy()
+    z = r / scale
+    p, rz, stop = z.copy(), float(r @ z), tol * float(np.abs(rhs).max(initial=0.0))
+    for _ in range(max(50, 2 * n)):
+        if np.abs(r).max(initial=0.0) <= stop:
+            break
+        q = times(p)
+        step = rz / float(p @ q)
+        out += step * p
+        r -= step * q
+        z = r / scale
+        rz, before = float(r @ z), rz
+        p = z + (rz / before) * p
+    return out
+
+
+def logistic_fits(rows: DataFrame, key: str, reg: float, max_rounds: int = GLM_MAX_ROUNDS, tol: float = 1e-9,
+                  max_inputs: int = GLM_MAX_INPUTS) -> DataFrame:
     """Ridge logistic regression of every set at once by Newton rounds → (key, ``__b`` coefficients by
     input number). Minimises Σ w·loss / Σ w + reg/2·|b|² (intercept, number 0, free).
 
     ``rows``: key, ``__y``, ``__w``, ``__f`` array<struct<i, v>> (non-zero inputs, ``number_inputs``). A
     round sums the gradient and the second derivatives per (set, input, input) over all rows, a partial
-    aggregate over whole numbers, and solves one system per set over those sums."""
+    aggregate over whole numbers, and solves one system per set over those sums: directly up to
+    ``max_inputs`` inputs, beyond by conjugate gradients over the sums that occur, whose state besides
+    them is a few vectors of the inputs (no input x input matrix)."""
     key_type = dict(rows.dtypes)[key]
     # second number of a sum that is no second derivative (total weight: both)
     slope_of, old_of = -1, -2
@@ -289,15 +322,19 @@ def logistic_fits(rows: DataFrame, key: str, reg: float, max_rounds: int = GLM_M
         i, j, x = pdf["i"].to_numpy(), pdf["j"].to_numpy(), pdf["x"].to_numpy()
         total = x[i == slope_of][0]
         n = int(i.max()) + 1
-        g, old, h = np.zeros(n), np.zeros(n), np.zeros((n, n))
+        g, old = np.zeros(n), np.zeros(n)
         at = (j == slope_of) & (i >= 0)
         g[i[at]] = x[at] / total
         old[i[j == old_of]] = x[j == old_of]
         at = j >= 0
-        h[i[at], j[at]] = h[j[at], i[at]] = x[at] / total
         ridge = np.full(n, reg)
         ridge[0] = 0.0
-        step = np.linalg.solve(h + np.diag(ridge) + 1e-12 * np.eye(n), g + ridge * old)
+        if n > max_inputs:
+            step = conjugate_gradient(i[at], j[at], x[at] / total, ridge + 1e-12, g + ridge * old)
+        else:
+            h = np.zeros((n, n))
+            h[i[at], j[at]] = h[j[at], i[at]] = x[at] / total
+            step = np.linalg.solve(h + np.diag(ridge) + 1e-12 * np.eye(n), g + ridge * old)
         return pd.DataFrame({key: [pdf[key].iloc[0]], "__b": [(old - step).tolist()], "__step": [float(np.abs(step).max())]})
 
     fits = rows.select(key).distinct().select(key, F.array().cast("array<double>").alias("__b"))

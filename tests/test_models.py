@@ -161,3 +161,22 @@ def test_metadata_glm_is_fitted_per_set(spark):
     p = 1 / (1 + np.exp(-x[:n] @ beta))
     want = (p - p.min()) / (p.max() - p.min()) * 100
     assert np.allclose([alone[k] for k in it.item_id], want, atol=1e-5)
+
+
+def test_metadata_glm_of_wide_sets_equals_the_dense_fit(spark):
+    items, seeds = _glm_frames(spark, ["A", "B"], np.random.default_rng(4))
+    score = lambda **how: {r.item_id: r.glm_score for r in M.metadata_glm(items, seeds, ["a"], ["owner", "label"], **how).collect()}
+    dense, wide = score(), score(max_inputs=2)
+    assert dense.keys() == wide.keys() and max(abs(wide[k] - v) for k, v in dense.items()) < 1e-6
+
+
+def test_conjugate_gradient_solves_a_sparse_system():
+    rng, n = np.random.default_rng(5), 500
+    rows = [np.r_[0, 1 + rng.integers(0, 400), 401 + rng.integers(0, 99)] for _ in range(3000)]
+    h = np.zeros((n, n))
+    for r in rows:
+        h[np.ix_(r, r)] += rng.random() / len(rows)
+    i, j = np.nonzero(np.triu(h))
+    ridge, rhs = np.r_[0.0, np.full(n - 1, 0.01)], rng.normal(size=n)
+    got = M.conjugate_gradient(i, j, h[i, j], ridge, rhs)
+    assert np.allclose(got, np.linalg.solve(h + np.diag(ridge), rhs), rtol=0, atol=1e-8)
