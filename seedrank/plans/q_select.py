@@ -208,14 +208,14 @@ def recommend_blend(spark, d):
     return out(r.recs.withColumn("rank", F.col("rank").cast("int")), _BLEND_COLS)
 
 
-# ------------------------------------------------------------------ R10, the reference's default flow
+# ------------------------------------------------------------------ R10 with K-means clusters
 
 @register("recommend_full")
 def recommend_full(spark, d):
-    """R10 with every model the reference runs by default: cosine (M3), ridge (M2), metadata
-    match (M7, the GLM's deterministic form), era adjustment, K-means with the elbow rule
-    (M8–M12), default blend weights renormalised over the scores present, quota selection of
-    100 per set."""
+    """R10 with ridge (M2), cosine (M3), metadata match (M7 in place of the fitted GLM, M4), era
+    adjustment, K-means with the elbow rule (M8–M12), default blend weights renormalised over the
+    scores present, quota selection of 100 per set. Less than the reference's default flow: without
+    ``prepare``, the similarity filter (M1), the GLM, and the network's score (M14, M15)."""
     it, sd = base_tables(spark, d)
     r = P.recommend(it, sd, FEATURES, models=("cosine", "ridge", "match"),
                     match_roles={"owner": "owner", "album": "album", "label": "label"})
