@@ -109,3 +109,37 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
+
+# ---------------------------------------------------------------- 12: prefix, middle, suffix
+
+FILL_IN_MIDDLE = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+x AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS x1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS x2,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+         WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+c AS (SELECT *, least(x1, x2) AS a, greatest(x1, x2) AS b FROM x),
+p AS (SELECT *, left(t, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p
+"""
+
+# ---------------------------------------------------------------- 13: integer scores, top 20 an item
+
+_TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+RANKED_SEARCH = f"""
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_TERMS}) AS w FROM documents),
+d AS MATERIALIZED (SELECT rid, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM w WHERE len(w) > 0),
+total AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM d),
+b AS (SELECT row_number() OVER () AS row, item_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_TERMS}) AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS MATERIALIZED (SELECT row, item_id, term, count(*) AS repeats FROM (SELECT row, item_id, unnest(w) AS term FROM b) GROUP BY ALL),
+tf AS MATERIALIZED (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) SEMI JOIN q USING (term) GROUP BY ALL),
+weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, total GROUP BY term, big_n),
+part AS MATERIALIZED (SELECT rid, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * big_n) // big_l))) AS x
+    FROM tf JOIN weight USING (term) JOIN d USING (rid), total),
+s AS (SELECT row, item_id, rid, doc_id, CAST(sum(repeats * x) AS BIGINT) AS score FROM q JOIN part USING (term) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
+"""

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seedrank.llm import decontam, exact_stream, langid, lm_score, oracle, packing, quality, simhash, substring, suffix_dedup, url_filter
+from seedrank.llm import (decontam, exact_stream, fim, langid, lm_score, oracle, packing, quality, ranked_search, simhash, substring,
+                          suffix_dedup, toxicity, url_filter)
 from seedrank.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +17,8 @@ ORACLE: dict[str, str] = {
     "op7_url_filter": oracle.url_filter(url_filter.RULES, url_filter.DAMPING, url_filter.BLOCK_SHARE),
     "op9_exact_dedup": oracle.EXACT_DEDUP,
     "op10_decontamination": oracle.DECONTAMINATION,
+    "op12_fill_in_middle": oracle.FILL_IN_MIDDLE,
+    "op13_ranked_search": oracle.RANKED_SEARCH,
 }
 
 
@@ -78,3 +81,18 @@ def op9_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 @register
 def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontam.contamination(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
+@register
+def op11_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.classify(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
+@register
+def op12_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    return fim.digests(read(spark, d, "documents"))
+
+
+@register
+def op13_ranked_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked_search.search(read(spark, d, "documents"), read(spark, d, "benchmark"))
