@@ -1,9 +1,9 @@
 """De-duplication and set operations.
 
-"Keep the first row of each key" is a ``min`` over a struct whose first field is the
-tie-break: a hash aggregate with map-side partial aggregation, so a key that holds a third of
-all rows is reduced inside each task before the shuffle (a ``row_number`` window would pull
-that whole key into one task)."""
+"Keep the first row of each key" is a ``min`` over a struct whose first field is the tie-break, with
+map-side partial aggregation: a key that holds a third of all rows is reduced inside each task before the shuffle (a
+``row_number`` window would pull that whole key into one task). A struct is no value that a hash aggregate can
+update in place, so the plan sorts: by key in each task, and the reduced rows again after the shuffle."""
 
 from __future__ import annotations
 

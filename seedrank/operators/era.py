@@ -128,11 +128,15 @@ def user_recency(df: DataFrame, score: str, b: float, year: str = "release_year"
     if b == 0:
         return df
     mm = df.groupBy(key).agg(F.min(year).alias("__miny"), F.max(year).alias("__maxy"))
-    j = attach(df, mm, key)
-    hi = F.greatest(F.col("__maxy"), F.lit(this_year))
-    rng = F.when(hi > F.col("__miny"), hi - F.col("__miny")).otherwise(F.lit(1))
-    adj = F.col(score) * (1 + F.lit(b) * (F.col(year) - F.col("__miny")) / rng)
-    return j.select(*[adj.alias(c) if c == score else F.col(c) for c in df.columns])
+    return with_recency(attach(df, mm, key), score, b, year, "__miny", "__maxy", this_year).select(*df.columns)
+
+
+def with_recency(df: DataFrame, score: str, b: float, year: str, lo: str, hi: str, this_year: int = CURRENT_YEAR) -> DataFrame:
+    """T10 where the set's first and last year are columns."""
+    last = F.greatest(F.col(hi), F.lit(this_year))
+    rng = F.when(last > F.col(lo), last - F.col(lo)).otherwise(F.lit(1))
+    adj = F.col(score) * (1 + F.lit(b) * (F.col(year) - F.col(lo)) / rng)
+    return df.select(*[adj.alias(c) if c == score else F.col(c) for c in df.columns])
 
 
 def sample_rows(df: DataFrame, id_col: str, n: int = 5, key: str | None = "set_id") -> DataFrame:

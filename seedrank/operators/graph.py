@@ -6,11 +6,13 @@
   to the pairs that are actually near, not n².
 * G4 walks are joins of walker states against per-node cumulative-weight intervals; the
   draw is a hash of (seed, walk, step), so a retried task takes the same steps.
-* G5 is MLlib ``Word2Vec`` over the walks.
+* G5 factorises the walks' co-occurrences; the factors stay tables, a row per node.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +24,7 @@ EMBED_DIM = 16
 EMBED_WINDOW = 5
 DRAW_BUCKETS = 32
 HUB_PARTS = 64
-WALKS_PER_TASK = 50_000        # G5: walks one training partition holds
-MAX_VOCABULARY = 5_000_000     # G5: nodes whose vectors the fit may gather (16 doubles each)
+EMBED_ROUNDS = 6               # G5: our own: rounds of the subspace iteration
 # Positioned element on the map page: name, link, left px, top px.
 POSITIONED_PATTERN = (r'(?is)<div\b([^>]*)>([^<]*)<a\b([^>]*)>')
 LINK_PATTERN = r'<a href="([^"]*)">([^<]*)</a>'
@@ -130,20 +131,71 @@ def random_walks(nodes: DataFrame, edges: DataFrame, length: int = WALK_LENGTH,
     return walks.select("start", "walk", "path")
 
 
-def walk_embeddings(walks: DataFrame, dim: int = EMBED_DIM, window: int = EMBED_WINDOW, seed: int = 42,
-                    walks_per_task: int = WALKS_PER_TASK, max_vocabulary: int = MAX_VOCABULARY) -> DataFrame:
-    """Skip-gram vectors of the walked nodes → (node, vec array<double>). Training runs in as many
-    partitions as the walks fill. MLlib gathers the vectors on the driver, so a graph of more than
-    ``max_vocabulary`` nodes is refused."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
+def cooccurrences(walks: DataFrame, window: int = EMBED_WINDOW) -> DataFrame:
+    """(src, dst, n): how often two nodes stand at most ``window`` places apart on a walk, both ways."""
+    pos = F.sequence(F.lit(0), F.size("path") - 1)
+    ahead = lambda i: F.transform(F.filter(pos, lambda j: (j != i) & (F.abs(j - i) <= window)), lambda j: F.struct(F.get("path", i).alias("src"), F.get("path", j).alias("dst")))
+    pairs = walks.select(F.explode(F.flatten(F.transform(pos, ahead))).alias("e")).select(F.col("e.src").cast("string").alias("src"), F.col("e.dst").cast("string").alias("dst"))
+    return pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
+
+def walk_embeddings(walks: DataFrame, dim: int = EMBED_DIM, window: int = EMBED_WINDOW, seed: int = 42, rounds: int = EMBED_ROUNDS) -> DataFrame:
+    """Vectors of the walked nodes → (node, vec array<double>), nodes that share walks close together.
+
+    Skip-gram factorises the windowed co-occurrences' mutual information; here that matrix is factorised itself: positive
+    entries log(n · total / (degree · degree)) as a table of pairs, and its leading ``dim`` directions by subspace
+    iteration. A round multiplies the factor table (a row per node) by the pairs, a join and a sum per node,
+    and makes its columns orthonormal with the ``dim`` x ``dim`` matrix of their products, the only thing that reaches
+    the driver. Nodes without a pair (walks that end at once) get zeros."""
     from seedrank.functions.params import materialize
-    seqs = materialize(walks.select(F.transform("path", lambda v: v.cast("string")).alias("seq")), "walks")
-    n = seqs.count()
-    nodes = seqs.select(F.explode("seq").alias("n")).distinct().count()
-    if nodes > max_vocabulary:
-        raise ValueError(f"{nodes} nodes: more than max_vocabulary = {max_vocabulary}")
-    model = Word2Vec(vectorSize=dim, windowSize=window, minCount=1, seed=seed, numPartitions=max(1, -(-n // walks_per_task)),
-                     inputCol="seq", outputCol="__v").fit(seqs)
-    return model.getVectors().select(F.col("word").alias("node"), vector_to_array("vector").alias("vec"))
+
+    pairs = materialize(cooccurrences(walks, window), "pairs")
+    degree = pairs.groupBy("src").agg(F.sum("n").alias("d"))
+    total = float(pairs.agg(F.sum("n")).first()[0] or 0)
+    by_src, by_dst = degree.withColumnRenamed("d", "ds"), degree.select(F.col("src").alias("dst"), F.col("d").alias("dd"))
+    info = pairs.join(by_src, "src").join(by_dst, "dst").select("src", "dst", F.log(F.col("n") * F.lit(total) / (F.col("ds") * F.col("dd"))).alias("m"))
+    info = materialize(info.where(F.col("m") > 0), "information")
+    nodes = materialize(walks.select(F.explode("path").alias("node")).select(F.col("node").cast("string").alias("node")).distinct(), "nodes")
+    factor = nodes.select("node", F.array(*[_unit_draw(seed, F.col("node"), F.lit(c)) - 0.5 for c in range(dim)]).alias("vec"))
+
+    def times(x: DataFrame) -> DataFrame:
+        """The matrix times the factor: (node, vec)."""
+        y = info.join(x.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(*[F.sum(F.col("m") * F.col("vec")[c]).alias(f"y{c}") for c in range(dim)])
+        return y.select("node", F.array(*[F.col(f"y{c}") for c in range(dim)]).alias("vec"))
+
+    def matrix(column) -> np.ndarray:
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+    def products(x: DataFrame, right: str = "vec") -> np.ndarray:
+        """The small matrix of products of the columns of ``vec`` and ``right``: tasks add up theirs, the sums meet per entry."""
+        def run(batches):
+            total = np.zeros((dim, dim))
+            for b in batches:
+                if b.num_rows:
+                    total += matrix(b.column(0)).T @ matrix(b.column(b.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim * dim)), pa.array(total.ravel())], names=["i", "v"])
+
+        out = np.zeros(dim * dim)
+        for r in x.select("vec", *([right] if right != "vec" else [])).mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+            out[r["i"]] = r["v"]
+        return out.reshape(dim, dim)
+
+    def rotated(x: DataFrame, m: np.ndarray) -> DataFrame:
+        """``vec`` times a small matrix."""
+        def run(batches):
+            for b in batches:
+                v = np.ascontiguousarray(matrix(b.column(1)) @ m) if b.num_rows else np.zeros((0, dim))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, dim), pa.int32()), pa.array(v.ravel()))], names=["node", "vec"])
+
+        return x.select("node", "vec").mapInArrow(run, "node string, vec array<double>")
+
+    for _ in range(rounds):
+        y = materialize(times(factor), "factor")
+        value, vector = np.linalg.eigh(products(y))
+        keep = value > 1e-12 * max(float(value.max()), 1e-300)
+        factor = rotated(y, vector * np.where(keep, 1.0 / np.sqrt(np.where(keep, value, 1.0)), 0.0))
+    last = materialize(times(factor).withColumnRenamed("vec", "vec2").join(factor, "node"), "factor")
+    inner = products(last, "vec2")
+    value, vector = np.linalg.eigh((inner + inner.T) / 2)
+    done = rotated(last.select("node", "vec"), vector * np.sqrt(np.maximum(value, 0.0)))
+    return nodes.join(done, "node", "left").select("node", F.coalesce("vec", F.array_repeat(F.lit(0.0), dim)).alias("vec"))

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seedrank.functions import exprs as X
@@ -25,11 +27,45 @@ def split_tags(df: DataFrame, col: str, out: str = "tags") -> DataFrame:
     return df.withColumn(out, X.split_tags(col))
 
 
+#: sums that fit into one generated aggregate (Spark generates code up to 100 fields)
+SUMS_AT_ONCE = 90
+
+
 def mean_pool(pairs: DataFrame, id_cols: Sequence[str], vec: str, dim: int, out: str = "vec") -> DataFrame:
-    """V3: element-wise mean of the vectors of each id (a repeated tag counts twice).
-    ``dim`` averages in one hash aggregate."""
-    agg = pairs.groupBy(*id_cols).agg(*[F.avg(F.col(vec)[i]).alias(f"__d{i}") for i in range(dim)])
-    return agg.select(*id_cols, F.array(*[F.col(f"__d{i}") for i in range(dim)]).alias(out))
+    """V3: element-wise mean of the vectors of each id (a repeated tag counts twice; a NULL vector does not
+    count, and an id with none but NULL vectors gets NULL entries). For many small groups: ``dim`` sums and one count are one
+    aggregate with generated code, where as many averages are not; a wider vector takes a buffer per group
+    (``array_sums``)."""
+    if dim > SUMS_AT_ONCE:
+        agg = array_sums(pairs.select(*id_cols, vec, F.coalesce(F.col(vec), X.zeros(dim)).alias("__v")), id_cols, "__v", dim, "__s", {"__n": F.count(vec)})
+        sums = F.col("__s")
+    else:
+        agg = pairs.groupBy(*id_cols).agg(F.count(vec).alias("__n"), *[F.sum(F.col(vec)[i].cast("double")).alias(f"__d{i}") for i in range(dim)])
+        sums = F.array(*[F.col(f"__d{i}") for i in range(dim)])
+    return agg.select(*id_cols, F.transform(sums, lambda v: F.when(F.col("__n") > 0, v / F.col("__n"))).alias(out))
+
+
+def array_sums(df: DataFrame, keys: Sequence[str], col: str, dim: int, out: str, extra: dict[str, Column] | None = None) -> DataFrame:
+    """(keys, ``out``, extra): element-wise sums of an array<double> of ``dim`` entries (none NULL) per key, in one buffer a
+    group whatever ``dim`` is; ``extra`` are further aggregates of the same pass."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    extra = extra or {}
+    agg = df.groupBy(*keys).agg(Summarizer.metrics("sum").summary(array_to_vector(col)).alias("__sums"), *[c.alias(n) for n, c in extra.items()])
+    return agg.select(*keys, vector_to_array("__sums.sum").alias(out), *extra)
+
+
+def array_stats(df: DataFrame, keys: Sequence[str], col: str, dim: int) -> DataFrame:
+    """(keys, __mean, __sd): element-wise mean and population deviation of an array<double> (no entry NULL), one buffer a group."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    agg = df.groupBy(*keys).agg(Summarizer.metrics("mean", "variance", "count").summary(array_to_vector(col)).alias("__s"))
+    n = F.col("__s.count").cast("double")
+    # the summary's variance is that of a sample
+    return agg.select(*keys, vector_to_array("__s.mean").alias("__mean"),
+                      F.transform(vector_to_array("__s.variance"), lambda v: F.sqrt(v * (n - 1) / n)).alias("__sd"))
 
 
 def expand_vector(df: DataFrame, col: str, dim: int, prefix: str = "genre_dim_", drop: bool = True) -> DataFrame:
@@ -93,23 +129,51 @@ def rescale_if_needed(df: DataFrame, col: str | Sequence[str], key: str = "set_i
     return j.select(*[fix(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def pca_2d(df: DataFrame, features: Sequence[str], id_cols: Sequence[str], min_rows: int = 10) -> DataFrame:
-    """2 principal components of the centred features of complete rows (single set).
-    MLlib builds the covariance distributedly; means are removed first so the projection is
-    centred. Returns (ids..., pc1, pc2) or an empty frame when there are too few rows."""
-    from pyspark.ml.feature import PCA, VectorAssembler
-
-    rows = df.dropna(subset=list(features)).select(*id_cols, *features)
-    if rows.limit(min_rows + 1).count() <= min_rows:
-        return rows.select(*id_cols, F.lit(0.0).alias("pc1"), F.lit(0.0).alias("pc2")).limit(0)
-    means = rows.agg(*[F.avg(f).alias(f"m_{f}") for f in features]).withColumn("__one", F.lit(1))
-    centred = rows.withColumn("__one", F.lit(1)).join(F.broadcast(means), "__one").select(
-        *id_cols, *[(F.col(f) - F.col(f"m_{f}")).alias(f) for f in features])
-    vec = VectorAssembler(inputCols=list(features), outputCol="__x").transform(centred)
-    model = PCA(k=2, inputCol="__x", outputCol="__pc").fit(vec)
-    from pyspark.ml.functions import vector_to_array
-    out = model.transform(vec).select(*id_cols, vector_to_array("__pc").alias("__a"))
-    return out.select(*id_cols, F.col("__a")[0].alias("pc1"), F.col("__a")[1].alias("pc2"))
+def pca_fit(df: DataFrame, features: Sequence[str], key: str = "set_id", min_rows: int = 10, k: int = 2) -> DataFrame:
+    """(key, mean, loadings, explained): ``k`` principal components of each set's complete rows, centred, not scaled;
+    ``explained`` are their shares of the variance. One aggregate gathers a set's covariances, and the decomposition runs on
+    that one row. The entry of largest size of a component is positive (of equal sizes the first). Sets of at
+    most ``min_rows`` complete rows have no row."""
+    p = len(features)
+    rows = df.dropna(subset=list(features))
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    agg = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("__n"), F.array(*[F.avg(f).cast("double") for f in features]).alias("mean"),
+        F.array(*[F.covar_pop(F.col(features[i]).cast("double"), F.col(features[j]).cast("double")) for i, j in pairs]).alias("cov")).where(F.col("__n") > min_rows)
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = np.zeros((p, p))
+        for (i, j), v in zip(pairs, pdf["cov"].iloc[0]):
+            c[i, j] = c[j, i] = v
+        value, vector = np.linalg.eigh(c)
+        order = np.argsort(-value, kind="stable")[:k]
+        load = vector[:, order]
+        top = load[np.abs(load).round(12).argmax(axis=0), np.arange(load.shape[1])]
+        load = load * np.where(top < 0, -1.0, 1.0)
+        total = float(np.trace(c))
+        return pd.DataFrame({key: pdf[key].iloc[:1], "mean": pdf["mean"].iloc[:1], "loadings": [load.T.tolist()],
+                             "explained": [(value[order] / total if total > 0 else np.zeros(len(order))).tolist()]})
+
+    kind = dict(df.dtypes)[key]
+    return agg.groupBy(key).applyInPandas(solve, f"{key} {kind}, mean array<double>, loadings array<array<double>>, explained array<double>")
+
+
+def pca_2d(df: DataFrame, features: Sequence[str], id_cols: Sequence[str], min_rows: int = 10, key: str = "set_id") -> DataFrame:
+    """(ids..., pc1, pc2, explained1, explained2): every complete row on its set's two principal components
+    (``pca_fit``). The catalogue view takes ``min_rows`` 10; the seed view fewer features and 5. Without a ``key`` column the
+    frame is one set."""
+    rows = df.dropna(subset=list(features))
+    if key not in df.columns:
+        rows, key = rows.withColumn("__set", F.lit(0)), "__set"
+    j = attach(rows, pca_fit(rows, features, key, min_rows), key)
+
+    def on(c):
+        total = F.lit(0.0)
+        for i, f in enumerate(features):
+            total = total + (F.col(f) - F.col("mean")[i]) * F.col("loadings")[c][i]
+        return total
+
+    return j.select(*id_cols, on(0).alias("pc1"), on(1).alias("pc2"), F.col("explained")[0].alias("explained1"), F.col("explained")[1].alias("explained2"))
 
 
 def embed_seeds(seeds: DataFrame, id_cols: Sequence[str], tags: str | None, vec: str, lookup: DataFrame | None,

@@ -109,3 +109,70 @@ def part_tags(spark: SparkSession, sd: str) -> DataFrame:
     """(p_partkey, p_brand, p_type, p_size, tags): a part's name words as a ','-joined tag list."""
     p = table(spark, sd, "part")
     return p.select("p_partkey", "p_brand", "p_type", "p_size", F.regexp_replace("p_name", " ", ",").alias("tags"))
+
+
+# ---------------------------------------------------------------- tracks: a catalogue with duplicates, seeds of their own
+
+#: per row of ``tracks``: its set is the customer's nation; lines 7 carry their part's name as owner (self-titled), returned
+#: lines of urgent finished orders are seeds, and from line 5 on a seed's owner names a second one, so it is not in the catalogue
+def tracks(spark: SparkSession, sd: str) -> DataFrame:
+    """Order lines as track listings: part name and brand repeat, so the catalogue holds duplicates; a line's vector is its
+    supplier's, its tags the part's type and the first word of its name (none for sizes divisible by 7), a tax of 0 is missing."""
+    li, p = table(spark, sd, "lineitem"), table(spark, sd, "part")
+    o = table(spark, sd, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    c, n = table(spark, sd, "customer").select("c_custkey", "c_nationkey"), table(spark, sd, "nation").select("n_nationkey", "n_name")
+    e = table(spark, sd, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    j = (li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+         .join(n, c.c_nationkey == n.n_nationkey).join(e, li.l_suppkey == e.vec_id, "left"))
+    return j.select(
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")).alias("item_id"), F.col("c_nationkey").alias("set_id"),
+        F.col("p_name").alias("name"), F.when(F.col("l_linenumber") == 7, F.col("p_name")).otherwise(F.col("p_brand")).alias("owner"),
+        F.col("p_type").alias("album"), F.col("o_orderpriority").alias("label"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("release_date"),
+        F.col("p_retailprice").alias("f_price"), F.col("l_quantity").alias("f_qty"), F.col("l_extendedprice").alias("f_ext"), F.col("l_discount").alias("f_disc"),
+        F.when(F.col("l_tax") != 0, F.col("l_tax")).alias("f_tax"), F.col("p_size").cast("double").alias("f_lines"),
+        F.when(F.col("p_size") % 7 != 0, F.concat(F.lower("p_type"), F.lit(","), F.split("p_name", " ")[0])).alias("tags"), "vec",
+        F.col("l_linenumber").alias("line"), F.col("l_returnflag").alias("flag"), F.col("o_orderstatus").alias("status"), "n_name")
+
+
+def track_items(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("flag") != "R").drop("line", "flag", "status", "n_name")
+
+
+def track_seeds(rows: DataFrame) -> DataFrame:
+    """Seeds with tags of their own but for lines 2 and 5, a vector of their own on line 1, and two owners from line 5 on."""
+    s = rows.where((F.col("flag") == "R") & (F.col("label") == "1-URGENT") & (F.col("status") == "F"))
+    return s.select(*[
+        F.when(F.col("line") >= 5, F.concat("owner", F.lit(","), "n_name")).otherwise(F.col("owner")).alias("owner") if c == "owner" else
+        F.when(~F.col("line").isin(2, 5), F.col("tags")).alias("tags") if c == "tags" else
+        F.when(F.col("line") == 1, F.col("vec")).alias("vec") if c == "vec" else F.col(c)
+        for c in rows.columns if c not in ("line", "flag", "status", "n_name")])
+
+
+def track_lookup(spark: SparkSession, sd: str) -> DataFrame:
+    """(tag, vec): the words of the tags in order, each with the vector of that number."""
+    from pyspark.sql import Window
+
+    p = table(spark, sd, "part")
+    words = p.select(F.lower("p_type").alias("tag")).union(p.select(F.split("p_name", " ")[0])).distinct()
+    ranked = words.withColumn("vec_id", (F.row_number().over(Window.orderBy("tag")) - 1).cast("long"))  # the vocabulary of the parts: a few words
+    e = table(spark, sd, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    return ranked.join(e, "vec_id").select("tag", "vec")
+
+
+TRACKS_SQL = """
+trk AS MATERIALIZED (
+  SELECT (l.l_orderkey * 8 + l.l_linenumber) * 1000000 + l.l_partkey AS item_id, c.c_nationkey AS set_id, p.p_name AS name,
+         CASE WHEN l.l_linenumber = 7 THEN p.p_name ELSE p.p_brand END AS owner, p.p_type AS album, o.o_orderpriority AS label,
+         strftime(l.l_shipdate, '%Y-%m-%d') AS release_date, p.p_retailprice AS f_price, l.l_quantity AS f_qty, l.l_extendedprice AS f_ext,
+         l.l_discount AS f_disc, CASE WHEN l.l_tax <> 0 THEN l.l_tax END AS f_tax, CAST(p.p_size AS DOUBLE) AS f_lines,
+         CASE WHEN p.p_size % 7 <> 0 THEN lower(p.p_type) || ',' || split_part(p.p_name, ' ', 1) END AS tags, CAST(e.embedding AS DOUBLE[]) AS vec,
+         l.l_linenumber AS line, l.l_returnflag AS flag, o.o_orderstatus AS status, n.n_name
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN embeddings e ON e.vec_id = l.l_suppkey),
+track_items AS (SELECT * EXCLUDE (line, flag, status, n_name) FROM trk WHERE flag <> 'R'),
+track_seeds AS (SELECT * EXCLUDE (line, flag, status, n_name) REPLACE (
+    CASE WHEN line >= 5 THEN owner || ',' || n_name ELSE owner END AS owner, CASE WHEN line NOT IN (2, 5) THEN tags END AS tags,
+    CASE WHEN line = 1 THEN vec END AS vec) FROM trk WHERE flag = 'R' AND label = '1-URGENT' AND status = 'F'),
+track_words AS (SELECT lower(p_type) AS tag FROM part UNION SELECT split_part(p_name, ' ', 1) FROM part),
+track_lookup AS (SELECT tag, CAST(embedding AS DOUBLE[]) AS vec FROM (SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS vec_id FROM track_words) JOIN embeddings USING (vec_id))
+"""

@@ -7,12 +7,12 @@ item table and any number of seed sets (one per ``set_id``).
     result.scored    # every candidate with every score (written once, see below)
 
 Order (as the reference runs it): ``prepare`` (D1, J2, J4, V4, C1), then exclude seen (J3) → similarity
-filter (M1, C10, C14) → ridge (M2) → cosine (M3) → metadata match (M7, or the GLM M4) → era adjustment (T1–T7) → clusters (given centroids, or K-means
-with the elbow, M8–M12) → blend (R1, R2) → era factor (T9) → user recency (T10) → quota
-selection (R3–R6), with the ridge, GLM and cluster scores re-scaled to 0..100 when needed (V10)
-before the blend. Every step is keyed by ``set_id``; per-set parameters meet the items on that
-key. The candidates are written after the filter and after each model (the columns still
-needed), so every plan holds one model, and the selection windows do not re-run the scoring.
+filter (M1, C10, C14) → ridge (M2) → cosine (M3) → metadata match (M7, or the GLM M4) → era adjustment (T1–T7) → clusters (given
+centroids, or K-means with the elbow, M8–M12) → re-scaling (V10) → blended similarity (M13, M14) → blend (R1, R2) → era
+factor (T9) → user recency (T10) → quota selection (R3–R6). Every step is keyed by ``set_id``; per-set
+parameters meet the items on that key. The models' statistics are fused (``operators.fused``): the candidates are written
+once after the filter, three aggregates serve all models, and the final scores are written once, so the selection windows do
+not re-run the scoring.
 """
 
 from __future__ import annotations
@@ -23,13 +23,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seedrank.functions.params import bound_scope, count_key_bound, key_bound, materialize
+from seedrank.functions import exprs as X
+from seedrank.functions.params import attach, bound_scope, count_key_bound, key_bound, materialize
 from seedrank.operators import cluster as K
 from seedrank.operators import era as E
+from seedrank.operators import fused as Z
 from seedrank.operators import score as M
 from seedrank.operators import select as R
 from seedrank.operators import vectors as V
-from seedrank.operators.clean import drop_self_titled
+from seedrank.operators.clean import drop_self_titled, impute_zero
 from seedrank.operators.dedup import dedup_by_key
 from seedrank.operators.enrich import enrich_from_items, exclude_seen, fill_tags
 
@@ -41,14 +43,21 @@ class Recommendation:
     scored: DataFrame
 
 
+def seed_scaler(seeds: DataFrame, features: Sequence[str], key: str = "set_id") -> DataFrame:
+    """V7 fitted on the zero-filled seeds alone, as the clustering step does."""
+    return V.scaler_stats(impute_zero(seeds.select(key, *features), features), features, key)
+
+
+def with_zvec(df: DataFrame, scaler: DataFrame, features: Sequence[str], key: str = "set_id") -> DataFrame:
+    """``df`` with its zero-filled, scaled features packed in ``zvec``; the features stay as they are."""
+    z = [X.standardized(F.coalesce(F.col(f).cast("double"), F.lit(0.0)), F.col(f"m_{f}"), F.col(f"s_{f}")) for f in features]
+    return attach(df, scaler, key).select(*df.columns, F.array(*z).alias("zvec"))
+
+
 def seed_scaled(cand: DataFrame, seeds: DataFrame, features: Sequence[str], key: str = "set_id"):
-    """Candidates and seeds zero-filled and scaled with the *seed* scaler (as the clustering
-    step does), with the scaled features packed in ``zvec``."""
-    c0, s0 = cand.na.fill(0.0, list(features)), seeds.na.fill(0.0, list(features))
-    st = V.scaler_stats(s0, features, key)
-    zv = F.array(*[F.col(f"z_{f}") for f in features])
-    return (V.standardize(c0, st, features, key).withColumn("zvec", zv),
-            V.standardize(s0, st, features, key).withColumn("zvec", zv))
+    """(candidates, seeds) with ``zvec``."""
+    scaler = seed_scaler(seeds, features, key)
+    return with_zvec(cand, scaler, features, key), with_zvec(seeds, scaler, features, key)
 
 
 def elbow_centers(sz: DataFrame, id_col: str, dim: int, key: str = "set_id") -> DataFrame:
@@ -79,15 +88,6 @@ def prepare(items: DataFrame, seeds: DataFrame, *, name: str, owner: str, order_
     return items, materialize(seeds, "seeds")
 
 
-def _with_score(df: DataFrame, model, features: Sequence[str], score: str) -> DataFrame:
-    """``model(df)``'s score next to the rows as they came: a model fills missing features its own way,
-    and the next one must not see that. Written once, so the next model starts from a table and the plan
-    of the chain grows by one model at a time."""
-    raw = df.select("*", *[F.col(f).alias(f"__raw_{f}") for f in features])
-    kept = [F.col(f"__raw_{c}").alias(c) if c in features else F.col(c) for c in df.columns]
-    return materialize(model(raw).select(*kept, score), score)
-
-
 def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, key: str = "set_id",
               id_col: str = "item_id", name: str = "name", owner: str = "owner", year: str = "release_year",
               n: int = R.N_RECOMMENDATIONS, weights: dict[str, float] | None = None,
@@ -97,9 +97,10 @@ def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, ke
     """The full chain. ``similarity`` (None: no filter) keeps the complete candidates at least that close
     to the seeds (M1, C10, C14), over ``features`` and, if given, the ``dim`` values of ``vec``, before
     anything else is fitted. ``centers`` (key, idx, center over the seed-scaled ``features``) gives
-    the clusters; without it they come from K-means with the elbow rule. ``models`` picks the
-    scores ('glm' fits M4, 'match' takes its deterministic form M7); ``weights`` the blend (defaults
-    renormalised over the scores present)."""
+    the clusters; without it they come from K-means with the elbow rule, and ``centers="none"`` runs the chain without
+    clusters (no cluster score, plain ranking). ``models`` picks the scores: 'cosine' (left out by itself under three
+    ``features``, C11), 'ridge', 'match' (M7) or 'glm' (M4), 'nn' (the network's target: the blended similarity of all
+    inputs, M13 and M14); ``weights`` the blend (defaults renormalised over the scores present)."""
     with bound_scope():
         if key_bound(key) is None:
             count_key_bound(items.select(key).unionByName(seeds.select(key)), key)
@@ -107,50 +108,72 @@ def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, ke
                           centers, recency, similarity, vec, dim, keep)
 
 
-def _recommend(items, seeds, features, key, id_col, name, owner, year, n, weights, models, match_roles, centers, recency,
-               similarity, vec, dim, keep) -> Recommendation:
-    roles = match_roles or {"owner": owner}
+def _candidates(items, seeds, features, key, id_col, name, owner, year, roles, similarity, vec, dim, keep, models) -> DataFrame:
+    """The candidates after the filter with the columns that the models read, and ``p``, the metadata probability
+    (M7, or M4's fit); written once."""
     cand = exclude_seen(items, seeds, name, owner, key)
-    used = dict.fromkeys([key, id_col, *features, year, *roles.values(), *keep])
+    used = list(dict.fromkeys([key, id_col, *features, year, *roles.values(), *keep, *([vec] if vec else [])]))
     if similarity is not None:
         x = F.array(*[F.col(f).cast("double") for f in features])
         x = F.concat(x, F.col(vec)) if vec else x
-        cand = M.similarity_filter(cand.select(*used, x.alias("__x")), seeds.withColumn("__x", x), "__x",
-                                   len(features) + (dim if vec else 0), key, similarity)
-    sc = materialize(cand.select(*used), "candidates")
-    if "ridge" in models:
-        sc = _with_score(sc, lambda df: M.ridge_score(df, seeds, features, key), features, "ridge_score")
-    if "cosine" in models:
-        sc = _with_score(sc, lambda df: M.cosine_score(df, seeds, features, key), features, "cosine_score")
+        cand = materialize(cand.select(*used, x.alias("__x")), "candidates")  # read by the filter's scaler and by the filter
+        cand = M.similarity_filter(cand, seeds.withColumn("__x", x), "__x", len(features) + (dim if vec else 0), key, similarity)
+    cand = cand.select(*used)
     if "glm" in models:
-        sc = _with_score(sc, lambda df: M.metadata_glm(df, seeds, features, list(roles.values()), key, id_col), features, "glm_score")
-    elif "match" in models:
-        # the GLM's deterministic form: match fraction → per-set 0..100 (range < 0.01 → ·100), NULL → 0
-        def match(df):
-            m = M.metadata_match(df, seeds, roles, key, out="glm_probability")
-            m = V.minmax_100(m, "glm_probability", "glm_score", flat="glm", key=key)
-            return m.withColumn("glm_score", F.coalesce(F.col("glm_score"), F.lit(0.0)))
-        sc = _with_score(sc, match, features, "glm_score")
-    sc = E.apply_era(sc, E.era_params(seeds, year, key), year, key)
-
-    cz, sz = seed_scaled(sc, seeds, features, key)
-    if centers is None:
-        centers = elbow_centers(sz, id_col, len(features), key)
-    ca = K.assign_clusters(cz, centers, "zvec", key)
-    sa = K.assign_clusters(sz, centers, "zvec", key)
-    ca = K.cluster_score(ca, sa, "cluster", key)
-    to_fix = [c for c in ("ridge_score", "glm_score", "cluster_score") if c in ca.columns]
-    if to_fix:  # V10 before blending, one pass for all scores
-        ca = V.rescale_if_needed(ca, to_fix, key)
-
-    w = weights or R.DEFAULT_WEIGHTS
-    ca = R.base_score(ca, w)
-    ca = ca.withColumn("base_score", E.apply_adjustment(F.col("base_score"), F.col("year_adjustment")))
-    ca = E.user_recency(ca, "base_score", recency, year, key)
-
-    scores = [c for c in ("cosine_score", "ridge_score", "glm_score", "cluster_score") if c in ca.columns]
-    scored = materialize(ca.select(key, id_col, "cluster", *scores, "year_adjustment", "base_score", *keep), "scored")
-    seed_clusters = materialize(sa.select(key, id_col, "cluster"), "seed_clusters")
+        cand = materialize(cand, "candidates")
+        p = M.glm_probability(cand, seeds, features, list(roles.values()), key, id_col)
+        return materialize(cand.join(p.withColumnRenamed("glm_probability", "p"), [key, id_col], "left"), "candidates")
+    if "match" in models:
+        m = M.metadata_match(cand, seeds, roles, key, out="p")
+        return materialize(m.select(*used, "p"), "candidates")
+    return materialize(cand.withColumn("p", F.lit(0.0)), "candidates")
+
+
+def _recommend(items, seeds, features, key, id_col, name, owner, year, n, weights, models, match_roles, centers, recency,
+               similarity, vec, dim, keep) -> Recommendation:
+    """Passes over the candidates: the filter's scaler, the filter with the one write, the cross products (``item_sums``), the raw
+    scores' ranges (``score_sums``), with 'nn' the blend's range, and the final scores with their write."""
+    roles = match_roles or {"owner": owner}
+    models = [m for m in models if m != "cosine" or len(features) >= 3]
+    if "nn" in models and not {"cosine", "ridge"} <= set(models) or "nn" in models and not {"glm", "match"} & set(models):
+        raise ValueError("the blended similarity takes the cosine, ridge and metadata scores: name them in models")
+    if "nn" in models and isinstance(centers, str):
+        raise ValueError("the blended similarity takes the clusters")
+    sc = _candidates(items, seeds, features, key, id_col, name, owner, year, roles, similarity, vec, dim, keep, models)
+    blend_vec = vec if "nn" in models else None
+
+    per_seed = Z.seed_sums(seeds, features, key, blend_vec, dim)
+    sums = materialize(Z.item_sums(sc, per_seed, features, key, blend_vec, dim, year), "item_sums")
+    first = materialize(Z.first_fit(sums, len(features), dim if blend_vec else 0, key, M.RIDGE_ALPHA), "first_fit")
+    raw = Z.raw_scores(sc, first, features, key)
+    if isinstance(centers, str):
+        raw, seed_clusters, labels = raw.withColumn("cluster", F.lit("A")), seeds.select(key, id_col, F.lit("A").alias("cluster")), False
+    else:
+        scaler = seed_scaler(seeds, features, key)
+        sz = with_zvec(seeds, scaler, features, key)
+        if centers is None:
+            centers = elbow_centers(sz, id_col, len(features), key)
+        raw = K.assign_clusters(with_zvec(raw, scaler, features, key), centers, "zvec", key).drop("zvec", "cluster_d2")
+        seed_clusters, labels = K.assign_clusters(sz, centers, "zvec", key).select(key, id_col, "cluster"), True
+    seed_clusters = materialize(seed_clusters, "seed_clusters")
+    counts = seed_clusters.groupBy(key, "cluster").agg(F.count(F.lit(1)).cast("double").alias("m_seeds"))
+    second = materialize(Z.second_fit(Z.score_sums(raw, key), counts, first, key), "second_fit")
+
+    years = sums.select(key, "year_lo", "year_hi")
+    base = [key, id_col, "cluster", year, *keep]
+    done = Z.blend(raw, second, features, key, blend_vec, dim, M.EMPHASIS, list(dict.fromkeys(base)))
+    if "nn" in models:
+        done = V.minmax_100(done, "blend_similarity", "nn_score", flat="keep", key=key)
+    names = {"cosine": "cosine_score", "ridge": "ridge_score", "nn": "nn_score", "glm": "glm_score", "match": "glm_score"}
+    scores = [s for s in R.DEFAULT_WEIGHTS if s in {names[m] for m in models}] + (["cluster_score"] if labels else [])
+    done = E.apply_era(done, E.era_params(seeds, year, key), year, key)
+    done = R.base_score(done.select(*dict.fromkeys(base), *scores, "year_adjustment"), weights or R.DEFAULT_WEIGHTS)
+    done = done.withColumn("base_score", E.apply_adjustment(F.col("base_score"), F.col("year_adjustment")))
+    if recency:
+        done = E.with_recency(attach(done, years, key), "base_score", recency, year, "year_lo", "year_hi")
+    scored = materialize(done.select(key, id_col, "cluster", *scores, "year_adjustment", "base_score", *keep), "scored")
+    if not labels:  # R6 without clusters: the plain ranking
+        return Recommendation(R.top_n(scored, "base_score", id_col, n, key), seed_clusters, scored)
     quota = R.cluster_quota(seed_clusters, "cluster", n, key)
     recs = R.select_by_quota(scored, quota, "base_score", id_col, "cluster", n, key)
     return Recommendation(recs, seed_clusters, scored)

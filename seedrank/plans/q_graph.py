@@ -72,11 +72,48 @@ def random_walks(spark, d):
 
 @register("walk_embeddings")
 def walk_embeddings(spark, d):
-    """16-d skip-gram vectors of the walked nodes (S10 writes them as a lookup)."""
+    """16-d vectors of the walked nodes (S10 writes them as a lookup)."""
     emb = G.walk_embeddings(_walks(spark, d))
     return emb.select("node", F.size("vec").alias("dim"), F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x).alias("sq_norm"))
 
 
+_NODES_SQL = "n AS (SELECT src AS id FROM e UNION SELECT dst FROM e)"
+
+
+@register("walk_invariants", f"WITH {_POINTS_SQL}, {_EDGES_SQL}, {_NODES_SQL} SELECT count(*) AS nodes, count(*) * {G.WALKS_PER_NODE} AS walks, "
+          f"count(*) * {G.WALKS_PER_NODE * (G.WALK_LENGTH - 1)} AS steps, CAST(0 AS BIGINT) AS steps_off_edges, CAST(0 AS BIGINT) AS wrong_starts FROM n")
+def walk_invariants(spark, d):
+    """From every connected node as many walks as asked, each of full length (every node has an edge to leave by), every
+    step an edge."""
+    edges = materialize(G.proximity_edges(part_points(spark, d)), "edges")
+    walks = materialize(G.random_walks(G.connected_nodes(edges), edges), "walks")
+    pairs = F.arrays_zip(F.slice("path", 1, F.size("path") - 1).alias("a"), F.slice("path", 2, F.size("path") - 1).alias("b"))
+    steps = walks.select(F.explode(pairs).alias("s")).select(F.least("s.a", "s.b").alias("src"), F.greatest("s.a", "s.b").alias("dst"))
+    off = steps.join(edges.select("src", "dst").withColumn("edge", F.lit(1)), ["src", "dst"], "left").agg(
+        F.count(F.lit(1)).alias("steps"), F.count_if(F.col("edge").isNull()).alias("steps_off_edges"))
+    whole = walks.agg(F.count_distinct("start").alias("nodes"), F.count(F.lit(1)).alias("walks"), F.count_if(F.col("path")[0] != F.col("start")).alias("wrong_starts"))
+    one = lambda df: df.withColumn("one", F.lit(1))
+    return one(whole).join(one(off), "one").select("nodes", "walks", "steps", "steps_off_edges", "wrong_starts")
+
+
+@register("embedding_invariants", f"WITH {_POINTS_SQL}, {_EDGES_SQL}, {_NODES_SQL} SELECT count(*) AS nodes, {G.EMBED_DIM} AS dim, TRUE AS neighbours_closer FROM n")
+def embedding_invariants(spark, d):
+    """A vector for every connected node, and the mean cosine of neighbours above that of all pairs by at least 0.2 (the mean over
+    all pairs is the squared length of the mean unit vector)."""
+    edges = materialize(G.proximity_edges(part_points(spark, d)), "edges")
+    emb = G.walk_embeddings(G.random_walks(G.connected_nodes(edges), edges))
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda acc, v: acc + v * v))
+    unit = materialize(emb.select("node", F.when(norm > 0, F.transform("vec", lambda v: v / norm)).otherwise(F.col("vec")).alias("u")), "units")
+    dot = F.aggregate(F.zip_with("ua", "ub", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    ends = edges.select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
+    near = (ends.join(unit.select(F.col("node").alias("src"), F.col("u").alias("ua")), "src")
+            .join(unit.select(F.col("node").alias("dst"), F.col("u").alias("ub")), "dst").agg(F.avg(dot).alias("near")))
+    mean = unit.agg(F.count(F.lit(1)).alias("nodes"), F.max(F.size("u")).alias("dim"), F.array(*[F.avg(F.col("u")[i]) for i in range(G.EMBED_DIM)]).alias("m"))
+    mean = mean.select("nodes", "dim", F.aggregate("m", F.lit(0.0), lambda acc, v: acc + v * v).alias("all_pairs"))
+    one = lambda df: df.withColumn("one", F.lit(1))
+    return one(mean).join(one(near), "one").select("nodes", "dim", (F.col("near") > F.col("all_pairs") + 0.2).alias("neighbours_closer"))
+
+
 # ------------------------------------------------------------------ S3 S4
 
 @register("source_counts", "SELECT 'customer.parquet' AS source_file, count(*) AS rows FROM customer UNION ALL "

@@ -179,7 +179,7 @@ def ridge_score_2f(spark, d):
     return out(r, ["set_id", "item_id", "ridge_fitness", "ridge_score"])
 
 
-def _ridge_sql(features):
+def ridge_ctes(features) -> list[str]:
     """M2 for p features: sufficient statistics per set, the centred normal equations, and an
     unrolled Gaussian elimination (the matrix is symmetric positive definite) per set."""
     p = len(features)
@@ -231,8 +231,12 @@ def _ridge_sql(features):
     pred = " + ".join([f"({icpt})"] + [f"w{i} * ((x{i} - m{i}) / {S.std1(f's{i}')})" for i in range(p)])
     ctes.append(f"pr AS (SELECT ci.set_id, ci.item_id, {pred} AS ridge_fitness FROM ci JOIN st USING (set_id) JOIN w USING (set_id))")
     ctes.append("mm AS (SELECT set_id, min(ridge_fitness) AS lo, max(ridge_fitness) AS hi FROM pr GROUP BY set_id)")
-    return S.base(*ctes) + ("SELECT set_id, item_id, round(ridge_fitness, 6) AS ridge_fitness, round(CASE WHEN hi > lo "
-                            "THEN (ridge_fitness - lo) / (hi - lo) * 100.0 ELSE 50.0 END, 6) AS ridge_score FROM pr JOIN mm USING (set_id)")
+    return ctes
+
+
+def _ridge_sql(features):
+    return S.base(*ridge_ctes(features)) + ("SELECT set_id, item_id, round(ridge_fitness, 6) AS ridge_fitness, round(CASE WHEN hi > lo "
+                                            "THEN (ridge_fitness - lo) / (hi - lo) * 100.0 ELSE 50.0 END, 6) AS ridge_score FROM pr JOIN mm USING (set_id)")
 
 
 @register("ridge_score", _ridge_sql(FEATURES))
@@ -309,20 +313,20 @@ def seed_scaled(spark: SparkSession, d: str):
     return seed_scaled_frames(*candidates(spark, d))
 
 
+def given_centers(sd: DataFrame) -> DataFrame:
+    """(set_id, idx, center): the mean of the seed-scaled features per release year of the seeds."""
+    from seedrank.plans.pipeline import seed_scaler, with_zvec
+
+    sz = with_zvec(sd, seed_scaler(sd, FEATURES), FEATURES)
+    cen = sz.groupBy("set_id", "release_year").agg(F.array(*[F.avg(F.col("zvec")[i]) for i in range(len(FEATURES))]).alias("center"))
+    return cen.select("set_id", (F.dense_rank().over(Window.partitionBy("set_id").orderBy("release_year")) - 1).alias("idx"), "center")
+
+
 def seed_scaled_frames(cand: DataFrame, sd: DataFrame):
-    """Seeds and candidates zero-filled and scaled with the *seed* scaler (as the clustering
-    step does), as array<double> vectors, plus the per-(set, year) seed centroids."""
-    c0 = cand.na.fill(0.0, FEATURES)
-    s0 = sd.na.fill(0.0, FEATURES)
-    st = V.scaler_stats(s0, FEATURES)
-    sz = V.standardize(s0, st, FEATURES)
-    cz = V.standardize(c0, st, FEATURES)
-    zv = F.array(*[F.col(f"z_{f}") for f in FEATURES])
-    sz, cz = sz.withColumn("zvec", zv), cz.withColumn("zvec", zv)
-    cen = sz.groupBy("set_id", "release_year").agg(*[F.avg(f"z_{f}").alias(f) for f in FEATURES])
-    cen = cen.select("set_id", (F.dense_rank().over(Window.partitionBy("set_id").orderBy("release_year")) - 1).alias("idx"),
-                     F.array(*[F.col(f) for f in FEATURES]).alias("center"))
-    return cz, sz, cen
+    """Candidates and seeds with the seed-scaled features as ``zvec``, and the per-(set, year) seed centroids."""
+    from seedrank.plans.pipeline import seed_scaled as scaled
+
+    return (*scaled(cand, sd, FEATURES), given_centers(sd))
 
 
 def clusters(spark: SparkSession, d: str):
@@ -452,10 +456,94 @@ def learned_blend(spark, d):
     return out(nn, ["set_id", "item_id", "blend_similarity", "nn_score"])
 
 
+# ------------------------------------------------------------------ M1, M15, M8: what a fit must satisfy
+
+@register("boosted_invariants", _simfilter_sql(None).replace(
+    "SELECT set_id, item_id, round(similarity_score, 6) AS similarity_score FROM s", "SELECT set_id, count(*) AS rows, TRUE AS follows FROM s GROUP BY set_id"))
+def boosted_invariants(spark, d):
+    """M1 fitted: a prediction for every complete candidate of every set, correlated 0.9 or more with the similarity."""
+    ci, si = sim_inputs(spark, d)
+    r = M.similarity_filter(ci, si, "x", len(ALL_F), threshold=None, filter_on="model")
+    return r.groupBy("set_id").agg(F.count("fit_probability").alias("rows"), (F.corr("similarity_score", "fit_probability") >= 0.9).alias("follows"))
+
+
+@register("blend_invariants", S.base("n AS (SELECT set_id, count(*) AS rows FROM cand GROUP BY set_id)") + "SELECT set_id, rows, TRUE AS follows, 0.0::DOUBLE AS lo, 100.0::DOUBLE AS hi FROM n")
+def blend_invariants(spark, d):
+    """A score for every candidate, correlated 0.9 or more with the blended similarity, from 0 to 100 in every set."""
+    nn = learned_blend(spark, d)
+    return nn.groupBy("set_id").agg(F.count("nn_score").alias("rows"), (F.corr("blend_similarity", "nn_score") >= 0.9).alias("follows"),
+                                    F.round(F.min("nn_score"), 6).alias("lo"), F.round(F.max("nn_score"), 6).alias("hi"))
+
+
+@register("kmeans_invariants", S.base(
+    *CLUSTER_CTES[:4], "p AS (SELECT set_id, count(DISTINCT (" + ", ".join(f"z_{f}" for f in FEATURES) + ")) AS points FROM sz GROUP BY set_id)",
+    "t AS (SELECT set_id, " + " + ".join(f"var_pop(z_{f}) * count(*)" for f in FEATURES) + " AS tss FROM sz GROUP BY set_id)")
+    + "SELECT set_id, CAST(10 AS BIGINT) AS fits, round(tss, 4) AS wcss_1, TRUE AS settled, TRUE AS lower, least(points, 10) AS most_centers FROM t JOIN p USING (set_id)")
+def kmeans_invariants(spark, d):
+    """M8: ten fits a set, all settled; one cluster costs the total sum of squares, no fit costs more; as many centres as asked where
+    there are points for them."""
+    _, sz, _ = seed_scaled(spark, d)
+    centers, cost = K.kmeans_multi(sz, "zvec", "item_id", len(FEATURES))
+    most = centers.where(F.col("k") == 10).groupBy("set_id").agg(F.count(F.lit(1)).alias("most_centers"))
+    one = F.max(F.when(F.col("k") == 1, F.col("wcss")))
+    c = cost.groupBy("set_id").agg(F.count(F.lit(1)).alias("fits"), F.round(one, 4).alias("wcss_1"), F.bool_and("converged").alias("settled"),
+                                   (F.max("wcss") <= one + 1e-9).alias("lower"))
+    return c.join(most, "set_id").select("set_id", "fits", "wcss_1", "settled", "lower", "most_centers")
+
+
 # ------------------------------------------------------------------ V11
 
-@register("pca_2d")
+def _pca_sql(source: str, features, min_rows: int) -> str:
+    """Two components per set: the covariance matrix squared again and again turns to its leading direction, which is then
+    taken out; signs by the entry of largest size."""
+    p, n = len(features), range(len(features))
+    g = lambda m, i, j: f"{m}{min(i, j)}_{max(i, j)}"
+    pairs = [(i, j) for i in n for j in range(i, p)]
+    full = " AND ".join(f"{f} IS NOT NULL" for f in features)
+    ctes = [f"r AS MATERIALIZED (SELECT set_id, item_id, {', '.join(f'CAST({f} AS DOUBLE) AS x{i}' for i, f in enumerate(features))} FROM {source} WHERE {full})",
+            f"c AS MATERIALIZED (SELECT set_id, {', '.join(f'avg(x{i}) AS mu{i}' for i in n)}, {', '.join(f'covar_pop(x{i}, x{j}) AS a{i}_{j}' for i, j in pairs)} "
+            f"FROM r GROUP BY set_id HAVING count(*) > {min_rows})"]
+
+    def leading(name, src, m):
+        """Direction of the largest eigenvalue of ``m`` in ``src``, as ``v{name}{i}`` with its value ``l{name}``."""
+        at = f"q{name}0"
+        trace = " + ".join(g(m, i, i) for i in n)
+        ctes.append(f"{at} AS MATERIALIZED (SELECT set_id, {', '.join(f'{g(m, i, j)} / ({trace}) AS b{i}_{j}' for i, j in pairs)} FROM {src})")
+        for k in range(1, 13):
+            square = {(i, j): " + ".join(f"{g('b', i, t)} * {g('b', t, j)}" for t in n) for i, j in pairs}
+            tr = " + ".join(f"({square[i, i]})" for i in n)
+            ctes.append(f"q{name}{k} AS MATERIALIZED (SELECT set_id, {', '.join(f'({square[i, j]}) / ({tr}) AS b{i}_{j}' for i, j in pairs)} FROM q{name}{k - 1})")
+        # a rank-one matrix: its longest column, of unit length, its largest entry positive
+        size = ", ".join(f"b{i}_{i}" for i in n)
+        pick = lambda i: "CASE " + " ".join(f"WHEN b{t}_{t} = greatest({size}) THEN {g('b', i, t)} / sqrt(b{t}_{t})" for t in n) + " END"
+        ctes.append(f"d{name} AS MATERIALIZED (SELECT set_id, {', '.join(f'{pick(i)} AS u{i}' for i in n)} FROM q{name}12)")
+        norm = "sqrt(" + " + ".join(f"u{i} * u{i}" for i in n) + ")"
+        ctes.append(f"e{name} AS MATERIALIZED (SELECT set_id, {', '.join(f'u{i} / {norm} AS v{name}{i}' for i in n)} FROM d{name})")
+
+    leading("1", "c", "a")
+    lam = lambda s: " + ".join(f"v{s}{i} * v{s}{j} * {g('a', i, j)}" for i in n for j in n)
+    ctes.append(f"c2 AS MATERIALIZED (SELECT c.set_id, {', '.join(f'a{i}_{j} - v1{i} * v1{j} * ({lam(1)}) AS h{i}_{j}' for i, j in pairs)} FROM c JOIN e1 USING (set_id))")
+    leading("2", "c2", "h")
+    on = lambda s: " + ".join(f"(x{i} - mu{i}) * v{s}{i}" for i in n)
+    trace = " + ".join(g("a", i, i) for i in n)
+    return S.base(*ctes) + (f"SELECT set_id, item_id, round({on(1)}, 1) AS pc1, round({on(2)}, 1) AS pc2, round(({lam(1)}) / ({trace}), 6) AS explained1, "
+                            f"round(({lam(2)}) / ({trace}), 6) AS explained2 FROM r JOIN c USING (set_id) JOIN e1 USING (set_id) JOIN e2 USING (set_id)")
+
+
+_PCA = ["set_id", "item_id", "pc1", "pc2", "explained1", "explained2"]
+
+
+@register("pca_2d", _pca_sql("cand", FEATURES, 10))
 def pca_2d(spark, d):
-    """Two principal components of the centred candidate features (complete rows)."""
+    """V11, catalogue view: every set's complete candidates on its own two principal components, and their shares of the variance."""
     cand, _ = candidates(spark, d)
-    return out(V.pca_2d(cand, FEATURES, ["set_id", "item_id"]), ["set_id", "item_id", "pc1", "pc2"])
+    p = V.pca_2d(cand, FEATURES, ["set_id", "item_id"])
+    return out(p.withColumns({c: F.round(c, 1) for c in ("pc1", "pc2")}), _PCA)
+
+
+@register("pca_seeds", _pca_sql("sd", FEATURES[:4], 5))
+def pca_seeds(spark, d):
+    """V11, seed view: fewer features, sets of more than 5 seeds."""
+    _, sd = candidates(spark, d)
+    p = V.pca_2d(sd, FEATURES[:4], ["set_id", "item_id"], min_rows=5)
+    return out(p.withColumns({c: F.round(c, 1) for c in ("pc1", "pc2")}), _PCA)

@@ -43,14 +43,14 @@ _SCORED = [
     *CLUSTER_CTES,
     "sc AS (SELECT b.*, ca.cluster FROM b JOIN ca USING (set_id, item_id))",
 ]
-_QUOTA = [
+QUOTA_CTES = [
     "q0 AS (SELECT set_id, cluster, count(*) AS seed_count FROM sa GROUP BY ALL)",
     "q1 AS (SELECT *, seed_count / sum(seed_count) OVER (PARTITION BY set_id) AS share FROM q0)",
     f"q2 AS (SELECT *, greatest(1, CAST(round_even(share * {N}, 0) AS INTEGER)) AS q FROM q1)",
     "q3 AS (SELECT *, sum(q) OVER (PARTITION BY set_id) AS alloc, row_number() OVER (PARTITION BY set_id ORDER BY q DESC, cluster) AS r FROM q2)",
     f"quota AS (SELECT set_id, cluster, seed_count, share, CAST(CASE WHEN r = 1 THEN q + ({N} - alloc) ELSE q END AS INTEGER) AS quota FROM q3)",
 ]
-_SELECT = [
+SELECT_CTES = [
     "rk AS (SELECT *, row_number() OVER (PARTITION BY set_id, cluster ORDER BY base_score DESC NULLS LAST, item_id) AS rn FROM sc)",
     f"picked AS (SELECT rk.* FROM rk JOIN quota USING (set_id, cluster) WHERE rn <= quota AND rn <= {N})",
     "got AS (SELECT set_id, count(*) AS got FROM picked GROUP BY set_id)",
@@ -65,7 +65,7 @@ _SELECT = [
 
 # ------------------------------------------------------------------ R3
 
-@register("cluster_quota", S.base(*_SCORED, *_QUOTA) + "SELECT set_id, cluster, seed_count, round(share, 6) AS share, quota FROM quota")
+@register("cluster_quota", S.base(*_SCORED, *QUOTA_CTES) + "SELECT set_id, cluster, seed_count, round(share, 6) AS share, quota FROM quota")
 def cluster_quota(spark, d):
     """Per cluster max(1, round-half-even(share·100)); the remainder to the largest."""
     cand, sd = candidates(spark, d)
@@ -75,7 +75,7 @@ def cluster_quota(spark, d):
 
 # ------------------------------------------------------------------ R4 R5 R6 (+ J6)
 
-@register("recommend", S.base(*_SCORED, *_QUOTA, *_SELECT)
+@register("recommend", S.base(*_SCORED, *QUOTA_CTES, *SELECT_CTES)
           + "SELECT set_id, rank, item_id, cluster, round(base_score, 6) AS base_score FROM rec")
 def recommend(spark, d):
     """The full selection: best quota rows per cluster (R4), backfill from the remaining rows
@@ -117,7 +117,7 @@ def cluster_representatives(spark, d):
 # ------------------------------------------------------------------ A8
 
 @register("cluster_distribution", S.base(
-    *_SCORED, *_QUOTA, *_SELECT,
+    *_SCORED, *QUOTA_CTES, *SELECT_CTES,
     "a AS (SELECT set_id, cluster, count(*) AS seed_count, count(*) / sum(count(*)) OVER (PARTITION BY set_id) AS seed_share FROM sa GROUP BY set_id, cluster)",
     "bb AS (SELECT set_id, cluster, count(*) AS rec_count, count(*) / sum(count(*)) OVER (PARTITION BY set_id) AS rec_share FROM rec GROUP BY set_id, cluster)")
     + "SELECT coalesce(a.set_id, bb.set_id) AS set_id, coalesce(a.cluster, bb.cluster) AS cluster, coalesce(seed_count, 0) AS seed_count, "
@@ -132,7 +132,7 @@ def cluster_distribution(spark, d):
 
 # ------------------------------------------------------------------ A16
 
-@register("final_summary", S.base(*_SCORED, *_QUOTA, *_SELECT) + (
+@register("final_summary", S.base(*_SCORED, *QUOTA_CTES, *SELECT_CTES) + (
     "SELECT set_id, count(*) AS n, round(avg(base_score), 6) AS mean, round(min(base_score), 6) AS min, "
     "round(max(base_score), 6) AS max FROM rec GROUP BY set_id"))
 def final_summary(spark, d):
@@ -149,7 +149,7 @@ def _profile_sql():
     tops = " UNION ALL ".join(f"SELECT set_id, 'rec ' || CAST(rank AS VARCHAR) AS series, '{f}' AS feature, CAST({f} AS DOUBLE) AS value "
                               f"FROM top5" for f in FEATURES)
     return S.base(
-        *_SCORED, *_QUOTA, *_SELECT,
+        *_SCORED, *QUOTA_CTES, *SELECT_CTES,
         "r5 AS (SELECT rec.set_id, rec.rank, rec.item_id FROM rec WHERE rank <= 5)",
         "top5 AS (SELECT r5.set_id, r5.rank, cand.* EXCLUDE (set_id) FROM r5 JOIN cand USING (item_id))",
     ) + f"SELECT set_id, series, feature, round(value, 6) AS value FROM ({means} UNION ALL {tops})"
@@ -194,7 +194,7 @@ def _blend_ctes() -> list[str]:
 _BLEND_COLS = ["set_id", "rank", "item_id", "cluster", "cosine_score", "ridge_score", "glm_score", "base_score"]
 
 
-@register("recommend_blend", S.base(*_blend_ctes(), *_QUOTA, *_SELECT)
+@register("recommend_blend", S.base(*_blend_ctes(), *QUOTA_CTES, *SELECT_CTES)
           + "SELECT rec.set_id, rec.rank, rec.item_id, rec.cluster, round(sc.cosine_score, 6) AS cosine_score, "
             "round(sc.ridge_score, 6) AS ridge_score, round(sc.glm_score, 6) AS glm_score, round(rec.base_score, 6) AS base_score "
             "FROM rec JOIN sc USING (set_id, item_id)")

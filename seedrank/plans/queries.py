@@ -130,7 +130,7 @@ def recommend_core(spark: SparkSession, d: str) -> DataFrame:
 
 def _load_all() -> None:
     """Import the query modules so they register themselves."""
-    from seedrank.plans import q_clean, q_graph, q_models, q_select, q_sources, q_stats  # noqa: F401
+    from seedrank.plans import q_chain, q_clean, q_graph, q_models, q_select, q_sources, q_stats  # noqa: F401
 
 
 _load_all()

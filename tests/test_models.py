@@ -1,9 +1,13 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from seedrank.operators import boost as B
+from seedrank.operators import clean as C
 from seedrank.operators import cluster as K
+from seedrank.operators import logistic as L
 from seedrank.operators import score as M
 from seedrank.operators import select as R
+from seedrank.operators import vectors as V
 
 RNG = np.random.default_rng(7)
 
@@ -165,18 +169,109 @@ def test_metadata_glm_is_fitted_per_set(spark):
 
 def test_metadata_glm_of_wide_sets_equals_the_dense_fit(spark):
     items, seeds = _glm_frames(spark, ["A", "B"], np.random.default_rng(4))
-    score = lambda **how: {r.item_id: r.glm_score for r in M.metadata_glm(items, seeds, ["a"], ["owner", "label"], **how).collect()}
-    dense, wide = score(), score(max_inputs=2)
-    assert dense.keys() == wide.keys() and max(abs(wide[k] - v) for k, v in dense.items()) < 1e-6
+    score = lambda **how: {r.item_id: r.glm_score for r in M.metadata_glm(items, seeds, ["a"], ["label"], **how).collect()}
+    whole, wide = score(), score(max_entries=2)  # 2: no set is gathered
+    assert whole.keys() == wide.keys() and max(abs(wide[k] - v) for k, v in whole.items()) < 1e-4
+
+
+def test_logistic_fit_of_many_inputs_settles():
+    rng, n, wide = np.random.default_rng(6), 120_000, 50_000
+    at = np.concatenate([np.zeros(n, np.int64), 1 + rng.integers(0, wide - 1, n), 1 + rng.integers(0, 50, n)])
+    row = np.tile(np.arange(n), 3)
+    x = L.Rows(row, at, np.ones(3 * n), n)
+    y = (rng.random(n) < 0.2).astype(float)
+    b = L.fit_rows(x, y, np.ones(n), wide, 0.01, 50)
+    p = 1 / (1 + np.exp(-x.times(b)))
+    gradient = x.back(p - y, wide) / n + np.r_[0.0, np.full(wide - 1, 0.01)] * b
+    assert np.abs(gradient).max() < 1e-9 and np.abs(b).max() > 0
+
+
+def test_inputs_are_numbered_in_buckets(spark):
+    rows = spark.createDataFrame([(s, [(f"n{i}", 1.0) for i in range(s * 40)]) for s in (1, 2)], "s int, __f array<struct<name:string,v:double>>")
+    got = L.numbered_inputs(rows, "s").collect()
+    for s in (1, 2):
+        own = {r.name: r.i for r in got if r.s == s}
+        assert len(own) == s * 40 and sorted(own.values()) == list(range(1, s * 40 + 1))
 
 
 def test_conjugate_gradient_solves_a_sparse_system():
     rng, n = np.random.default_rng(5), 500
     rows = [np.r_[0, 1 + rng.integers(0, 400), 401 + rng.integers(0, 99)] for _ in range(3000)]
-    h = np.zeros((n, n))
+    h = np.diag(np.r_[0.0, np.full(n - 1, 0.01)])
     for r in rows:
         h[np.ix_(r, r)] += rng.random() / len(rows)
-    i, j = np.nonzero(np.triu(h))
-    ridge, rhs = np.r_[0.0, np.full(n - 1, 0.01)], rng.normal(size=n)
-    got = M.conjugate_gradient(i, j, h[i, j], ridge, rhs)
-    assert np.allclose(got, np.linalg.solve(h + np.diag(ridge), rhs), rtol=0, atol=1e-8)
+    rhs = rng.normal(size=n)
+    got = L.conjugate_gradient(lambda d: h @ d, np.diag(h).copy(), rhs)
+    assert np.allclose(got, np.linalg.solve(h, rhs), rtol=0, atol=1e-8)
+
+
+# ---------------------------------------------------------------- boosted trees per set
+
+def _boost_frame(spark, sets, n=160, p=5):
+    rows = []
+    for s in sets:
+        rng = np.random.default_rng(ord(s))
+        x = rng.normal(size=(n, p))
+        y = x[:, 0] + np.sin(2 * x[:, 1]) + 0.5 * x[:, 0] * x[:, 2]
+        rows += [(s, f"{s}{i}", [float(v) for v in r], float(t)) for i, (r, t) in enumerate(zip(x, y))]
+    return spark.createDataFrame(rows, "set_id string, item_id string, z array<double>, y double").repartition(5)
+
+
+def test_boosted_trees_are_fitted_per_set_and_follow_the_target(spark):
+    fit = lambda df, **how: {r.item_id: r.prediction for r in B.boosted_predictions(df, "z", "y", **how).collect()}
+    alone, both = fit(_boost_frame(spark, "A")), fit(_boost_frame(spark, "AB"))
+    assert len(both) == 320 and all(abs(both[k] - v) < 1e-12 for k, v in alone.items())
+    rows = {r.item_id: r.y for r in _boost_frame(spark, "AB").collect()}
+    for s in "AB":
+        k = [i for i in rows if i[0] == s]
+        rank = lambda v: np.argsort(np.argsort(v))
+        assert np.corrcoef(rank([rows[i] for i in k]), rank([both[i] for i in k]))[0, 1] >= 0.9
+
+
+def test_sets_that_no_task_holds_get_the_same_trees(spark):
+    shape = B.Shape(trees=3, depth=2, rate=0.3)
+    df = _boost_frame(spark, "ABC", n=60, p=3)
+    fit = lambda **how: {r.item_id: r.prediction for r in B.boosted_predictions(df, "z", "y", shape=shape, **how).collect()}
+    whole, wide = fit(), fit(max_rows=10)
+    assert whole.keys() == wide.keys() and len(wide) == 180 and max(abs(wide[k] - v) for k, v in whole.items()) < 1e-9
+
+
+# ---------------------------------------------------------------- dictionaries, principal components
+
+def test_seen_flags_packed_and_joined_alike(spark):
+    items = spark.createDataFrame([(s, i, f"o{i % 7}", None if i % 5 == 0 else f"a{i % 11}", i % 4) for s in (0, 1, 2) for i in range(60)],
+                                  "set_id int, id int, owner string, album string, n int")
+    seeds = spark.createDataFrame([(0, "o1", "a3", 2), (0, None, "o2", 3), (1, "o6", None, None)], "set_id int, owner string, album string, n int")
+    cols = ["owner", "album", "n"]
+    got = [C.with_seen_flags(items, seeds, cols, wide=w).select("set_id", "id", *[f"{c}_in_seeds" for c in cols]).collect() for w in (100, 0)]
+    assert sorted(map(tuple, got[0])) == sorted(map(tuple, got[1])) and len(got[0]) == 180
+    want = {(s, i): (int((s, i % 7) in {(0, 1), (1, 6)}), int(s == 0 and i % 5 != 0 and i % 11 == 3), int(s == 0 and i % 4 in (2, 3))) for s in (0, 1, 2) for i in range(60)}
+    assert {(r[0], r[1]): tuple(r[2:]) for r in got[0]} == want
+
+
+def test_exact_medians_of_several_columns(spark):
+    rng = np.random.default_rng(8)
+    rows = [(s, *(None if rng.random() < 0.2 else float(rng.integers(0, 9)) for _ in range(3))) for s in (0, 1) for _ in range(41 + s)] + [(2, None, 1.0, 4.0), (2, None, 2.0, None)]
+    df = spark.createDataFrame(rows, "set_id int, a double, b double, c double")
+    for accuracy in (100_000, 4):
+        got = {r.set_id: [r["__med_a"], r["__med_b"], r["__med_c"]] for r in C.exact_medians(df, ["a", "b", "c"], accuracy=accuracy).collect()}
+        for s in (0, 1, 2):
+            for j in range(3):
+                v = [r[1 + j] for r in rows if r[0] == s and r[1 + j] is not None]
+                assert (got[s][j] is None and not v) or got[s][j] == np.median(v)
+
+
+def test_pca_is_per_set_and_equals_svd(spark):
+    rng = np.random.default_rng(9)
+    data = {s: rng.normal(size=(30, 3)) * [5, 2, 1] + s for s in (0, 1)}
+    rows = [(s, i, *map(float, x)) for s, m in data.items() for i, x in enumerate(m)] + [(2, i, 1.0, 2.0, 3.0) for i in range(5)] + [(0, 99, None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "set_id int, id int, a double, b double, c double")
+    got = V.pca_2d(df, ["a", "b", "c"], ["set_id", "id"]).collect()
+    assert {r.set_id for r in got} == {0, 1} and len(got) == 60  # too few rows: no view
+    for s, m in data.items():
+        _, sv, vt = np.linalg.svd(m - m.mean(0), full_matrices=False)
+        load = vt[:2] * np.where(vt[np.arange(2), np.abs(vt[:2]).argmax(axis=1)] < 0, -1, 1)[:, None]
+        own = sorted((r for r in got if r.set_id == s), key=lambda r: r.id)
+        assert np.allclose([[r.pc1, r.pc2] for r in own], (m - m.mean(0)) @ load.T) and np.allclose([own[0].explained1, own[0].explained2], (sv ** 2 / (sv ** 2).sum())[:2])
+    one = V.pca_2d(df.where("set_id = 1").drop("set_id"), ["a", "b", "c"], ["id"]).collect()
+    assert np.allclose(sorted(r.pc1 for r in one), sorted(r.pc1 for r in got if r.set_id == 1))
