@@ -11,7 +11,8 @@ with the next rarest, and so on through *all* terms, so a surviving start is an
 other term within ``slack`` words of its place.
 
 Terms are 64-bit hashes of lower-cased words. Null or empty texts have no words and are never
-contaminated; items without words or with a null id are ignored; items that repeat count once;
+contaminated; items without words are ignored; the windows of an item with a null id hit words like any other,
+but the item is not listed; items that repeat count once;
 repeated documents are judged row by row. Extra columns are ignored. Empty tables give no hits
 (no benchmark) or no rows (no documents).
 """
@@ -45,11 +46,11 @@ class Queries:
     """The windows of a block of test items: ``terms`` (ascending vocabulary), ``ids`` (row per
     distinct window, vocabulary numbers, -1 beyond its length), ``items`` of each window."""
 
-    def __init__(self, items: list[tuple[str, np.ndarray]], window: int):
+    def __init__(self, items: list[tuple[str | None, np.ndarray]], window: int):
         seen: dict[bytes, set[str]] = {}
         for item, h in items:
             for i in range(max(1, len(h) - window + 1) if len(h) else 0):
-                seen.setdefault(h[i:i + window].tobytes(), set()).add(item)
+                seen.setdefault(h[i:i + window].tobytes(), set()).update([] if item is None else [item])
         self.terms = np.unique(np.concatenate([h for _, h in items])) if items else np.zeros(0, np.uint64)
         keys = sorted(seen)
         self.length = np.array([len(k) // 8 for k in keys], np.int64)
@@ -166,12 +167,12 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: i
                 names=["item", "n", "words"])
 
     items = stage.write(benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text).alias("text"))
-                        .filter("item IS NOT NULL").mapInArrow(hashed, "item string, n long, words binary").filter("n > 0"), "items")
+                        .mapInArrow(hashed, "item string, n long, words binary").filter("n > 0"), "items")
     total = items.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(total / block_words))
     found = []
     for b in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b)
+        part = items.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == b)
         q = Queries([(r.item, np.frombuffer(r.words, np.uint64)) for r in part.toLocalIterator()], window)
         found.append(matches(stage.write(index(docs, q.terms, id_col, text_col), f"index{b}"), q, slack))
     out = found[0]

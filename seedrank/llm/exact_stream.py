@@ -15,7 +15,7 @@ text, so the result is exact for any digest function.
 
 Null text counts as empty; all texts without other characters than white space are equal. Null
 identifiers come after all others. Rows that repeat in full keep exactly one row (the smallest row
-number). Extra columns pass through ``deduplicate``; names that start with ``_xd_`` are reserved.
+number). Any long is an identifier. Extra columns pass through, whatever their names (``free_name``).
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as ty
 
-from seedrank.llm.tables import Staged
+from seedrank.llm.tables import Staged, free_name
 
 #: state in RocksDB; many small stores should not reserve disk ahead
 STATE_CONF = {
@@ -48,9 +48,9 @@ def sha256_digest(text: Column) -> Column:
 
 
 def _best(points: str, ident: str, row: str, locator: str) -> Column:
-    """Sort key whose maximum is the retained row."""
-    return F.struct(F.col(points).alias("points"), F.col(ident).isNotNull().alias("known"), (-F.col(ident)).alias("neg_id"),
-                    (-F.col(row)).alias("neg_row"), F.col(locator).alias("locator"))
+    """Sort key whose maximum is the retained row; the complement turns the order of any long round."""
+    return F.struct(F.col(points).alias("points"), F.col(ident).isNotNull().alias("known"), F.bitwise_not(ident).alias("neg_id"),
+                    F.bitwise_not(row).alias("neg_row"), F.col(locator).alias("locator"))
 
 
 def _run_stream(records: DataFrame, stage: Staged, batch_bytes: int) -> DataFrame:
@@ -85,24 +85,26 @@ def _run_stream(records: DataFrame, stage: Staged, batch_bytes: int) -> DataFram
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                digest: Callable[[Column], Column] = sha256_digest, batch_bytes: int = 64 << 30, buckets: int = 0) -> DataFrame:
-    """``docs`` with ``_xd_keep_id``, ``_xd_group_size``, ``_xd_kept`` and ``_xd_sha256``, one row per row."""
+                digest: Callable[[Column], Column] = sha256_digest, batch_bytes: int = 64 << 30, buckets: int = 0,
+                prefix: str = "_xd_") -> DataFrame:
+    """``docs`` with ``_xd_keep_id``, ``_xd_group_size``, ``_xd_kept`` and ``_xd_sha256`` (or another ``prefix`` that no column of
+    ``docs`` begins with), one row per row."""
     spark = docs.sparkSession
     stage = Staged(spark, "exact")
-    content = stage.write(docs.withColumn("_xd_row", F.monotonically_increasing_id()), "content")
+    content = stage.write(docs.withColumn(f"{prefix}row", F.monotonically_increasing_id()), "content")
     text = normalised(F.col(text_col))
     buckets = buckets or 1024
     records = stage.write(content.select(
         digest(text).alias("digest"), F.unhex(F.sha2(text, 256)).alias("sha"),
         F.coalesce(F.length(text_col), F.lit(0)).cast("long").alias("points"),
-        F.col(id_col).cast("long").alias("ident"), F.col("_xd_row").alias("row"),
-        F.pmod(F.xxhash64("_xd_row"), F.lit(buckets)).cast("int").alias("locator")), "records")
+        F.col(id_col).cast("long").alias("ident"), F.col(f"{prefix}row").alias("row"),
+        F.pmod(F.xxhash64(f"{prefix}row"), F.lit(buckets)).cast("int").alias("locator")), "records")
     groups = stage.write(_run_stream(records, stage, batch_bytes), "groups")
     stage.drop("updates", "state")
     # rows of digests that were hit, with the row retained for their digest
     hits = stage.write(records.join(groups.filter("n > 1"), "digest").select(
-        "digest", "points", "ident", "row", "locator", (-F.col("best.neg_row")).alias("kept_row"), F.col("best.locator").alias("kept_locator")), "hits")
-    mine = stage.write(content.select(F.col("_xd_row").alias("row"), text.alias("t")).join(hits, "row"), "members")
+        "digest", "points", "ident", "row", "locator", F.bitwise_not("best.neg_row").alias("kept_row"), F.col("best.locator").alias("kept_locator")), "hits")
+    mine = stage.write(content.select(F.col(f"{prefix}row").alias("row"), text.alias("t")).join(hits, "row"), "members")
     held = mine.filter("row = kept_row").select(F.col("locator").alias("kept_locator"), F.col("row").alias("kept_row"), F.col("t").alias("kept_t"))
     checked = stage.write(mine.join(held, ["kept_locator", "kept_row"]).select("digest", "row", (F.col("t") == F.col("kept_t")).alias("same")), "checked")
     odd = checked.filter("not same")
@@ -120,11 +122,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         cols = ["row", "ident", "sha", "best", "n"]
         joined = plain.select(cols).unionByName(regrouped.select(cols))
     decided = joined.select(
-        F.col("row").alias("_xd_row"), (-F.col("best.neg_id")).alias("_xd_keep_id"), F.col("n").alias("_xd_group_size"),
-        (F.col("row") == -F.col("best.neg_row")).alias("_xd_kept"), F.lower(F.hex("sha")).alias("_xd_sha256"))
+        F.col("row").alias(f"{prefix}row"), F.bitwise_not("best.neg_id").alias(f"{prefix}keep_id"), F.col("n").alias(f"{prefix}group_size"),
+        (F.col("row") == F.bitwise_not("best.neg_row")).alias(f"{prefix}kept"), F.lower(F.hex("sha")).alias(f"{prefix}sha256"))
     decided = stage.write(decided, "decided")
     stage.drop("hits", "members", "checked", "groups")
-    return content.join(decided, "_xd_row").drop("_xd_row")
+    return content.join(decided, f"{prefix}row").drop(f"{prefix}row")
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -135,5 +137,6 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """The rows that stay, with the columns of ``docs``."""
-    return deduplicate(docs, **how).filter("_xd_kept").select(*docs.columns)
+    """The rows that stay, with the columns of ``docs``, whatever their names."""
+    prefix = free_name(docs.columns, "_xd_")
+    return deduplicate(docs, prefix=prefix, **how).filter(F.col(f"{prefix}kept")).select(*docs.columns)

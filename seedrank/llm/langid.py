@@ -2,8 +2,8 @@
 
 Bytes are embedded, convolved with filters of several widths, max-pooled over a fixed-length
 window and classified by a softmax layer; the network is trained with numpy on the driver from a
-bounded sample of labelled rows (``SAMPLE`` documents a language and ``WINDOWS`` windows of each,
-at most ``MAX_LANGS`` languages, the most frequent ones). Every text is then cut into consecutive
+bounded sample of labelled rows (about ``SAMPLE`` documents of every language and ``WINDOWS`` windows
+of each). Every text is then cut into consecutive
 windows of ``LENGTH`` bytes (the last one padded with zero bytes), whole, and the windows' class
 probabilities are averaged by the bytes they hold. A convolution over bytes is a sum of table rows,
 so prediction adds rows of precomputed byte-pair tables, window batches at a time.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ty
 
 from seedrank.llm import text as T
-from seedrank.llm.tables import ship
+from seedrank.llm.tables import free_name, ship
 
 LENGTH = 256
 WIDTHS = (2, 3, 4)
@@ -30,7 +30,6 @@ FILTERS = 8
 EMBED = 8
 SAMPLE = 300
 WINDOWS = 3
-MAX_LANGS = 64
 EPOCHS = 10
 
 
@@ -125,16 +124,11 @@ class ByteCNN:
         return out
 
 
-def training_windows(docs: DataFrame, learn: Column, sample: int, windows: int, max_langs: int) -> tuple[np.ndarray, list[str]]:
-    """Windows and their languages from about ``sample`` documents a language, chosen by a hash."""
+def training_windows(docs: DataFrame, learn: Column, sample: int, windows: int) -> tuple[np.ndarray, list[str]]:
+    """Windows and their languages from about ``sample`` documents of every language, chosen by a hash."""
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    if not counts:
-        return np.zeros((0, LENGTH), np.uint8), []
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000))
-    chosen = F.lit(False)
-    for r in counts:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (draw < int(1_000_000 * min(1, sample / r["count"]))))
+    share = rows.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("share"))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 52)).cast("double") / float(1 << 52)
 
     def cut(batches):
         for part, data, offs in T.chunks(batches, "text"):
@@ -146,13 +140,13 @@ def training_windows(docs: DataFrame, learn: Column, sample: int, windows: int,
             x = window_matrix(data, starts[full], np.minimum(size[doc], LENGTH)[full], LENGTH)
             yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(doc[full])), pa.array([w.tobytes() for w in x], pa.binary())], names=["lang", "x"])
 
-    got = rows.filter(chosen).select("lang", "text").mapInArrow(cut, "lang string, x binary").collect()
+    got = rows.join(share, "lang").filter(draw < F.col("share")).select("lang", "text").mapInArrow(cut, "lang string, x binary").collect()
     got.sort()
     return np.array([np.frombuffer(r["x"], np.uint8) for r in got], np.uint8).reshape(-1, LENGTH), [r["lang"] for r in got]
 
 
-def train(docs: DataFrame, learn: Column, sample: int = SAMPLE, windows: int = WINDOWS, max_langs: int = MAX_LANGS, epochs: int = EPOCHS) -> ByteCNN | None:
-    x, lang = training_windows(docs, learn, sample, windows, max_langs)
+def train(docs: DataFrame, learn: Column, sample: int = SAMPLE, windows: int = WINDOWS, epochs: int = EPOCHS) -> ByteCNN | None:
+    x, lang = training_windows(docs, learn, sample, windows)
     if not lang:
         return None
     labels = sorted(set(lang))
@@ -207,11 +201,13 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return predict(rows.select("doc_id", "held_out", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")), model)
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.3, **how) -> DataFrame:
-    """Rows of ``docs`` whose text has a language: prediction not ``und``, score at least ``min_score``."""
+def keep_identified(docs: DataFrame, min_score: float = 0.0, **how) -> DataFrame:
+    """Rows of ``docs`` whose text has a language: prediction not ``und`` (and, if asked, a score of at least ``min_score``). Columns
+    of any name pass through."""
     ship(docs.sparkSession)
     rest = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
     model = train(docs.select("doc_id", "text", "lang"), rest != 2, **how)
     known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    judged = predict(docs.withColumn("_li_letters", known), model, True, "_li_letters", ("_li_lang", "_li_score"))
-    return judged.filter((F.col("_li_lang") != "und") & (F.col("_li_score") >= min_score)).select(*docs.columns)
+    own = free_name(docs.columns, "_li_")
+    judged = predict(docs.withColumn(f"{own}letters", known), model, True, f"{own}letters", (f"{own}lang", f"{own}score"))
+    return judged.filter((F.col(f"{own}lang") != "und") & (F.col(f"{own}score") >= min_score)).select(*docs.columns)

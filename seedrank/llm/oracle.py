@@ -96,15 +96,15 @@ _WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 DECONTAMINATION = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_lower("coalesce(text, '')")}, {_WORDS}) AS w FROM documents),
-b AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_lower("coalesce(text, '')")}, {_WORDS}) AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_lower("coalesce(text, '')")}, {_WORDS}) AS w FROM benchmark),
 bw AS MATERIALIZED (SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS win
     FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS i FROM b WHERE len(w) > 0)),
 lengths AS (SELECT DISTINCT n FROM bw),
 dw AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
     FROM (SELECT rid, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths)),
-hit AS MATERIALIZED (SELECT rid, dw.n, i, item FROM dw JOIN bw USING (win)),
+hit AS MATERIALIZED (SELECT rid, dw.n, i, item FROM dw JOIN bw USING (win)),  -- items of null id hit words, and are not listed
 words AS (SELECT rid, count(*) AS n_hit FROM (SELECT DISTINCT rid, unnest(range(i, i + n)) AS at FROM hit) GROUP BY rid),
-items AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+items AS (SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT rid, item FROM hit WHERE item IS NOT NULL) GROUP BY rid)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)

@@ -4,9 +4,9 @@ Every task packs the documents of its partition online. A document's ids end wit
 windows are cut off its front, and the rest is placed into the fill level (an open window, or a new
 one) that minimises the sum of squared counts of partially filled windows, which a level array
 tracks: going from level h to h + s changes the sum by 2 (N[h + s] - N[h]) plus a constant. When
-the partition ends (or ``max_open`` windows are open) the open windows are closed: their pieces are
-run together and cut into full windows, and the last one into sequences whose lengths are powers
-of two, which need no padding. Memory is the open windows. Sequence ids carry the partition number,
+the partition ends (or ``MAX_OPEN`` windows are open, a bound on memory) the open windows are closed: windows of levels h
+and ``capacity`` - h complete each other as they are; what no level completes is run together and cut into full windows, and
+the last one into sequences whose lengths are powers of two, which need no padding. Memory is the open windows. Sequence ids carry the partition number,
 so packing needs no shuffle, and a task that is run again gives the same pieces.
 
 Ids come from a byte-level BPE vocabulary (a tokenizers JSON file): texts are split into
@@ -35,8 +35,6 @@ CAPACITY = 1024
 MAX_OPEN = 50_000
 END = 0
 
-#: fixed values: the pre-token pattern of the vocabulary
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: fixed values: code points with the White_Space property
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
@@ -62,16 +60,13 @@ class Encoder:
     CACHE = 1 << 20
 
     def __init__(self, path: str):
-        import tiktoken
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+            self.special = [t["content"] for t in json.load(f).get("added_tokens", [])]
         self.whole = Tokenizer.from_file(path)
-        self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        letters = byte_letters()
-        ranks = {bytes(letters[c] for c in tok): i for tok, i in spec["model"]["vocab"].items() if tok not in self.special}
-        self.core = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe
+        self.model = self.whole.model  # merges in the order of the file's list, as for a whole text
+        self.letters = {b: c for c, b in byte_letters().items()}
         self.classes = _classes()
         self.values = None
         self.clear()
@@ -149,8 +144,8 @@ class Encoder:
                 self.clear()
                 known[:] = False
             new = np.flatnonzero(~known)
-            core = self.core.encode_single_piece
-            got = [core(s[x:y].encode()) for x, y in zip(start[new].tolist(), end[new].tolist())]
+            tokenize, letters = self.model.tokenize, self.letters
+            got = [[t.id for t in tokenize(s[x:y].encode().decode("latin-1").translate(letters))] for x, y in zip(start[new].tolist(), end[new].tolist())]
             sizes = np.fromiter(map(len, got), np.int64, len(got))
             flat = np.fromiter((i for g in got for i in g), np.uint32, int(sizes.sum()))
             first = len(self.flat) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
@@ -210,7 +205,11 @@ class Packer:
         self.next += 1
 
     def close(self) -> None:
-        """Run the open windows together: full windows, then powers of two."""
+        """Complete windows by windows of the level that they lack; run the others together: full windows, then powers of two."""
+        for h in range(self.capacity, (self.capacity - 1) // 2, -1):
+            high, low = self.open[h], self.open[self.capacity - h]
+            while high and low and (high is not low or len(high) > 1):
+                self.finish(high.pop() + low.pop())
         left = [p for level in reversed(self.open) for window in level for p in window]
         self.open = [[] for _ in range(self.capacity + 1)]
         self.count[:] = 0

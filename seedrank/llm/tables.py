@@ -5,13 +5,12 @@ from __future__ import annotations
 import math
 import os
 import tempfile
-import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedrank.session import ensure_checkpoint_dir
+from seedrank.functions.params import new_folder
 
 
 _SHIPPED: set[str] = set()
@@ -45,12 +44,12 @@ def read(spark: SparkSession, d: str, table: str) -> DataFrame:
 
 class Staged:
     """Tables written to the cluster's shared folder by one call; ``drop`` removes those that
-    the returned frame no longer reads."""
+    the returned frame no longer reads, and ``params.drop_written`` all of them."""
 
     def __init__(self, spark: SparkSession, name: str):
         ship(spark)
         self.spark = spark
-        self.base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/seedrank-{name}-{uuid.uuid4().hex}"
+        self.base = new_folder(spark, name)
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -67,6 +66,14 @@ class Staged:
             p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, lengthened until no column of ``taken`` begins with it (in any case): a column, or a prefix of columns, of
+    our own beside whatever columns a table has."""
+    while any(c.lower().startswith(name.lower()) for c in taken):
+        name += "_"
+    return name
+
+
 def input_bytes(df: DataFrame) -> int:
     """Size of a frame as Spark's statistics give it (file sizes for a table scan), or the bytes of
     its texts where Spark has no statistics."""

@@ -143,8 +143,8 @@ def test_decontamination(spark, docs, rows):
     windows = collections.defaultdict(set)
     for i, t in items:
         w = alnum(t)
-        for a in range(max(1, len(w) - 12) if w and i is not None else 0):
-            windows[tuple(w[a:a + 13])].add(str(i))
+        for a in range(max(1, len(w) - 12) if w else 0):
+            windows[tuple(w[a:a + 13])].update([] if i is None else [str(i)])
     want = []
     for doc, t, *_ in rows:
         w, hit, found = alnum(t), set(), set()
