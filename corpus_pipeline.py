@@ -14,16 +14,14 @@ from pyspark.sql import functions as F
 
 from seedrank.llm import decontam, exact_stream, langid, packing, simhash
 from seedrank.llm.queries import tokenizer_path
-from seedrank.llm.tables import Staged, read
+from seedrank.llm.tables import Staged, free_name, read
 
 #: no DuckDB form: the stages need trained networks, XXH64 and a BPE vocabulary
 ORACLE_SQL = None
-#: row number of a stage's input
-ROW = "_cp_row"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts in no known language (null, without a letter, or of very low score)."""
+    """Drops texts in no known language (null, or without a letter)."""
     return langid.keep_identified(docs)
 
 
@@ -32,31 +30,32 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_stream.keep_one(docs)
 
 
-def numbered(stage: Staged, docs: DataFrame) -> DataFrame:
-    """``docs`` written with a row number ``ROW``: what a stage drops is dropped by it, since
-    identifiers may be null or repeat (and many rows may hold one identifier)."""
-    return stage.write(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+def numbered(stage: Staged, docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a row number, and that column's name (none of ``docs``): what a stage drops is dropped by
+    it, since identifiers may be null or repeat (and many rows may hold one identifier)."""
+    row = free_name(docs.columns, "_cp_row")
+    return stage.write(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group stays: the smallest doc_id (null last), then row number."""
     stage = Staged(spark, "near")
-    rows = numbered(stage, docs)
-    classes = stage.write(simhash.near_duplicates(rows, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id"), "classes")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", ROW)).alias("first")
-    kept = classes.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(first).select(F.col(f"first.{ROW}").alias(ROW))
-    gone = stage.write(classes.select(ROW).join(kept, ROW, "left_anti"), "gone")
+    rows, row = numbered(stage, docs)
+    classes = stage.write(simhash.near_duplicates(rows, id_col=row).select(F.col("doc_id").alias(row), "component_id"), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", row)).alias("first")
+    kept = classes.join(rows.select(row, "doc_id"), row).groupBy("component_id").agg(first).select(F.col(f"first.{row}").alias(row))
+    gone = stage.write(classes.select(row).join(kept, row, "left_anti"), "gone")
     stage.drop("classes")
-    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops contaminated documents."""
     stage = Staged(spark, "contaminated")
-    rows = numbered(stage, docs)
-    found = decontam.contamination(rows, read(spark, sf_dir, "benchmark"), id_col=ROW).filter("contaminated")
-    bad = stage.write(found.select(F.col("doc_id").alias(ROW)), "bad")
-    return rows.join(bad, ROW, "left_anti").select(*docs.columns)
+    rows, row = numbered(stage, docs)
+    found = decontam.contamination(rows, read(spark, sf_dir, "benchmark"), id_col=row).filter("contaminated")
+    bad = stage.write(found.select(F.col("doc_id").alias(row)), "bad")
+    return rows.join(bad, row, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
