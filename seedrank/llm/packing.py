@@ -3,7 +3,7 @@
 Every task packs the documents of its partition online. A document's ids end with id 0; full
 windows are cut off its front, and the rest is placed into the fill level (an open window, or a new
 one) that minimises the sum of squared counts of partially filled windows, which a level array
-tracks: going from level h to h + s changes the sum by 2 (N[h + s] - N[h]) plus a constant. When
+tracks: going from level h to h + s changes the sum by 2 (N[h + s] - N[h]) + 2, opening a window by 2 N[s] + 1. When
 the partition ends (or ``MAX_OPEN`` windows are open, a bound on memory) the open windows are closed: windows of levels h
 and ``capacity`` - h complete each other as they are; what no level completes is run together and cut into full windows, and
 the last one into sequences whose lengths are powers of two, which need no padding. Memory is the open windows. Sequence ids carry the partition number,
@@ -19,6 +19,7 @@ rows are packed one by one. Extra columns are ignored; an empty table gives no r
 
 from __future__ import annotations
 
+import functools
 import json
 import unicodedata
 import zlib
@@ -39,14 +40,32 @@ END = 0
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
-def _classes() -> np.ndarray:
-    """0 other, 1 letter, 2 number, 3 white space, by code point."""
+def python_classes() -> np.ndarray:
+    """0 other, 1 letter, 2 number, 3 white space, by code point, as this Python's Unicode tables have them; 4: unassigned."""
     kind = {"L": 1, "N": 2}
-    t = np.fromiter((kind.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)), np.uint8, 0x110000)
+    t = np.fromiter((4 if unicodedata.category(chr(c)) == "Cn" else kind.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)), np.uint8, 0x110000)
     t[WHITE] = 3
     return t
 
 
+@functools.cache
+def classes(path: str) -> np.ndarray:
+    """Classes of code points as the vocabulary's own splitter sees them. Its Unicode tables may be newer than Python's, so the
+    code points of the first four planes that Python does not know (no other plane holds letters) are put to it, each behind a
+    letter and behind a digit: it does not split a letter from a letter."""
+    from tokenizers import Tokenizer
+
+    split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    t = python_classes()
+    unknown = np.flatnonzero(t[:0x40000] == 4)
+    t[t == 4] = 0
+    for lead, kind in (("a", 1), ("1", 2)):
+        starts = np.fromiter((span[0] for _, span in split("".join(f"{lead}{chr(c)} " for c in unknown.tolist()))), np.int64)
+        joined = ~np.isin(np.arange(len(unknown)) * 3 + 1, starts)
+        t[unknown[joined]] = kind
+    return t
+
+
 def byte_letters() -> dict[str, int]:
     """Inverse of the printable stand-ins that byte-level vocabularies use for bytes."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -59,7 +78,7 @@ class Encoder:
 
     CACHE = 1 << 20
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kinds: np.ndarray | None = None):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -67,7 +86,7 @@ class Encoder:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model  # merges in the order of the file's list, as for a whole text
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.classes = _classes()
+        self.classes = classes(path) if kinds is None else kinds
         self.values = None
         self.clear()
 
@@ -178,10 +197,11 @@ class Packer:
 
     def place(self, piece: tuple) -> None:
         s, c = len(piece[2]), self.capacity
-        cost = self.count[s:] - self.count[: c + 1 - s]  # level h to h + s, h from 0 to c - s
+        # change of the sum of squares from level h to h + s, h from 0 to c - s, less 2
+        cost = 2 * (self.count[s:] - self.count[: c + 1 - s])
         cost = np.where(self.count[: c + 1 - s] > 0, cost, np.iinfo(np.int64).max)
-        cost[0] = self.count[s]  # a new window: level 0 has no count
-        cost[-1] = -self.count[c - s] - 1 if self.count[c - s] or c == s else cost[-1]  # it becomes full
+        cost[-1] = min(cost[-1], cost[-1] - 1)  # a window that becomes full has no level any more
+        cost[0] = 2 * self.count[s] - 1  # a new window had none
         h = c - s - int(np.argmin(cost[::-1]))  # of equal levels the fullest
         window = self.open[h].pop() if h else []
         if h:
@@ -238,11 +258,13 @@ COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, max_open: int = MAX_OPEN,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    kinds = docs.sparkSession.sparkContext.broadcast(classes(tokenizer_path))  # a byte per code point
+
     def table(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=COLUMNS)
 
     def run(batches):
-        encoder = Encoder(tokenizer_path)
+        encoder = Encoder(tokenizer_path, kinds.value)
         packer = Packer(capacity, max_open, TaskContext.get().partitionId() << 33)
         for rows, data, offs in T.chunks(batches, "text", 1 << 20):
             ids, bounds = encoder.encode(data, offs)

@@ -12,7 +12,7 @@ end. An accumulator is dropped if its score with the most that the later owners
 stays below that bound, and a later stage opens no accumulator that would; ties with the bound are
 kept. So the result is that of full accumulation.
 
-``index`` holds every term of every document, written once: chunks of whole documents (``text.CHUNK_BYTES``
+``index`` holds every term of every document, written once: chunks of whole documents (``CHUNK_BYTES``
 of text and at most ``CHUNK_DOCS`` documents), each with its distinct terms and their postings. Items come in
 blocks of about ``BLOCK_WORDS`` words, whose distinct terms (16 bytes each) and bounds (8 bytes an
 item) are what a task is sent; a block reads the index twice, never the texts.
@@ -41,9 +41,10 @@ TOP = 20
 BANDS = (0.002, 0.02, 0.2)
 BUNDLE = 256
 BLOCK_WORDS = 1_000_000
-CHUNK_DOCS = 4096
+#: text and documents of a chunk (a longer document is a chunk of its own)
+CHUNK_BYTES, CHUNK_DOCS = 1 << 20, 4096
 #: chunks that a task of a stage takes
-TASK_CHUNKS = 32
+TASK_CHUNKS = 64
 #: fixed values of the score: the integer saturation of a term's occurrences
 SCALE, TF_FACTOR, M_FACTOR, M_BASE, M_SLOPE = 1_000_000_000, 1000, 12, 75, 25
 #: a term adds less than its weight times this
@@ -65,7 +66,7 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """One row per chunk: document ids and term counts, distinct terms ascending, their postings."""
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0
-        for rows, data, offs in T.chunks(batches, "text"):
+        for rows, data, offs in T.chunks(batches, "text", CHUNK_BYTES):
             for lo in range(0, rows.num_rows, CHUNK_DOCS):
                 own = offs[lo:lo + CHUNK_DOCS + 1]
                 h, first = term_hashes(data[own[0]:own[-1]], own - own[0])
@@ -86,6 +87,14 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, INDEX)
 
 
+def rows_of(batches):
+    """The rows of Arrow batches one at a time; binary cells stay in the batch's memory."""
+    for b in batches:
+        names, kinds = b.schema.names, b.schema.types
+        for i in range(b.num_rows):
+            yield {name: b.column(c)[i].as_buffer() if pa.types.is_binary(kinds[c]) else b.column(c)[i].as_py() for c, name in enumerate(names)}
+
+
 def binary(*arrays: np.ndarray) -> list[pa.Array]:
     return [pa.array([a.tobytes()], pa.binary()) for a in arrays]
 
@@ -110,13 +119,12 @@ def frequencies(stored: DataFrame, terms: np.ndarray) -> tuple[int, int, np.ndar
     def run(batches):
         terms = shared.value
         count = np.zeros(len(terms) + 2, np.int64)
-        for b in batches:
-            for row in b.to_pylist():
-                n = np.frombuffer(row["lengths"], np.int32)
-                have, here, bounds = found(row, terms)
-                count[0] += (n > 0).sum()
-                count[1] += n.sum(dtype=np.int64)
-                count[have + 2] += bounds[here + 1] - bounds[here]
+        for row in rows_of(batches):
+            n = np.frombuffer(row["lengths"], np.int32)
+            have, here, bounds = found(row, terms)
+            count[0] += (n > 0).sum()
+            count[1] += n.sum(dtype=np.int64)
+            count[have + 2] += bounds[here + 1] - bounds[here]
         at = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], names=["term", "n"])
 
@@ -166,21 +174,20 @@ def owned(stored: DataFrame, shared, owner_path: str) -> None:
         of = np.repeat(np.arange(len(plan.terms)), np.diff(plan.first))
         for b in range(bundles):
             in_bundle[b][of[plan.item // plan.bundle == b]] = True
-        for batch in batches:
-            for row in batch.to_pylist():
-                have, here, bounds = found(row, plan.terms)
-                docs, tf = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["tf"], np.int32)
-                for s in range(plan.stages):
-                    for b in range(bundles):
-                        mine = (plan.owner[have] == s) & in_bundle[b][have] & (plan.weight[have] > 0)
-                        if not mine.any():
-                            continue
-                        sizes = (bounds[here + 1] - bounds[here])[mine]
-                        at = T.ragged(bounds[here[mine]], sizes)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([s], pa.int32()), pa.array([b], pa.int64()), pa.array([row["chunk"]], pa.int64()), pa.array([row["lengths"]], pa.binary()),
-                             *binary(have[mine].astype(np.int32), np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), docs[at], tf[at])],
-                            names=["owner", "bundle", "chunk", "lengths", "terms", "bounds", "docs", "tf"])
+        for row in rows_of(batches):
+            have, here, bounds = found(row, plan.terms)
+            docs, tf = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["tf"], np.int32)
+            for s in range(plan.stages):
+                for b in range(bundles):
+                    mine = (plan.owner[have] == s) & in_bundle[b][have] & (plan.weight[have] > 0)
+                    if not mine.any():
+                        continue
+                    sizes = (bounds[here + 1] - bounds[here])[mine]
+                    at = T.ragged(bounds[here[mine]], sizes)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([s], pa.int32()), pa.array([b], pa.int64()), pa.array([row["chunk"]], pa.int64()), pa.array([row["lengths"].to_pybytes()], pa.binary()),
+                         *binary(have[mine].astype(np.int32), np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), docs[at], tf[at])],
+                        names=["owner", "bundle", "chunk", "lengths", "terms", "bounds", "docs", "tf"])
 
     (stored.select("chunk", "lengths", "terms", "bounds", "docs", "tf").mapInArrow(run, POSTINGS)
      .write.mode("overwrite").partitionBy("owner").parquet(owner_path))
@@ -262,11 +269,10 @@ def search_block(stage: Staged, stored: DataFrame, items: list, name: str, k: in
     numbers = [i for i, _ in items]
 
     def unpack(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                d, x = np.frombuffer(r["docs"], np.int32), np.frombuffer(r["scores"], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([numbers[r["bundle"] * bundle + r["item"]]] * len(d), pa.int64()),
-                                                  pa.array([r["doc_ids"][i] for i in d.tolist()], pa.int64()), pa.array(x)], names=["row", "doc_id", "score"])
+        for r in rows_of(batches):
+            d, x = np.frombuffer(r["docs"], np.int32), np.frombuffer(r["scores"], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([numbers[r["bundle"] * bundle + r["item"]]] * len(d), pa.int64()),
+                                              pa.array([r["doc_ids"][i] for i in d.tolist()], pa.int64()), pa.array(x)], names=["row", "doc_id", "score"])
 
     hits = (carried.join(stored.select("chunk", "doc_ids"), "chunk").select("bundle", "item", "docs", "scores", "doc_ids")
             .mapInArrow(unpack, "row long, doc_id long, score long"))

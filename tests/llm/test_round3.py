@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from seedrank.llm import fim, ranked_search, tables, toxicity
+import corpus_pipeline
+from seedrank.llm import exact_stream, fim, packing, ranked_search, tables, toxicity
 
 SCHEMA = "doc_id long, text string, rank int, score int, chunk string"
 
@@ -162,3 +163,68 @@ def test_isotonic_is_increasing_and_trees_learn_an_interaction():
     at, value = toxicity.isotonic(m, y[1000:], np.ones(1000))
     assert (np.diff(value) > 0).all() and (np.diff(at) > 0).all()
     assert np.isclose(np.interp(m, at, value).mean(), y[1000:].mean(), atol=0.05)
+
+
+# ---------------------------------------------------------------- earlier operators
+
+def test_packing_ids_of_random_code_points():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    encoder = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    r = np.random.default_rng(4)
+    points = np.concatenate([np.arange(32, 0xD800), np.arange(0xE000, 0x11000), np.arange(0x1F300, 0x1F700)])
+    texts = ["\U000143da\u9b73", "it's I'LL 'sx  \n\t x"] + ["".join(chr(c) for c in r.choice(points, int(n))) for n in r.integers(1, 12, 4000)]
+    raw = [t.encode() for t in texts]
+    ids, bounds = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))))
+    for t, a, b in zip(texts, bounds[:-1], bounds[1:]):
+        assert ids[a:b].tolist() == encoder.whole.encode(t, add_special_tokens=False).ids
+
+
+def test_packing_places_by_least_squares_and_completes_levels():
+    r = np.random.default_rng(5)
+    p = packing.Packer(capacity=16, max_open=10_000)
+    for doc in range(400):
+        s, before, levels = int(r.integers(1, 16)), p.count.copy(), p.count.copy()
+        p.add(doc, np.zeros(s, np.uint32))
+        costs = {}
+        for h in range(0, 17 - s):
+            if h and not levels[h]:
+                continue
+            after = levels.copy()
+            if h:
+                after[h] -= 1
+            if h + s < 16:
+                after[h + s] += 1
+            costs[h] = int((after ** 2).sum())
+        assert (p.count ** 2).sum() == min(costs.values()), (s, before)
+    q = packing.Packer(capacity=16)
+    for doc, h in enumerate([10, 10, 10, 6, 6, 8, 8, 8]):
+        q.open[h].append([(doc, 0, np.zeros(h, np.uint32), h)])
+    q.close()
+    windows = collections.defaultdict(list)
+    for doc, start, n, *_, sequence, offset in q.take():
+        windows[sequence].append((doc, start, n, offset))
+    whole = [sorted(n for _, _, n, _ in w) for w in windows.values() if all(start == 0 and n == [10, 10, 10, 6, 6, 8, 8, 8][doc] for doc, start, n, _ in w)]
+    assert sorted(w for w in whole if sum(w) == 16) == [[6, 10], [6, 10], [8, 8]]
+    assert sorted(sum(n for _, _, n, _ in w) for w in windows.values()) == [2, 16, 16, 16, 16]
+
+
+def test_exact_dedup_of_any_long_and_any_column_name(spark):
+    low = -(1 << 63)
+    docs = spark.createDataFrame([(low, "a", 1, "x", 7), (3, "a ", 2, "y", 8), (None, "b", 3, None, 9), (low, "b", 4, "z", 9)],
+                                 "doc_id long, text string, _xd_row int, _XD_kept string, _cp_row long")
+    got = {(r.doc_id, r.kept): r.keep_id for r in exact_stream.decisions(docs).collect()}
+    assert got == {(low, False): 3, (3, True): 3, (None, False): low, (low, True): low}
+    kept = exact_stream.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(r["_cp_row"] for r in kept.collect()) == [8, 9]
+    near = corpus_pipeline.simhash_dedup(spark, docs, "")
+    assert near.columns == docs.columns and {r["_cp_row"] for r in near.collect()} <= {7, 8, 9}
+
+
+def test_staged_tables_are_removed(spark):
+    from seedrank.functions.params import drop_written
+
+    stage = tables.Staged(spark, "gone")
+    df = stage.write(spark.range(3), "t")
+    assert df.count() == 3 and drop_written(spark) >= 1
+    fs = spark._jvm.org.apache.hadoop.fs.Path(stage.base)
+    assert not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
