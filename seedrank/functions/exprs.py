@@ -19,11 +19,6 @@ def null_safe_ne(a: str | Column, b: str | Column) -> Column:
     return ~F.coalesce(col(a) == col(b), F.lit(False))
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """num / den, NULL when den is 0 or NULL (never raises under ANSI)."""
-    return F.when(den != 0, num / den)
-
-
 # ---------------------------------------------------------------- dates
 
 def extract_year_text(c: str | Column) -> Column:

@@ -3,7 +3,8 @@
 "Keep the first row of each key" is a ``min`` over a struct whose first field is the tie-break, with
 map-side partial aggregation: a key that holds a third of all rows is reduced inside each task before the shuffle (a
 ``row_number`` window would pull that whole key into one task). A struct is no value that a hash aggregate can
-update in place, so the plan sorts: by key in each task, and the reduced rows again after the shuffle."""
+update in place, so this sorts: by key in each task, and the reduced rows again after the shuffle. ``dedup_by_key``
+therefore sends only rows of repeated keys through it."""
 
 from __future__ import annotations
 
@@ -35,8 +36,18 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[s
 
 
 def dedup_by_key(df: DataFrame, name: str, owner: str, order_by: Sequence[str], key: str = "set_id") -> DataFrame:
-    """One row per (set, lower(trim(name))|lower(trim(owner))), first by ``order_by``."""
-    return keep_first(df, [key, track_key(name, owner, trim=True)], order_by)
+    """One row per (set, lower(trim(name))|lower(trim(owner))), first by ``order_by``.
+
+    Most keys occur once, and their rows need no comparing: an aggregate over the keys' 64-bit hashes alone (a hash
+    aggregate, reduced in each task) finds the hashes that occur more than once, and only rows of those hashes are reduced
+    whole. The other rows are neither sorted nor, where the repeated hashes are few enough to be broadcast, shuffled. A hash
+    that two keys share sends both through the exact reduction."""
+    track = track_key(name, owner, trim=True)
+    own = df.withColumn("__h", F.xxhash64(F.col(key), track))
+    repeated = own.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__h")
+    once = own.join(repeated, "__h", "left_anti").select(*df.columns)
+    more = own.join(repeated, "__h", "left_semi").select(*df.columns)
+    return once.unionByName(keep_first(more, [key, track], order_by))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Joins that match, enrich and exclude.
+"""Joins that match, enrich and exclude.
 
 All are equi-joins on ``set_id`` plus a text key. The seed side is the small one; it is
 not hinted: Catalyst/AQE broadcast it when its measured size is under the threshold and
@@ -127,8 +127,3 @@ def lookup_vector_pairs(pairs: DataFrame, id_cols: Sequence[str], pos: str, tag:
     occ = pairs.select(*id_cols, F.col(tag).alias("__tag")).join(bounded_broadcast(resolved), "__tag")
     from seedrank.operators.vectors import mean_pool
     return mean_pool(occ, id_cols, "__vec", dim, out=out)
-
-
-def backfill_remaining(items: DataFrame, chosen: DataFrame, id_col: str, key: str = "set_id") -> DataFrame:
-    """Rows of ``items`` not yet in ``chosen``."""
-    return items.join(chosen.select(key, id_col), [key, id_col], "left_anti")

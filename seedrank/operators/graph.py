@@ -3,7 +3,7 @@
 * G1 pulls positioned elements (or links) out of stored HTML with ``regexp_extract_all``.
 * J7 is a grid-bucketed range join: cell size = radius, one side explodes its 3×3 neighbour
   cells, equi-join on the cell, exact distance filter, ``src < dst``. Work is proportional
-  to the pairs that are actually near, not n².
+  to the pairs that are actually near, not n²; dense cells are quartered, so none meets in one task.
 * G4 walks are joins of walker states against per-node cumulative-weight intervals; the
   draw is a hash of (seed, walk, step), so a retried task takes the same steps.
 * G5 factorises the walks' co-occurrences; the factors stay tables, a row per node.
@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seedrank.functions.params import bounded_broadcast
+
 # Fixed values that must equal the reference's behaviour.
 EDGE_RADIUS = 150.0           # px on the 2-D map
 WALK_LENGTH = 5
@@ -23,6 +25,7 @@ WALKS_PER_NODE = 20
 EMBED_DIM = 16
 EMBED_WINDOW = 5
 DRAW_BUCKETS = 32
+CELL_POINTS, CELL_DEPTH = 2_000, 5   # J7: our own: points of a cell before it is quartered, and how often
 HUB_PARTS = 64
 EMBED_ROUNDS = 6               # G5: our own: rounds of the subspace iteration
 # Positioned element on the map page: name, link, left px, top px.
@@ -55,19 +58,57 @@ def extract_links(pages: DataFrame, html: str = "html", id_col: str = "page_id")
     return ex.select(id_col, "pos", "e.href", "e.text")
 
 
+def _cell(c: str, radius: float, level: int) -> Column:
+    return F.floor(F.col(c) / F.lit(radius / (1 << level))).cast("long")
+
+
+def dense_cells(points: DataFrame, x: str, y: str, radius: float, most: int, depth: int) -> list[DataFrame]:
+    """Per level of a quad tree the cells (cx, cy, n) that hold more than ``most`` points: cells of the radius' size first, then
+    their quarters, as long as there are any. At most points / ``most`` rows a level, written and size-checked for broadcast."""
+    out, inside = [], points
+    for level in range(depth + 1):
+        counts = inside.groupBy(_cell(x, radius, level).alias("cx"), _cell(y, radius, level).alias("cy")).agg(F.count(F.lit(1)).alias("n"))
+        dense = bounded_broadcast(counts.where(F.col("n") > most))
+        if dense.isEmpty():
+            break
+        out.append(dense)
+        inside = inside.withColumns({"cx": _cell(x, radius, level), "cy": _cell(y, radius, level)}).join(dense, ["cx", "cy"], "left_semi").drop("cx", "cy")
+    return out
+
+
 def proximity_edges(points: DataFrame, id_col: str = "id", x: str = "x", y: str = "y",
-                    radius: float = EDGE_RADIUS) -> DataFrame:
+                    radius: float = EDGE_RADIUS, most: int = CELL_POINTS, depth: int = CELL_DEPTH) -> DataFrame:
     """Undirected edges (src < dst) between points closer than ``radius``, weight
-    1 / (distance + 1)."""
-    cell = lambda c: F.floor(F.col(c) / F.lit(radius)).cast("long")
-    a = points.select(F.col(id_col).alias("src"), F.col(x).alias("ax"), F.col(y).alias("ay"),
-                      cell(x).alias("cx"), cell(y).alias("cy"))
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    a = a.select("*", F.explode(offs).alias("o")).select(
-        "src", "ax", "ay", (F.col("cx") + F.col("o.dx")).alias("gx"), (F.col("cy") + F.col("o.dy")).alias("gy"))
-    b = points.select(F.col(id_col).alias("dst"), F.col(x).alias("bx"), F.col(y).alias("by"),
-                      cell(x).alias("gx"), cell(y).alias("gy"))
-    j = a.join(b, ["gx", "gy"]).where(F.col("src") < F.col("dst"))
+    1 / (distance + 1).
+
+    A cell of more than ``most`` points is quartered, and its quarters again, down to ``depth``; a point on the probing side is
+    listed under the leaves that its circle touches, one on the other side under its own leaf. A leaf that is still
+    dense (many points in one place) is dealt by hash. So no task meets more than about ``most`` points of the other side."""
+    a = points.select(F.col(id_col).alias("src"), F.col(x).alias("ax"), F.col(y).alias("ay"))
+    b = points.select(F.col(id_col).alias("dst"), F.col(x).alias("bx"), F.col(y).alias("by"))
+    near = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    a = a.select("src", "ax", "ay", _cell("ax", radius, 0).alias("cx"), _cell("ay", radius, 0).alias("cy"), F.explode(near).alias("o")).select(
+        "src", "ax", "ay", (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"), F.lit(0).alias("level"), F.lit(0).alias("part"))
+    b = b.select("*", _cell("bx", radius, 0).alias("cx"), _cell("by", radius, 0).alias("cy"), F.lit(0).alias("level"), F.lit(0).alias("part"))
+    dense = dense_cells(points, x, y, radius, most, depth)
+    for level, cells in enumerate(dense):
+        here = cells.withColumn("level", F.lit(level))
+        a, b = (side.join(here, ["level", "cx", "cy"], "left") for side in (a, b))
+        split = F.col("n").isNotNull()
+        if level == depth:  # as small as cells get: by hash
+            parts = F.ceil(F.col("n") / F.lit(float(most))).cast("int")
+            a = a.select("src", "ax", "ay", "cx", "cy", "level", F.explode(F.when(split, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))).alias("part"))
+            b = b.withColumn("part", F.when(split, F.pmod(F.xxhash64("dst"), parts).cast("int")).otherwise(0)).drop("n")
+            break
+        side = F.lit(radius / (2 << level))
+        quarter = F.array(*[F.struct((F.col("cx") * 2 + i).alias("cx"), (F.col("cy") * 2 + j).alias("cy"), F.lit(level + 1).alias("level")) for i in (0, 1) for j in (0, 1)])
+        gap = lambda p, c: F.greatest(c * side - p, p - (c + 1) * side, F.lit(0.0))  # noqa: E731  distance to the box, a side at a time
+        touched = F.filter(quarter, lambda q: gap(F.col("ax"), q["cx"]) ** 2 + gap(F.col("ay"), q["cy"]) ** 2 < radius * radius * (1 + 1e-9))
+        own = F.array(F.struct("cx", "cy", "level"))
+        a = a.select("src", "ax", "ay", "part", F.explode(F.when(split, touched).otherwise(own)).alias("q")).select("src", "ax", "ay", "q.cx", "q.cy", "q.level", "part")
+        b = b.select("dst", "bx", "by", "part", *[F.when(split, fine).otherwise(F.col(c)).alias(c) for c, fine in (
+            ("cx", _cell("bx", radius, level + 1)), ("cy", _cell("by", radius, level + 1)), ("level", F.lit(level + 1)))])
+    j = a.join(b, ["level", "cx", "cy", "part"]).where(F.col("src") < F.col("dst"))
     d = F.sqrt((F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2)
     return j.where(d < radius).select("src", "dst", d.alias("distance"), (1.0 / (d + 1.0)).alias("weight"))
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from seedrank.functions.params import attach
@@ -147,3 +147,19 @@ def feature_trends(means: DataFrame, tempo_like: Sequence[str] = ()) -> DataFram
     other = F.when(v > hi, high).when(v < lo, low).otherwise(mid)
     lab = F.when(F.col("feature").isin(list(tempo_like)), tempo).otherwise(other) if tempo_like else other
     return means.withColumn("trend", lab)
+
+
+class Counters:
+    """Counts that the tables' own writes yield (``DataFrame.observe``), without a job of their own. ``watch`` marks a frame;
+    once an action has run it, ``values`` holds its counts as ``<stage>_<count>``."""
+
+    def __init__(self):
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, stage: str, **counts: Column) -> DataFrame:
+        """``df`` with its rows, and each of ``counts`` (rows for which it holds), counted under the name ``stage``."""
+        self.seen[stage] = Observation()
+        return df.observe(self.seen[stage], F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in counts.items()])
+
+    def values(self) -> dict[str, int]:
+        return {f"{stage}_{n}": v for stage, o in self.seen.items() for n, v in o.get.items()}

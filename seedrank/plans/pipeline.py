@@ -34,6 +34,7 @@ from seedrank.operators import vectors as V
 from seedrank.operators.clean import drop_self_titled, impute_zero
 from seedrank.operators.dedup import dedup_by_key
 from seedrank.operators.enrich import enrich_from_items, exclude_seen, fill_tags
+from seedrank.operators.stats import Counters
 
 
 @dataclass
@@ -71,18 +72,24 @@ def elbow_centers(sz: DataFrame, id_col: str, dim: int, key: str = "set_id") ->
 
 def prepare(items: DataFrame, seeds: DataFrame, *, name: str, owner: str, order_by: Sequence[str], tags: str | None = None,
             vec: str | None = None, lookup: DataFrame | None = None, dim: int = 0, id_col: str = "item_id",
-            key: str = "set_id", reference: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+            key: str = "set_id", reference: DataFrame | None = None, counters: Counters | None = None) -> tuple[DataFrame, DataFrame]:
     """The steps before scoring: one row per track on both sides (D1), seeds take the catalogue's tags and
     vectors (J2), missing tags come from ``reference`` (the same track's) or the owner's other items (J4), seeds without a vector get one
-    from their tags (V4), self-titled items go (C1). Both results are written once."""
-    items = materialize(drop_self_titled(dedup_by_key(items, name, owner, order_by, key), name, owner), "items")
+    from their tags (V4), self-titled items go (C1). Both results are written once; ``counters`` gets the rows of every step and
+    the seeds without tags before and after they are filled (A13)."""
+    watch = counters.watch if counters else lambda df, stage, **counts: df
+    items = dedup_by_key(items, name, owner, order_by, key)
+    items = materialize(watch(drop_self_titled(watch(items, "tracks"), name, owner), "items"), "items")
     seeds = dedup_by_key(seeds, name, owner, order_by, key)
     cols = [c for c in (tags, vec) if c and c in items.columns]
     if cols:
         seeds = enrich_from_items(seeds, items, name, owner, tags if tags in cols else None, vec if vec in cols else None,
                                   order_by, key)
     if tags and tags in items.columns:
-        seeds = fill_tags(seeds, items, owner, tags, name, reference)
+        untagged = F.col(tags).isNull() | (F.col(tags) == "")
+        # written on the way: the filling joins read it more than once, and its counts are those of one reading
+        seeds = fill_tags(materialize(watch(seeds, "enriched", untagged=untagged), "enriched"), items, owner, tags, name, reference)
+        seeds = materialize(watch(seeds, "filled", untagged=untagged), "filled")
     if vec:
         seeds = V.embed_seeds(materialize(seeds, "seeds_enriched"), [key, id_col], tags, vec, lookup, dim, recompute="all", key=key)
     return items, materialize(seeds, "seeds")
@@ -93,32 +100,34 @@ def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, ke
               n: int = R.N_RECOMMENDATIONS, weights: dict[str, float] | None = None,
               models: Sequence[str] = ("cosine", "ridge", "match"), match_roles: dict[str, str] | None = None,
               centers: DataFrame | None = None, recency: float = 0.0, similarity: float | None = None,
-              vec: str | None = None, dim: int = 0, keep: Sequence[str] = ()) -> Recommendation:
+              vec: str | None = None, dim: int = 0, keep: Sequence[str] = (), counters: Counters | None = None) -> Recommendation:
     """The full chain. ``similarity`` (None: no filter) keeps the complete candidates at least that close
     to the seeds (M1, C10, C14), over ``features`` and, if given, the ``dim`` values of ``vec``, before
     anything else is fitted. ``centers`` (key, idx, center over the seed-scaled ``features``) gives
     the clusters; without it they come from K-means with the elbow rule, and ``centers="none"`` runs the chain without
     clusters (no cluster score, plain ranking). ``models`` picks the scores: 'cosine' (left out by itself under three
     ``features``, C11), 'ridge', 'match' (M7) or 'glm' (M4), 'nn' (the network's target: the blended similarity of all
-    inputs, M13 and M14); ``weights`` the blend (defaults renormalised over the scores present)."""
+    inputs, M13 and M14); ``weights`` the blend (defaults renormalised over the scores present). ``counters`` gets the candidates
+    before and after the filter (A13)."""
     with bound_scope():
         if key_bound(key) is None:
             count_key_bound(items.select(key).unionByName(seeds.select(key)), key)
         return _recommend(items, seeds, list(features), key, id_col, name, owner, year, n, weights, models, match_roles,
-                          centers, recency, similarity, vec, dim, keep)
+                          centers, recency, similarity, vec, dim, keep, counters)
 
 
-def _candidates(items, seeds, features, key, id_col, name, owner, year, roles, similarity, vec, dim, keep, models) -> DataFrame:
+def _candidates(items, seeds, features, key, id_col, name, owner, year, roles, similarity, vec, dim, keep, models, counters) -> DataFrame:
     """The candidates after the filter with the columns that the models read, and ``p``, the metadata probability
     (M7, or M4's fit); written once."""
+    watch = counters.watch if counters else lambda df, stage: df
     cand = exclude_seen(items, seeds, name, owner, key)
     used = list(dict.fromkeys([key, id_col, *features, year, *roles.values(), *keep, *([vec] if vec else [])]))
     if similarity is not None:
         x = F.array(*[F.col(f).cast("double") for f in features])
         x = F.concat(x, F.col(vec)) if vec else x
-        cand = materialize(cand.select(*used, x.alias("__x")), "candidates")  # read by the filter's scaler and by the filter
+        cand = materialize(watch(cand.select(*used, x.alias("__x")), "candidates"), "candidates")  # read by the filter's scaler and by the filter
         cand = M.similarity_filter(cand, seeds.withColumn("__x", x), "__x", len(features) + (dim if vec else 0), key, similarity)
-    cand = cand.select(*used)
+    cand = watch(cand.select(*used), "kept")
     if "glm" in models:
         cand = materialize(cand, "candidates")
         p = M.glm_probability(cand, seeds, features, list(roles.values()), key, id_col)
@@ -130,7 +139,7 @@ def _candidates(items, seeds, features, key, id_col, name, owner, year, roles, s
 
 
 def _recommend(items, seeds, features, key, id_col, name, owner, year, n, weights, models, match_roles, centers, recency,
-               similarity, vec, dim, keep) -> Recommendation:
+               similarity, vec, dim, keep, counters) -> Recommendation:
     """Passes over the candidates: the filter's scaler, the filter with the one write, the cross products (``item_sums``), the raw
     scores' ranges (``score_sums``), with 'nn' the blend's range, and the final scores with their write."""
     roles = match_roles or {"owner": owner}
@@ -139,7 +148,7 @@ def _recommend(items, seeds, features, key, id_col, name, owner, year, n, weight
         raise ValueError("the blended similarity takes the cosine, ridge and metadata scores: name them in models")
     if "nn" in models and isinstance(centers, str):
         raise ValueError("the blended similarity takes the clusters")
-    sc = _candidates(items, seeds, features, key, id_col, name, owner, year, roles, similarity, vec, dim, keep, models)
+    sc = _candidates(items, seeds, features, key, id_col, name, owner, year, roles, similarity, vec, dim, keep, models, counters)
     blend_vec = vec if "nn" in models else None
 
     per_seed = Z.seed_sums(seeds, features, key, blend_vec, dim)

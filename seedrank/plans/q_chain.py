@@ -6,18 +6,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedrank.functions.params import count_key_bound, materialize
+from seedrank.functions.params import count_key_bound, materialize, new_folder
 from seedrank.operators import clean as C
 from seedrank.operators import dedup as D
 from seedrank.operators import enrich as J
 from seedrank.operators import select as R
+from seedrank.operators.stats import Counters
 from seedrank.plans import driver_views as DV
 from seedrank.plans import pipeline as P
 from seedrank.plans import sqlgen as S
 from seedrank.plans.q_models import CLUSTER_CTES, given_centers, ridge_ctes
 from seedrank.plans.q_select import QUOTA_CTES, SELECT_CTES
 from seedrank.plans.q_stats import era_sql
-from seedrank.plans.queries import FEATURES, out, register
+from seedrank.plans.queries import FEATURES, catalogue, out, register
+from seedrank.sources import io as IO
 
 DIM = DV.VEC_DIM
 N = R.N_RECOMMENDATIONS
@@ -34,9 +36,10 @@ def tracks(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return DV.track_items(rows), DV.track_seeds(rows)
 
 
-def prepared(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def prepared(spark: SparkSession, d: str, counters: Counters | None = None) -> tuple[DataFrame, DataFrame]:
     items, seeds = tracks(spark, d)
-    return P.prepare(items, seeds, name="name", owner="owner", order_by=ORDER, tags="tags", vec="vec", lookup=DV.track_lookup(spark, d), dim=DIM)
+    return P.prepare(items, seeds, name="name", owner="owner", order_by=ORDER, tags="tags", vec="vec", lookup=DV.track_lookup(spark, d), dim=DIM,
+                     counters=counters)
 
 
 def _with(*ctes: str) -> str:
@@ -190,7 +193,7 @@ _COLS = ["set_id", "rank", "item_id", "cluster", "cosine_score", "ridge_score",
 
 
 def default_chain(spark: SparkSession, d: str, **how) -> P.Recommendation:
-    items, seeds = prepared(spark, d)
+    items, seeds = prepared(spark, d, how.get("counters"))
     return P.recommend(items, seeds, FEATURES, models=("cosine", "ridge", "match", "nn"), match_roles=ROLES, similarity=CLOSE, vec="vec", dim=DIM,
                        centers=given_centers(seeds), **how)
 
@@ -243,3 +246,47 @@ def similarity_kept(spark, d):
     cand = J.exclude_seen(items, seeds, "name", "owner")
     kept = similarity_filter(cand.withColumn("x", x), seeds.withColumn("x", x), "x", len(FEATURES) + DIM, threshold=CLOSE)
     return out(kept, ["set_id", "item_id", "similarity_score"])
+
+
+# ------------------------------------------------------------------ S7, S9
+
+@register("cached_items", S.with_items(S.items_with_year("it"))
+          + "SELECT set_id, count(*) AS items, count(DISTINCT owner) AS owners, min(release_year) AS first_year, max(release_year) AS last_year FROM it GROUP BY set_id")
+def cached_items(spark, d):
+    """The catalogue kept between requests; the first request fills the cache, the second reads it."""
+    kept = IO.cache_items(catalogue(spark, d).select("set_id", "item_id", "owner", "release_year"))
+    first = kept.groupBy("set_id").agg(F.count(F.lit(1)).alias("items"), F.count_distinct("owner").alias("owners"))
+    second = kept.groupBy("set_id").agg(F.min("release_year").alias("first_year"), F.max("release_year").alias("last_year"))
+    return first.join(second, "set_id").select("set_id", "items", "owners", "first_year", "last_year")
+
+
+@register("written_items", _with(*_prepare_ctes()[:1])
+          + "SELECT set_id, item_id, name, owner, release_year, round(f_ext, 6) AS f_ext, tags, round(list_sum(vec), 6) AS v_sum FROM it")
+def written_items(spark, d):
+    """The cleaned catalogue as it lies on disk, a folder per set, read back."""
+    items, _ = tracks(spark, d)
+    clean = C.drop_self_titled(D.dedup_by_key(items, "name", "owner", ORDER), "name", "owner")
+    path = new_folder(spark, "clean")
+    IO.write_table(clean, path, partition_by=["set_id"])
+    back = spark.read.schema(clean.schema).parquet(path)
+    total = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x)
+    return out(back.withColumn("v_sum", total), ["set_id", "item_id", "name", "owner", "release_year", "f_ext", "tags", "v_sum"])
+
+
+# ------------------------------------------------------------------ A13 by observation
+
+_COUNTS = ["tracks_rows", "items_rows", "enriched_rows", "enriched_untagged", "filled_rows", "filled_untagged", "candidates_rows", "kept_rows"]
+
+
+@register("chain_counters", _with(
+    *_prepare_ctes(), *_similar_ctes(CLOSE))
+    + "SELECT (SELECT count(DISTINCT (set_id, " + _TRACK + ")) FROM ti) AS tracks_rows, (SELECT count(*) FROM it) AS items_rows, (SELECT count(*) FROM s2) AS enriched_rows, "
+      "(SELECT count(*) FROM s2 WHERE tags IS NULL OR tags = '') AS enriched_untagged, (SELECT count(*) FROM s3) AS filled_rows, "
+      "(SELECT count(*) FROM s3 WHERE tags IS NULL OR tags = '') AS filled_untagged, (SELECT count(*) FROM c0i) AS candidates_rows, (SELECT count(*) FROM cand) AS kept_rows")
+def chain_counters(spark, d):
+    """Tracks, kept items, seeds without tags before and after the filling, candidates, and those that the threshold keeps,
+    as observed while the default chain wrote its tables."""
+    counters = Counters()
+    default_chain(spark, d, counters=counters)
+    seen = counters.values()
+    return spark.createDataFrame([tuple(seen[c] for c in _COUNTS)], ", ".join(f"{c} long" for c in _COUNTS))

@@ -22,14 +22,7 @@ def score_stream(stream: DataFrame, scaler: DataFrame, target: DataFrame, era: D
     """Adds cosine_similarity, year_adjustment and stream_score = similarity·(1 − adj/100).
     ``scaler`` (m_*, s_*), ``target`` (t_*) and ``era`` are one-row-per-set static frames."""
     # static one-row-per-set parameters: size-checked broadcast (stream-static joins)
-    s = attach(attach(attach(stream, scaler, key), target, key),
-               era.select(key, "avg_year", "era_class", "max_dist", "max_pen"), key)
+    s = E.apply_era(attach(attach(stream, scaler, key), target, key), era, year, key)
     z = [X.standardized(F.coalesce(F.col(f), F.lit(0.0)), F.col(f"m_{f}"), F.col(f"s_{f}")) for f in features]
-    t = [F.col(f"t_{f}") for f in features]
-    s = s.withColumn("cosine_similarity", X.cosine(z, t))
-    dist = F.abs(F.col(year) - F.col("avg_year"))
-    pen = X.clip(dist / F.col("max_dist") * F.col("max_pen"), 0.0, F.col("max_pen"))
-    bonus = E.recency_bonus_expr(F.col(year), F.col("era_class") == "recent")
-    adj = X.clip(pen - bonus, E.ADJ_MIN, F.col("max_pen"))
-    s = s.withColumn("year_adjustment", adj)
+    s = s.withColumn("cosine_similarity", X.cosine(z, [F.col(f"t_{f}") for f in features]))
     return s.withColumn("stream_score", E.apply_adjustment(F.col("cosine_similarity"), F.col("year_adjustment")))

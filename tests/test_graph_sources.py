@@ -18,6 +18,34 @@ def test_proximity_edges_equals_brute_force(spark):
     assert got == want and len(want) > 100
 
 
+def test_dense_cells_are_quartered_and_dealt(spark):
+    rng = np.random.default_rng(4)
+    pts = np.vstack([rng.uniform(0, 140, size=(180, 2)), np.full((40, 2), 75.0), rng.uniform(-300, 600, size=(120, 2))])
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "id int, x double, y double")
+    d = np.hypot(*(pts[:, None] - pts[None]).transpose(2, 0, 1))
+    want = {(i, j) for i in range(len(pts)) for j in range(i + 1, len(pts)) if d[i, j] < G.EDGE_RADIUS}
+    for most, depth in ((25, 3), (25, 1), (60, 4)):
+        got = [(r.src, r.dst) for r in G.proximity_edges(df, most=most, depth=depth).collect()]
+        assert len(got) == len(want) and set(got) == want
+    levels = G.dense_cells(df, "x", "y", G.EDGE_RADIUS, 25, 3)
+    assert len(levels) == 4 and levels[3].agg(F.max("n")).first()[0] >= 40  # points in one place stay together: dealt by hash
+
+
+def test_walk_vectors_keep_neighbours_close(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for block in (0, 1, 2):  # three groups of nodes, few edges between them
+        ids = np.arange(20) + 20 * block
+        rows += [(int(a), int(b), 1.0) for a in ids for b in ids if a < b and rng.random() < 0.4]
+    rows += [(0, 20, 1.0), (20, 40, 1.0)]
+    edges = spark.createDataFrame(rows, "src int, dst int, weight double")
+    emb = {int(r.node): np.array(r.vec) for r in G.walk_embeddings(G.random_walks(G.connected_nodes(edges), edges), dim=4).collect()}
+    unit = {k: v / max(np.linalg.norm(v), 1e-12) for k, v in emb.items()}
+    same = np.mean([unit[a] @ unit[b] for a in unit for b in unit if a < b and a // 20 == b // 20])
+    other = np.mean([unit[a] @ unit[b] for a in unit for b in unit if a // 20 != b // 20])
+    assert same > other + 0.5
+
+
 def test_random_walks_follow_edges_and_repeat(spark):
     nodes = spark.createDataFrame([(i,) for i in range(6)], "id int")
     edges = spark.createDataFrame([(0, 1, 1.0), (1, 2, 0.5), (2, 3, 2.0), (3, 4, 1.0), (0, 4, 0.1)], "src int, dst int, weight double")
