@@ -9,9 +9,10 @@ fingerprints, and the whole fingerprints are verified inside the key group.
 
 Groups never become pairs: a key group returns the members' links to the smallest fingerprint of
 their component inside the group (at most one row a member). A group of more than ``GROUP`` members
-is dealt anew under a second level of variants (the same method on the rest of the fingerprint),
-whose groups share so many bits that they are bounded by construction. Links are contracted to
-components by joins and grouped minima, with written tables between rounds.
+is dealt anew by the bits that its key has not fixed, cut into ``max_bits + 1`` parts of which a linked pair
+agrees on one, and so on up to ``LEVELS`` times; after three bits' last level fewer than 14 bits are
+open, so a group is bounded. Links are contracted to components by joins and grouped minima, with written tables
+between rounds.
 
 Nulls and texts without words have fingerprint zero and link like any other fingerprint; a text
 shorter than the shingle is one shingle of all its words. Documents with a null id get a component
@@ -34,8 +35,9 @@ from seedrank.llm.tables import Staged
 
 SHINGLE = 3
 MAX_BITS = 3
-#: members of a key group beyond which it is dealt anew by second-level variants
+#: members of a key group beyond which it is dealt anew by the bits still open, and how often
 GROUP = 20_000
+LEVELS = 4
 
 
 def fingerprints_of(data: np.ndarray, offs: np.ndarray, shingle: int) -> np.ndarray:
@@ -156,17 +158,17 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP, sta
                 key, i = variant_keys(part, max_bits)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(part[i].view(np.int64))], names=["key", "fp"])
 
-    def again(batches):
-        for b in batches:
-            key, fp = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy().view(np.uint64)
-            for lo in range(0, len(fp), 4096):
-                part, first = fp[lo:lo + 4096], key[lo:lo + 4096]
-                # the second level cuts the whole fingerprint finer: of 2 * max_bits pieces most are
-                # equal, so each run of equal pieces is shared; groups share over 40 bits
-                second, i = finer_keys(part, max_bits)
-                with np.errstate(over="ignore"):
-                    k = T.mix64(first[i] * np.uint64(3) + second)
-                yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(part[i].view(np.int64))], names=["key", "fp"])
+    def deal_anew(first: bool):
+        """Keys of the next level for rows (key, fp, free)."""
+        def run(batches):
+            for b in batches:
+                key, fp = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy().view(np.uint64)
+                for lo in range(0, len(fp), 4096):
+                    part, own = fp[lo:lo + 4096], key[lo:lo + 4096]
+                    free = free_bits(own, part, max_bits) if first else b.column(2).to_numpy().view(np.uint64)[lo:lo + 4096]
+                    k, i, left = finer_keys(own, part, free, max_bits)
+                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (k, part[i], left)], names=["key", "fp", "free"])
+        return run
 
     def match(batches: Iterator[pa.RecordBatch]):
         """Rows come sorted by key within the partition; a group that a batch cuts is carried on."""
@@ -189,44 +191,68 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP, sta
         yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     rows = distinct.select("fp").mapInArrow(index, "key long, fp long")
-    size = rows.groupBy("key").count().filter(F.col("count") > group).select("key")
-    big = stage.write(size, "big_groups")
-    if big.isEmpty():
-        first = rows
-    else:
-        hot = rows.join(big, "key", "left_semi").mapInArrow(again, "key long, fp long").distinct()
-        first = rows.join(big, "key", "left_anti").unionByName(hot)
-    found = first.repartition("key").sortWithinPartitions("key").mapInArrow(match, "a long, b long")
+    def split_off(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame | None]:
+        """Rows of groups of at most ``group`` members, and those of larger ones (None: there are none)."""
+        big = stage.write(rows.groupBy("key").count().filter(F.col("count") > group).select("key"), name)
+        if big.isEmpty():
+            return rows, None
+        return rows.join(big, "key", "left_anti"), rows.join(big, "key", "left_semi")
+
+    ready, hot = split_off(rows, "big_groups")
+    ready = ready.select("key", "fp")
+    for level in range(LEVELS):
+        if hot is None:
+            break
+        dealt = stage.write(hot.mapInArrow(deal_anew(level == 0), "key long, fp long, free long").distinct(), f"dealt{level}")
+        small, hot = split_off(dealt, f"big_groups{level}")
+        ready = ready.unionByName(small.select("key", "fp"))
+    if hot is not None:
+        ready = ready.unionByName(hot.select("key", "fp"))
+    found = ready.repartition("key").sortWithinPartitions("key").mapInArrow(match, "a long, b long")
     return found.distinct()
 
 
-def finer_keys(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Second level: cut into ``max_bits + 1`` parts with each part in turn taken as equal, and
-    again ``max_bits + 1`` sub-parts of the rest: any linked pair agrees on one (part, sub-part)."""
-    parts = max_bits + 1
-    keys, number = [], 0
-    for lo, hi in segment_bounds(64, parts):
-        seg = (fp >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)
-        with np.errstate(over="ignore"):
-            rest = ((fp >> np.uint64(hi)) << np.uint64(lo) if hi < 64 else np.zeros_like(fp)) | (fp & np.uint64((1 << lo) - 1))
-        for slo, shi in segment_bounds(64 - (hi - lo), parts):
-            sub = (rest >> np.uint64(slo)) & np.uint64((1 << (shi - slo)) - 1)
+def free_bits(key: np.ndarray, fp: np.ndarray, max_bits: int) -> np.ndarray:
+    """Bits outside the segment that a first-level key was made of (the key tells which it is)."""
+    keys, _ = variant_keys(fp, max_bits)
+    of = (keys.reshape(-1, len(fp)) == key).argmax(axis=0)
+    out = np.zeros(len(fp), np.uint64)
+    number = 0
+    for lo, hi in segment_bounds(64, (max_bits + 1) // 2 if max_bits else 1):
+        mine = (of >= number) & (of < number + hi - lo)
+        out[mine] = ~np.uint64(((1 << (hi - lo)) - 1) << lo)
+        number += hi - lo
+    return out
+
+
+def finer_keys(key: np.ndarray, fp: np.ndarray, free: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The next level of a group's keys: the bits that no key has fixed yet (``free``) are cut into ``max_bits + 1`` parts, on one of
+    which any linked pair agrees; each part in turn is fixed. (key, index of the row, bits that stay free)."""
+    keys, rows, left = [], [], []
+    for mask in np.unique(free):
+        at = np.flatnonzero(free == mask)
+        bits = [b for b in range(64) if int(mask) >> b & 1]
+        for number, (lo, hi) in enumerate(segment_bounds(len(bits), max_bits + 1)):
+            part = np.uint64(sum(1 << b for b in bits[lo:hi]))
             with np.errstate(over="ignore"):
-                keys.append(T.mix64(T.mix64(seg + np.uint64(number)) + sub * np.uint64(0x9E3779B97F4A7C15)))
-            number += 1
-    return np.concatenate(keys), np.tile(np.arange(len(fp)), number)
+                keys.append(T.mix64(T.mix64(key[at] + np.uint64(number)) + (fp[at] & part) * np.uint64(0x9E3779B97F4A7C15) + part))
+            rows.append(at)
+            left.append(np.full(len(at), mask & ~part, np.uint64))
+    return np.concatenate(keys), np.concatenate(rows), np.concatenate(left)
 
 
 def components(edges: DataFrame, stage: Staged) -> DataFrame:
     """(v, root): connected components of (a, b) edges, root = smallest member, by contraction.
 
-    Each round maps every vertex to its smallest neighbour (or itself), relabels the edges and drops
-    loops; a vertex that is not a local minimum disappears, so the edges shrink until none is left."""
+    A round points every vertex to its smallest neighbour or itself and follows the pointers to their end by doubling
+    (``jump``), then relabels the edges and drops loops. Only vertices that are smaller than all their neighbours are
+    left, at most half of them, so the number of rounds is logarithmic, and so is the number of doublings in a
+    round, however long a path is."""
     both = lambda e: e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     e = stage.write(edges, "edges0")
     labels, r = None, 0
     while not e.isEmpty():
-        step = stage.write(both(e).groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("p")), f"step{r}")
+        step = jump(stage.write(both(e).groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("p")), f"step{r}"), stage, f"step{r}")
         to_a, to_b = step.select(F.col("v").alias("a"), F.col("p").alias("pa")), step.select(F.col("v").alias("b"), F.col("p").alias("pb"))
         nxt = (e.join(to_a, "a").join(to_b, "b").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
                .filter("a <> b").distinct())
@@ -236,13 +262,24 @@ def components(edges: DataFrame, stage: Staged) -> DataFrame:
         else:
             new = labels.join(step.select(F.col("v").alias("root"), "p"), "root", "left").select("v", F.coalesce("p", "root").alias("root"))
         labels = stage.write(new, f"labels{r}")
-        stage.drop(f"edges{r}", f"step{r}", *([f"labels{r - 1}"] if r else []))
+        stage.drop(f"edges{r}", *([f"labels{r - 1}"] if r else []))
         e, r = nxt, r + 1
     if labels is None:
         return edges.select(F.col("a").alias("v"), F.col("b").alias("root"))
     return labels
 
 
+def jump(step: DataFrame, stage: Staged, name: str) -> DataFrame:
+    """Pointers (v, p) followed to their end: p becomes p's pointer until nothing moves."""
+    k = 0
+    while True:
+        onward = step.select(F.col("v").alias("p"), F.col("p").alias("q"))
+        nxt = stage.write(step.join(onward, "p").select("v", F.col("q").alias("p"), (F.col("q") != F.col("p")).alias("moved")), f"{name}_{k}")
+        if nxt.filter("moved").isEmpty():
+            return step
+        step, k = nxt.select("v", "p"), k + 1
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, group: int = GROUP,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id): one row per row of ``docs``."""

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from seedrank.llm import exact_stream, fim, packing, ranked_search, tables, toxicity
+from seedrank.llm import exact_stream, fim, packing, ranked_search, simhash, tables, toxicity
 
 SCHEMA = "doc_id long, text string, rank int, score int, chunk string"
 
@@ -228,3 +228,36 @@ def test_staged_tables_are_removed(spark):
     assert df.count() == 3 and drop_written(spark) >= 1
     fs = spark._jvm.org.apache.hadoop.fs.Path(stage.base)
     assert not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
+
+
+def test_simhash_components_of_a_long_path(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1000)] + [(5000, 7000), (6000, 7000)], "a long, b long")
+    stage = tables.Staged(spark, "path")
+    rounds = []
+    write = stage.write
+    stage.write = lambda df, name: (rounds.append(name), write(df, name))[1]
+    got = {r.v: r.root for r in simhash.components(edges, stage).collect()}
+    assert all(got[i] == 0 for i in range(1001)) and got[7000] == got[6000] == got[5000] == 5000
+    assert sum("step" in name for name in rounds) <= 15
+
+
+def test_simhash_groups_equal_in_one_half_are_dealt_by_the_other():
+    r = np.random.default_rng(7)
+    fp = (np.uint64(0x12345678) << np.uint64(32)) | r.integers(0, 1 << 32, 30_000, dtype=np.uint64)
+    key, i = simhash.variant_keys(fp, 3)
+    own = key[63 * len(fp):]  # one key of the upper half, the same for all
+    assert len(np.unique(own)) == 1 and (i[63 * len(fp):] == np.arange(len(fp))).all()
+    free = simhash.free_bits(own, fp, 3)
+    assert (free == np.uint64((1 << 32) - 1)).all()
+    second, rows, left = simhash.finer_keys(own, fp, free, 3)
+    assert len(second) == 4 * len(fp) and np.unique(second, return_counts=True)[1].max() < 2000
+    # pairs at three bits or fewer share a key at every level
+    near = fp.copy()
+    for row in range(len(near)):
+        near[row] ^= np.uint64(sum(1 << int(b) for b in r.choice(32, 3, replace=False)))
+    other, rows2, left2 = simhash.finer_keys(own, near, free, 3)
+    shared = (second.reshape(4, -1) == other.reshape(4, -1))
+    assert shared.any(axis=0).all()
+    third, i3, _ = simhash.finer_keys(second, fp[rows], left, 3)
+    fourth, i4, _ = simhash.finer_keys(other, near[rows2], left2, 3)
+    assert len(np.intersect1d(third, fourth)) > 0
