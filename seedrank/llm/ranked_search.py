@@ -42,9 +42,11 @@ BANDS = (0.002, 0.02, 0.2)
 BUNDLE = 256
 BLOCK_WORDS = 1_000_000
 #: text and documents of a chunk (a longer document is a chunk of its own)
-CHUNK_BYTES, CHUNK_DOCS = 1 << 20, 4096
+CHUNK_BYTES, CHUNK_DOCS = 2 << 20, 4096
 #: chunks that a task of a stage takes
-TASK_CHUNKS = 64
+TASK_CHUNKS = 32
+#: bytes that a writer of wide cells holds before they go to disk
+ROW_GROUP = 8 << 20
 #: fixed values of the score: the integer saturation of a term's occurrences
 SCALE, TF_FACTOR, M_FACTOR, M_BASE, M_SLOPE = 1_000_000_000, 1000, 12, 75, 25
 #: a term adds less than its weight times this
@@ -190,7 +192,7 @@ def owned(stored: DataFrame, shared, owner_path: str) -> None:
                         names=["owner", "bundle", "chunk", "lengths", "terms", "bounds", "docs", "tf"])
 
     (stored.select("chunk", "lengths", "terms", "bounds", "docs", "tf").mapInArrow(run, POSTINGS)
-     .write.mode("overwrite").partitionBy("owner").parquet(owner_path))
+     .write.mode("overwrite").option("parquet.block.size", str(ROW_GROUP)).partitionBy("owner").parquet(owner_path))
 
 
 def add_stage(s: int, shared, least, k: int):
@@ -297,7 +299,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, bands: tuple = BANDS
     asked = (items.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).distinct()
              .select(F.monotonically_increasing_id().alias("row"), "item_id", "text"))
     asked = stage.write(asked.mapInArrow(hashed, f"row long, item_id {kind}, n long, words binary").filter("n > 0"), "items")
-    stored = stage.write(index(docs, id_col, text_col), "index")
+    stored = stage.write(index(docs, id_col, text_col), "index", ROW_GROUP)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(least, math.ceil(stored.count() / TASK_CHUNKS))
     blocks = max(1, math.ceil((asked.agg(F.sum("n")).first()[0] or 0) / block_words))

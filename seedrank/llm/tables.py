@@ -54,9 +54,11 @@ class Staged:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, row_group: int = 0) -> DataFrame:
+        """``df`` written and read back; ``row_group``: bytes a writer holds in memory (0: the format's default)."""
         schema = df.schema
-        df.write.mode("overwrite").parquet(self.path(name))
+        out = df.write.mode("overwrite")
+        (out.option("parquet.block.size", str(row_group)) if row_group else out).parquet(self.path(name))
         return self.spark.read.schema(schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:

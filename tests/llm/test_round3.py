@@ -235,7 +235,7 @@ def test_simhash_components_of_a_long_path(spark):
     stage = tables.Staged(spark, "path")
     rounds = []
     write = stage.write
-    stage.write = lambda df, name: (rounds.append(name), write(df, name))[1]
+    stage.write = lambda df, name, *more: (rounds.append(name), write(df, name, *more))[1]
     got = {r.v: r.root for r in simhash.components(edges, stage).collect()}
     assert all(got[i] == 0 for i in range(1001)) and got[7000] == got[6000] == got[5000] == 5000
     assert sum("step" in name for name in rounds) <= 15
