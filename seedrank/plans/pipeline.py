@@ -64,7 +64,8 @@ def seed_scaled(cand: DataFrame, seeds: DataFrame, features: Sequence[str], key:
 def elbow_centers(sz: DataFrame, id_col: str, dim: int, key: str = "set_id") -> DataFrame:
     """M8 + M9: K-means for k = 1..10 on every set, the knee picks k; its centres."""
     centers, cost = K.kmeans_multi(sz, "zvec", id_col, dim, key=key)
-    best = K.knee(cost, key)
+    best = K.knee(cost.where("converged"), key)  # a fit that never settled has no cost to compare
+    best = centers.select(key).distinct().join(best, key, "left").select(key, F.coalesce("optimal_k", F.lit(K.DEFAULT_K)).alias("optimal_k"))
     chosen = centers.join(best, key).where(F.col("k") == F.col("optimal_k")).select(key, "idx", "center")
     # ≤ 10 rows per set, read by several later passes: written once so the fit never re-runs
     return materialize(chosen, "centers")
@@ -107,7 +108,7 @@ def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, ke
     the clusters; without it they come from K-means with the elbow rule, and ``centers="none"`` runs the chain without
     clusters (no cluster score, plain ranking). ``models`` picks the scores: 'cosine' (left out by itself under three
     ``features``, C11), 'ridge', 'match' (M7) or 'glm' (M4), 'nn' (the network's target: the blended similarity of all
-    inputs, M13 and M14); ``weights`` the blend (defaults renormalised over the scores present). ``counters`` gets the candidates
+    inputs, M13 and M14) or 'nn_trees' (its learned form, M15); ``weights`` the blend (defaults renormalised over the scores present). ``counters`` gets the candidates
     before and after the filter (A13)."""
     with bound_scope():
         if key_bound(key) is None:
@@ -144,12 +145,11 @@ def _recommend(items, seeds, features, key, id_col, name, owner, year, n, weight
     scores' ranges (``score_sums``), with 'nn' the blend's range, and the final scores with their write."""
     roles = match_roles or {"owner": owner}
     models = [m for m in models if m != "cosine" or len(features) >= 3]
-    if "nn" in models and not {"cosine", "ridge"} <= set(models) or "nn" in models and not {"glm", "match"} & set(models):
-        raise ValueError("the blended similarity takes the cosine, ridge and metadata scores: name them in models")
-    if "nn" in models and isinstance(centers, str):
-        raise ValueError("the blended similarity takes the clusters")
+    blended = bool({"nn", "nn_trees"} & set(models))
+    if blended and not ({"cosine", "ridge"} <= set(models) and {"glm", "match"} & set(models) and not isinstance(centers, str)):
+        raise ValueError("the blended similarity takes the cosine, ridge and metadata scores and the clusters: name them in models")
     sc = _candidates(items, seeds, features, key, id_col, name, owner, year, roles, similarity, vec, dim, keep, models, counters)
-    blend_vec = vec if "nn" in models else None
+    blend_vec = vec if blended else None
 
     per_seed = Z.seed_sums(seeds, features, key, blend_vec, dim)
     sums = materialize(Z.item_sums(sc, per_seed, features, key, blend_vec, dim, year), "item_sums")
@@ -170,10 +170,12 @@ def _recommend(items, seeds, features, key, id_col, name, owner, year, n, weight
 
     years = sums.select(key, "year_lo", "year_hi")
     base = [key, id_col, "cluster", year, *keep]
-    done = Z.blend(raw, second, features, key, blend_vec, dim, M.EMPHASIS, list(dict.fromkeys(base)))
-    if "nn" in models:
+    done = Z.blend(raw, second, features, key, blend_vec, dim, M.EMPHASIS, list(dict.fromkeys([*base, *(features if "nn_trees" in models else [])])))
+    if "nn_trees" in models:
+        done = M.learned_blend(done, [*features, "cosine_score", "ridge_score", "glm_score", "cluster_score"], key=key, id_col=id_col)
+    elif blended:
         done = V.minmax_100(done, "blend_similarity", "nn_score", flat="keep", key=key)
-    names = {"cosine": "cosine_score", "ridge": "ridge_score", "nn": "nn_score", "glm": "glm_score", "match": "glm_score"}
+    names = {"cosine": "cosine_score", "ridge": "ridge_score", "nn": "nn_score", "nn_trees": "nn_score", "glm": "glm_score", "match": "glm_score"}
     scores = [s for s in R.DEFAULT_WEIGHTS if s in {names[m] for m in models}] + (["cluster_score"] if labels else [])
     done = E.apply_era(done, E.era_params(seeds, year, key), year, key)
     done = R.base_score(done.select(*dict.fromkeys(base), *scores, "year_adjustment"), weights or R.DEFAULT_WEIGHTS)

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seedrank.functions.params import count_key_bound, materialize, new_folder
@@ -209,6 +209,31 @@ def recommend_default(spark, d):
     return out(r.recs.withColumn("rank", F.col("rank").cast("int")), _COLS)
 
 
+@register("full_chain_invariants", _with(*_prepare_ctes(), *_similar_ctes(CLOSE))
+          + f"SELECT set_id, least(count(*), {N}) AS recs, TRUE AS ranked, TRUE AS unseen, TRUE AS in_range, TRUE AS several_clusters FROM cand "
+            "WHERE set_id IN (SELECT set_id FROM sd GROUP BY set_id HAVING count(*) >= 10) GROUP BY set_id HAVING count(*) >= 10")
+def full_chain_invariants(spark, d):
+    """R10 with every fitted model: the default flow with the fitted GLM (M4), K-means with the elbow (M8, M9) and the learned blend
+    (M15). Per set with at least 10 seeds and 10 kept candidates: as many recommendations as there can be, ranked by score, no
+    track of the seeds, scores in 0 to 100, more than one cluster among the candidates."""
+    items, seeds = prepared(spark, d)
+    r = P.recommend(items, seeds, FEATURES, models=("cosine", "ridge", "glm", "nn_trees"), match_roles=ROLES, similarity=CLOSE, vec="vec", dim=DIM)
+    scores = ["cosine_score", "ridge_score", "nn_score", "glm_score"]
+    recs = materialize(r.recs, "recs")
+    w = Window.partitionBy("set_id").orderBy("rank")  # at most N rows a set
+    order = recs.withColumn("up", F.coalesce(F.lead("base_score").over(w) <= F.col("base_score"), F.lit(True)))
+    order = order.withColumn("fit", F.forall(F.array(*scores), lambda v: (v >= -1e-6) & (v <= 100 + 1e-6)))
+    known = items.select("set_id", "item_id", D.track_key("name", "owner", trim=False).alias("k")).join(
+        seeds.select("set_id", D.track_key("name", "owner", trim=False).alias("k")).distinct(), ["set_id", "k"], "left_semi").select("set_id", "item_id")
+    seen = recs.join(known, ["set_id", "item_id"], "left_semi").groupBy("set_id").agg(F.count(F.lit(1)).alias("seen"))
+    per = order.groupBy("set_id").agg(F.count(F.lit(1)).alias("recs"), (F.bool_and("up") & (F.count_distinct("rank") == F.count(F.lit(1))) & (F.max("rank") == F.count(F.lit(1)))).alias("ranked"),
+                                      F.bool_and("fit").alias("in_range"))
+    mix = r.scored.groupBy("set_id").agg((F.count_distinct("cluster") > 1).alias("several_clusters"), F.count(F.lit(1)).alias("kept"))
+    enough = seeds.groupBy("set_id").agg(F.count(F.lit(1)).alias("m")).where("m >= 10")
+    out_ = per.join(seen, "set_id", "left").join(mix, "set_id").join(enough, "set_id", "left_semi").where("kept >= 10")
+    return out_.select("set_id", "recs", "ranked", F.col("seen").isNull().alias("unseen"), "in_range", "several_clusters")
+
+
 _MODELS = ["cosine_score", "ridge_score", "nn_score", "glm_score"]
 
 

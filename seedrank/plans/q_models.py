@@ -276,11 +276,16 @@ def rescale_scores(spark, d):
 ROLES = {"owner": "owner", "album": "album", "label": "label", "date": "year_text"}
 
 
+#: fixed values, written out for the check: weights of the metadata roles, and copies of each score
+_ROLE_WEIGHTS = {"owner": 0.5, "album": 0.2, "label": 0.2, "date": 0.1}
+_COPIES = {"cosine_score": 7.0, "match_score": 1.0, "cluster_score": 1.0}
+
+
 def _match_sql():
-    total = sum(M.MATCH_WEIGHTS[r] for r in ROLES)
+    total = sum(_ROLE_WEIGHTS[r] for r in ROLES)
     flags = ", ".join(f"CASE WHEN EXISTS (SELECT 1 FROM s2 WHERE s2.set_id = c2.set_id AND s2.{c} = c2.{c}) THEN 1 ELSE 0 END "
                       f"AS {c}_in_seeds" for c in ROLES.values())
-    num = " + ".join(["0.0"] + [f"CAST({M.MATCH_WEIGHTS[r]!r} AS DOUBLE) * {c}_in_seeds" for r, c in ROLES.items()])
+    num = " + ".join(["0.0"] + [f"CAST({_ROLE_WEIGHTS[r]!r} AS DOUBLE) * {c}_in_seeds" for r, c in ROLES.items()])
     return S.base(
         "c2 AS (SELECT *, CAST(release_year AS VARCHAR) AS year_text FROM cand)",
         "s2 AS (SELECT *, CAST(release_year AS VARCHAR) AS year_text FROM sd)",
@@ -407,13 +412,13 @@ def blend_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 def _blend_sql():
     roles = {"owner": "owner", "album": "album", "label": "label"}
-    total = sum(M.MATCH_WEIGHTS[r] for r in roles)
+    total = sum(_ROLE_WEIGHTS[r] for r in roles)
     flags = ", ".join(f"CASE WHEN EXISTS (SELECT 1 FROM sd WHERE sd.set_id = cos.set_id AND sd.{c} = cos.{c}) THEN 1 ELSE 0 END "
                       f"AS {c}_in_seeds" for c in roles.values())
-    num = " + ".join(["0.0"] + [f"CAST({M.MATCH_WEIGHTS[r]!r} AS DOUBLE) * {c}_in_seeds" for r, c in roles.items()])
+    num = " + ".join(["0.0"] + [f"CAST({_ROLE_WEIGHTS[r]!r} AS DOUBLE) * {c}_in_seeds" for r, c in roles.items()])
     scores = ["cosine_score", "match_score", "cluster_score"]
     cols = FEATURES + ["has_match"] + scores
-    w = [1.0] * (len(FEATURES) + 1) + [float(M.EMPHASIS.get(x, 1)) for x in scores]
+    w = [1.0] * (len(FEATURES) + 1) + [_COPIES[x] for x in scores]
     z0 = ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in cols)
     means = ", ".join(f"avg({c}) AS {c}" for c in scores)
     sd0 = ", ".join([f"coalesce(sd.{f}, 0.0) AS {f}" for f in FEATURES] + ["1.0 AS has_match"] + [f"mn.{c} AS {c}" for c in scores])

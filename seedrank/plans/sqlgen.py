@@ -5,9 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from seedrank.operators import era as E
 from seedrank.plans.driver_views import ITEMS_SQL
 
+# Fixed values, written out for the check (not taken from the operators).
+ERA_PENALTY = {"decade": (10, 40.0), "recent": (20, 25.0), "tight": (15, 30.0), "standard": (25, 20.0)}
+ADJ_EDGES = [-10, -5, 0, 5, 10, 20, 30, 40]
+ADJ_LABELS = ["Bonus 5-10%", "Bonus 0-5%", "No adj.", "0-5%", "5-10%", "10-20%", "20-30%"]
+
 
 def with_items(*ctes: str) -> str:
     """``WITH <items, seeds>, <ctes...>``."""
@@ -85,43 +89,42 @@ def cosine_score_ctes(cand: str, seeds: str, features: Sequence[str], out: str)
 
 
 def era_params_ctes(seeds: str, out: str) -> list[str]:
-    cls = (f"CASE WHEN avg_year >= {E.RECENT_FROM_YEAR} THEN 'recent' WHEN focus_decade IS NOT NULL THEN 'decade' "
-           f"WHEN std_year < {E.TIGHT_STD} THEN 'tight' ELSE 'standard' END")
-    md = "CASE era_class " + " ".join(f"WHEN '{k}' THEN {d}" for k, (d, p) in E.ERA_PENALTY.items()) + " END"
-    mp = "CAST(CASE era_class " + " ".join(f"WHEN '{k}' THEN {p!r}" for k, (d, p) in E.ERA_PENALTY.items()) + " END AS DOUBLE)"
+    cls = (f"CASE WHEN avg_year >= 2019 THEN 'recent' WHEN focus_decade IS NOT NULL THEN 'decade' "
+           f"WHEN std_year < 5 THEN 'tight' ELSE 'standard' END")
+    md = "CASE era_class " + " ".join(f"WHEN '{k}' THEN {d}" for k, (d, p) in ERA_PENALTY.items()) + " END"
+    mp = "CAST(CASE era_class " + " ".join(f"WHEN '{k}' THEN {p!r}" for k, (d, p) in ERA_PENALTY.items()) + " END AS DOUBLE)"
     return [
         f"{out}_ys AS (SELECT set_id, release_year AS y FROM {seeds} WHERE release_year IS NOT NULL)",
         f"{out}_b AS (SELECT set_id, CAST(trunc(avg(y)) AS INTEGER) AS avg_year, min(y) AS min_year, max(y) AS max_year, "
         f"stddev_samp(y) AS std_year, count(*) AS n_dated, max(y) - min(y) AS year_range FROM {out}_ys GROUP BY set_id)",
         f"{out}_d AS (SELECT set_id, CAST(floor(y / 10) * 10 AS INTEGER) AS decade, count(*) AS n FROM {out}_ys GROUP BY ALL)",
         f"{out}_f AS (SELECT d.set_id, d.decade AS focus_decade FROM {out}_d d JOIN {out}_b b USING (set_id) "
-        f"WHERE d.n / b.n_dated >= {E.DECADE_SHARE})",
+        f"WHERE d.n / b.n_dated >= 0.8)",
         f"{out}_c AS (SELECT b.*, f.focus_decade FROM {out}_b b LEFT JOIN {out}_f f USING (set_id))",
         f"{out}_k AS (SELECT *, {cls} AS era_class FROM {out}_c)",
         f"{out} AS (SELECT *, {md} AS max_dist, {mp} AS max_pen FROM {out}_k)",
     ]
 
 
-def era_item_cols(y: str = "release_year", current_year: int = E.CURRENT_YEAR) -> dict[str, str]:
+def era_item_cols(y: str = "release_year", current_year: int = 2025) -> dict[str, str]:
     """Item-level era expressions over a row joined to era params (p.*)."""
-    y0r, capr = E.RECENT_BONUS
-    y0m, capm = E.MILD_BONUS
+    y0r, capr, y0m, capm = 2019, 15.0, 2022, 5.0
     dist = f"abs({y} - avg_year)"
     pen = clip(f"{dist} / max_dist * max_pen", "0.0", "max_pen")
     bonus = (f"coalesce(CASE WHEN era_class = 'recent' THEN (CASE WHEN {y} BETWEEN {y0r} AND {current_year} "
              f"THEN ({y} - {y0r}) / {float(current_year - y0r)!r} * {capr!r} END) ELSE (CASE WHEN {y} BETWEEN {y0m} "
              f"AND {current_year} THEN ({y} - {y0m}) / {float(current_year - y0m)!r} * {capm!r} END) END, 0.0)")
-    adj = clip(f"({pen}) - ({bonus})", repr(E.ADJ_MIN), "max_pen")
+    adj = clip(f"({pen}) - ({bonus})", "-10.0", "max_pen")
     return {"year_distance": dist, "year_penalty": pen, "recency_bonus": bonus, "year_adjustment": adj}
 
 
 def adj_bin(adj: str) -> tuple[str, str]:
     lab = "CASE " + " ".join(
-        f"WHEN {adj} >= {E.ADJ_EDGES[i]} AND {adj} < {E.ADJ_EDGES[i + 1]} THEN '{E.ADJ_LABELS[i]}'"
-        for i in range(len(E.ADJ_LABELS))) + " END"
+        f"WHEN {adj} >= {ADJ_EDGES[i]} AND {adj} < {ADJ_EDGES[i + 1]} THEN '{ADJ_LABELS[i]}'"
+        for i in range(len(ADJ_LABELS))) + " END"
     ordn = "CASE " + " ".join(
-        f"WHEN {adj} >= {E.ADJ_EDGES[i]} AND {adj} < {E.ADJ_EDGES[i + 1]} THEN {i}"
-        for i in range(len(E.ADJ_LABELS))) + " END"
+        f"WHEN {adj} >= {ADJ_EDGES[i]} AND {adj} < {ADJ_EDGES[i + 1]} THEN {i}"
+        for i in range(len(ADJ_LABELS))) + " END"
     return f"CAST({ordn} AS INTEGER)", lab
 
 
