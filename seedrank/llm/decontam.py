@@ -1,13 +1,13 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-The index is partitioned by document: one row holds the postings of a chunk of whole documents,
-that is, for every term of the test vocabulary the ascending word positions at which it occurs.
-It is written once to the shared folder, without a shuffle. Test windows (``window`` consecutive
-words; a shorter item is one window) are a stated query set, taken in blocks of a bounded number of
-items and matched against all index rows: a window's terms are ordered by the length of their
-postings in the row, the rarest list is moved back by its offset in the window and intersected
-with the next rarest, and so on through *all* terms, so a surviving start is an exact phrase. With
-``slack`` > 0 a second search accepts ordered proximity: from a position of the rarest term, every
+The index is partitioned by document: one row holds the postings of a chunk of whole documents, that
+is, for every term the ascending word positions at which it occurs. It is written once to the
+shared folder, without a shuffle: of all terms if the test set comes in several blocks, which then share it, or of the
+terms of the only block. Test windows (``window`` consecutive words; a shorter item is one window) are a stated query set, taken
+in blocks of a bounded number of words and matched against all index rows: a window's terms are ordered by the length
+of their postings in the row, the rarest list is moved back by its offset in the window and intersected
+with the next rarest, and so on through *all* terms, so a surviving start is an exact phrase; all windows of a row take
+each step together. With ``slack`` > 0 a second search accepts ordered proximity: from a position of the rarest term, every
 other term within ``slack`` words of its place.
 
 Terms are 64-bit hashes of lower-cased words. Null or empty texts have no words and are never
@@ -33,6 +33,8 @@ from seedrank.llm.tables import Staged
 WINDOW = 13
 #: test words taken to the tasks at once; more are searched in further blocks
 BLOCK_WORDS = 2_000_000
+#: starts that a task follows at once
+CANDIDATES = 1 << 20
 
 
 def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,49 +62,75 @@ class Queries:
         self.items = [sorted(seen[k]) for k in keys]
 
 
-def index(docs: DataFrame, terms: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Index rows: (chunk, doc_ids, bounds, counts, postings) of each chunk of documents; ``bounds``
-    are first word numbers, ``counts`` the postings per term of ``terms``."""
+def index(docs: DataFrame, terms: np.ndarray | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Index rows: (chunk, doc_ids, bounds, terms, counts, postings) of each chunk of documents; ``bounds`` are first word
+    numbers, ``terms`` the distinct terms, ascending, with their ``counts`` and, one term after the other, ``postings``. Only
+    ``terms`` are indexed, or all (None)."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches):
-        terms, part, number = vocabulary.value, TaskContext.get().partitionId(), 0
+        wanted, part, number = vocabulary.value, TaskContext.get().partitionId(), 0
         for rows, data, offs in T.chunks(batches, "text"):
             h, first = word_hashes(data, offs)
-            where = np.searchsorted(terms, h)
-            hit = np.flatnonzero(terms[np.minimum(where, len(terms) - 1)] == h) if len(terms) else np.zeros(0, np.int64)
-            term = where[hit]
-            order = np.argsort(term, kind="stable")
-            counts = np.bincount(term, minlength=len(terms)).astype(np.int32)
+            hit = np.arange(len(h)) if wanted is None else np.flatnonzero(found_in(wanted, h)[0])
+            order = np.argsort(h[hit], kind="stable")
+            own, counts = np.unique(h[hit], return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([(part << 32) | number]), pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64())),
-                 pa.array([first.astype(np.int64).tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary()),
-                 pa.array([hit[order].astype(np.int32).tobytes()], pa.binary())],
-                names=["chunk", "doc_ids", "bounds", "counts", "postings"])
+                 *[pa.array([x.tobytes()], pa.binary()) for x in (first.astype(np.int64), own, counts.astype(np.int32), hit[order].astype(np.int32))]],
+                names=["chunk", "doc_ids", "bounds", "terms", "counts", "postings"])
             number += 1
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "chunk long, doc_ids array<long>, bounds binary, counts binary, postings binary"))
-
-
-def intersect(counts: np.ndarray, postings: np.ndarray, q: Queries, slack: int = 0):
-    """(window number, start) of every phrase match of an index row, and of proximity matches."""
-    at = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
-    have = np.where(q.ids >= 0, counts[np.maximum(q.ids, 0)], np.iinfo(np.int32).max)
-    for w in np.flatnonzero(have.min(axis=1) > 0) if len(q.ids) else ():
-        by_rarity = np.argsort(have[w, : q.length[w]], kind="stable")
-        lists = [postings[at[q.ids[w, o]]:at[q.ids[w, o] + 1]] for o in by_rarity]
-        start = lists[0].astype(np.int64) - by_rarity[0]
-        near = start if slack else start[:0]
-        for o, found in zip(by_rarity[1:], lists[1:]):
-            i = np.searchsorted(found, start + o)
-            start = start[found[np.minimum(i, len(found) - 1)] == start + o]
-            if slack:
-                i = np.searchsorted(found, near + o - slack)
-                near = near[(i < len(found)) & (found[np.minimum(i, len(found) - 1)] <= near + o + slack)]
-            if not len(start) and not len(near):
+            .mapInArrow(run, "chunk long, doc_ids array<long>, bounds binary, terms binary, counts binary, postings binary"))
+
+
+def found_in(sorted_values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which ``x`` are among the ascending values, and where."""
+    if not len(sorted_values):
+        return np.zeros(len(x), bool), np.zeros(len(x), np.int64)
+    at = np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)
+    return sorted_values[at] == x, at
+
+
+def intersect(terms: np.ndarray, counts: np.ndarray, postings: np.ndarray, q: Queries, slack: int = 0):
+    """(window numbers, starts, exact) of the phrase matches of an index row and, with ``slack``, of its proximity matches; all
+    windows at once, some of them at a time."""
+    here, own = found_in(terms, q.terms)  # the row's list of each test term
+    have = np.where(here, counts[own] if len(counts) else 0, 0)
+    size = np.where(q.ids >= 0, have[np.maximum(q.ids, 0)], np.iinfo(np.int32).max) if len(q.ids) else np.zeros((0, 1), np.int64)
+    windows = np.flatnonzero(size.min(axis=1) > 0)
+    rarity = np.argsort(size[windows], axis=1, kind="stable")  # places in the window, rarest term first
+    first = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+    span = int(postings.max(initial=0)) + 2 * q.ids.shape[1] + 2 * slack + 2 if len(postings) else 1
+    at_key = np.repeat(np.arange(len(counts)), counts) * span + postings  # ascending: lists one after the other
+    work = size[windows, rarity[:, 0]] if len(windows) else np.zeros(0, np.int64)
+    cuts = np.searchsorted(np.cumsum(work), np.arange(CANDIDATES, work.sum() + CANDIDATES, CANDIDATES)) + 1
+    for lo, hi in zip(np.concatenate(([0], cuts[:-1])), cuts):
+        w, by = windows[lo:hi], rarity[lo:hi]
+        if not len(w):
+            continue
+        lists = own[q.ids[w, by[:, 0]]]
+        row = np.repeat(np.arange(len(w)), counts[lists])
+        start = postings[T.ragged(first[lists], counts[lists])].astype(np.int64) - by[row, 0]
+        exact = start >= 0
+        row, start, exact = (row, start, exact) if slack else (row[exact], start[exact], exact[exact])
+        for place in range(1, by.shape[1]):
+            if not len(row):
                 break
-        yield w, start, np.setdiff1d(near, start)
+            offset = by[row, place]
+            used = offset < q.length[w[row]]
+            term = own[np.maximum(q.ids[w[row], offset], 0)]
+            key = term * span + start + offset
+            hit = found_in(at_key, key)[0] | ~used
+            exact &= hit
+            if slack:
+                i = np.searchsorted(at_key, np.maximum(key - slack, term * span))
+                close = (i < len(at_key)) & (at_key[np.minimum(i, len(at_key) - 1)] <= key + slack) | ~used
+                row, start, exact = row[close], start[close], exact[close]
+            else:
+                row, start, exact = row[hit], start[hit], exact[hit]
+        yield w[row], start, exact
 
 
 def matches(stored: DataFrame, q: Queries, slack: int = 0) -> DataFrame:
@@ -117,33 +145,38 @@ def matches(stored: DataFrame, q: Queries, slack: int = 0) -> DataFrame:
             for row in b.to_pylist():
                 bounds = np.frombuffer(row["bounds"], np.int64)
                 n = len(bounds) - 1
-                spans: dict[int, list] = {}
-                near: dict[int, list] = {}
+                parts = list(intersect(np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["counts"], np.int32), np.frombuffer(row["postings"], np.int32), q, slack))
+                w, start, exact = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+                doc = np.searchsorted(bounds, start, side="right") - 1
+                inside = (start >= 0) & (doc < n)
+                inside[inside] &= start[inside] + q.length[w[inside]] <= bounds[doc[inside] + 1]
+                w, start, exact, doc = w[inside], start[inside], exact[inside], doc[inside]
+                length = q.length[w]
+                merged = merged_spans(doc[exact], start[exact] - bounds[doc[exact]], length[exact], n)
+                near = merged_spans(doc[~exact], start[~exact] - bounds[doc[~exact]], length[~exact], n)
                 items: dict[int, set] = {}
-                for w, exact, around in intersect(np.frombuffer(row["counts"], np.int32), np.frombuffer(row["postings"], np.int32), q, slack):
-                    for starts, into in ((exact, spans), (around, near)):
-                        doc = np.searchsorted(bounds, starts, side="right") - 1
-                        inside = (starts >= 0) & (doc < n)
-                        inside[inside] &= starts[inside] + q.length[w] <= bounds[doc[inside] + 1]
-                        for d, s in zip(doc[inside].tolist(), (starts[inside] - bounds[doc[inside]]).tolist()):
-                            into.setdefault(d, []).append((s, s + int(q.length[w])))
-                            if into is spans:
-                                items.setdefault(d, set()).update(q.items[w])
-                merged = [merge(spans.get(d, ())) for d in range(n)]
+                for d, k in set(zip(doc[exact].tolist(), w[exact].tolist())):
+                    items.setdefault(d, set()).update(q.items[k])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["chunk"]] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(row["doc_ids"], pa.int64()),
                      pa.array(np.diff(bounds)), pa.array([m.tobytes() for m in merged], pa.binary()),
-                     pa.array([merge(near.get(d, ())).tobytes() for d in range(n)], pa.binary()), span_lists(merged),
+                     pa.array([m.tobytes() for m in near], pa.binary()), span_lists(merged),
                      pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string()))],
                     names=["chunk", "i", "doc_id", "n_words", "spans", "near", "hits", "items"])
 
     return stored.mapInArrow(run, "chunk long, i long, doc_id long, n_words long, spans binary, near binary, hits array<struct<s int, e int>>, items array<string>")
 
 
-def merge(spans) -> np.ndarray:
-    a = np.array(sorted(spans), np.int32).reshape(-1, 2)
-    s, e = T.covered(a[:, 0], a[:, 1] - a[:, 0])
-    return np.stack([s, e], axis=1).astype(np.int32)
+def merged_spans(doc: np.ndarray, start: np.ndarray, length: np.ndarray, n: int) -> list[np.ndarray]:
+    """Per document the merged spans [start, start + length)."""
+    order = np.lexsort((start, doc))
+    doc, start, length = doc[order], start[order], length[order]
+    first = np.searchsorted(doc, np.arange(n + 1))
+    out = [np.zeros((0, 2), np.int32)] * n
+    for d in np.unique(doc).tolist():
+        s, e = T.covered(start[first[d]:first[d + 1]], length[first[d]:first[d + 1]])
+        out[d] = np.stack([s, e], axis=1).astype(np.int32)
+    return out
 
 
 def span_lists(merged: list[np.ndarray]) -> pa.Array:
@@ -171,10 +204,11 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slack: i
     total = items.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(total / block_words))
     found = []
+    whole = stage.write(index(docs, None, id_col, text_col), "index") if blocks > 1 else None  # one index for all blocks
     for b in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == b)
         q = Queries([(r.item, np.frombuffer(r.words, np.uint64)) for r in part.toLocalIterator()], window)
-        found.append(matches(stage.write(index(docs, q.terms, id_col, text_col), f"index{b}"), q, slack))
+        found.append(matches(stage.write(index(docs, q.terms, id_col, text_col), "index") if whole is None else whole, q, slack))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
