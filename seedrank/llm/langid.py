@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as ty
 
+from seedrank.functions.params import bounded_broadcast
 from seedrank.llm import text as T
 from seedrank.llm.tables import free_name, ship
 
@@ -127,7 +128,8 @@ class ByteCNN:
 def training_windows(docs: DataFrame, learn: Column, sample: int, windows: int) -> tuple[np.ndarray, list[str]]:
     """Windows and their languages from about ``sample`` documents of every language, chosen by a hash."""
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = rows.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("share"))
+    # a row per language; broadcast as long as that many are small, or the texts would be shuffled by language
+    share = bounded_broadcast(rows.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("share")))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 52)).cast("double") / float(1 << 52)
 
     def cut(batches):
