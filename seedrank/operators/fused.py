@@ -12,7 +12,8 @@ values. Three grouped aggregates serve them all:
    ``second_fit`` derives the affine re-scalings and the blend's scaler.
 3. the range of the blended similarity, per set.
 
-The scores are column expressions over those parameters (``raw_scores``, ``blend``), one row per set each."""
+The scores are column expressions over those parameters (``raw_scores``, ``blend``), one row per set each, in columns whose names begin with two
+underscores, so that a table's own names do not meet them."""
 
 from __future__ import annotations
 
@@ -29,45 +30,45 @@ from seedrank.operators import vectors as V
 
 D = "array<double>"
 #: per set: seed means and deviations, and what ``first_fit`` derives
-FIRST = ("n double, n_seeds double, fill array<double>, ridge_b double, ridge_w array<double>, ridge_mu array<double>, "
-         "cos_mu array<double>, cos_sd array<double>, cos_t array<double>, nn_mu array<double>, nn_sd array<double>, nn_t array<double>, "
-         "vec_mu array<double>, vec_sd array<double>, vec_t array<double>, p_lo double, p_hi double")
+FIRST = ("__n double, __n_seeds double, __fill array<double>, __ridge_b double, __ridge_w array<double>, __ridge_mu array<double>, "
+         "__cos_mu array<double>, __cos_sd array<double>, __cos_t array<double>, __nn_mu array<double>, __nn_sd array<double>, __nn_t array<double>, "
+         "__vec_mu array<double>, __vec_sd array<double>, __vec_t array<double>, __p_lo double, __p_hi double")
 #: per set: re-scalings as (multiplier, offset), and the blend's scaler
-SECOND = ("cosine_a double, cosine_b double, ridge_a double, ridge_b2 double, share map<string,double>, cluster_num map<string,double>, "
-          "cluster_sq map<string,double>, match_mu double, match_sd double, match_t double, score_mu array<double>, score_sd array<double>, t_norm double")
+SECOND = ("__cosine_a double, __cosine_b double, __ridge_a double, __ridge_b2 double, __share map<string,double>, __cluster_num map<string,double>, "
+          "__cluster_sq map<string,double>, __match_mu double, __match_sd double, __match_t double, __score_mu array<double>, __score_sd array<double>, __t_norm double")
 
 
 def seed_sums(seeds: DataFrame, features: Sequence[str], key: str, vec: str | None, dim: int) -> DataFrame:
-    """(key, n_seeds, c, s, vec_c, vec_s): seed means and sums of squared deviations (cross products for the features)."""
+    """(key, __n_seeds, __c, __s, __vec_c, __vec_s): seed means and sums of squared deviations (cross products for the features)."""
     p, x = len(features), [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
     n = F.count(F.lit(1)).cast("double")
-    aggs = [n.alias("n_seeds"), F.array(*[F.avg(v) for v in x]).alias("c"),
-            F.array(*[F.covar_pop(x[i], x[j]) * n for i in range(p) for j in range(i, p)]).alias("s")]
+    aggs = [n.alias("__n_seeds"), F.array(*[F.avg(v) for v in x]).alias("__c"),
+            F.array(*[F.covar_pop(x[i], x[j]) * n for i in range(p) for j in range(i, p)]).alias("__s")]
     out = seeds.groupBy(key).agg(*aggs)
     if not vec:
-        return out.withColumns({"vec_c": F.array().cast(D), "vec_s": F.array().cast(D)})
+        return out.withColumns({"__vec_c": F.array().cast(D), "__vec_s": F.array().cast(D)})
     v = F.coalesce(F.col(vec), X.zeros(dim))
     sq = V.array_sums(seeds.select(key, F.concat(v, F.transform(v, lambda e: e * e)).alias("__v")), [key], "__v", 2 * dim, "__t")
-    n, s1, s2 = F.col("n_seeds"), F.slice("__t", 1, dim), F.slice("__t", dim + 1, dim)
-    return out.join(sq, key).select(key, "n_seeds", "c", "s", F.transform(s1, lambda e: e / n).alias("vec_c"),
-                                    F.zip_with(s1, s2, lambda a, b: b - a * a / n).alias("vec_s"))
+    n, s1, s2 = F.col("__n_seeds"), F.slice("__t", 1, dim), F.slice("__t", dim + 1, dim)
+    return out.join(sq, key).select(key, "__n_seeds", "__c", "__s", F.transform(s1, lambda e: e / n).alias("__vec_c"),
+                                    F.zip_with(s1, s2, lambda a, b: b - a * a / n).alias("__vec_s"))
 
 
 def item_sums(items: DataFrame, seeds: DataFrame, features: Sequence[str], key: str, vec: str | None, dim: int, year: str) -> DataFrame:
-    """``seeds`` (``seed_sums``) joined by (n, u, p_lo, p_hi, year_lo, year_hi): ``u`` holds the upper triangle of the cross
-    products, then the vector's sums and squares. ``p``: the match probability, a column of ``items``."""
-    j = attach(items, seeds.select(key, "c"), key)
+    """``seeds`` (``seed_sums``) joined by (__u, __p_lo, __p_hi, __year_lo, __year_hi): ``__u`` holds the upper triangle of the cross
+    products, then the vector's sums and squares. ``__p``: the match probability, a column of ``items``."""
+    j = attach(items, seeds.select(key, "__c"), key)
     one = [F.lit(1.0)]
-    u = one + [F.coalesce(F.col(f).cast("double") - F.col("c")[i], F.lit(0.0)) for i, f in enumerate(features)]
+    u = one + [F.coalesce(F.col(f).cast("double") - F.col("__c")[i], F.lit(0.0)) for i, f in enumerate(features)]
     u += [F.col(f).isNull().cast("double") for f in features]
     parts = F.array(*[u[a] * u[b] for a in range(len(u)) for b in range(a, len(u))])
     size = len(u) * (len(u) + 1) // 2
     if vec:
         v = F.coalesce(F.col(vec), X.zeros(dim))
         parts, size = F.concat(parts, v, F.transform(v, lambda e: e * e)), size + 2 * dim
-    j = j.select(key, parts.alias("__u"), F.col("p"), F.col(year).cast("double").alias("__y"))
-    ranges = {"p_lo": F.min("p"), "p_hi": F.max("p"), "year_lo": F.min("__y"), "year_hi": F.max("__y")}
-    return V.array_sums(j, [key], "__u", size, "u", ranges).join(seeds, key)
+    j = j.select(key, parts.alias("__u"), F.col("__p"), F.col(year).cast("double").alias("__y"))
+    ranges = {"__p_lo": F.min("__p"), "__p_hi": F.max("__p"), "__year_lo": F.min("__y"), "__year_hi": F.max("__y")}
+    return V.array_sums(j, [key], "__u", size, "__u", ranges).join(seeds, key)
 
 
 def _sd(square: np.ndarray, n: float) -> np.ndarray:
@@ -85,11 +86,11 @@ def first_fit(sums: DataFrame, p: int, dim: int, key: str, alpha: float) -> Data
     """The parameters of ``FIRST``, a set at a time from its one row of sums."""
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         r = pdf.iloc[0]
-        c, flat, ns = np.array(r["c"], float), np.array(r["u"], float), float(r["n_seeds"])
+        c, flat, ns = np.array(r["__c"], float), np.array(r["__u"], float), float(r["__n_seeds"])
         q = 2 * p + 1
         u = _upper(flat[: q * (q + 1) // 2], q)
         v1, v2 = flat[q * (q + 1) // 2:][:dim], flat[q * (q + 1) // 2:][dim:]
-        seed_sq = _upper(np.array(r["s"], float), p)
+        seed_sq = _upper(np.array(r["__s"], float), p)
         n = u[0, 0]
         total = n + ns
         absent = u[0, p + 1:]
@@ -114,30 +115,30 @@ def first_fit(sums: DataFrame, p: int, dim: int, key: str, alpha: float) -> Data
         cos_sd = _sd(np.diag(zero_sq) + n / (n + 1) * zero ** 2, n + 1)
         nn_mu = c + n * zero / total
         nn_sd = _sd(np.diag(zero_sq) + np.diag(seed_sq) + n * ns / total * zero ** 2, total)
-        vc, vs = np.array(r["vec_c"], float), np.array(r["vec_s"], float)
+        vc, vs = np.array(r["__vec_c"], float), np.array(r["__vec_s"], float)
         shift = v1 / n - vc
         vec_mu, vec_sd = vc + n * shift / total, _sd(v2 - v1 * v1 / n + vs + n * ns / total * shift ** 2, total)
-        return pd.DataFrame({key: pdf[key].iloc[:1], "n": [n], "n_seeds": [ns], "fill": [mean], "ridge_b": [ns / total], "ridge_w": [w / sd], "ridge_mu": [mu],
-                             "cos_mu": [cos_mu], "cos_sd": [cos_sd], "cos_t": [(c - cos_mu) / cos_sd], "nn_mu": [nn_mu], "nn_sd": [nn_sd], "nn_t": [(c - nn_mu) / nn_sd],
-                             "vec_mu": [vec_mu], "vec_sd": [vec_sd], "vec_t": [(vc - vec_mu) / vec_sd], "p_lo": [r["p_lo"]], "p_hi": [r["p_hi"]]})
+        return pd.DataFrame({key: pdf[key].iloc[:1], "__n": [n], "__n_seeds": [ns], "__fill": [mean], "__ridge_b": [ns / total], "__ridge_w": [w / sd], "__ridge_mu": [mu],
+                             "__cos_mu": [cos_mu], "__cos_sd": [cos_sd], "__cos_t": [(c - cos_mu) / cos_sd], "__nn_mu": [nn_mu], "__nn_sd": [nn_sd], "__nn_t": [(c - nn_mu) / nn_sd],
+                             "__vec_mu": [vec_mu], "__vec_sd": [vec_sd], "__vec_t": [(vc - vec_mu) / vec_sd], "__p_lo": [r["__p_lo"]], "__p_hi": [r["__p_hi"]]})
 
     kind = dict(sums.dtypes)[key]
     return sums.groupBy(key).applyInPandas(fit, f"{key} {kind}, {FIRST}")
 
 
 def raw_scores(items: DataFrame, first: DataFrame, features: Sequence[str], key: str) -> DataFrame:
-    """``items`` with ``cosine_raw``, ``ridge_raw`` and ``glm_score`` (M7 or M4's probability ``p`` to 0..100, then V10)."""
+    """``items`` with ``cosine_raw``, ``ridge_raw`` and ``glm_score`` (M7 or M4's probability ``__p`` to 0..100, then V10)."""
     j = attach(items, first, key)
     x0 = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
-    z = [(x - F.col("cos_mu")[i]) / F.col("cos_sd")[i] for i, x in enumerate(x0)]
-    ridge = F.col("ridge_b")
+    z = [(x - F.col("__cos_mu")[i]) / F.col("__cos_sd")[i] for i, x in enumerate(x0)]
+    ridge = F.col("__ridge_b")
     for i, f in enumerate(features):
-        ridge = ridge + F.col("ridge_w")[i] * (F.coalesce(F.col(f).cast("double"), F.col("fill")[i]) - F.col("ridge_mu")[i])
-    lo, hi, p = F.col("p_lo"), F.col("p_hi"), F.col("p")
+        ridge = ridge + F.col("__ridge_w")[i] * (F.coalesce(F.col(f).cast("double"), F.col("__fill")[i]) - F.col("__ridge_mu")[i])
+    lo, hi, p = F.col("__p_lo"), F.col("__p_hi"), F.col("__p")
     flat = F.when((hi - lo) * 100 < 0.01, F.when(hi > lo, (p - lo) / (hi - lo) * 100.0).otherwise(F.lit(0.0))).otherwise(p * 100.0)
     glm = F.when(hi - lo < 0.01, flat).otherwise((p - lo) / (hi - lo) * 100.0)
     return j.select(*items.columns, *[F.col(c) for c in first.columns if c != key and c not in items.columns],
-                    X.cosine(z, [F.col("cos_t")[i] for i in range(len(features))]).alias("cosine_raw"), ridge.alias("ridge_raw"),
+                    X.cosine(z, [F.col("__cos_t")[i] for i in range(len(features))]).alias("cosine_raw"), ridge.alias("ridge_raw"),
                     F.coalesce(glm, F.lit(0.0)).alias("glm_score"))
 
 
@@ -169,13 +170,13 @@ def second_fit(sums: DataFrame, seed_clusters: DataFrame, first: DataFrame, key:
             lo, hi = pdf[f"lo_{c}"].min(), pdf[f"hi_{c}"].max()
             flat = 50.0 if name == "cosine" else 0.0  # V10 takes a flat ridge score of 50 to 0
             affine.append((100.0 / (hi - lo), -lo * 100.0 / (hi - lo)) if hi > lo else (0.0, flat))
-        out |= {"cosine_a": [affine[0][0]], "cosine_b": [affine[0][1]], "ridge_a": [affine[1][0]], "ridge_b2": [affine[1][1]]}
+        out |= {"__cosine_a": [affine[0][0]], "__cosine_b": [affine[0][1]], "__ridge_a": [affine[1][0]], "__ridge_b2": [affine[1][1]]}
         share = seeds / ns * 100.0
         lo, hi = share[here].min(), share[here].max()
         if hi > 100 or lo < 0 or hi - lo < 0.01:
             share = (share - lo) / (hi - lo) * 100.0 if hi > lo else np.zeros(len(share))
         labels = pdf["cluster"].tolist()
-        out["share"] = [dict(zip(labels, share))]
+        out["__share"] = [dict(zip(labels, share))]
         # the blend's scaler over items and seeds; seeds carry the items' mean of every score, so their target is 0 there
         mus, sds = [], []
         for c, (a, b) in (("cosine_raw", affine[0]), ("ridge_raw", affine[1]), ("glm_score", (1.0, 0.0))):
@@ -185,7 +186,7 @@ def second_fit(sums: DataFrame, seed_clusters: DataFrame, first: DataFrame, key:
         mean = (m * share).sum() / n
         mus.append(mean)
         sds.append(float(_sd((m * (share - mean) ** 2).sum(), total)))
-        out |= {"score_mu": [mus], "score_sd": [sds]}
+        out |= {"__score_mu": [mus], "__score_sd": [sds]}
         matched = (pdf["m_match"].fillna(0.0).sum() + ns) / total
         match_sd = float(_sd(np.array(matched * (1 - matched)), 1.0))
         match_t = (1.0 - matched) / match_sd
@@ -195,12 +196,12 @@ def second_fit(sums: DataFrame, seed_clusters: DataFrame, first: DataFrame, key:
         off = -part / sd  # an item outside the cluster
         num = (off * t).sum() + t / sd
         square = (off ** 2).sum() - off ** 2 + ((1 - part) / sd) ** 2
-        out |= {"cluster_num": [dict(zip(labels, num))], "cluster_sq": [dict(zip(labels, square))], "match_mu": [matched], "match_sd": [match_sd],
-                "match_t": [match_t], "t_norm": [float((t ** 2).sum() + match_t ** 2 + pdf["t_rest"].iloc[0])]}
+        out |= {"__cluster_num": [dict(zip(labels, num))], "__cluster_sq": [dict(zip(labels, square))], "__match_mu": [matched], "__match_sd": [match_sd],
+                "__match_t": [match_t], "__t_norm": [float((t ** 2).sum() + match_t ** 2 + pdf["t_rest"].iloc[0])]}
         return pd.DataFrame(out)
 
     square = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v * v)
-    j = sums.join(seed_clusters, [key, "cluster"], "full").join(first.select(key, (square("nn_t") + square("vec_t")).alias("t_rest")), key)
+    j = sums.join(seed_clusters, [key, "cluster"], "full").join(first.select(key, (square("__nn_t") + square("__vec_t")).alias("t_rest")), key)
     kind = dict(sums.dtypes)[key]
     return j.groupBy(key).applyInPandas(fit, f"{key} {kind}, {SECOND}")
 
@@ -209,23 +210,23 @@ def blend(scored: DataFrame, second: DataFrame, features: Sequence[str], key: st
           emphasis: dict[str, int], keep: Sequence[str]) -> DataFrame:
     """``keep`` with the finished scores and ``blend_similarity`` (M13 with all its inputs, M14)."""
     j = attach(scored, second, key)
-    cosine = F.col("cosine_raw") * F.col("cosine_a") + F.col("cosine_b")
-    ridge = F.col("ridge_raw") * F.col("ridge_a") + F.col("ridge_b2")
-    share = F.coalesce(F.element_at("share", F.col("cluster")), F.lit(0.0))
+    cosine = F.col("cosine_raw") * F.col("__cosine_a") + F.col("__cosine_b")
+    ridge = F.col("ridge_raw") * F.col("__ridge_a") + F.col("__ridge_b2")
+    share = F.coalesce(F.element_at("__share", F.col("cluster")), F.lit(0.0))
     j = j.select("*", cosine.alias("cosine_score"), ridge.alias("ridge_score"), share.alias("cluster_score"))
-    num, square = F.element_at("cluster_num", F.col("cluster")), F.element_at("cluster_sq", F.col("cluster"))
+    num, square = F.element_at("__cluster_num", F.col("cluster")), F.element_at("__cluster_sq", F.col("cluster"))
     for i, f in enumerate(features):
-        z = (F.coalesce(F.col(f).cast("double"), F.lit(0.0)) - F.col("nn_mu")[i]) / F.col("nn_sd")[i]
-        num, square = num + z * F.col("nn_t")[i], square + z * z
-    match = ((F.col("glm_score") > 0).cast("double") - F.col("match_mu")) / F.col("match_sd")
-    num, square = num + match * F.col("match_t"), square + match * match
+        z = (F.coalesce(F.col(f).cast("double"), F.lit(0.0)) - F.col("__nn_mu")[i]) / F.col("__nn_sd")[i]
+        num, square = num + z * F.col("__nn_t")[i], square + z * z
+    match = ((F.col("glm_score") > 0).cast("double") - F.col("__match_mu")) / F.col("__match_sd")
+    num, square = num + match * F.col("__match_t"), square + match * match
     for i, s in enumerate(("cosine_score", "ridge_score", "glm_score", "cluster_score")):
-        z = (F.col(s) - F.col("score_mu")[i]) / F.col("score_sd")[i]
+        z = (F.col(s) - F.col("__score_mu")[i]) / F.col("__score_sd")[i]
         square = square + z * z * F.lit(float(emphasis.get(s, 1)))
     if vec:
-        z = F.zip_with(F.zip_with(F.coalesce(F.col(vec), X.zeros(dim)), "vec_mu", lambda v, m: v - m), "vec_sd", lambda v, s: v / s)
-        num = num + F.aggregate(F.zip_with(z, "vec_t", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+        z = F.zip_with(F.zip_with(F.coalesce(F.col(vec), X.zeros(dim)), "__vec_mu", lambda v, m: v - m), "__vec_sd", lambda v, s: v / s)
+        num = num + F.aggregate(F.zip_with(z, "__vec_t", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
         square = square + F.aggregate(z, F.lit(0.0), lambda acc, v: acc + v * v)
-    zero = (square <= 0) | (F.col("t_norm") <= 0)
-    sim = F.when(zero, F.lit(0.0)).otherwise(num / (F.sqrt(square) * F.sqrt("t_norm")))
+    zero = (square <= 0) | (F.col("__t_norm") <= 0)
+    sim = F.when(zero, F.lit(0.0)).otherwise(num / (F.sqrt(square) * F.sqrt("__t_norm")))
     return j.select(*keep, "cosine_score", "ridge_score", "glm_score", "cluster_score", sim.alias("blend_similarity"))

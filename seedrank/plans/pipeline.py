@@ -118,7 +118,7 @@ def recommend(items: DataFrame, seeds: DataFrame, features: Sequence[str], *, ke
 
 
 def _candidates(items, seeds, features, key, id_col, name, owner, year, roles, similarity, vec, dim, keep, models, counters) -> DataFrame:
-    """The candidates after the filter with the columns that the models read, and ``p``, the metadata probability
+    """The candidates after the filter with the columns that the models read, and ``__p``, the metadata probability
     (M7, or M4's fit); written once."""
     watch = counters.watch if counters else lambda df, stage: df
     cand = exclude_seen(items, seeds, name, owner, key)
@@ -132,11 +132,11 @@ def _candidates(items, seeds, features, key, id_col, name, owner, year, roles, s
     if "glm" in models:
         cand = materialize(cand, "candidates")
         p = M.glm_probability(cand, seeds, features, list(roles.values()), key, id_col)
-        return materialize(cand.join(p.withColumnRenamed("glm_probability", "p"), [key, id_col], "left"), "candidates")
+        return materialize(cand.join(p.withColumnRenamed("glm_probability", "__p"), [key, id_col], "left"), "candidates")
     if "match" in models:
-        m = M.metadata_match(cand, seeds, roles, key, out="p")
-        return materialize(m.select(*used, "p"), "candidates")
-    return materialize(cand.withColumn("p", F.lit(0.0)), "candidates")
+        m = M.metadata_match(cand, seeds, roles, key, out="__p")
+        return materialize(m.select(*used, "__p"), "candidates")
+    return materialize(cand.withColumn("__p", F.lit(0.0)), "candidates")
 
 
 def _recommend(items, seeds, features, key, id_col, name, owner, year, n, weights, models, match_roles, centers, recency,
@@ -168,7 +168,7 @@ def _recommend(items, seeds, features, key, id_col, name, owner, year, n, weight
     counts = seed_clusters.groupBy(key, "cluster").agg(F.count(F.lit(1)).cast("double").alias("m_seeds"))
     second = materialize(Z.second_fit(Z.score_sums(raw, key), counts, first, key), "second_fit")
 
-    years = sums.select(key, "year_lo", "year_hi")
+    years = sums.select(key, "__year_lo", "__year_hi")
     base = [key, id_col, "cluster", year, *keep]
     done = Z.blend(raw, second, features, key, blend_vec, dim, M.EMPHASIS, list(dict.fromkeys([*base, *(features if "nn_trees" in models else [])])))
     if "nn_trees" in models:
@@ -181,7 +181,7 @@ def _recommend(items, seeds, features, key, id_col, name, owner, year, n, weight
     done = R.base_score(done.select(*dict.fromkeys(base), *scores, "year_adjustment"), weights or R.DEFAULT_WEIGHTS)
     done = done.withColumn("base_score", E.apply_adjustment(F.col("base_score"), F.col("year_adjustment")))
     if recency:
-        done = E.with_recency(attach(done, years, key), "base_score", recency, year, "year_lo", "year_hi")
+        done = E.with_recency(attach(done, years, key), "base_score", recency, year, "__year_lo", "__year_hi")
     scored = materialize(done.select(key, id_col, "cluster", *scores, "year_adjustment", "base_score", *keep), "scored")
     if not labels:  # R6 without clusters: the plain ranking
         return Recommendation(R.top_n(scored, "base_score", id_col, n, key), seed_clusters, scored)

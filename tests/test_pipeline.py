@@ -91,3 +91,61 @@ def test_prepare_joins_and_embeds(spark):
     got = {r.item_id: (r.g, r.v) for r in sd.collect()}
     # one seed has no catalogue vector, so the whole set is embedded from its tags
     assert got == {"p": ("pop, rock", [0.5, 0.5]), "q": ("rock", [0.0, 1.0])}
+
+
+def test_fused_chain_equals_its_operators(spark):
+    """Every score of the fused chain against the operator that computes it alone, with missing values and vectors."""
+    from seedrank.operators import cluster as K
+
+    rng = np.random.default_rng(21)
+    feats, rows = ["a", "b", "c"], []
+    for s in ("p", "q"):
+        for i in range(90):
+            x = [None if rng.random() < 0.15 else float(v) for v in rng.normal(size=3) * [1, 40, 0.01] + [0, 900, 2]]
+            vec = None if i % 13 == 5 else [float(v) for v in rng.normal(size=2)]
+            rows.append((s, f"{s}{i}", f"t{i}", f"o{int(rng.integers(8))}", f"l{i % 3}", None if i % 19 == 2 else 1980 + i % 30, *x, vec))
+    items = spark.createDataFrame(rows, "set_id string, item_id string, name string, owner string, label string, release_year int, a double, b double, c double, vec array<double>")
+    seeds = items.where(F.substring("item_id", 2, 5).cast("int") % 9 == 0)  # test fixture: every ninth row
+    cen = spark.createDataFrame([(s, i, c) for s in ("p", "q") for i, c in enumerate([[-1.0, 0.0, 0.0], [1.0, 1.0, 0.0], [0.0, -1.0, 1.0]])], "set_id string, idx int, center array<double>")
+    roles = {"owner": "owner", "label": "label"}
+    r = P.recommend(items, seeds, feats, n=12, models=("cosine", "ridge", "match", "nn"), match_roles=roles, centers=cen, vec="vec", dim=2, recency=0.3)
+    got = {x.item_id: x for x in r.scored.collect()}
+
+    cand = exclude_seen(items, seeds, "name", "owner")
+    one = M.cosine_score(cand, seeds, feats).select("set_id", "item_id", "cosine_score")
+    ridge = V.rescale_if_needed(M.ridge_score(cand, seeds, feats), "ridge_score").select("set_id", "item_id", "ridge_score")
+    match = V.minmax_100(M.metadata_match(cand, seeds, roles, out="p"), "p", "glm_score", flat="glm")
+    match = V.rescale_if_needed(match, "glm_score").select("set_id", "item_id", "glm_score")
+    cz, sz = P.seed_scaled(cand, seeds, feats)
+    ca, sa = K.assign_clusters(cz, cen, "zvec"), K.assign_clusters(sz, cen, "zvec")
+    ca = V.rescale_if_needed(K.cluster_score(ca, sa), "cluster_score")
+    wide = lambda df: df.withColumns({**{f"v{i}": F.col("vec")[i] for i in (0, 1)}, **{f"k{c}": (F.col("cluster") == c).cast("double") for c in "ABC"}})
+    full = wide(ca).join(one, ["set_id", "item_id"]).join(ridge, ["set_id", "item_id"]).join(match, ["set_id", "item_id"])
+    full = full.withColumn("has_match", (F.col("glm_score") > 0).cast("double"))
+    inputs = [*feats, "v0", "v1", "kA", "kB", "kC"]
+    scores = ["cosine_score", "ridge_score", "glm_score", "cluster_score"]
+    alone = V.minmax_100(M.blended_similarity(full, wide(sa), inputs, scores, flag="has_match"), "blend_similarity", "nn_score", flat="keep").collect()
+    assert len(alone) == len(got) == cand.count()
+    for x in alone:
+        y = got[x.item_id]
+        assert y.cluster == x.cluster
+        for s in ("cosine_score", "ridge_score", "glm_score", "cluster_score", "nn_score"):
+            assert abs(x[s] - y[s]) < 1e-7, (s, x.item_id, x[s], y[s])
+    recs = r.recs.collect()
+    assert len(recs) == 24 and all(x.nn_score is not None for x in recs)
+
+
+def test_chain_without_clusters_and_with_few_features(spark):
+    rows = [(0, i, f"t{i}", "o", 1990 + i, float(i % 7), float(i % 5)) for i in range(60)]
+    items = spark.createDataFrame(rows, "set_id int, item_id int, name string, owner string, release_year int, a double, b double")
+    seeds = items.where("item_id < 6")  # test fixture: the first rows
+    r = P.recommend(items, seeds, ["a", "b"], n=10, centers="none", models=("cosine", "ridge"))
+    assert "cosine_score" not in r.scored.columns  # under three features the cosine is left out
+    got = r.recs.orderBy("rank").collect()
+    want = sorted(r.scored.collect(), key=lambda x: (-x.base_score, x.item_id))[:10]
+    assert [x.item_id for x in got] == [x.item_id for x in want] and "cluster_score" not in r.scored.columns
+    try:
+        P.recommend(items, seeds, ["a", "b"], models=("ridge", "nn"))
+        raise AssertionError("the blend must not run without its scores")
+    except ValueError:
+        pass
