@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seedrank.functions.params import bounded_broadcast
+from seedrank.functions.params import bounded_broadcast, by_key
 
 # Fixed values that must equal the reference's behaviour.
 EDGE_RADIUS = 150.0           # px on the 2-D map
@@ -108,7 +108,7 @@ def proximity_edges(points: DataFrame, id_col: str = "id", x: str = "x", y: str
         a = a.select("src", "ax", "ay", "part", F.explode(F.when(split, touched).otherwise(own)).alias("q")).select("src", "ax", "ay", "q.cx", "q.cy", "q.level", "part")
         b = b.select("dst", "bx", "by", "part", *[F.when(split, fine).otherwise(F.col(c)).alias(c) for c, fine in (
             ("cx", _cell("bx", radius, level + 1)), ("cy", _cell("by", radius, level + 1)), ("level", F.lit(level + 1)))])
-    j = a.join(b, ["level", "cx", "cy", "part"]).where(F.col("src") < F.col("dst"))
+    j = a.join(by_key(b), ["level", "cx", "cy", "part"]).where(F.col("src") < F.col("dst"))
     d = F.sqrt((F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2)
     return j.where(d < radius).select("src", "dst", d.alias("distance"), (1.0 / (d + 1.0)).alias("weight"))
 
@@ -146,7 +146,7 @@ def random_walks(nodes: DataFrame, edges: DataFrame, length: int = WALK_LENGTH,
     share = F.sum("__w").over(node_w.rowsBetween(*running)) / F.sum("__w").over(Window.partitionBy("src"))
     parts = parts.withColumn("__end", F.when(F.lead("__part").over(node_w).isNull(), 1.0).otherwise(share))
     parts = parts.withColumn("__start", F.coalesce(F.lag("__end").over(node_w), F.lit(0.0)))
-    cum = both.join(parts, ["src", "__part"])
+    cum = both.join(by_key(parts), ["src", "__part"])
     inside = F.col("__start") + (F.col("__end") - F.col("__start")) * F.sum("weight").over(part_w.rowsBetween(*running)) / F.col("__w")
     cum = cum.withColumn("hi", F.when(F.lead("dst").over(part_w).isNull(), F.col("__end")).otherwise(inside))
     cum = cum.select("src", "dst", F.coalesce(F.lag("hi").over(part_w), F.col("__start")).alias("lo"), "hi")
@@ -161,7 +161,7 @@ def random_walks(nodes: DataFrame, edges: DataFrame, length: int = WALK_LENGTH,
     for step in range(1, length):
         u = _unit_draw(seed, F.col("start"), F.col("walk"), F.lit(step))
         s = walks.withColumn("__u", u).withColumn("__b", F.floor(F.col("__u") * nb).cast("int"))
-        c = cum.alias("c")
+        c = by_key(cum.alias("c"))
         nxt = s.join(c, (s["cur"] == c["src"]) & (s["__b"] == c["bucket"]) & (s["__u"] >= c["lo"]) & (s["__u"] < c["hi"])
                      & s["alive"], "left")
         walks = nxt.select("start", "walk",
@@ -194,14 +194,14 @@ def walk_embeddings(walks: DataFrame, dim: int = EMBED_DIM, window: int = EMBED_
     degree = pairs.groupBy("src").agg(F.sum("n").alias("d"))
     total = float(pairs.agg(F.sum("n")).first()[0] or 0)
     by_src, by_dst = degree.withColumnRenamed("d", "ds"), degree.select(F.col("src").alias("dst"), F.col("d").alias("dd"))
-    info = pairs.join(by_src, "src").join(by_dst, "dst").select("src", "dst", F.log(F.col("n") * F.lit(total) / (F.col("ds") * F.col("dd"))).alias("m"))
+    info = pairs.join(by_key(by_src), "src").join(by_key(by_dst), "dst").select("src", "dst", F.log(F.col("n") * F.lit(total) / (F.col("ds") * F.col("dd"))).alias("m"))
     info = materialize(info.where(F.col("m") > 0), "information")
     nodes = materialize(walks.select(F.explode("path").alias("node")).select(F.col("node").cast("string").alias("node")).distinct(), "nodes")
     factor = nodes.select("node", F.array(*[_unit_draw(seed, F.col("node"), F.lit(c)) - 0.5 for c in range(dim)]).alias("vec"))
 
     def times(x: DataFrame) -> DataFrame:
         """The matrix times the factor: (node, vec)."""
-        y = info.join(x.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(*[F.sum(F.col("m") * F.col("vec")[c]).alias(f"y{c}") for c in range(dim)])
+        y = info.join(by_key(x.withColumnRenamed("node", "dst")), "dst").groupBy(F.col("src").alias("node")).agg(*[F.sum(F.col("m") * F.col("vec")[c]).alias(f"y{c}") for c in range(dim)])
         return y.select("node", F.array(*[F.col(f"y{c}") for c in range(dim)]).alias("vec"))
 
     def matrix(column) -> np.ndarray:
@@ -235,8 +235,8 @@ def walk_embeddings(walks: DataFrame, dim: int = EMBED_DIM, window: int = EMBED_
         value, vector = np.linalg.eigh(products(y))
         keep = value > 1e-12 * max(float(value.max()), 1e-300)
         factor = rotated(y, vector * np.where(keep, 1.0 / np.sqrt(np.where(keep, value, 1.0)), 0.0))
-    last = materialize(times(factor).withColumnRenamed("vec", "vec2").join(factor, "node"), "factor")
+    last = materialize(times(factor).withColumnRenamed("vec", "vec2").join(by_key(factor), "node"), "factor")
     inner = products(last, "vec2")
     value, vector = np.linalg.eigh((inner + inner.T) / 2)
     done = rotated(last.select("node", "vec"), vector * np.sqrt(np.maximum(value, 0.0)))
-    return nodes.join(done, "node", "left").select("node", F.coalesce("vec", F.array_repeat(F.lit(0.0), dim)).alias("vec"))
+    return nodes.join(by_key(done), "node", "left").select("node", F.coalesce("vec", F.array_repeat(F.lit(0.0), dim)).alias("vec"))

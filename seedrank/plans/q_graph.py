@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seedrank.functions.params import materialize
+from seedrank.functions.params import by_key, materialize
 from seedrank.operators import graph as G
 from seedrank.plans import driver_views as DV
 from seedrank.plans.queries import out, register
@@ -89,7 +89,7 @@ def walk_invariants(spark, d):
     walks = materialize(G.random_walks(G.connected_nodes(edges), edges), "walks")
     pairs = F.arrays_zip(F.slice("path", 1, F.size("path") - 1).alias("a"), F.slice("path", 2, F.size("path") - 1).alias("b"))
     steps = walks.select(F.explode(pairs).alias("s")).select(F.least("s.a", "s.b").alias("src"), F.greatest("s.a", "s.b").alias("dst"))
-    off = steps.join(edges.select("src", "dst").withColumn("edge", F.lit(1)), ["src", "dst"], "left").agg(
+    off = steps.join(by_key(edges.select("src", "dst").withColumn("edge", F.lit(1))), ["src", "dst"], "left").agg(
         F.count(F.lit(1)).alias("steps"), F.count_if(F.col("edge").isNull()).alias("steps_off_edges"))
     whole = walks.agg(F.count_distinct("start").alias("nodes"), F.count(F.lit(1)).alias("walks"), F.count_if(F.col("path")[0] != F.col("start")).alias("wrong_starts"))
     one = lambda df: df.withColumn("one", F.lit(1))
@@ -106,8 +106,8 @@ def embedding_invariants(spark, d):
     unit = materialize(emb.select("node", F.when(norm > 0, F.transform("vec", lambda v: v / norm)).otherwise(F.col("vec")).alias("u")), "units")
     dot = F.aggregate(F.zip_with("ua", "ub", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
     ends = edges.select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"))
-    near = (ends.join(unit.select(F.col("node").alias("src"), F.col("u").alias("ua")), "src")
-            .join(unit.select(F.col("node").alias("dst"), F.col("u").alias("ub")), "dst").agg(F.avg(dot).alias("near")))
+    near = (ends.join(by_key(unit.select(F.col("node").alias("src"), F.col("u").alias("ua"))), "src")
+            .join(by_key(unit.select(F.col("node").alias("dst"), F.col("u").alias("ub"))), "dst").agg(F.avg(dot).alias("near")))
     mean = unit.agg(F.count(F.lit(1)).alias("nodes"), F.max(F.size("u")).alias("dim"), F.array(*[F.avg(F.col("u")[i]) for i in range(G.EMBED_DIM)]).alias("m"))
     mean = mean.select("nodes", "dim", F.aggregate("m", F.lit(0.0), lambda acc, v: acc + v * v).alias("all_pairs"))
     one = lambda df: df.withColumn("one", F.lit(1))

@@ -18,6 +18,17 @@ def test_proximity_edges_equals_brute_force(spark):
     assert got == want and len(want) > 100
 
 
+def test_no_table_of_points_or_nodes_is_broadcast(spark):
+    from seedrank.functions.params import materialize
+
+    points = materialize(spark.range(2000).select(F.col("id"), (F.col("id") % 7 * 100.0).alias("x"), (F.col("id") * 5.0).alias("y")), "test")
+    edges = materialize(G.proximity_edges(points), "test")
+    walks = G.random_walks(G.connected_nodes(edges), edges)
+    for df in (G.proximity_edges(points), walks, G.walk_embeddings(materialize(walks, "test"), dim=2, rounds=1)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
 def test_dense_cells_are_quartered_and_dealt(spark):
     rng = np.random.default_rng(4)
     pts = np.vstack([rng.uniform(0, 140, size=(180, 2)), np.full((40, 2), 75.0), rng.uniform(-300, 600, size=(120, 2))])
