@@ -70,3 +70,17 @@ def test_user_recency(spark):
     df = spark.createDataFrame([(0, 2000, 10.0), (0, 2025, 10.0)], "set_id int, release_year int, s double")
     got = [r.s for r in E.user_recency(df, "s", 0.5).orderBy("release_year").collect()]
     assert got == [10.0, 15.0]
+
+
+def test_t8_lists_show_the_extreme_rows_by_rank(spark, monkeypatch):
+    import seedrank.plans.queries  # noqa: F401  registers the modules in their order
+    from seedrank.plans import q_stats
+
+    seeds = spark.createDataFrame([(1, 1, 2024), (2, 1, 2024)], "item_id long, set_id int, release_year int")
+    years = {i: 1950 + i for i in range(1, 9)} | {i: 2014 + i for i in range(9, 12)}
+    cat = spark.createDataFrame([(i, 1, y) for i, y in years.items()], "item_id long, set_id int, release_year int")
+    monkeypatch.setattr(q_stats, "recent_tables", lambda s, d: (cat, seeds))
+    far = sorted((r["rank"], r["item_id"], r["year_distance"], r["n_max_penalty"]) for r in q_stats.extreme_penalty(spark, "").collect())
+    assert far == [(k, k, 2024 - years[k], 8) for k in range(1, 6)]
+    high = sorted((r["rank"], r["item_id"], r["n_high_bonus"]) for r in q_stats.high_bonus(spark, "").collect())
+    assert high == [(1, 11, 3), (2, 10, 3), (3, 9, 3)]
