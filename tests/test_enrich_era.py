@@ -84,3 +84,29 @@ def test_t8_lists_show_the_extreme_rows_by_rank(spark, monkeypatch):
     assert far == [(k, k, 2024 - years[k], 8) for k in range(1, 6)]
     high = sorted((r["rank"], r["item_id"], r["n_high_bonus"]) for r in q_stats.high_bonus(spark, "").collect())
     assert high == [(1, 11, 3), (2, 10, 3), (3, 9, 3)]
+
+
+def test_mark_seen_flags_what_exclude_seen_drops(spark):
+    items = spark.createDataFrame([(1, 1, "A", "x"), (2, 1, "b", "y"), (3, 1, None, "z"), (4, None, "a", "x"), (5, 2, "a", "x")], "item_id int, set_id int, name string, owner string")
+    seeds = spark.createDataFrame([(1, "a", "X"), (1, "a", "X"), (1, None, "q"), (None, "a", "x")], "set_id int, name string, owner string")
+    marked = J.mark_seen(items, seeds, "name", "owner")
+    kept = {r.item_id for r in J.exclude_seen(items, seeds, "name", "owner").collect()}
+    assert {r.item_id for r in marked.where("NOT seen").collect()} == kept == {2, 4, 5} and marked.count() == 5
+
+
+def test_order_vectors_are_pooled_where_the_lines_lie(spark, tmp_path):
+    from seedrank.plans import driver_views as DV
+
+    lines = [(o, s) for o in range(40) for s in ((o % 5, 1, 1) if o % 4 else (9, None))]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    vecs = {0: [1.0, 2.0], 1: [3.0, 5.0], 2: [0.5, 0.0], 3: [2.0, 2.0], 4: [7.0, 1.0]}
+    for extra, name in (([], "plain"), ([(1, [None, 4.0])], "null entry")):
+        spark.createDataFrame([*vecs.items(), *extra], "vec_id long, embedding array<float>").write.mode("overwrite").parquet(f"{tmp_path}/embeddings.parquet")
+        df = DV.item_vectors(spark, str(tmp_path), 2)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan  # thin lines, never half-pooled vectors
+        got = {r.item_id: r.vec for r in df.collect()}
+        for o in range(40):
+            own = [v for t, s in lines if t == o for k, v in [*vecs.items(), *extra] if k == s]
+            want = [[v[i] for v in own if v[i] is not None] for i in (0, 1)]
+            assert (o in got) == bool(own) and (not own or all(abs(got[o][i] - sum(want[i]) / len(want[i])) < 1e-9 for i in (0, 1)))
