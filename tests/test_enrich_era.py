@@ -110,3 +110,11 @@ def test_order_vectors_are_pooled_where_the_lines_lie(spark, tmp_path):
             own = [v for t, s in lines if t == o for k, v in [*vecs.items(), *extra] if k == s]
             want = [[v[i] for v in own if v[i] is not None] for i in (0, 1)]
             assert (o in got) == bool(own) and (not own or all(abs(got[o][i] - sum(want[i]) / len(want[i])) < 1e-9 for i in (0, 1)))
+
+
+def test_looked_up_vectors_are_pooled_where_the_tags_lie(spark):
+    pairs = spark.createDataFrame([(i, j, t) for i in range(6) for j, t in enumerate(("a b", "c", "none")[: i % 4])], "id int, pos int, tag string")
+    lookup = spark.createDataFrame([("a-b", [1.0, 2.0]), ("c", [3.0, 6.0])], "tag string, vec array<double>")
+    df = J.lookup_vector_pairs(pairs, ["id"], "pos", "tag", lookup, 2)
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(id") == 1  # texts, no half-pooled vectors
+    assert {r.id: r.vec for r in df.collect()} == {1: [1.0, 2.0], 2: [2.0, 4.0], 3: [2.0, 4.0], 5: [1.0, 2.0]}
