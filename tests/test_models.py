@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from seedrank.operators import boost as B
@@ -293,3 +295,21 @@ def test_pca_is_per_set_and_equals_svd(spark):
         assert np.allclose([[r.pc1, r.pc2] for r in own], (m - m.mean(0)) @ load.T) and np.allclose([own[0].explained1, own[0].explained2], (sv ** 2 / (sv ** 2).sum())[:2])
     one = V.pca_2d(df.where("set_id = 1").drop("set_id"), ["a", "b", "c"], ["id"]).collect()
     assert np.allclose(sorted(r.pc1 for r in one), sorted(r.pc1 for r in got if r.set_id == 1))
+
+
+def test_boosted_sets_are_gathered_by_bytes_not_rows(spark, monkeypatch):
+    monkeypatch.setattr(B, "_wide_predictions", lambda *a: pytest.fail("a set of few bytes was fitted in passes"))
+    n = 200_100
+    df = spark.range(n).select(F.lit(1).alias("set_id"), F.col("id").alias("item_id"), F.array((F.col("id") % 7).cast("double") - 3).alias("z"), (F.col("id") % 7 > 3).cast("double").alias("y"))
+    got = B.boosted_predictions(df, "z", "y", shape=B.Shape(trees=1, depth=1, rate=1.0, features=1.0)).groupBy(F.col("item_id") % 7 > 3).agg(F.count("*"), F.avg("prediction")).collect()
+    assert sum(r[1] for r in got) == n and all(abs(r[2] - float(r[0])) < 0.01 for r in got)
+
+
+def test_bins_are_read_from_buffers_and_histograms_add_up():
+    rows = [bytes([i % 32, (3 * i) % 32]) for i in range(50)]
+    column = pa.chunked_array([pa.array(rows[:20], pa.binary()), pa.array(rows, pa.binary()).slice(20)])
+    x = B._matrix(column)
+    assert x.tolist() == [list(r) for r in rows]
+    g, node = np.arange(50.0), np.arange(50) % 2
+    h = B.histogram(x, g, node, 2, np.array([1]))
+    assert h.shape == (2, 2, 1, 32) and h[1].sum() == 50 and h[0, 1, 0, 9] == sum(i for i in range(50) if i % 2 and 3 * i % 32 == 9)
