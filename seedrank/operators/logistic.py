@@ -103,6 +103,28 @@ def _entries(lists) -> tuple[np.ndarray, pa.StructArray]:
     return np.repeat(np.arange(len(sizes)), sizes), lists.flatten()
 
 
+def _numbered_rows(lists: pa.ChunkedArray, n: int) -> tuple[Rows, int]:
+    """The rows' entries with the intercept's (input 0) first, and the number of inputs, which are in the order of their names. A
+    chunk's texts become numbers before the next one is looked at, and every number is written where it stays."""
+    known, at_row = {}, 0
+    size = n + sum(len(c.flatten()) for c in lists.chunks)
+    row, at, v = np.empty(size, np.int64), np.zeros(size, np.int64), np.ones(size)
+    row[:n], k = np.arange(n), n
+    for c in lists.chunks:
+        own, entries = _entries(c)
+        names, end = entries.field("name").dictionary_encode(), k + len(own)
+        if len(own):
+            row[k:end], v[k:end] = own + at_row, entries.field("v").to_numpy(zero_copy_only=False)
+            number = np.array([known.setdefault(t, len(known)) for t in names.dictionary.to_pylist()], np.int64)
+            at[k:end] = number[names.indices.to_numpy(zero_copy_only=False)]
+        at_row, k = at_row + len(c), end
+    order = np.argsort(np.array(list(known), object).astype(str), kind="stable") if known else np.zeros(0, np.int64)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(1, len(order) + 1)
+    at[n:] = place[at[n:]] if len(order) else at[n:]
+    return Rows(row, at, v, n), len(order) + 1
+
+
 def logistic_probabilities(rows: DataFrame, key: str, id_col: str, reg: float, max_rounds: int = 50, max_entries: int = MAX_ENTRIES) -> DataFrame:
     """(key, id, glm_probability) of the rows with ``__y`` 0. ``rows``: key, id, ``__y``, ``__w``, ``__f`` array<struct<name, v>> (inputs
     that are not 0; the intercept is added). Minimises Σ w·loss / Σ w + reg/2·|b|², the intercept free, per set."""
@@ -113,16 +135,10 @@ def logistic_probabilities(rows: DataFrame, key: str, id_col: str, reg: float, m
     schema = f"{key} {kinds[key]}, {id_col} {kinds[id_col]}, glm_probability double"
 
     def whole(group: pa.Table) -> pa.Table:
-        row, entries = _entries(group.column("__f"))
-        names = entries.field("name").dictionary_encode()
-        order = np.argsort(np.array(names.dictionary.to_pylist(), object).astype(str), kind="stable") if len(names.dictionary) else np.zeros(0, np.int64)
-        number = np.empty(len(order), np.int64)
-        number[order] = np.arange(1, len(order) + 1)  # inputs in the order of their names; 0 is the intercept
-        n, inputs = group.num_rows, len(order) + 1
-        at = number[names.indices.to_numpy(zero_copy_only=False)] if len(order) else np.zeros(0, np.int64)
-        x = Rows(np.concatenate((np.arange(n), row)), np.concatenate((np.zeros(n, np.int64), at)),
-                 np.concatenate((np.ones(n), entries.field("v").to_numpy(zero_copy_only=False))), n)
+        n = group.num_rows
+        x, inputs = _numbered_rows(group.column("__f"), n)
         y, w = group.column("__y").to_numpy(), group.column("__w").to_numpy()
+        group = group.select([key, id_col])  # the entries' texts can go
         p = _sigmoid(x.times(fit_rows(x, y, w, inputs, reg, max_rounds)))
         item = pa.array(np.flatnonzero(y == 0.0))
         return pa.table([group.column(key).take(item), group.column(id_col).take(item), pa.array(p).take(item)], names=[key, id_col, "glm_probability"])

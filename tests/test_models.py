@@ -313,3 +313,12 @@ def test_bins_are_read_from_buffers_and_histograms_add_up():
     g, node = np.arange(50.0), np.arange(50) % 2
     h = B.histogram(x, g, node, 2, np.array([1]))
     assert h.shape == (2, 2, 1, 32) and h[1].sum() == 50 and h[0, 1, 0, 9] == sum(i for i in range(50) if i % 2 and 3 * i % 32 == 9)
+
+
+def test_logistic_inputs_are_numbered_chunk_by_chunk():
+    kind = pa.list_(pa.struct([("name", pa.string()), ("v", pa.float64())]))
+    rows = [[("b", 1.0), ("a", 2.0)], [], [("c", 3.0)], [("a", 4.0), ("c", 5.0)]]
+    lists = [[{"name": k, "v": v} for k, v in r] for r in rows]
+    x, inputs = L._numbered_rows(pa.chunked_array([pa.array(lists[:2], kind), pa.array(lists, kind).slice(2)]), 4)
+    assert inputs == 4 and x.row.tolist() == [0, 1, 2, 3, 0, 0, 2, 3, 3]
+    assert x.at.tolist() == [0, 0, 0, 0, 2, 1, 3, 1, 3] and x.v.tolist() == [1, 1, 1, 1, 1, 2, 3, 4, 5]
