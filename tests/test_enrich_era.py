@@ -118,3 +118,34 @@ def test_looked_up_vectors_are_pooled_where_the_tags_lie(spark):
     df = J.lookup_vector_pairs(pairs, ["id"], "pos", "tag", lookup, 2)
     assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(id") == 1  # texts, no half-pooled vectors
     assert {r.id: r.vec for r in df.collect()} == {1: [1.0, 2.0], 2: [2.0, 4.0], 3: [2.0, 4.0], 5: [1.0, 2.0]}
+
+
+def test_vectors_are_broadcast_by_their_measured_bytes(spark):
+    from seedrank.functions import params
+
+    df = spark.range(50).select("id", F.array(*[F.lit(0.5).cast("float")] * 8).alias("v"))
+    assert params.row_bytes(df.schema) > 2_000 > 100 > params.measured_row_bytes(df)
+    hinted = lambda most: "strategy=broadcast" in params.bounded_broadcast(df, most)._jdf.queryExecution().analyzed().toString()
+    assert hinted(50 * 100) and not hinted(50 * 50)
+
+
+def test_the_catalogue_pools_vectors_only_for_queries_that_read_them(spark, tmp_path, monkeypatch):
+    from seedrank.plans import driver_views as DV
+    from seedrank.plans import queries as Q
+
+    rows = {"orders": ([(o, 1, 10.0, "1-URGENT" if o < 3 else "5-LOW", "F") for o in range(6)], "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string, o_orderstatus string"),
+            "customer": ([(1, "c", 7)], "c_custkey long, c_name string, c_nationkey int"), "nation": ([(7, "N")], "n_nationkey int, n_name string"),
+            "lineitem": ([(o, o % 2, 1.0, 2.0, 0.1, 0.1) for o in range(6)], "l_orderkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double"),
+            "embeddings": ([(0, [1.0, 2.0])], "vec_id long, embedding array<float>")}
+    for name, (data, schema) in rows.items():
+        df = spark.createDataFrame(data, schema)
+        df = df.withColumn("o_orderdate", F.to_timestamp(F.lit("2020-01-01"))) if name == "orders" else df
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    with monkeypatch.context() as m:
+        m.setattr(DV, "item_vectors", lambda *a: (_ for _ in ()).throw(AssertionError("vectors were pooled")))
+        cand, seeds = Q.candidates(spark, str(tmp_path))
+        assert "vec" not in cand.columns + seeds.columns and (cand.count(), seeds.count()) == (3, 3)
+    pooled = DV.item_vectors
+    monkeypatch.setattr(DV, "item_vectors", lambda s, d: pooled(s, d, 2))
+    cand, seeds = Q.candidates(spark, str(tmp_path), vectors=True)
+    assert {r.item_id: r.vec for r in cand.unionByName(seeds).collect()} == {o: [1.0, 2.0] if o % 2 == 0 else None for o in range(6)}
