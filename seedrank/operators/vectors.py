@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seedrank.functions import exprs as X
-from seedrank.functions.params import attach
+from seedrank.functions.params import attach, bounded_broadcast
 
 
 def parse_vector(df: DataFrame, col: str, dim: int, out: str | None = None) -> DataFrame:
@@ -68,6 +68,12 @@ def array_stats(df: DataFrame, keys: Sequence[str], col: str, dim: int) -> DataF
                       F.transform(vector_to_array("__s.variance"), lambda v: F.sqrt(v * (n - 1) / n)).alias("__sd"))
 
 
+def named_vectors(df: DataFrame, vectors: DataFrame, ref: str, vec: str) -> DataFrame:
+    """``df`` with ``vec``, the vector of the row of ``vectors`` (``ref``, ``vec``; refs unique) that ``ref`` names, beside ``ref`` (none: NULL)."""
+    v = bounded_broadcast(vectors.where(F.col(ref).isNotNull()).select(ref, vec))
+    return df.join(v, ref, "left").select(*[x for c in df.columns for x in ((vec, c) if c == ref else (c,))])
+
+
 def expand_vector(df: DataFrame, col: str, dim: int, prefix: str = "genre_dim_", drop: bool = True) -> DataFrame:
     """V5: array → ``prefix0..prefix{dim-1}`` double columns."""
     out = df.select("*", *[F.col(col)[i].cast("double").alias(f"{prefix}{i}") for i in range(dim)])

@@ -73,18 +73,22 @@ def elbow_centers(sz: DataFrame, id_col: str, dim: int, key: str = "set_id") ->
 
 def prepare(items: DataFrame, seeds: DataFrame, *, name: str, owner: str, order_by: Sequence[str], tags: str | None = None,
             vec: str | None = None, lookup: DataFrame | None = None, dim: int = 0, id_col: str = "item_id",
-            key: str = "set_id", reference: DataFrame | None = None, counters: Counters | None = None) -> tuple[DataFrame, DataFrame]:
+            key: str = "set_id", reference: DataFrame | None = None, counters: Counters | None = None,
+            vectors: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The steps before scoring: one row per track on both sides (D1), seeds take the catalogue's tags and
     vectors (J2), missing tags come from ``reference`` (the same track's) or the owner's other items (J4), seeds without a vector get one
     from their tags (V4), self-titled items go (C1). Both results are written once; ``counters`` gets the rows of every step and
-    the seeds without tags before and after they are filled (A13)."""
+    the seeds without tags before and after they are filled (A13). With ``vectors`` (``<vec>_ref``, ``vec``; refs in the order of the
+    vectors) both sides hold ``<vec>_ref`` in place of ``vec``, and only single tracks meet their vectors."""
     watch = counters.watch if counters else lambda df, stage, **counts: df
+    link = vec if vectors is None else f"{vec}_ref"
+    named = (lambda df: df) if vectors is None else lambda df: V.named_vectors(df, vectors, link, vec)
     items = dedup_by_key(items, name, owner, order_by, key)
-    items = materialize(watch(drop_self_titled(watch(items, "tracks"), name, owner), "items"), "items")
+    items = materialize(named(watch(drop_self_titled(watch(items, "tracks"), name, owner), "items")), "items")
     seeds = dedup_by_key(seeds, name, owner, order_by, key)
-    cols = [c for c in (tags, vec) if c and c in items.columns]
+    cols = [c for c in (tags, link) if c and c in items.columns]
     if cols:
-        seeds = enrich_from_items(seeds, items, name, owner, tags if tags in cols else None, vec if vec in cols else None,
+        seeds = enrich_from_items(seeds, items, name, owner, tags if tags in cols else None, link if link in cols else None,
                                   order_by, key)
     if tags and tags in items.columns:
         untagged = F.col(tags).isNull() | (F.col(tags) == "")
@@ -92,7 +96,9 @@ def prepare(items: DataFrame, seeds: DataFrame, *, name: str, owner: str, order_
         seeds = fill_tags(materialize(watch(seeds, "enriched", untagged=untagged), "enriched"), items, owner, tags, name, reference)
         seeds = materialize(watch(seeds, "filled", untagged=untagged), "filled")
     if vec:
-        seeds = V.embed_seeds(materialize(seeds, "seeds_enriched"), [key, id_col], tags, vec, lookup, dim, recompute="all", key=key)
+        seeds = V.embed_seeds(materialize(named(seeds), "seeds_enriched"), [key, id_col], tags, vec, lookup, dim, recompute="all", key=key)
+    if vectors is not None:
+        items, seeds = items.drop(link), seeds.drop(link)
     return items, materialize(seeds, "seeds")
 
 

@@ -11,6 +11,7 @@ from seedrank.operators import clean as C
 from seedrank.operators import dedup as D
 from seedrank.operators import enrich as J
 from seedrank.operators import select as R
+from seedrank.operators import vectors as V
 from seedrank.operators.stats import Counters
 from seedrank.plans import driver_views as DV
 from seedrank.plans import pipeline as P
@@ -30,16 +31,18 @@ ROLES = {"owner": "owner", "album": "album", "label": "label"}
 CLOSE = 0.15
 
 
-def tracks(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = materialize(C.with_release_year(DV.tracks(spark, d), "release_date"), "tracks")
+def tracks(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(items, seeds, vectors): listings carry the number of their vector, ``vec_ref``."""
+    vectors = DV.track_vectors(spark, d)
+    rows = materialize(C.with_release_year(DV.tracks(spark, d, vectors), "release_date"), "tracks")
     count_key_bound(rows, "set_id")
-    return DV.track_items(rows), DV.track_seeds(rows)
+    return DV.track_items(rows), DV.track_seeds(rows), vectors
 
 
 def prepared(spark: SparkSession, d: str, counters: Counters | None = None) -> tuple[DataFrame, DataFrame]:
-    items, seeds = tracks(spark, d)
+    items, seeds, vectors = tracks(spark, d)
     return P.prepare(items, seeds, name="name", owner="owner", order_by=ORDER, tags="tags", vec="vec", lookup=DV.track_lookup(spark, d), dim=DIM,
-                     counters=counters)
+                     counters=counters, vectors=vectors)
 
 
 def _with(*ctes: str) -> str:
@@ -84,9 +87,9 @@ def _prepare_ctes() -> list[str]:
 def clean_tracks(spark, d):
     """C1, C4 and D1 where they drop something: listings, distinct tracks, self-titled rows, tracks that stay; columns that are
     not needed go by name."""
-    items, _ = tracks(spark, d)
-    kept = C.drop_unused(C.drop_self_titled(D.dedup_by_key(items, "name", "owner", ORDER), "name", "owner"), ["tags", "vec", "absent"])
-    if {"tags", "vec"} & set(kept.columns):
+    items, _, _ = tracks(spark, d)
+    kept = C.drop_unused(C.drop_self_titled(D.dedup_by_key(items, "name", "owner", ORDER), "name", "owner"), ["tags", "vec_ref", "absent"])
+    if {"tags", "vec_ref"} & set(kept.columns):
         raise ValueError("columns that should have gone are still there")
     a = items.groupBy("set_id").agg(F.count(F.lit(1)).alias("listings"), F.count_distinct(D.track_key("name", "owner")).alias("tracks"),
                                     F.count_if(F.col("name") == F.col("owner")).alias("self_titled"))
@@ -98,7 +101,7 @@ def clean_tracks(spark, d):
     + "SELECT s.set_id, count(*) AS seed_rows, count(k.k) AS matched FROM ts s LEFT JOIN k ON k.set_id = s.set_id AND k.k = lower(s.name) || '|' || lower(s.owner) GROUP BY s.set_id")
 def match_tracks(spark, d):
     """J1 with seeds outside the catalogue."""
-    items, seeds = tracks(spark, d)
+    items, seeds, _ = tracks(spark, d)
     return J.match_rate(seeds, items, "name", "owner")
 
 
@@ -289,8 +292,9 @@ def cached_items(spark, d):
           + "SELECT set_id, item_id, name, owner, release_year, round(f_ext, 6) AS f_ext, tags, round(list_sum(vec), 6) AS v_sum FROM it")
 def written_items(spark, d):
     """The cleaned catalogue as it lies on disk, a folder per set, read back."""
-    items, _ = tracks(spark, d)
+    items, _, vectors = tracks(spark, d)
     clean = C.drop_self_titled(D.dedup_by_key(items, "name", "owner", ORDER), "name", "owner")
+    clean = V.named_vectors(clean, vectors, "vec_ref", "vec").drop("vec_ref")
     path = new_folder(spark, "clean")
     IO.write_table(clean, path, partition_by=["set_id"])
     back = spark.read.schema(clean.schema).parquet(path)

@@ -149,3 +149,20 @@ def test_the_catalogue_pools_vectors_only_for_queries_that_read_them(spark, tmp_
     monkeypatch.setattr(DV, "item_vectors", lambda s, d: pooled(s, d, 2))
     cand, seeds = Q.candidates(spark, str(tmp_path), vectors=True)
     assert {r.item_id: r.vec for r in cand.unionByName(seeds).collect()} == {o: [1.0, 2.0] if o % 2 == 0 else None for o in range(6)}
+
+
+def test_prepare_by_reference_gives_the_rows_of_prepare_by_vector(spark):
+    from seedrank.plans import pipeline as P
+
+    vec = {0: [0.0, 1.0], 1: [0.5, 0.0], 2: [2.0, 2.0]}
+    cols = "item_id long, set_id int, name string, owner string, tags string, {}"
+    item = [(1, 1, "a", "x", "t", 2), (1, 1, "A ", "x", "t", 1), (2, 1, "b", "x", None, None), (3, 1, "c", "c", "u", 0), (4, 2, "a", "x", "v", 0)]
+    seed = [(9, 1, "a", "x", None, None), (9, 1, "a", "x", None, 0), (8, 2, "z", "x", None, 1), (7, 2, "a", "x", "t", None)]
+    vectors = spark.createDataFrame([*vec.items(), (None, [9.0, 9.0])], "vec_ref long, vec array<double>")
+    lookup = spark.createDataFrame([("t", [1.0, 1.0])], "tag string, vec array<double>")
+    by_ref = [spark.createDataFrame(r, cols.format("vec_ref long")) for r in (item, seed)]
+    by_vec = [spark.createDataFrame([(*r[:5], vec.get(r[5])) for r in rows], cols.format("vec array<double>")) for rows in (item, seed)]
+    how = dict(name="name", owner="owner", order_by=["item_id"], tags="tags", vec="vec", lookup=lookup, dim=2)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    for got, want in zip(P.prepare(*by_ref, **how, vectors=vectors), P.prepare(*by_vec, **how)):
+        assert got.columns == want.columns and rows(got) == rows(want)
