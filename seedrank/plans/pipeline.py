@@ -132,8 +132,8 @@ def _candidates(items, seeds, features, key, id_col, name, owner, year, roles, s
     if similarity is not None:
         x = F.array(*[F.col(f).cast("double") for f in features])
         x = F.concat(x, F.col(vec)) if vec else x
-        cand = materialize(watch(cand.select(*used, x.alias("__x")), "candidates"), "candidates")  # read by the filter's scaler and by the filter
-        cand = M.similarity_filter(cand, seeds.withColumn("__x", x), "__x", len(features) + (dim if vec else 0), key, similarity)
+        cand = materialize(watch(cand.select(*used), "candidates"), "candidates")  # read by the filter's scaler and by the filter
+        cand = M.similarity_filter(cand.withColumn("__x", x), seeds.withColumn("__x", x), "__x", len(features) + (dim if vec else 0), key, similarity)
     cand = watch(cand.select(*used), "kept")
     if "glm" in models:
         cand = materialize(cand, "candidates")

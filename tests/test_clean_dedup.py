@@ -63,3 +63,33 @@ def test_exact_median_matches_numpy_with_ties_and_small_accuracy(spark):
         got = {r.set_id: r.median for r in C.exact_median(df, "x", accuracy=acc).collect()}
         for k, vs in data.items():
             assert abs(got[k] - float(np.median(vs))) < 1e-12, (acc, k)
+
+
+def _first_rows(rows, order):
+    """Brute force: the first row of every (set, trimmed lower-case name and owner); NULLs first, a NULL name or owner is one key."""
+    groups = {}
+    for r in rows:
+        k = None if r["name"] is None or r["owner"] is None else (r["name"].strip(" ").lower(), r["owner"].strip(" ").lower())
+        groups.setdefault((r["set_id"], k), []).append(r)
+    place = lambda r: tuple((r[c] is not None, r[c] if r[c] is not None else 0) for c in order)
+    return sorted((min(g, key=place) for g in groups.values()), key=repr)
+
+
+def test_dedup_reduces_only_rows_that_can_be_first(spark):
+    """Many listings of few tracks: their rows meet the keys by broadcast and are not shuffled to find repeated ones."""
+    rows = [{"set_id": None if i % 41 == 0 else i % 3, "name": None if i % 37 == 0 else ("Ab ", "ab", "é")[i % 3], "owner": ("x", " X", "y")[i // 3 % 3], "id": i,
+             "day": None if i % 97 == 5 else ("", "é", "2020-01-3", "2020-01-29", "2020-01-290")[i * 7 % 5 if i % 11 else 2], "n": None if i % 89 == 2 else (i * 31) % 50,
+             "x": None if i % 83 == 2 else float((i * 17) % 23)} for i in range(1200)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], "set_id int, name string, owner string, id long, day string, n int, x double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for order in (["day", "id"], ["n", "id"], ["x", "id"]):
+            want = _first_rows(rows, order)
+            for how in ({}, {"max_bytes": 0}):  # all keys broadcast; more keys than that
+                got = D.dedup_by_key(df, "name", "owner", order, **how)
+                assert sorted((r.asDict() for r in got.collect()), key=repr) == want
+        plan = D.dedup_by_key(df, "name", "owner", ["day", "id"])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
