@@ -29,6 +29,16 @@ def test_no_table_of_points_or_nodes_is_broadcast(spark):
         assert "Broadcast" not in plan and "SortMergeJoin" in plan
 
 
+def test_embedding_invariants_meet_vectors_by_key(spark, tmp_path):
+    from seedrank.plans.queries import QUERIES
+
+    spark.range(400).select(F.col("id").alias("p_partkey"), (F.col("id") % 7 + 1).cast("int").alias("p_size")).write.parquet(str(tmp_path / "part.parquet"))
+    df = QUERIES["embedding_invariants"](spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 2  # both ends of an edge; only single rows are broadcast
+    assert [tuple(r) for r in df.collect()] == [(400, G.EMBED_DIM, True)]
+
+
 def test_dense_cells_are_quartered_and_dealt(spark):
     rng = np.random.default_rng(4)
     pts = np.vstack([rng.uniform(0, 140, size=(180, 2)), np.full((40, 2), 75.0), rng.uniform(-300, 600, size=(120, 2))])
