@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,160 @@ def mean_pool(pairs: DataFrame, id_cols: Sequence[str], vec: str, dim: int, out:
     return agg.select(*id_cols, F.transform(sums, lambda v: F.when(F.col("__n") > 0, v / F.col("__n"))).alias(out))
 
 
+#: our own bounds: bytes of vectors that every Python worker may hold, and beyond which only vectors that rows name are looked at
+MAX_SHARED_BYTES, PLAIN_SHARED_BYTES = 256 << 20, 64 << 20
+#: members that are added up at once
+MEMBERS_AT_ONCE = 65_536
+
+
+class Vectors:
+    """Vectors by number: sorted ``keys``, per key the sums of its vectors (NULL entries as 0), how many they are, and how many entries
+    of each dimension are not NULL (None: all)."""
+
+    def __init__(self, keys: np.ndarray, lists: pa.ListArray, dim: int):
+        known = lists.is_valid().to_numpy(zero_copy_only=False)
+        start, end = (np.asarray(lists.offsets)[i:len(lists) + i] for i in (0, 1))
+        size = (end - start)[known]
+        width = min(dim, int(size.min())) if len(size) else dim
+        if len(size) and width < dim and size.max() != width:
+            raise ValueError(f"vectors of {width} and {size.max()} entries")
+        place = np.where(known, start, 0)[:, None] + np.arange(width)
+        flat = lists.values
+        number = np.float32 if pa.types.is_float32(flat.type) else float
+        entry = pc.fill_null(flat, 0).to_numpy(zero_copy_only=False).astype(number, copy=False)
+        value = entry[place] if len(size) else np.zeros((len(keys), width), number)
+        value[~known] = 0
+        valid = flat.is_valid().to_numpy(zero_copy_only=False)[place] & known[:, None] if flat.null_count else None
+        order = np.argsort(keys, kind="stable")
+        keys, value, known = keys[order], value[order], known[order].astype(np.int64)
+        valid = None if valid is None else valid[order].astype(np.int64)
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        if len(first) < len(keys):  # a number of several vectors stands for all of them
+            value, known, valid = (None if a is None else np.add.reduceat(a, first, axis=0, dtype=kind) for a, kind in ((value, float), (known, None), (valid, None)))
+        self.keys, self.value, self.count, self.valid = keys[first], value, known, valid
+
+    def add_up(self, group: np.ndarray, members: np.ndarray, groups: int):
+        """(sums, members found, their vectors, their entries or None) of ``groups`` groups; ``group`` is that of every member, in order."""
+        width = self.value.shape[1]
+        sums, hits, count = np.zeros((groups, width)), np.zeros(groups, np.int64), np.zeros(groups, np.int64)
+        valid = None if self.valid is None else np.zeros((groups, width), np.int64)
+        for lo in range(0, len(members) if len(self.keys) else 0, MEMBERS_AT_ONCE):
+            own, g = members[lo:lo + MEMBERS_AT_ONCE], group[lo:lo + MEMBERS_AT_ONCE]
+            at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+            found = self.keys[at] == own
+            at, g = at[found], g[found]
+            if len(g):
+                first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+                to = g[first]
+                sums[to] += np.add.reduceat(self.value[at], first, axis=0, dtype=float)
+                hits[to] += np.diff(np.r_[first, len(g)])
+                count[to] += np.add.reduceat(self.count[at], first)
+                if valid is not None:
+                    valid[to] += np.add.reduceat(self.valid[at], first, axis=0)
+        return sums, hits, count, valid
+
+
+def mean_lists(sums: np.ndarray, hits: np.ndarray, count: np.ndarray, valid: np.ndarray | None, by_entry: bool) -> pa.ListArray:
+    """The groups' means as a column, NULL where no member was found. NULL entries are left out (``by_entry``: of the number that sums
+    are divided by, too); an entry without a value is NULL."""
+    per = np.broadcast_to(count[:, None], sums.shape) if valid is None or not by_entry else valid
+    none = (per == 0) if valid is None else (per == 0) | (valid == 0)
+    mean = sums / np.maximum(per, 1)
+    flat = pa.array(mean.ravel(), mask=none.ravel()) if none.any() else pa.array(mean.ravel())
+    offsets = pa.array(np.arange(0, mean.size + 1, max(mean.shape[1], 1), dtype=np.int32) if mean.size else np.zeros(len(sums) + 1, np.int32))
+    return pa.ListArray.from_arrays(offsets, flat, mask=pa.array(hits == 0))
+
+
+def shared_vectors(vectors: DataFrame, ref: str, vec: str, dim: int, named: DataFrame | None = None, max_bytes: int | None = None):
+    """The rows of a written table (``ref`` a whole number, ``vec`` of ``dim`` entries) as ``Vectors``, in the memory of every Python
+    worker that pools with them, or None if they are more than ``max_bytes``. Of more than ``PLAIN_SHARED_BYTES`` only
+    those are kept that ``named`` (a column of numbers) names. No row meets its vector in a shuffle so."""
+    max_bytes = MAX_SHARED_BYTES if max_bytes is None else max_bytes
+    own = vectors.where(F.col(ref).isNotNull()).select(F.col(ref).cast("long").alias("ref"), F.col(vec).alias("vec"))
+    size = own.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("width")).first()
+    kind = own.schema["vec"].dataType.elementType.simpleString()
+    if kind not in ("float", "double"):
+        own = own.withColumn("vec", F.transform("vec", lambda v: v.cast("double")))
+    row = max(size["width"] or 0, 0) * (4 if kind == "float" else 8) + 16
+    n = size["n"]
+    if named is not None and n * row > PLAIN_SHARED_BYTES:
+        own = own.join(named.toDF("ref").distinct(), "ref", "left_semi")
+        n = own.count()
+    if n * row > max_bytes:
+        return None
+    table = own.toArrow()
+    lists = table.column("vec").combine_chunks()
+    lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
+    return vectors.sparkSession.sparkContext.broadcast(Vectors(table.column("ref").to_numpy().astype(np.int64), lists, dim))
+
+
+def pooled_lists(df: DataFrame, refs: str, shared, out: str = "vec") -> DataFrame:
+    """V3 row by row: ``out`` in the place of ``refs`` (array<bigint>), the mean of the vectors that it names (a repeated number counts
+    each time, NULL entries do not count; none found: NULL)."""
+    at = df.columns.index(refs)
+    kinds = dict(df.dtypes)
+    names = [out if c == refs else c for c in df.columns]
+
+    def run(batches):
+        vectors = shared.value
+        for b in batches:
+            lists = b.column(at)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            members = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+            vec = mean_lists(*vectors.add_up(np.repeat(np.arange(len(sizes)), sizes), members, len(sizes)), by_entry=True)
+            yield pa.RecordBatch.from_arrays([vec if i == at else b.column(i) for i in range(b.num_columns)], names=names)
+
+    return df.mapInArrow(run, ", ".join(f"`{n}` {'array<double>' if c == refs else kinds[c]}" for n, c in zip(names, df.columns)))
+
+
+def _changes(column) -> np.ndarray:
+    """Whether a value differs from the one before it (NULLs are alike)."""
+    a, b = column.slice(1), column.slice(0, len(column) - 1)
+    other = pc.fill_null(pc.not_equal(a, b), False)
+    if pa.types.is_floating(column.type):
+        other = pc.and_not(other, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return pc.or_(other, pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
+
+
+def pooled_rows(pairs: DataFrame, id_cols: Sequence[str], ref: str, shared, out: str = "vec", by_entry: bool = False) -> DataFrame:
+    """V3 of rows (ids, ``ref`` bigint) that lie in one task by their ids: (ids, ``out``), the mean of the vectors that an id's rows name.
+    The rows are sorted where they lie and added up as they come, so a task holds one id's sums, however many rows it has."""
+    ids, kinds = list(id_cols), dict(pairs.dtypes)
+    k = len(ids)
+
+    def run(batches):
+        vectors, held, sums = shared.value, None, None
+
+        def rows(columns, parts):
+            vec = mean_lists(*parts, by_entry=by_entry)
+            keep = pa.array(parts[1] > 0)
+            return pa.RecordBatch.from_arrays([*[c.filter(keep) for c in columns], vec.filter(keep)], names=[*ids, out])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            columns = [b.column(i) if held is None else pa.concat_arrays([held[i], b.column(i)]) for i in range(k)]
+            new = np.r_[False if held is None else True, np.logical_or.reduce([_changes(c) for c in columns])] if len(columns[0]) > 1 else np.zeros(1, bool)
+            new[0] = True
+            first, skip = np.flatnonzero(new), 0 if held is None else 1  # a held id is the first row
+            group = np.cumsum(new)[skip:] - 1
+            parts = vectors.add_up(group, b.column(k).to_numpy(zero_copy_only=False).astype(np.int64, copy=False), len(first))
+            if held is not None:
+                for a, h in zip(parts, sums):
+                    if a is not None:
+                        a[0] += h[0]
+            starts = pa.array(first)
+            found = [c.take(starts) for c in columns]
+            if len(first) > 1:
+                yield rows([c.slice(0, len(first) - 1) for c in found], [None if a is None else a[:-1] for a in parts])
+            held, sums = [c.slice(len(first) - 1) for c in found], [None if a is None else a[-1:] for a in parts]
+        if held is not None:
+            yield rows(held, sums)
+
+    ordered = pairs.where(F.col(ref).isNotNull()).select(*ids, F.col(ref).cast("long").alias(ref)).sortWithinPartitions(*ids)
+    return ordered.mapInArrow(run, ", ".join([f"`{c}` {kinds[c]}" for c in ids] + [f"`{out}` array<double>"]))
+
+
 def array_sums(df: DataFrame, keys: Sequence[str], col: str, dim: int, out: str, extra: dict[str, Column] | None = None) -> DataFrame:
     """(keys, ``out``, extra): element-wise sums of an array<double> of ``dim`` entries (none NULL) per key, in one buffer a
     group whatever ``dim`` is; ``extra`` are further aggregates of the same pass."""

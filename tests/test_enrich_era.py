@@ -120,6 +120,24 @@ def test_looked_up_vectors_are_pooled_where_the_tags_lie(spark):
     assert {r.id: r.vec for r in df.collect()} == {1: [1.0, 2.0], 2: [2.0, 4.0], 3: [2.0, 4.0], 5: [1.0, 2.0]}
 
 
+def test_looked_up_vectors_that_are_not_broadcast_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(J, "bounded_broadcast", lambda df: df)  # as for more vectors than a broadcast holds
+    lookup = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [3.0, None]), ("c", [5.0, 9.0]), ("none", None)], "tag string, vec array<float>")
+    ids = [(x, i) for x in ("p", None, "q") for i in range(5)]
+    pairs = spark.createDataFrame([(x, i, j, t) for x, i in ids for j, t in enumerate((["a"], ["a", "b", "b"], ["none"], ["missing"], ["c", "none", "a"] * 9)[i])],
+                                  "x string, i int, pos int, tag string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # an id's rows come in several batches
+    try:
+        df = J.lookup_vector_pairs(pairs, ["x", "i"], "pos", "tag", lookup, 2)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "__vec" not in plan
+        got = {(r.x, r.i): r.vec for r in df.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = [[1.0, 2.0], [7.0 / 3, 2.0 / 3], [None, None], None, [3.0, 5.5]]
+    assert got == {(x, i): want[i] for x, i in ids if want[i] is not None}
+
+
 def test_vectors_are_broadcast_by_their_measured_bytes(spark):
     from seedrank.functions import params
 
