@@ -169,6 +169,48 @@ def test_the_catalogue_pools_vectors_only_for_queries_that_read_them(spark, tmp_
     assert {r.item_id: r.vec for r in cand.unionByName(seeds).collect()} == {o: [1.0, 2.0] if o % 2 == 0 else None for o in range(6)}
 
 
+def _order_tables(spark, folder):
+    """Orders 0 to 11 of two sets, lines of suppliers 0 to 3 (supplier 3 has no vector, order 11 no line, order 9 two lines of one supplier)."""
+    lines = [(o, s, 1.0 + o, 2.0, 0.1 * s, 0.1) for o in range(11) for s in ([o % 4, (o + 1) % 4] if o != 9 else [2, 2])]
+    rows = {"orders": ([(o, o % 2, 10.0 * o, "1-URGENT" if o % 5 < 2 else "5-LOW", "F") for o in range(12)], "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string, o_orderstatus string"),
+            "customer": ([(i, f"c{i}", 7 + i) for i in (0, 1)], "c_custkey long, c_name string, c_nationkey int"), "nation": ([(7, "N"), (8, "O")], "n_nationkey int, n_name string"),
+            "lineitem": (lines, "l_orderkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double"),
+            "embeddings": ([(s, [float((s + 1) * (i + 1) % 7) for i in range(64)]) for s in range(3)], "vec_id long, embedding array<float>")}
+    for name, (data, schema) in rows.items():
+        df = spark.createDataFrame(data, schema)
+        (df.withColumn("o_orderdate", F.to_timestamp(F.lit("2020-01-01"))) if name == "orders" else df).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_pooled_vectors_are_not_written_and_equal_written_ones(spark, tmp_path, monkeypatch):
+    from seedrank.operators import vectors as V
+    from seedrank.plans import queries as Q
+
+    got = {}
+    for name in ("shared", "written"):
+        (tmp_path / name).mkdir()
+        _order_tables(spark, tmp_path / name)
+        if name == "written":
+            monkeypatch.setattr(V, "MAX_SHARED_BYTES", 10)  # as for more vectors than a worker holds
+        rows = Q.QUERIES["vector_cosine"](spark, str(tmp_path / name)).collect()
+        table = spark.read.parquet(Q._with_vectors(spark, str(tmp_path / name))["vector_items"])
+        assert ("vec" in table.columns, "refs" in table.columns) == (name == "written", name == "shared")
+        got[name] = {(r.set_id, r.item_id): r.vec_cosine for r in rows}
+    assert len(got["shared"]) == 6 and got["shared"].keys() == got["written"].keys()
+    assert all(abs(got["written"][k] - v) < 2e-6 for k, v in got["shared"].items()) and len(set(got["shared"].values())) > 3
+
+
+def test_similarity_scores_shuffle_and_write_no_vectors(spark, tmp_path, monkeypatch):
+    from seedrank.plans import driver_views as DV
+    from seedrank.plans import queries as Q
+
+    _order_tables(spark, tmp_path)
+    monkeypatch.setattr(DV, "bounded_broadcast", lambda df: df)  # as for more vectors than a broadcast holds
+    df = Q.QUERIES["similarity_scores"](spark, str(tmp_path))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "embedding" not in plan and plan.count("MapInArrow") == 2  # the candidates' pass and the seeds'; the scaler's is done
+    assert {r.item_id for r in df.collect()} == {2, 3, 4, 7, 8, 9}  # complete, and no seeds
+
+
 def test_prepare_by_reference_gives_the_rows_of_prepare_by_vector(spark):
     from seedrank.plans import pipeline as P
 
