@@ -171,7 +171,7 @@ def similarity_filter(items: DataFrame, seeds: DataFrame, x: str, dim: int, key:
     complete = ~F.exists(F.col(x), lambda v: v.isNull()) & F.col(x).isNotNull()
     it = items.where(complete)
     sd = seeds.select(key, x).where(complete)
-    st = V.array_stats(it, [key], x, dim)
+    st = materialize(V.array_stats(it, [key], x, dim), "filter_stats")  # read by the target and by the rows
     cen = V.array_stats(sd, [key], x, dim).select(key, F.col("__mean").alias("__c"))
 
     def z(col):
