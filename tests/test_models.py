@@ -322,3 +322,38 @@ def test_logistic_inputs_are_numbered_chunk_by_chunk():
     x, inputs = L._numbered_rows(pa.chunked_array([pa.array(lists[:2], kind), pa.array(lists, kind).slice(2)]), 4)
     assert inputs == 4 and x.row.tolist() == [0, 1, 2, 3, 0, 0, 2, 3, 3]
     assert x.at.tolist() == [0, 0, 0, 0, 2, 1, 3, 1, 3] and x.v.tolist() == [1, 1, 1, 1, 1, 2, 3, 4, 5]
+
+
+def test_a_fitted_filter_writes_bins_not_vectors(spark, monkeypatch):
+    written, real = {}, B.materialize
+    for module in (B, M):
+        monkeypatch.setattr(module, "materialize", lambda df, name: written.setdefault(name, dict(df.dtypes)) and real(df, name))
+    rng = np.random.default_rng(8)
+    rows = [(s, f"{s}{i}", f"n{i}", [float(v) for v in rng.normal(size=4)]) for s in "AB" for i in range(40)]
+    items = spark.createDataFrame(rows, "set_id string, item_id string, name string, x array<double>")
+    seeds = items.where("item_id LIKE '%7'")
+    fit = lambda **how: M.similarity_filter(items, seeds, "x", 4, threshold=None, filter_on="model", shape=B.Shape(trees=5), **how)
+    few = fit(keep=["set_id", "item_id", "name"])
+    assert written["boost_rows"][B.BINNED] == "binary" and not any(t.startswith("array") for n, kinds in written.items() for t in kinds.values() if n != "filter_stats")
+    every = fit()
+    assert few.columns == ["set_id", "item_id", "name", "similarity_score", "fit_probability"] and every.columns == [*items.columns, "similarity_score", "fit_probability"]
+    found = lambda df: {r.item_id: (r.name, r.similarity_score, r.fit_probability) for r in df.collect()}
+    a, b = found(few), found(every)
+    assert len(a) == 80 and a.keys() == b.keys() and all(a[k][0] == b[k][0] and np.allclose(a[k][1:], b[k][1:], atol=1e-9) for k in a)
+
+
+def test_a_set_is_fitted_in_the_bytes_that_are_counted_for_it():
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    n, p = 20_000, 70
+    x, y, h = np.asfortranarray(rng.integers(0, 32, (n, p)).astype(np.uint8)), rng.normal(size=n), rng.integers(0, 1 << 62, n).astype(np.uint64)
+    tracemalloc.start()
+    B.fit_one(x, y, h, B.Shape(trees=2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < n * B.ROW_BYTES and B.MAX_BYTES / (2 * p + B.ROW_BYTES) > 2_200_000  # no copies of the bins
+    chunks = pa.table({B.BINNED: pa.chunked_array([pa.array([r.tobytes() for r in x[:300]], pa.binary()), pa.array([r.tobytes() for r in x[300:500]], pa.binary())])})
+    place = rng.permutation(500)
+    got = B._by_feature(chunks, place)
+    assert got.flags.f_contiguous and (got[place] == x[:500]).all()
