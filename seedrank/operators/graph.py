@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seedrank.functions.params import bounded_broadcast, by_key
+from seedrank.functions.params import bounded_broadcast, by_key, drop_table, release_shuffles, write_once
 
 # Fixed values that must equal the reference's behaviour.
 EDGE_RADIUS = 150.0           # px on the 2-D map
@@ -24,10 +24,11 @@ WALK_LENGTH = 5
 WALKS_PER_NODE = 20
 EMBED_DIM = 16
 EMBED_WINDOW = 5
-DRAW_BUCKETS = 32
 CELL_POINTS, CELL_DEPTH = 2_000, 5   # J7: our own: points of a cell before it is quartered, and how often
 HUB_PARTS = 64
+MAX_DRAW_BUCKETS = 1 << 20     # G4: our own: draw buckets of a node, else as many as it has edges
 EMBED_ROUNDS = 6               # G5: our own: rounds of the subspace iteration
+PASS_BYTES = 4_000_000_000     # G5: our own: products of pairs and factor that one pass shuffles
 # Positioned element on the map page: name, link, left px, top px.
 POSITIONED_PATTERN = (r'(?is)<div\b([^>]*)>([^<]*)<a\b([^>]*)>')
 LINK_PATTERN = r'<a href="([^"]*)">([^<]*)</a>'
@@ -142,42 +143,54 @@ def random_walks(nodes: DataFrame, edges: DataFrame, length: int = WALK_LENGTH,
     both = both.withColumn("__part", F.pmod(F.xxhash64("dst"), F.lit(HUB_PARTS)))
     node_w, part_w = Window.partitionBy("src").orderBy("__part"), Window.partitionBy("src", "__part").orderBy("dst")
     running = (Window.unboundedPreceding, Window.currentRow)
-    parts = both.groupBy("src", "__part").agg(F.sum("weight").alias("__w"))
+    parts = both.groupBy("src", "__part").agg(F.sum("weight").alias("__w"), F.count(F.lit(1)).alias("__c"))
     share = F.sum("__w").over(node_w.rowsBetween(*running)) / F.sum("__w").over(Window.partitionBy("src"))
-    parts = parts.withColumn("__end", F.when(F.lead("__part").over(node_w).isNull(), 1.0).otherwise(share))
+    buckets = F.least(F.sum("__c").over(Window.partitionBy("src")), F.lit(MAX_DRAW_BUCKETS)).cast("int")
+    parts = parts.withColumns({"__end": F.when(F.lead("__part").over(node_w).isNull(), 1.0).otherwise(share), "__nb": buckets})
     parts = parts.withColumn("__start", F.coalesce(F.lag("__end").over(node_w), F.lit(0.0)))
     cum = both.join(by_key(parts), ["src", "__part"])
     inside = F.col("__start") + (F.col("__end") - F.col("__start")) * F.sum("weight").over(part_w.rowsBetween(*running)) / F.col("__w")
     cum = cum.withColumn("hi", F.when(F.lead("dst").over(part_w).isNull(), F.col("__end")).otherwise(inside))
-    cum = cum.select("src", "dst", F.coalesce(F.lag("hi").over(part_w), F.col("__start")).alias("lo"), "hi")
+    cum = cum.select("src", "dst", F.coalesce(F.lag("hi").over(part_w), F.col("__start")).alias("lo"), "hi", "__nb")
     # each interval is listed under every draw bucket it overlaps, so a walker meets ~1-2
-    # candidate edges on the equi-key (src, bucket) instead of the node's whole neighbour list
-    nb = DRAW_BUCKETS
-    cum = cum.select("*", F.explode(F.sequence(F.floor(F.col("lo") * nb).cast("int"),
-                                               F.least(F.floor(F.col("hi") * nb).cast("int"), F.lit(nb - 1)))).alias("bucket"))
-    walks = nodes.select(F.col(node).alias("start"), F.explode(F.sequence(F.lit(0), F.lit(per_node - 1))).alias("walk"))
-    walks = walks.select("start", "walk", F.col("start").alias("cur"), F.array(F.col("start")).alias("path"),
-                         F.lit(True).alias("alive"))
+    # candidate edges on the equi-key (src, bucket) instead of the node's whole neighbour list. A node has as many buckets as
+    # edges, so the list has at most two rows an edge; an edge knows the buckets of the node it leads to, for the next draw
+    bucket = lambda u, nb: F.least(F.floor(u * nb).cast("int"), nb - 1)
+    degree = both.groupBy(F.col("src").alias("__node")).agg(F.least(F.count(F.lit(1)), F.lit(MAX_DRAW_BUCKETS)).cast("int").alias("__next"))
+    cum = cum.join(by_key(degree), F.col("dst") == F.col("__node")).select(
+        "src", "dst", "lo", "hi", "__next", F.explode(F.sequence(bucket(F.col("lo"), F.col("__nb")), bucket(F.col("hi"), F.col("__nb")))).alias("bucket"))
+    # a walker's steps are columns of their own: half the bytes of an array, which every step would shuffle
+    walks = nodes.select(F.col(node).alias("start")).join(by_key(degree.withColumnRenamed("__next", "__nb")), F.col("start") == F.col("__node"), "left")
+    walks = walks.select("start", F.explode(F.sequence(F.lit(0), F.lit(per_node - 1))).alias("walk"), "__nb")
+    steps: list[str] = []
     for step in range(1, length):
-        u = _unit_draw(seed, F.col("start"), F.col("walk"), F.lit(step))
-        s = walks.withColumn("__u", u).withColumn("__b", F.floor(F.col("__u") * nb).cast("int"))
+        last = steps[-1] if steps else "start"
+        at = F.coalesce(*[F.col(c) for c in reversed(steps)], F.col("start"))  # a stopped walk stays where it is
+        s = walks.withColumns({"__cur": at, "__u": _unit_draw(seed, F.col("start"), F.col("walk"), F.lit(step))})
+        s = s.withColumn("__b", F.coalesce(bucket(F.col("__u"), F.col("__nb")), F.lit(0))).drop("__nb")
         c = by_key(cum.alias("c"))
-        nxt = s.join(c, (s["cur"] == c["src"]) & (s["__b"] == c["bucket"]) & (s["__u"] >= c["lo"]) & (s["__u"] < c["hi"])
-                     & s["alive"], "left")
-        walks = nxt.select("start", "walk",
-                           F.coalesce(F.col("dst"), F.col("cur")).alias("cur"),
-                           F.when(F.col("dst").isNotNull(), F.concat(F.col("path"), F.array(F.col("dst"))))
-                           .otherwise(F.col("path")).alias("path"),
-                           (F.col("alive") & F.col("dst").isNotNull()).alias("alive"))
-    return walks.select("start", "walk", "path")
+        nxt = s.join(c, (s["__cur"] == c["src"]) & (s["__b"] == c["bucket"]) & (s["__u"] >= c["lo"]) & (s["__u"] < c["hi"])
+                     & s[last].isNotNull(), "left")
+        walks = nxt.select("start", "walk", *steps, F.col("dst").alias(f"__p{step}"), F.col("__next").alias("__nb"))
+        steps.append(f"__p{step}")
+    went = F.filter(F.array(*[F.col(c) for c in steps]), lambda v: v.isNotNull()) if steps else F.slice(F.array("start"), 1, 0)
+    return walks.select("start", "walk", F.concat(F.array("start"), went).alias("path"))
 
 
 def cooccurrences(walks: DataFrame, window: int = EMBED_WINDOW) -> DataFrame:
-    """(src, dst, n): how often two nodes stand at most ``window`` places apart on a walk, both ways."""
+    """(src, dst, n): how often two nodes stand at most ``window`` places apart on a walk, both ways. A pair is counted once, whichever
+    node comes first, and then listed both ways."""
     pos = F.sequence(F.lit(0), F.size("path") - 1)
-    ahead = lambda i: F.transform(F.filter(pos, lambda j: (j != i) & (F.abs(j - i) <= window)), lambda j: F.struct(F.get("path", i).alias("src"), F.get("path", j).alias("dst")))
-    pairs = walks.select(F.explode(F.flatten(F.transform(pos, ahead))).alias("e")).select(F.col("e.src").cast("string").alias("src"), F.col("e.dst").cast("string").alias("dst"))
-    return pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    def ahead(i):
+        a = F.get("path", i)
+        b = lambda j: F.get("path", j)
+        return F.transform(F.filter(pos, lambda j: (j > i) & (j - i <= window)), lambda j: F.struct(F.least(a, b(j)).alias("src"), F.greatest(a, b(j)).alias("dst")))
+    pairs = walks.select(F.explode(F.flatten(F.transform(pos, ahead))).alias("e")).select("e.src", "e.dst")
+    once = pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    same = F.col("src") == F.col("dst")
+    ways = F.when(same, F.array(F.struct("src", "dst", (F.col("n") * 2).alias("n")))).otherwise(
+        F.array(F.struct("src", "dst", "n"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")))
+    return once.select(F.explode(ways).alias("e")).select("e.src", "e.dst", "e.n")
 
 
 def walk_embeddings(walks: DataFrame, dim: int = EMBED_DIM, window: int = EMBED_WINDOW, seed: int = 42, rounds: int = EMBED_ROUNDS) -> DataFrame:
@@ -185,24 +198,52 @@ def walk_embeddings(walks: DataFrame, dim: int = EMBED_DIM, window: int = EMBED_
 
     Skip-gram factorises the windowed co-occurrences' mutual information; here that matrix is factorised itself: positive
     entries log(n · total / (degree · degree)) as a table of pairs, and its leading ``dim`` directions by subspace
-    iteration. A round multiplies the factor table (a row per node) by the pairs, a join and a sum per node,
+    iteration. A round multiplies the factor table (a row per node) by the pairs, a join and a sum per node, of so many columns at
+    a time as ``PASS_BYTES`` of products allow,
     and makes its columns orthonormal with the ``dim`` x ``dim`` matrix of their products, the only thing that reaches
-    the driver. Nodes without a pair (walks that end at once) get zeros."""
-    from seedrank.functions.params import materialize
-
-    pairs = materialize(cooccurrences(walks, window), "pairs")
+    the driver. Nodes without a pair (walks that end at once) get zeros. The walks are walked once, the steps' tables are removed and their
+    shuffles released when they have been read, so the disk holds one pass."""
+    spark = walks.sparkSession
+    written: dict[str, str] = {}
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        written[name] = write_once(df, name)
+        del df
+        release_shuffles(spark)
+        return spark.read.parquet(written[name])
+
+    def drop(*names: str) -> None:
+        for n in names:
+            drop_table(spark, written.pop(n))
+
+    # a node's walks lie together, so a task counts most repeats of a pair before it sends it
+    paths = keep(walks.select("path").repartition(F.get("path", F.lit(0))), "paths")
+    nodes = keep(paths.select(F.explode("path").alias("node")).distinct(), "nodes")
+    pairs = keep(cooccurrences(paths, window), "pairs")
+    drop("paths")
+    kind = dict(nodes.dtypes)["node"]
     degree = pairs.groupBy("src").agg(F.sum("n").alias("d"))
-    total = float(pairs.agg(F.sum("n")).first()[0] or 0)
+    size = pairs.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("pairs")).first()
+    total, at_once = float(size["total"] or 0), max(1, min(dim, PASS_BYTES // (8 * max(size["pairs"], 1))))
     by_src, by_dst = degree.withColumnRenamed("d", "ds"), degree.select(F.col("src").alias("dst"), F.col("d").alias("dd"))
     info = pairs.join(by_key(by_src), "src").join(by_key(by_dst), "dst").select("src", "dst", F.log(F.col("n") * F.lit(total) / (F.col("ds") * F.col("dd"))).alias("m"))
-    info = materialize(info.where(F.col("m") > 0), "information")
-    nodes = materialize(walks.select(F.explode("path").alias("node")).select(F.col("node").cast("string").alias("node")).distinct(), "nodes")
-    factor = nodes.select("node", F.array(*[_unit_draw(seed, F.col("node"), F.lit(c)) - 0.5 for c in range(dim)]).alias("vec"))
-
-    def times(x: DataFrame) -> DataFrame:
-        """The matrix times the factor: (node, vec)."""
-        y = info.join(by_key(x.withColumnRenamed("node", "dst")), "dst").groupBy(F.col("src").alias("node")).agg(*[F.sum(F.col("m") * F.col("vec")[c]).alias(f"y{c}") for c in range(dim)])
-        return y.select("node", F.array(*[F.col(f"y{c}") for c in range(dim)]).alias("vec"))
+    info = keep(info.where(F.col("m") > 0), "information")
+    del degree, by_src, by_dst, pairs
+    drop("pairs")
+    factor = nodes.select("node", F.array(*[_unit_draw(seed, F.col("node").cast("string"), F.lit(c)) - 0.5 for c in range(dim)]).alias("vec"))
+
+    def times(x: DataFrame, name: str) -> DataFrame:
+        """The matrix times the factor, written: (node, vec)."""
+        whole, parts = None, range(0, dim, at_once)
+        for lo in parts:
+            own = range(lo, min(lo + at_once, dim))
+            few = x.select(F.col("node").alias("dst"), F.slice("vec", lo + 1, len(own)).alias("vec"))
+            y = info.join(by_key(few), "dst").groupBy(F.col("src").alias("node")).agg(*[F.sum(F.col("m") * F.col("vec")[c - lo]).alias(f"y{c}") for c in own])
+            y = keep(y, f"{name}-{lo}") if len(parts) > 1 else y
+            whole = y if whole is None else whole.join(by_key(y), "node")
+        out = keep(whole.select("node", F.array(*[F.col(f"y{c}") for c in range(dim)]).alias("vec")), name)
+        drop(*[f"{name}-{lo}" for lo in parts if len(parts) > 1])
+        return out
 
     def matrix(column) -> np.ndarray:
         return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
@@ -228,15 +269,19 @@ def walk_embeddings(walks: DataFrame, dim: int = EMBED_DIM, window: int = EMBED_
                 v = np.ascontiguousarray(matrix(b.column(1)) @ m) if b.num_rows else np.zeros((0, dim))
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, dim), pa.int32()), pa.array(v.ravel()))], names=["node", "vec"])
 
-        return x.select("node", "vec").mapInArrow(run, "node string, vec array<double>")
+        return x.select("node", "vec").mapInArrow(run, f"node {kind}, vec array<double>")
 
-    for _ in range(rounds):
-        y = materialize(times(factor), "factor")
+    for k in range(rounds):
+        y = times(factor, f"factor-{k}")
+        if k:
+            drop(f"factor-{k - 1}")
         value, vector = np.linalg.eigh(products(y))
-        keep = value > 1e-12 * max(float(value.max()), 1e-300)
-        factor = rotated(y, vector * np.where(keep, 1.0 / np.sqrt(np.where(keep, value, 1.0)), 0.0))
-    last = materialize(times(factor).withColumnRenamed("vec", "vec2").join(by_key(factor), "node"), "factor")
+        nonzero = value > 1e-12 * max(float(value.max()), 1e-300)
+        factor = rotated(y, vector * np.where(nonzero, 1.0 / np.sqrt(np.where(nonzero, value, 1.0)), 0.0))
+    last = keep(times(factor, "product").withColumnRenamed("vec", "vec2").join(by_key(factor), "node"), "last")
+    drop("product", *([f"factor-{rounds - 1}"] if rounds else []))
+    drop("information")
     inner = products(last, "vec2")
     value, vector = np.linalg.eigh((inner + inner.T) / 2)
     done = rotated(last.select("node", "vec"), vector * np.sqrt(np.maximum(value, 0.0)))
-    return nodes.join(by_key(done), "node", "left").select("node", F.coalesce("vec", F.array_repeat(F.lit(0.0), dim)).alias("vec"))
+    return nodes.join(by_key(done), "node", "left").select(F.col("node").cast("string").alias("node"), F.coalesce("vec", F.array_repeat(F.lit(0.0), dim)).alias("vec"))

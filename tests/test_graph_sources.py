@@ -67,6 +67,43 @@ def test_walk_vectors_keep_neighbours_close(spark):
     assert same > other + 0.5
 
 
+def test_walk_vectors_of_few_columns_a_pass_are_the_same_and_leave_no_tables(spark, monkeypatch):
+    from seedrank.functions import params
+
+    edges = spark.createDataFrame([(i, (i * 7 + k) % 30, 1.0 + k) for i in range(30) for k in (1, 2) if i < (i * 7 + k) % 30], "src long, dst long, weight double")
+    walks = params.materialize(G.random_walks(G.connected_nodes(edges), edges), "test")
+    left = lambda: params._WRITTEN[spark.sparkContext.applicationId]
+    before = set(left())
+    whole = {r.node: r.vec for r in G.walk_embeddings(walks, dim=5, rounds=3).collect()}
+    assert sorted(p.split("seedrank-")[-1].split("-")[0] for p in set(left()) - before) == ["last", "nodes"]
+    monkeypatch.setattr(G, "PASS_BYTES", 8 * 2 * G.cooccurrences(walks).count())  # two columns a pass
+    parts = {r.node: r.vec for r in G.walk_embeddings(walks, dim=5, rounds=3).collect()}
+    assert whole.keys() == parts.keys() and all(isinstance(k, str) and np.allclose(parts[k], v, atol=1e-9) for k, v in whole.items())
+
+
+def test_cooccurrences_count_both_ways(spark):
+    paths = [[1, 2, 1, 3, 1], [2], [4, 4, 5]]
+    walks = spark.createDataFrame([(p,) for p in paths], "path array<long>")
+    want = {}
+    for p in paths:
+        for i, a in enumerate(p):
+            for j, b in enumerate(p):
+                if i != j and abs(i - j) <= 2:
+                    want[a, b] = want.get((a, b), 0) + 1
+    assert {(r.src, r.dst): r.n for r in G.cooccurrences(walks, 2).collect()} == want
+
+
+def test_embedding_invariants_leave_no_pairs_or_rounds_on_the_disk(spark, tmp_path):
+    from seedrank.functions import params
+    from seedrank.plans.queries import QUERIES
+
+    spark.range(300).select(F.col("id").alias("p_partkey"), (F.col("id") % 7 + 1).cast("int").alias("p_size")).write.parquet(str(tmp_path / "part.parquet"))
+    before = set(params._WRITTEN.get(spark.sparkContext.applicationId, []))
+    assert [tuple(r) for r in QUERIES["embedding_invariants"](spark, str(tmp_path)).collect()] == [(300, G.EMBED_DIM, True)]
+    names = sorted(p.split("seedrank-")[-1].split("-")[0] for p in set(params._WRITTEN[spark.sparkContext.applicationId]) - before if "bounded" not in p)
+    assert names == ["edges", "last", "nodes", "units"]  # no pairs and no round's factor stay on the disk
+
+
 def test_random_walks_follow_edges_and_repeat(spark):
     nodes = spark.createDataFrame([(i,) for i in range(6)], "id int")
     edges = spark.createDataFrame([(0, 1, 1.0), (1, 2, 0.5), (2, 3, 2.0), (3, 4, 1.0), (0, 4, 0.1)], "src int, dst int, weight double")
