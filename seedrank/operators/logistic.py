@@ -4,8 +4,8 @@ Newton's method with the step of each round solved by conjugate gradients: the s
 multiplied by a vector, which for sparse rows is two passes over their entries, so no pair of inputs is formed and the
 state is a few vectors of the inputs.
 
-A set of at most ``max_entries`` row entries is fitted in one task (bounded by its entries). A larger set is never
-gathered: its inputs are numbered by hash buckets (no task sees all its names), its rows stay where they are written, and
+A set of at most ``max_entries`` row entries is fitted in one task (bounded by its entries, which come as 64-bit hashes of their names; where
+two names of a set share one, as the names). A larger set is never gathered: its inputs are numbered by hash buckets (no task sees all its names), its rows stay where they are written, and
 every product is one pass in which tasks add up what their rows give and the sums meet per input; vectors of
 8 bytes an input travel, for sets of at most ``BLOCK_INPUTS`` inputs together (or one larger set)."""
 
@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from seedrank.functions.params import materialize
 
-#: our own bounds: entries of a set that one task fits, and inputs whose vectors travel together
-MAX_ENTRIES = 4_000_000
+#: our own bounds: entries of a set that one task fits (about 20 bytes each; as texts), tasks, entries that it works on at once, and
+#: inputs whose vectors travel together
+MAX_ENTRIES, MAX_TEXT_ENTRIES = 28_000_000, 4_000_000
+MAX_TASKS = 2_000
+BLOCK_ENTRIES = 1_000_000
 BLOCK_INPUTS = 4_000_000
 NAME_BUCKETS = 256
 TOLERANCE = 1e-9
@@ -96,6 +99,50 @@ def fit_rows(x: Rows, y: np.ndarray, w: np.ndarray, inputs: int, reg: float, max
     return newton(lambda b: (*_terms(x, y, w, b, inputs), total), lambda b, d: _hessian_times(x, w, b, d, inputs), inputs, reg, max_rounds)
 
 
+class Blocks:
+    """A set's rows in blocks of few entries: numbers of 4 bytes, and values only of entries that are not 1. Input 0 is the intercept."""
+
+    def __init__(self, ones: pa.ChunkedArray, valued: pa.ChunkedArray, n: int):
+        own = [np.unique(c.flatten().to_numpy(zero_copy_only=False)) for c in ones.chunks]
+        own += [np.unique(c.flatten().field("i").to_numpy(zero_copy_only=False)) for c in valued.chunks]
+        names = np.unique(np.concatenate(own)) if own else np.zeros(0, np.int64)
+        self.n, self.inputs, self.parts = n, len(names) + 1, []
+        number = lambda a: (np.searchsorted(names, a) + 1).astype(np.int32)
+        lo = 0
+        for a, b in zip(ones.chunks, valued.chunks):
+            for at in range(0, len(a), step := max(1, BLOCK_ENTRIES * len(a) // max(len(a) + len(a.flatten()) + len(b.flatten()), 1))):
+                (row, name), (vrow, entry) = _entries(a.slice(at, step)), _entries(b.slice(at, step))
+                m = len(a.slice(at, step))
+                one = Rows(np.r_[np.arange(m), row].astype(np.int32), np.r_[np.zeros(m, np.int32), number(name.to_numpy(zero_copy_only=False))], 1.0, m)
+                rest = Rows(vrow.astype(np.int32), number(entry.field("i").to_numpy(zero_copy_only=False)), entry.field("v").to_numpy(zero_copy_only=False).copy(), m)
+                self.parts.append((slice(lo, lo + m), one, rest))
+                lo += m
+
+    def times(self, b: np.ndarray) -> np.ndarray:
+        out = np.empty(self.n)
+        for at, one, rest in self.parts:
+            out[at] = one.times(b) + rest.times(b)
+        return out
+
+    def back(self, s: np.ndarray) -> np.ndarray:
+        return sum((one.back(s[at], self.inputs) + rest.back(s[at], self.inputs) for at, one, rest in self.parts), np.zeros(self.inputs))
+
+    def square(self, s: np.ndarray) -> np.ndarray:
+        return sum((one.square(s[at], self.inputs) + rest.square(s[at], self.inputs) for at, one, rest in self.parts), np.zeros(self.inputs))
+
+    def fit(self, y: np.ndarray, w: np.ndarray, reg: float, max_rounds: int) -> np.ndarray:
+        """``fit_rows`` over blocks; what depends on the round's coefficients only is computed once a round."""
+        total, curve = w.sum(), np.empty(0)
+
+        def gradient(b):
+            nonlocal curve
+            p = _sigmoid(self.times(b))
+            curve = w * p * (1 - p)
+            return self.back(w * (p - y)), self.square(curve), total
+
+        return newton(gradient, lambda b, d: self.back(curve * self.times(d)), self.inputs, reg, max_rounds)
+
+
 def _entries(lists) -> tuple[np.ndarray, pa.StructArray]:
     """Row of every entry, and the entries, of a column of lists of structs."""
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
@@ -129,22 +176,41 @@ def logistic_probabilities(rows: DataFrame, key: str, id_col: str, reg: float, m
     """(key, id, glm_probability) of the rows with ``__y`` 0. ``rows``: key, id, ``__y``, ``__w``, ``__f`` array<struct<name, v>> (inputs
     that are not 0; the intercept is added). Minimises Σ w·loss / Σ w + reg/2·|b|², the intercept free, per set."""
     rows = materialize(rows, "glm_rows")
-    sizes = rows.groupBy(key).agg(F.sum(F.size("__f")).alias("n")).where(F.col("n") > max_entries)
+    every = rows.groupBy(key).agg(F.sum(F.size("__f")).alias("n"))
+    # equal hashes of unlike names would make two inputs one; names repeat, so tasks count most of them away
+    hashes = rows.select(key, F.explode("__f.name").alias("name")).distinct().groupBy(key, F.xxhash64("name")).agg(F.count(F.lit(1)).alias("n"))
+    text = not hashes.where(F.col("n") > 1).isEmpty()
+    sizes = every.where(F.col("n") > (min(max_entries, MAX_TEXT_ENTRIES) if text else max_entries))
     wide = [r[key] for r in sizes.collect()]  # at most all entries / max_entries sets
     kinds = dict(rows.dtypes)
     schema = f"{key} {kinds[key]}, {id_col} {kinds[id_col]}, glm_probability double"
 
-    def whole(group: pa.Table) -> pa.Table:
+    def scored(group: pa.Table, p: np.ndarray, y: np.ndarray) -> pa.Table:
+        item = pa.array(np.flatnonzero(y == 0.0))
+        return pa.table([group.column(key).take(item), group.column(id_col).take(item), pa.array(p).take(item)], names=[key, id_col, "glm_probability"])
+
+    def by_name(group: pa.Table) -> pa.Table:
         n = group.num_rows
         x, inputs = _numbered_rows(group.column("__f"), n)
         y, w = group.column("__y").to_numpy(), group.column("__w").to_numpy()
         group = group.select([key, id_col])  # the entries' texts can go
-        p = _sigmoid(x.times(fit_rows(x, y, w, inputs, reg, max_rounds)))
-        item = pa.array(np.flatnonzero(y == 0.0))
-        return pa.table([group.column(key).take(item), group.column(id_col).take(item), pa.array(p).take(item)], names=[key, id_col, "glm_probability"])
+        return scored(group, _sigmoid(x.times(fit_rows(x, y, w, inputs, reg, max_rounds))), y)
+
+    def by_hash(group: pa.Table) -> pa.Table:
+        x = Blocks(group.column("__one"), group.column("__rest"), group.num_rows)
+        y, w = group.column("__y").to_numpy(), group.column("__w").to_numpy()
+        return scored(group, _sigmoid(x.times(x.fit(y, w, reg, max_rounds))), y)
 
     small = rows.where(~F.col(key).isin(wide)) if wide else rows
-    out = small.groupBy(key).applyInArrow(whole, schema)
+    # sets are few and their fits long: dealt over many tasks, so that a task seldom has two
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(8 * every.count(), MAX_TASKS))
+    if text:
+        out = small.repartition(tasks, key).groupBy(key).applyInArrow(by_name, schema)
+    else:
+        ones = F.transform(F.filter("__f", lambda e: e["v"] == 1.0), lambda e: F.xxhash64(e["name"]))
+        rest = F.transform(F.filter("__f", lambda e: e["v"] != 1.0), lambda e: F.struct(F.xxhash64(e["name"]).alias("i"), e["v"].alias("v")))
+        packed = small.select(key, id_col, "__y", "__w", ones.alias("__one"), rest.alias("__rest"))
+        out = packed.repartition(tasks, key).groupBy(key).applyInArrow(by_hash, schema)
     return out.unionByName(_wide_probabilities(rows.where(F.col(key).isin(wide)), key, id_col, reg, max_rounds, schema)) if wide else out
 
 

@@ -357,3 +357,40 @@ def test_a_set_is_fitted_in_the_bytes_that_are_counted_for_it():
     place = rng.permutation(500)
     got = B._by_feature(chunks, place)
     assert got.flags.f_contiguous and (got[place] == x[:500]).all()
+
+
+def test_sets_of_many_rows_are_fitted_from_hashes_of_their_names(spark, monkeypatch):
+    assert L.MAX_ENTRIES > 24_000_000  # a set of 2.2 million rows of ten entries
+    kind, valued = pa.list_(pa.int64()), pa.list_(pa.struct([("i", pa.int64()), ("v", pa.float64())]))
+    rng, n = np.random.default_rng(3), 400
+    cat, z, flag = rng.integers(0, 9, n), rng.normal(size=n), rng.random(n) < 0.5
+    ones = [[1000 - c * 7, *([55] if f else [])] for c, f in zip(cat.tolist(), flag)]
+    rest = [[{"i": -4, "v": float(v)}] if v > -1 else [] for v in z]
+    chunked = lambda rows, t: pa.chunked_array([pa.array(rows[:150], t), pa.array(rows, t).slice(150)])
+    y, w = (rng.random(n) < 0.3).astype(float), np.where(rng.random(n) < 0.2, 5.0, 1.0)
+    monkeypatch.setattr(L, "BLOCK_ENTRIES", 70)
+    x = L.Blocks(chunked(ones, kind), chunked(rest, valued), n)
+    names = sorted({1000 - c * 7 for c in cat.tolist()} | {55, -4})
+    dense = np.zeros((n, len(names) + 1))
+    dense[:, 0] = 1
+    for i in range(n):
+        for h in ones[i]:
+            dense[i, 1 + names.index(h)] = 1
+        for e in rest[i]:
+            dense[i, 1 + names.index(e["i"])] = e["v"]
+    b = rng.normal(size=x.inputs)
+    assert len(x.parts) > 10 and np.allclose(x.times(b), dense @ b) and np.allclose(x.back(y), dense.T @ y) and np.allclose(x.square(w), (dense ** 2).T @ w)
+    found = x.fit(y, w, 0.01, 50)
+    p = 1 / (1 + np.exp(-dense @ found))
+    assert np.abs(dense.T @ (w * (p - y)) / w.sum() + 0.01 * np.r_[0.0, found[1:]]).max() < 1e-9
+
+    items, seeds = _glm_frames(spark, ["A", "B"], np.random.default_rng(4))
+    score = lambda: {r.item_id: r.glm_score for r in M.metadata_glm(items, seeds, ["a"], ["owner", "label"]).collect()}
+    with monkeypatch.context() as m:
+        m.setattr(L, "_numbered_rows", lambda *a: pytest.fail("names were gathered"))
+        hashed = score()
+    with monkeypatch.context() as m:
+        m.setattr(L.F, "xxhash64", lambda *c: F.lit(1).cast("long"))  # all names share a hash: they are gathered as texts
+        m.setattr(L, "Blocks", lambda *a: pytest.fail("unlike names were taken for one"))
+        named = score()
+    assert hashed.keys() == named.keys() and max(abs(named[k] - v) for k, v in hashed.items()) < 1e-6
